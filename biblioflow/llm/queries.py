@@ -5,19 +5,51 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from biblioflow.llm import simhash
+from biblioflow.llm import decontam, simhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op8_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontam.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    ids = F.concat_ws(",", "items")
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(ids, 256).alias("items_sha256"), "contaminated")
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(_table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
 QUERIES = {
+    "op8_decontam": op8_decontam,
     "op9_simhash": op9_simhash,
 }
-ORACLES: dict[str, str] = {}
+
+OP8_SQL = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+i AS (
+  SELECT CAST(item_id AS VARCHAR) AS item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark),
+iw AS (
+  SELECT DISTINCT item_id, least(13, len(w)) AS k, array_to_string(list_slice(w, p, p + least(13, len(w)) - 1), ' ') AS s
+  FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS p FROM i WHERE len(w) > 0)),
+ks AS (SELECT DISTINCT k FROM iw),
+dw AS (
+  SELECT doc_id, p, k, array_to_string(list_slice(w, p, p + k - 1), ' ') AS s
+  FROM (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS p FROM d, ks WHERE len(w) >= k)),
+hit AS (SELECT DISTINCT dw.doc_id, item_id, p, dw.k FROM dw JOIN iw ON dw.s = iw.s AND dw.k = iw.k),
+places AS (SELECT doc_id, count(DISTINCT q) AS n_hit FROM (SELECT doc_id, unnest(range(p, p + k)) AS q FROM hit) GROUP BY doc_id),
+items AS (SELECT doc_id, count(DISTINCT item_id) AS n_items, sha256(string_agg(DISTINCT item_id, ',' ORDER BY item_id)) AS h FROM hit GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+  coalesce(h, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN places USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+ORACLES: dict[str, str] = {
+    "op8_decontam": OP8_SQL,
+}
