@@ -2,16 +2,22 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from biblioflow.llm import decontam, simhash
+from biblioflow.llm import decontam, packing, simhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=0)
+    return packed.drop("ids")
+
+
 def op8_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontam.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     ids = F.concat_ws(",", "items")
@@ -24,6 +30,7 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op6_packing": op6_packing,
     "op8_decontam": op8_decontam,
     "op9_simhash": op9_simhash,
 }
