@@ -6,13 +6,25 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from biblioflow.llm import decontam, packing, simhash
+from biblioflow.llm import decontam, packing, simhash, toxicity
+from biblioflow.llm.common import crc_fold
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def toxicity_model(documents: DataFrame, labels: DataFrame) -> toxicity.Model:
+    return toxicity.train(documents, labels, crc_fold(F.col("doc_id"), 3) != 1)
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents")
+    found = toxicity.scored(documents, toxicity_model(documents, _table(spark, sf_dir, "labels")))
+    held_out = (crc_fold(F.col("doc_id"), 3) == 1).alias("held_out")
+    return found.select("doc_id", held_out, "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=0)
     return packed.drop("ids")
@@ -30,6 +42,7 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
     "op6_packing": op6_packing,
     "op8_decontam": op8_decontam,
     "op9_simhash": op9_simhash,
