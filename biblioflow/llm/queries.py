@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from biblioflow.llm import decontam, packing, simhash, toxicity
+from biblioflow.llm import decontam, langid, packing, simhash, toxicity
 from biblioflow.llm.common import crc_fold
 
 
@@ -41,11 +41,22 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def language_network(documents: DataFrame) -> langid.Network | None:
+    return langid.train(documents, crc_fold(F.col("doc_id"), 4) != 2)
+
+
+def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents")
+    found = langid.predicted(documents, language_network(documents))
+    return found.select("doc_id", (crc_fold(F.col("doc_id"), 4) == 2).alias("held_out"), "lang_pred", "score")
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op6_packing": op6_packing,
     "op8_decontam": op8_decontam,
     "op9_simhash": op9_simhash,
+    "op10_langid": op10_langid,
 }
 
 OP8_SQL = r"""
