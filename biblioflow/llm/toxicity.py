@@ -11,7 +11,7 @@ the sample gives. Fitting uses a bounded sample of labelled rows: at most ``samp
 doc_id, and the ``features`` most frequent features in them. Scoring reads every whole text.
 
 Defined cases: a null or empty text has no features and gets the score of the intercept; labels that are null or not
-0 or 1 are ignored, a doc_id labelled both ways counts as toxic; with no labelled rows, or those of one class only,
+0 or 1 are ignored, a doc_id labelled both ways counts as toxic; with fewer than two labelled rows of a class
 the model is the constant share of toxic rows (0 if there are none); repeated rows are scored each.
 """
 
@@ -100,22 +100,34 @@ def _sparse(rows: Iterable[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.repeat(np.arange(len(parts)), [len(p) for p in parts]), np.concatenate(parts) if parts else np.empty(0, "<i4")
 
 
+def significance(row: np.ndarray, col: np.ndarray, labels: np.ndarray, n: int, least: float = 4.0, full: float = 12.0) -> np.ndarray:
+    """A feature's value where it is present: 0 if the classes' shares of rows with it differ by chance, up to 1."""
+    n1, n0 = labels.sum(), (1 - labels).sum()
+    a, b = _sum(labels[row], col, n), _sum(1 - labels[row], col, n)
+    share = (a + b) / (n1 + n0)
+    z = np.abs(a / n1 - b / n0) / np.sqrt(np.maximum(share * (1 - share), 1e-9) * (1 / n1 + 1 / n0))
+    return np.where(z < least, 0, np.minimum(1, z / full))
+
+
 def fit_logistic(docs: list[bytes], labels: np.ndarray, pairs: list[tuple[bytes, bytes]], n: int, l2: float = 2e-4, swap: float = 1.0, steps: int = 250, rate: float = 0.1) -> tuple[np.ndarray, float]:
     """Weights and bias by Adam over all rows at once; a row is its features' indices (little-endian int32)."""
     row, col = _sparse(docs)
+    value = significance(row, col, labels, n)
     pair_a, pair_b = _sparse(a for a, _ in pairs), _sparse(b for _, b in pairs)
     balance = np.where(labels == 1, 0.5 / max(1, labels.sum()), 0.5 / max(1, (1 - labels).sum()))
     w, m, v = np.zeros(n + 1), np.zeros(n + 1), np.zeros(n + 1)
     for t in range(1, steps + 1):
-        z = _sum(w[col], row, len(docs)) + w[n]
+        x = w[:n] * value
+        z = _sum(x[col], row, len(docs)) + w[n]
         slope = (1 / (1 + np.exp(-z)) - labels) * balance
-        g = np.append(_sum(slope[row], col, n) + l2 * w[:n], slope.sum())
+        gx = _sum(slope[row], col, n)
         if pairs:
-            change = (_sum(w[pair_a[1]], pair_a[0], len(pairs)) - _sum(w[pair_b[1]], pair_b[0], len(pairs))) * (2 * swap / len(pairs))
-            g[:n] += _sum(change[pair_a[0]], pair_a[1], n) - _sum(change[pair_b[0]], pair_b[1], n)
+            change = (_sum(x[pair_a[1]], pair_a[0], len(pairs)) - _sum(x[pair_b[1]], pair_b[0], len(pairs))) * (2 * swap / len(pairs))
+            gx += _sum(change[pair_a[0]], pair_a[1], n) - _sum(change[pair_b[0]], pair_b[1], n)
+        g = np.append(gx * value + l2 * w[:n], slope.sum())
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         w -= rate * (1 - t / (steps + 1)) * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
-    return w[:n], float(w[n])
+    return w[:n] * value, float(w[n])
 
 
 def calibrate(z: np.ndarray, labels: np.ndarray, threshold: float) -> float:
@@ -160,7 +172,7 @@ def train(docs: DataFrame, labels: DataFrame, eligible: Column, doc_id: str = "d
     labelled = sorted((r["y"], bytes(r["a"])) for r in got if r["b"] is None)
     pairs = sorted((bytes(r["a"]), bytes(r["b"])) for r in got if r["b"] is not None)
     y = np.array([a for a, _ in labelled], dtype=float)
-    if not 0 < y.sum() < len(y):
+    if min(y.sum(), len(y) - y.sum()) < 2:
         share = y.mean() if len(y) else 0.0
         return Model({}, math.log(max(share, 1e-6) / max(1 - share, 1e-6)))
     w, bias = fit_logistic([x for _, x in labelled], y, pairs, len(names))
