@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from biblioflow.llm import decontam, langid, packing, simhash, toxicity
+from biblioflow.llm import dac, decontam, langid, packing, repetition, simhash, toxicity
 from biblioflow.llm.common import crc_fold
 
 
@@ -25,11 +25,19 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out, "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
 
 
+def op4_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repetition.judged(_table(spark, sf_dir, "documents")).drop("spans")
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=0)
     return packed.drop("ids")
 
 
+def op7_dac(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dac.read(dac.write(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2))
+
+
 def op8_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontam.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     ids = F.concat_ws(",", "items")
@@ -53,7 +61,9 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_toxicity": op1_toxicity,
+    "op4_repetition": op4_repetition,
     "op6_packing": op6_packing,
+    "op7_dac": op7_dac,
     "op8_decontam": op8_decontam,
     "op9_simhash": op9_simhash,
     "op10_langid": op10_langid,
