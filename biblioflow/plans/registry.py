@@ -1,6 +1,5 @@
 """Registry of the bibliographic queries and their DuckDB twins."""
 
-from __future__ import annotations
+from biblioflow.plans.queries import ORACLES, QUERIES
 
-QUERIES: dict = {}
-ORACLES: dict[str, str] = {}
+__all__ = ["ORACLES", "QUERIES"]
