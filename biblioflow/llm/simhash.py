@@ -123,16 +123,18 @@ def links(distinct: DataFrame, bits: int = 4, blocks: int | None = None) -> Data
     dealt = keyed.repartition("choice", "key").sortWithinPartitions("choice", "key")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = [np.empty(0, "i4"), np.empty(0, "i8"), np.empty(0, "i8")]
+        held: list[np.ndarray] = [np.empty(0, "i4"), np.empty(0, "i8"), np.empty(0, "u8")]
 
         def out(n: int) -> pa.RecordBatch:
             choice, key, fp = (x[:n] for x in held)
             run = np.cumsum(np.r_[0, (choice[1:] != choice[:-1]) | (key[1:] != key[:-1])]) if n else choice
             a, b = bucket_links(run, fp, bits) if n > 1 else (fp[:0], fp[:0])
+            a, b = a.view("i8"), b.view("i8")
             return pa.record_batch([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
 
         for batch in batches:
             new = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("choice", "key", "fp")]
+            new[2] = new[2].view("u8")  # numpy counts the bits of a signed number's absolute value
             held = [np.concatenate(x) for x in zip(held, new, strict=True)]
             whole = np.flatnonzero((held[0] != held[0][-1:]) | (held[1] != held[1][-1:]))  # the last bucket may go on
             if whole.size > 50_000:
