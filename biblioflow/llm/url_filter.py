@@ -106,18 +106,23 @@ def log_ratios(counts: DataFrame) -> DataFrame:
 
 
 def threshold(labelled: DataFrame) -> float | None:
-    """The cut on ``score`` of the fewest wrong verdicts on rows of (score, allow); null without both kinds."""
+    """The cut on ``score`` of the fewest wrong verdicts on rows of (score, allow), in the middle of the widest gap.
+
+    None without both kinds.
+    """
     step = F.greatest(F.least(F.floor(F.col("score") / STEP), F.lit(int(RANGE / STEP))), F.lit(-int(RANGE / STEP)))
     by = labelled.where("score is not null").groupBy(step.alias("step")).agg(F.sum(F.col("allow").cast("int")).alias("yes"), F.sum((~F.col("allow")).cast("int")).alias("no"))
     rows = sorted((r["step"], r["yes"], r["no"]) for r in by.collect())  # at most 2 * RANGE / STEP + 1 rows
     wrong = sum(no for _, _, no in rows)
     if not wrong or wrong == sum(yes + no for _, yes, no in rows):
         return None
-    best, cut = wrong, rows[0][0]
-    for at, yes, no in rows:  # block all up to this step
+    cuts = []  # (wrong verdicts, width of the gap, cut) between neighbouring steps
+    for (at, yes, no), (then, _, _) in zip(rows, rows[1:], strict=False):
         wrong += yes - no
-        if wrong < best:
-            best, cut = wrong, at + 1
+        cuts.append((wrong, at - then, (at + 1 + then) / 2))
+    if not cuts:
+        return None
+    cut = min(cuts, key=lambda c: (c[0], -c[1]))[2]
     return cut * STEP
 
 
