@@ -45,7 +45,7 @@ def op3_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repetition.judged(_table(spark, sf_dir, "documents")).drop("spans")
+    return repetition.judged(_table(spark, sf_dir, "documents")).drop("spans", "longest_repeat")
 
 
 def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -131,6 +131,37 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS B
 FROM d LEFT JOIN places USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
+OP4_SQL = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+lines AS (SELECT doc_id, count(*) - count(DISTINCT l) AS n FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS l FROM d) WHERE regexp_matches(l, '[^\x20\x09-\x0D]') GROUP BY 1),
+win AS (SELECT doc_id, k, p, array_to_string(list_slice(w, p, p + k - 1), ' ') AS s FROM (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS p FROM d, (VALUES (6), (8)) AS ks(k) WHERE len(w) >= k)),
+rep AS (SELECT doc_id, k, p FROM (SELECT doc_id, k, p, count(*) OVER (PARTITION BY doc_id, k, s) AS c FROM win) WHERE c > 1),
+cov AS (SELECT doc_id, k, count(DISTINCT q) AS n FROM (SELECT doc_id, k, unnest(range(p, p + k)) AS q FROM rep) GROUP BY ALL),
+far AS (SELECT DISTINCT doc_id FROM (SELECT doc_id, md5(array_to_string(list_slice(w, p, p + 200), ' ')) AS s
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 199)) AS p FROM d JOIN cov USING (doc_id) WHERE k = 6 AND n > 200 AND len(w) > 200)) GROUP BY doc_id, s HAVING count(*) > 1),
+m AS (SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g')) AS BIGINT) AS word_chars,
+  CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols, CAST(coalesce(lines.n, 0) AS BIGINT) AS n_dup_lines,
+  CAST(coalesce(a.n, 0) AS BIGINT) AS n_repeat_words, CAST(coalesce(b.n, 0) AS BIGINT) AS covered_words, far.doc_id IS NOT NULL AS is_far
+  FROM d LEFT JOIN lines ON lines.doc_id = d.doc_id LEFT JOIN cov a ON a.doc_id = d.doc_id AND a.k = 8 LEFT JOIN cov b ON b.doc_id = d.doc_id AND b.k = 6 LEFT JOIN far ON far.doc_id = d.doc_id)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, covered_words, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+  NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AND covered_words <= CAST(0.3 AS DOUBLE) * n_words AND NOT is_far AS kept FROM m
+"""
+
+OP5_SQL = r"""
+WITH trap AS (SELECT '\### Assistant: </turn> ok' AS s),
+src AS (SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS x FROM conversations
+  UNION ALL SELECT -7, 0, 'user', s FROM trap UNION ALL SELECT -7, 1, 'assistant', s FROM trap),
+c AS (SELECT *, regexp_matches(x, '</?turn>|\\[\\ln]') OR regexp_matches(r, '</?turn>|\\[\\ln]') OR contains(r, chr(10)) AS hard FROM src),
+n AS (SELECT *, length(r) + length(x) + 15 + CASE WHEN hard THEN length(regexp_replace(r, '[^\\<\n]', '', 'g')) + length(regexp_replace(x, '[^\\<]', '', 'g')) ELSE 0 END AS chars FROM c)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(r || chr(10) || x || chr(10), '' ORDER BY turn, r, x)) AS turns_sha256,
+  CAST(coalesce(sum(length(x)) FILTER (r = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(x, '' ORDER BY turn, r, x) FILTER (r = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(chars) AS BIGINT) AS formatted_chars, true AS identical
+FROM n GROUP BY conv_id
+"""
+
 ORACLES: dict[str, str] = {
+    "op4_repetition": OP4_SQL,
+    "op5_chat": OP5_SQL,
     "op8_decontam": OP8_SQL,
 }
