@@ -20,6 +20,12 @@ FOLD = str.maketrans({"ß": "ss", "ẞ": "SS", "ø": "o", "Ø": "O", "ł": "l",
 #: Scripts whose names are not matched.
 OTHER_SCRIPTS = ("Han", "Hangul", "Hiragana", "Katakana", "Cyrillic", "Arabic", "Hebrew", "Thai", "Greek", "Devanagari")
 MOST_CHARS = 120
+# Author names that stand for no person; they must be these for equal results.
+PLACEHOLDERS = (
+    "None Anonymous", "Not specified", "&NA; &NA;", "Creator", "None Unknown", "Unknown Unknown", "Unknown Author", "Unknown", "Author Unknown",
+    "None, None", "None", "None None", "None No authorship indicated", "No authorship indicated", "None &NA;", "&Na; &Na;", "&Na;",
+    "Occdownload Gbif.Org", "GBIF.Org User", "et al. et al.", ",",
+)
 TITLES = {"dr", "prof", "mr", "mrs", "ms", "miss", "sir", "rev"}
 MIDDLES = 5
 
@@ -71,10 +77,22 @@ def cleaned(c: Column) -> Column:
     return F.trim(F.regexp_replace(x, r"\s+", " "))
 
 
-def usable(c: Column, placeholders: tuple[str, ...]) -> Column:
-    """Whether a cleaned name is one: not empty, not too long, no placeholder, no link text."""
-    low = F.lower(c)
-    return (c != "") & (F.length(c) <= MOST_CHARS) & ~low.isin(*placeholders) & ~low.contains("download")
+def usable(raw: Column) -> Column:
+    """Whether a name is one: no placeholder, and cleaned not empty, not too long, no link text; null is none."""
+    name = cleaned(raw)
+    fine = (name != "") & (F.length(name) <= MOST_CHARS) & ~F.lower(name).contains("download")
+    return F.coalesce(~raw.isin(*PLACEHOLDERS) & fine, F.lit(False))
+
+
+def coauthor_key(c: Column) -> Column:
+    """First letter and last word of a name, lower-case without separators."""
+    low = F.trim(F.lower(c))
+    return F.concat(F.substring(low, 1, 1), F.lit("_"), F.regexp_replace(F.element_at(F.split(low, r"\s+"), -1), r"[\s.,_-]", ""))
+
+
+def display_changed(old: str | None, new: str | None) -> bool:
+    """Whether a display name differs by more than case, dots or diacritics."""
+    return len(old or "") != len(new or "") or search_form(old) != search_form(new)
 
 
 def block_of(search: Column) -> Column:

@@ -6,11 +6,17 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from biblioflow.functions.columns import capped_list, jaccard, newest, orcid_compatible, overlap, paper_of
+from biblioflow.functions.names import block_of, compatible_of, letter_of, search_form_of, usable
+from biblioflow.operators.diff import NULL_BUCKET
 
 #: Coefficients of the pair score over the feature vector; the intercept comes first.
 SCORER = (-3.0, 2.5, 1.5, 3.5, 0.05, 0.3, 2.0, 2.5)
 LEAST_SCORE = 0.05
 CANDIDATES = 25
+# Root concepts, which say nothing about a work; they must be these for equal results.
+ROOT_CONCEPTS = (17744445, 138885662, 162324750, 144133560, 15744967, 33923547, 71924100, 86803240, 41008148, 127313418, 185592680, 142362112, 144024400, 127413603, 205649164, 95457728, 192562407, 121332964, 39432304)
+#: A concept below this score is no feature.
+CONCEPT_SCORE = 0.3
 
 
 def allocated(df: DataFrame, order: list[Column | str], last: int, name: str = "new_id", partitions: int = 64) -> DataFrame:
@@ -107,20 +113,74 @@ def name_candidates(new: DataFrame, authors: DataFrame, barred: DataFrame | None
     return found.join(barred.select(F.col("paper_id").alias("paper_id_1"), "author_id"), ["paper_id_1", "author_id"], "left_anti")
 
 
+def blocked_candidates(new: DataFrame, authors: DataFrame, barred: DataFrame | None = None) -> DataFrame:
+    """Pairs of new authorships and authors whose names share a block (last word, first letter) and are compatible."""
+    form = lambda df, c: df.withColumn("_s", search_form_of(c)).withColumn("_block", block_of(F.col("_s"))).withColumn("_letter", letter_of(F.col("_s")))
+    known = form(authors.select("author_id", F.explode("alternate_names").alias("_n")), "_n").select("author_id", F.col("_s").alias("_known"), "_block", "_letter").distinct()
+    met = form(new, "author_1").join(known, ["_block", "_letter"]).where(compatible_of("_s", "_known"))
+    found = met.select("author_id", *new.columns).dropDuplicates(["author_id", "work_author_id_1"])
+    return found if barred is None else found.join(barred.select(F.col("paper_id").alias("paper_id_1"), "author_id"), ["paper_id_1", "author_id"], "left_anti")
+
+
 def cascade(new: DataFrame, members: DataFrame, authors: DataFrame, last_id: int, barred: DataFrame | None = None) -> DataFrame:
-    """(work_author_id_1, author_id, how): identifier, then exact name with evidence, then a new author.
+    """(work_author_id_1, author_id, how): by identifier, exact name with evidence, compatible name with evidence, else new.
 
     new: work_author_id_1, paper_id_1, author_1, orcid_1, institutions_1, coauthors_1, concepts_1, citations_1;
-    members: the same with suffix _2 and author_id; authors: author_id, orcid, alternate_names.
+    members: the same with suffix _2 and author_id; authors: author_id, orcid, alternate_names. Names that stand for no
+    person go to the null bucket. Each round takes what the rounds before left.
     """
-    by_id = orcid_matches(new, authors)
-    rest = new.join(by_id.select("work_author_id_1"), "work_author_id_1", "left_anti")
-    pairs = name_candidates(rest, authors, barred).join(members, "author_id").join(authors.select("author_id", F.col("orcid").alias("orcid_2")), "author_id")
-    by_name = assigned(scored_candidates(features(pairs)))
-    left = rest.join(by_name.select("work_author_id_1"), "work_author_id_1", "left_anti").select("work_author_id_1").distinct()
-    fresh = allocated(left, [paper_of(F.col("work_author_id_1")), "work_author_id_1"], last_id, "author_id")
     how = lambda df, name: df.select("work_author_id_1", "author_id", F.lit(name).alias("how"))
-    return how(by_id, "identifier").unionByName(how(by_name, "name")).unionByName(how(fresh, "new"))
+    without = lambda df, done: df.join(done.select("work_author_id_1"), "work_author_id_1", "left_anti")
+    named = usable(F.col("author_1"))
+    unnamed = new.where(~named).select("work_author_id_1", F.lit(NULL_BUCKET).alias("author_id")).distinct()
+    by_id = orcid_matches(new.where(named), authors).persist()
+    rest, done = without(new.where(named), by_id), [how(unnamed, "unnamed"), how(by_id, "identifier")]
+    owners = authors.select("author_id", F.col("orcid").alias("orcid_2"))
+    for name, candidates in (("name", name_candidates), ("compatible", blocked_candidates)):
+        pairs = candidates(rest, authors, barred).join(members, "author_id").join(owners, "author_id")
+        given = assigned(scored_candidates(features(pairs))).persist()  # both in the result and in what is left
+        rest = without(rest, given)
+        done.append(how(given, name))
+    fresh = allocated(rest.select("work_author_id_1").distinct(), [paper_of(F.col("work_author_id_1")), "work_author_id_1"], last_id, "author_id")
+    out = how(fresh, "new")
+    for part in done:
+        out = out.unionByName(part)
+    return out
+
+
+def merge_map(merges: DataFrame, frozen: DataFrame) -> DataFrame:
+    """(merge_from_id, merge_to_id): a merge away from a frozen author runs the other way."""
+    held = frozen.select(F.col("author_id").alias("merge_from_id")).distinct().withColumn("_frozen", F.lit(True))
+    flipped = F.col("_frozen").isNotNull()
+    joined = merges.join(held, "merge_from_id", "left")
+    return joined.select(F.when(flipped, F.col("merge_to_id")).otherwise(F.col("merge_from_id")).alias("merge_from_id"), F.when(flipped, F.col("merge_from_id")).otherwise(F.col("merge_to_id")).alias("merge_to_id"))
+
+
+def identifier_winners(members: DataFrame, frozen: DataFrame) -> DataFrame:
+    """(author_id, winner_id): authors that share an identifier with a frozen, larger or older one."""
+    sizes = members.where(F.coalesce("orcid", F.lit("")) != "").groupBy("orcid", "author_id").agg(F.count("*").alias("_n"))
+    held = frozen.select("author_id").distinct().withColumn("_frozen", F.lit(True))
+    own = Window.partitionBy("orcid").orderBy(F.col("_frozen").isNotNull().desc(), F.desc("_n"), "author_id")
+    ranked = sizes.join(held, "author_id", "left").withColumn("winner_id", F.first("author_id").over(own))
+    return ranked.where("author_id <> winner_id").select("author_id", "winner_id").distinct()
+
+
+def collapsed(rows: DataFrame, key: str, features_: list[str]) -> DataFrame:
+    """One row of each set of equal features: the smallest key, with the list of all."""
+    return rows.groupBy(*features_).agg(F.min(key).alias(key), F.sort_array(F.collect_set(key)).alias("members"))
+
+
+def expanded(assignments: DataFrame, groups: DataFrame, key: str) -> DataFrame:
+    """An assignment of a representative holds for its members."""
+    return assignments.join(groups.select(key, "members"), key).withColumn(key, F.explode("members")).drop("members")
+
+
+def kept_ids(new: DataFrame, old: DataFrame, most: int = 5) -> DataFrame:
+    """(author_id, old_id): new clusters of at most ``most`` members that equal an old one; (author_id, work_author_id) each."""
+    sets = lambda df: df.groupBy("author_id").agg(F.sort_array(F.collect_set("work_author_id")).alias("m"))
+    small = sets(new).where(F.size("m") <= most)
+    was = sets(old).where(F.size("m") <= most).groupBy("m").agg(F.min("author_id").alias("old_id"))
+    return small.join(was, "m").where("author_id <> old_id").select("author_id", "old_id")
 
 
 def disambiguation_input(affiliations: DataFrame, works: DataFrame, concepts: DataFrame, citations: DataFrame, names: DataFrame | None = None) -> DataFrame:
@@ -140,6 +200,6 @@ def disambiguation_input(affiliations: DataFrame, works: DataFrame, concepts: Da
     sets = lambda df, column, name: df.groupBy("paper_id").agg(F.sort_array(F.collect_set(column)).alias(name))
     everyone = sets(own, "original_author", "coauthors")
     out = own.where(F.col("author_id").isNull() | (F.col("author_id") == -1))
-    out = out.join(everyone, "paper_id", "left").join(sets(concepts, "field_of_study", "concepts"), "paper_id", "left").join(sets(citations, "paper_reference_id", "citations"), "paper_id", "left")
+    out = out.join(everyone, "paper_id", "left").join(sets(concepts.where(~F.col("field_of_study").isin(*ROOT_CONCEPTS) & (F.col("score") > CONCEPT_SCORE)), "field_of_study", "concepts"), "paper_id", "left").join(sets(citations, "paper_reference_id", "citations"), "paper_id", "left")
     others = capped_list(F.filter("coauthors", lambda x: x != F.col("original_author")))
     return out.select("work_author_id", "original_author", "orcid", capped_list(F.col("concepts")).alias("concepts"), capped_list(F.col("institutions")).alias("institutions"), capped_list(F.col("citations")).alias("citations"), others.alias("coauthors"), "created_date")

@@ -67,7 +67,8 @@ def _assign(group: pd.DataFrame) -> pd.DataFrame:
             done[r.work_author_id] = r.orcid
             if r.name not in names[r.orcid]:
                 names[r.orcid].append(r.name)
-    return pd.DataFrame({"author_id": group["author_id"].iloc[0], "work_author_id": list(done), "orcid": list(done.values())})
+    out = pd.DataFrame(list(done.items()), columns=["work_author_id", "orcid"], dtype=object)
+    return out.assign(author_id=group["author_id"].iloc[0])[["author_id", "work_author_id", "orcid"]]
 
 
 def reassigned(works: DataFrame, frozen: DataFrame, rounds: int = 3) -> DataFrame:

@@ -70,13 +70,13 @@ def institution_topic_profile(spark, sf_dir):
 
 
 def works(spark, sf_dir) -> DataFrame:
-    """Orders as works; every seventh is merged into the work before it."""
+    """Orders as works; those of urgent priority are merged into the work before them."""
     key = F.col("o_orderkey")
-    merge = F.when((key % 7 == 0) & (key > 0), key - 1)
+    merge = F.when(F.col("o_orderpriority") == "1-URGENT", key - 1)
     return t(spark, sf_dir, "orders").select(key.alias("paper_id"), merge.alias("merge_into_id"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("publication_date"), F.col("o_orderpriority").alias("type"), F.col("o_custkey").alias("journal_id"))
 
 
-WORKS = "w AS (SELECT o_orderkey AS paper_id, CASE WHEN o_orderkey % 7 = 0 AND o_orderkey > 0 THEN o_orderkey - 1 END AS merge_into_id, year(o_orderdate) AS y FROM orders)"
+WORKS = "w AS (SELECT o_orderkey AS paper_id, CASE WHEN o_orderpriority = '1-URGENT' THEN o_orderkey - 1 END AS merge_into_id, year(o_orderdate) AS y FROM orders)"
 
 
 def references(spark, sf_dir) -> DataFrame:
@@ -246,9 +246,9 @@ def representative_rows(spark, sf_dir):
     return grouped.select(F.col("features")[0].alias("l_partkey"), F.col("features")[1].alias("l_suppkey"), "representative", "n")
 
 
-@query("SELECT a.c_custkey AS a, b.c_custkey AS b FROM customer a JOIN customer b ON a.c_nationkey = b.c_nationkey AND a.c_custkey < b.c_custkey WHERE (CASE WHEN a.c_custkey % 3 = 0 THEN '' ELSE a.c_mktsegment END) = (CASE WHEN b.c_custkey % 3 = 0 THEN '' ELSE b.c_mktsegment END) OR a.c_custkey % 3 = 0 OR b.c_custkey % 3 = 0")
+@query("SELECT a.c_custkey AS a, b.c_custkey AS b FROM customer a JOIN customer b ON a.c_nationkey = b.c_nationkey AND a.c_custkey < b.c_custkey WHERE a.c_mktsegment = b.c_mktsegment OR a.c_acctbal < 0 OR b.c_acctbal < 0")
 def orcid_compatible_pairs(spark, sf_dir):
-    own = t(spark, sf_dir, "customer").select("c_nationkey", "c_custkey", F.when(F.col("c_custkey") % 3 == 0, "").otherwise(F.col("c_mktsegment")).alias("orcid"))
+    own = t(spark, sf_dir, "customer").select("c_nationkey", "c_custkey", F.when(F.col("c_acctbal") < 0, "").otherwise(F.col("c_mktsegment")).alias("orcid"))
     a, b = own.alias("a"), own.alias("b")
     met = a.join(b, (F.col("a.c_nationkey") == F.col("b.c_nationkey")) & (F.col("a.c_custkey") < F.col("b.c_custkey")))
     return met.where(columns.orcid_compatible(F.col("a.orcid"), F.col("b.orcid"))).select(F.col("a.c_custkey").alias("a"), F.col("b.c_custkey").alias("b"))
@@ -323,12 +323,12 @@ def queue_inserts(spark, sf_dir):
     return diff.queue_inserts(t(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id")), queued).select("id")
 
 
-@query("SELECT o_orderkey, coalesce(o_orderkey - 1, 0) AS target FROM orders WHERE o_orderkey % 7 = 0 AND o_orderkey > 0")
+@query("SELECT o_orderkey, CASE WHEN o_orderpriority = '1-URGENT' THEN o_orderkey - 1 ELSE o_orderkey END AS target FROM orders")
 def redirect_join(spark, sf_dir):
     own = works(spark, sf_dir)
     merges = own.where("merge_into_id is not null").select(F.col("paper_id").alias("merge_from_id"), F.col("merge_into_id").alias("merge_to_id"))
     moved = citations.redirected(own.select("paper_id", F.col("paper_id").alias("target")), merges, "target")
-    return moved.where("paper_id <> target").select(F.col("paper_id").alias("o_orderkey"), "target")
+    return moved.select(F.col("paper_id").alias("o_orderkey"), "target")
 
 
 @query("SELECT event_id, CAST(props->>'k' AS BIGINT) AS k, CASE WHEN CAST(props->>'k' AS BIGINT) % 2 = 0 THEN 2 ELSE 1 END AS n_ids FROM events")
@@ -400,7 +400,7 @@ def name_clean(spark, sf_dir):
 
 @query()
 def search_name(spark, sf_dir):
-    own = t(spark, sf_dir, "documents").select("doc_id", names.search_form_of(names.parsed_of(F.substring("text", 1, 60))).alias("search"))
+    own = t(spark, sf_dir, "documents").select("doc_id", names.search_form_of(names.parsed_of("text")).alias("search"))
     return own.select("doc_id", "search", names.block_of(F.col("search")).alias("block"), names.letter_of(F.col("search")).alias("letter"))
 
 
@@ -453,8 +453,8 @@ def authorships(spark, sf_dir) -> DataFrame:
     own = t(spark, sf_dir, "orders").join(t(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
     rows = own.join(feature_rows(spark, sf_dir), F.col("work") == F.col("o_orderkey"))
     return rows.select(
-        F.concat_ws("_", "o_orderkey", F.lit("1")).alias("work_author_id"), F.col("o_orderkey").alias("paper_id"), F.col("o_custkey").alias("author_id"), F.concat_ws(" ", "c_mktsegment", F.lit("author")).alias("author"), F.lit("").alias("orcid"),
-        "institutions", F.col("coauthors").cast("array<string>").alias("coauthors"), F.array().cast("array<bigint>").alias("concepts"), "citations", F.col("o_orderdate"),
+        F.concat_ws("_", "o_orderkey", F.lit("1")).alias("work_author_id"), F.col("o_orderkey").alias("paper_id"), F.col("o_custkey").alias("author_id"), F.lower(F.concat_ws(" ", "c_mktsegment", F.translate(F.col("c_nationkey").cast("string"), "0123456789", "abcdefghij"), F.col("o_orderstatus"), F.lit("author"))).alias("author"), F.lit("").alias("orcid"),
+        "institutions", F.col("coauthors").cast("array<string>").alias("coauthors"), F.array().cast("array<bigint>").alias("concepts"), "citations", "o_orderdate", "o_orderpriority", "c_acctbal",
     )
 
 
@@ -462,6 +462,7 @@ def authorships(spark, sf_dir) -> DataFrame:
 def cascade_assign(spark, sf_dir):
     rows = authorships(spark, sf_dir)
     side = lambda df, s, drop: df.drop(*drop).select(*[F.col(c) if c == "author_id" else F.col(c).alias(c + s) for c in df.drop(*drop).columns])
+    rows = rows.drop("o_orderpriority", "c_acctbal")
     new = side(rows.where("o_orderdate >= '2001-06-01'"), "_1", ["author_id", "o_orderdate"])
     old = rows.where("o_orderdate < '2001-06-01'")
     members = side(old, "_2", ["orcid", "o_orderdate"])
@@ -471,16 +472,16 @@ def cascade_assign(spark, sf_dir):
 
 def overmerged_works(spark, sf_dir) -> DataFrame:
     rows = authorships(spark, sf_dir)
-    orcid = F.when(F.col("paper_id") % 5 == 0, "A").when(F.col("paper_id") % 5 == 1, "B").otherwise("")
+    orcid = F.when(F.col("o_orderpriority") == "1-URGENT", "A").when(F.col("o_orderpriority") == "2-HIGH", "B").otherwise("")
     no_longs, no_texts = F.array().cast("array<bigint>"), F.array().cast("array<string>")
-    return rows.select("author_id", "work_author_id", orcid.alias("orcid"), F.col("author").alias("name"), "institutions", "coauthors", "concepts", "citations", no_texts.alias("coauthor_orcids"), no_longs.alias("topics"), no_longs.alias("subfields"), no_longs.alias("fields"))
+    return rows.select("author_id", "work_author_id", "c_acctbal", orcid.alias("orcid"), F.col("author").alias("name"), "institutions", "coauthors", "concepts", "citations", no_texts.alias("coauthor_orcids"), no_longs.alias("topics"), no_longs.alias("subfields"), no_longs.alias("fields"))
 
 
 @query()
 def overmerge_split(spark, sf_dir):
     works_ = overmerged_works(spark, sf_dir)
-    frozen = works_.where("author_id % 10 = 0").select("author_id")
-    return identifiers.reassigned(works_, frozen, rounds=1)
+    frozen = works_.where("c_acctbal < 0").select("author_id")
+    return identifiers.reassigned(works_.drop("c_acctbal"), frozen, rounds=1)
 
 
 @query()
@@ -488,6 +489,22 @@ def leftover_groups(spark, sf_dir):
     return identifiers.leftover_groups(overmerged_works(spark, sf_dir).where("orcid = ''"))
 
 
+WINNERS = "m AS (SELECT o_custkey AS author_id, c_mktsegment || c_nationkey AS orcid, c_acctbal < 0 AS frozen FROM orders JOIN customer ON o_custkey = c_custkey), s AS (SELECT orcid, author_id, frozen, count(*) AS n FROM m GROUP BY ALL)"
+
+
+@query(f"WITH {WINNERS}, w AS (SELECT author_id, first(author_id) OVER (PARTITION BY orcid ORDER BY frozen DESC, n DESC, author_id) AS winner_id FROM s) SELECT * FROM w WHERE author_id <> winner_id")
+def identifier_winners(spark, sf_dir):
+    own = t(spark, sf_dir, "orders").join(t(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    members = own.select(F.col("o_custkey").alias("author_id"), F.concat("c_mktsegment", "c_nationkey").alias("orcid"), "c_acctbal")
+    return assign.identifier_winners(members, members.where("c_acctbal < 0").select("author_id"))
+
+
+@query("SELECT CASE WHEN c_acctbal < 0 THEN o_orderkey ELSE c_custkey END AS merge_from_id, CASE WHEN c_acctbal < 0 THEN c_custkey ELSE o_orderkey END AS merge_to_id FROM orders JOIN customer ON o_custkey = c_custkey")
+def merge_map(spark, sf_dir):
+    merges = t(spark, sf_dir, "orders").select(F.col("o_custkey").alias("merge_from_id"), F.col("o_orderkey").alias("merge_to_id"))
+    return assign.merge_map(merges, t(spark, sf_dir, "customer").where("c_acctbal < 0").select(F.col("c_custkey").alias("author_id")))
+
+
 @query()
 def sample_input(spark, sf_dir):
     return tables.sample(t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"), 1000)
@@ -500,13 +517,13 @@ def run_statistics(spark, sf_dir):
     return sinks.statistics(t(spark, sf_dir, "orders"), open=F.col("o_orderstatus") == "O", large=F.col("o_totalprice") > 100000)
 
 
-@query("SELECT paper_id, CAST(min(o_suppkey) AS BIGINT) AS first_institution, CAST(count(*) AS BIGINT) AS n FROM (SELECT l_orderkey AS paper_id, l_suppkey AS o_suppkey FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderkey % 7 <> 0 OR o_orderkey = 0)) GROUP BY 1")
+@query("SELECT paper_id, CAST(min(o_suppkey) AS BIGINT) AS first_institution, CAST(count(*) AS BIGINT) AS n FROM (SELECT l_orderkey AS paper_id, l_suppkey AS o_suppkey FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderpriority <> '1-URGENT')) GROUP BY 1")
 def disambiguation_input(spark, sf_dir):
     """D19, reduced to what SQL compares: one row a paper's unassigned authorship."""
     lines = t(spark, sf_dir, "lineitem")
     affiliations = lines.select(F.col("l_orderkey").alias("paper_id"), F.lit(-1).cast("bigint").alias("author_id"), F.col("l_suppkey").alias("affiliation_id"), F.lit(1).alias("author_sequence_number"), F.lit("A B").alias("original_author"), F.lit("").alias("original_orcid"))
     own = works(spark, sf_dir).withColumn("created_date", F.to_timestamp("publication_date"))
-    none = spark.createDataFrame([], "paper_id bigint, field_of_study bigint, paper_reference_id bigint")
-    rows = assign.disambiguation_input(affiliations, own, none.select("paper_id", "field_of_study"), none.select("paper_id", "paper_reference_id"))
+    none = spark.createDataFrame([], "paper_id bigint, field_of_study bigint, score double, paper_reference_id bigint")
+    rows = assign.disambiguation_input(affiliations, own, none.select("paper_id", "field_of_study", "score"), none.select("paper_id", "paper_reference_id"))
     counted_ = lines.groupBy(F.col("l_orderkey").alias("paper_id")).agg(F.count("*").alias("n"))
     return rows.select(columns.paper_of(F.col("work_author_id")).alias("paper_id"), F.array_min("institutions").alias("first_institution")).join(counted_, "paper_id")

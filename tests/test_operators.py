@@ -147,6 +147,9 @@ def test_name_forms(spark):
     assert names.scripts("Ann 李") == ["CJK"]
     got = names.slots("mary-jane watson")
     assert got["first"] == (["mary", "maryjane"], ["m"]) and got["last"] == (["watson"], ["w"])
+    assert not names.display_changed("Ann Lee", "ann lee") and names.display_changed("Ann Lee", "A Lee")
+    keyed = spark.createDataFrame([("Ann B. Lee-Ray",), ("None",), (None,)], "n string").select(names.coauthor_key(F.col("n")), names.usable(F.col("n"))).collect()
+    assert [tuple(k) for k in keyed] == [("a_leeray", True), ("n_none", False), (None, False)]
     one = spark.createDataFrame([(" ;(12) Ann  &NA; Lee*",), (None,)], "n string").select(names.cleaned(F.col("n"))).collect()
     assert [r[0] for r in one] == ["Ann Lee", ""]
 
@@ -172,6 +175,46 @@ def test_overmerged_authors_are_split(spark):
     assert rows(identifiers.leftover_groups(left), "work_author_id", "cluster") == [("1_1", 0), ("2_1", 0), ("3_1", 1)]
 
 
+def test_merge_map_and_winners(spark):
+    merges = spark.createDataFrame([(1, 2), (3, 4)], "merge_from_id long, merge_to_id long")
+    frozen = spark.createDataFrame([(1,), (1,)], "author_id long")
+    assert rows(assign.merge_map(merges, frozen), "merge_from_id", "merge_to_id") == [(2, 1), (3, 4)]
+    members = spark.createDataFrame([(1, "A"), (2, "A"), (2, "A"), (3, ""), (4, "B"), (5, "B")], "author_id long, orcid string")
+    assert rows(assign.identifier_winners(members, frozen), "author_id", "winner_id") == [(2, 1), (5, 4)]
+
+
+def test_collapse_expand_and_kept_ids(spark):
+    own = spark.createDataFrame([("1_1", "a", [1]), ("2_1", "a", [1]), ("3_1", "b", [1])], "w string, name string, s array<long>")
+    groups = assign.collapsed(own, "w", ["name", "s"])
+    given = groups.select("w", F.col("name").alias("author"))
+    assert rows(assign.expanded(given, groups, "w"), "w", "author") == [("1_1", "a"), ("2_1", "a"), ("3_1", "b")]
+    kinds = "author_id long, work_author_id string"
+    new = spark.createDataFrame([(10, "x"), (10, "y"), (11, "z")], kinds)
+    old = spark.createDataFrame([(1, "y"), (1, "x"), (2, "z"), (2, "q")], kinds)
+    assert rows(assign.kept_ids(new, old), "author_id", "old_id") == [(10, 1)]
+
+
+def test_cascade_rounds(spark):
+    kinds = "work_author_id string, paper_id long, author string, orcid string, institutions array<long>, coauthors array<string>, concepts array<long>, citations array<long>"
+    new = spark.createDataFrame([("1_1", 1, "Ann Lee", "O", [], [], [], []), ("2_1", 2, "Ann Lee", "", [5], ["x"], [1], [90]), ("3_1", 3, "A Lee", "", [5], ["x"], [1], [90]), ("4_1", 4, "Ann Lee", "", [], [], [], []), ("5_1", 5, "None", "", [], [], [], [])], kinds)
+    old = spark.createDataFrame([("90_1", 90, "Ann Lee", "", [5], ["x"], [1], [])], kinds)
+    side = lambda df, s: df.select(*[F.col(c).alias(c + s) for c in df.columns])
+    members = side(old.drop("orcid"), "_2").withColumn("author_id", F.lit(7).cast("long"))
+    authors = spark.createDataFrame([(7, "", ["Ann Lee"]), (8, "O", ["Someone Else"])], "author_id long, orcid string, alternate_names array<string>")
+    got = rows(assign.cascade(side(new, "_1"), members, authors, 100), "work_author_id_1", "author_id", "how")
+    assert got == [("1_1", 8, "identifier"), ("2_1", 7, "name"), ("3_1", 7, "compatible"), ("4_1", 101, "new"), ("5_1", diff.NULL_BUCKET, "unnamed")]
+
+
+def test_disambiguation_input(spark):
+    aff = spark.createDataFrame([(1, -1, 5, 1, "A", "o"), (1, -1, 6, 1, "Ann Lee", ""), (1, 9, 5, 2, "Bob", ""), (2, -1, 5, 1, "C", "")], "paper_id long, author_id long, affiliation_id long, author_sequence_number int, original_author string, original_orcid string")
+    works = spark.createDataFrame([(1, None, None), (2, 1, None)], "paper_id long, merge_into_id long, created_date timestamp")
+    concepts = spark.createDataFrame([(1, 3, 0.9), (1, 4, 0.1), (1, 41008148, 0.9)], "paper_id long, field_of_study long, score double")
+    got = assign.disambiguation_input(aff, works, concepts, spark.createDataFrame([(1, 8)], "paper_id long, paper_reference_id long")).collect()
+    assert len(got) == 1
+    r = got[0]
+    assert (r["work_author_id"], r["original_author"], r["orcid"], r["institutions"], r["concepts"], r["citations"], r["coauthors"]) == ("1_1", "Ann Lee", "o", [5, 6], [3], [8], ["Bob"])
+
+
 def test_rules_and_rewrites(spark):
     texts = spark.createDataFrame([("Lab CRCA, Toulouse",), ("xCRCAx",), (None,)], "text string")
     found = rules.matched(texts, [rules.Rule(("word", "CRCA"), (9,)), rules.Rule(("id", 9), (10,))])
