@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import shutil
 import uuid
 from collections.abc import Iterable
 
@@ -42,11 +43,14 @@ def table(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
 
 @atexit.register
 def drop_tables() -> None:
-    """Delete the intermediate tables of sessions that still live."""
+    """Delete the intermediate tables: through the session if it still lives, else those in the local folder."""
     while _written:
         spark, path = _written.pop()
         context = spark.sparkContext
-        if context._jsc is not None and context._gateway is not None:
+        if context._jsc is None:
+            if path.startswith(f"file://{LOCAL_CHECKPOINTS}/"):
+                shutil.rmtree(path.removeprefix("file://"), ignore_errors=True)
+        else:
             target = context._jvm.org.apache.hadoop.fs.Path(path)
             target.getFileSystem(context._jsc.hadoopConfiguration()).delete(target, True)
 

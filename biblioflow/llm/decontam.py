@@ -40,10 +40,14 @@ def tokens(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
     return table(split.withColumn("n_words", F.size("words").cast("long")), "tokens")
 
 
+def small(df: DataFrame, text: Column) -> bool:
+    """Whether the rows' texts are measured to be small enough for a broadcast."""
+    return (df.agg(F.sum(F.octet_length(text) + 64)).first()[0] or 0) <= BROADCAST_BYTES
+
+
 def sized(df: DataFrame, text: Column) -> DataFrame:
-    """``df``, marked for broadcast if its rows' texts are measured to be small."""
-    size = df.agg(F.sum(F.octet_length(text) + 64)).first()[0] or 0
-    return F.broadcast(df) if size <= BROADCAST_BYTES else df
+    """``df``, marked for broadcast if it is small."""
+    return F.broadcast(df) if small(df, text) else df
 
 
 def windows(benchmark: DataFrame, item_id: str = "item_id", text: str = "text", length: int = WINDOW) -> DataFrame:
@@ -56,8 +60,11 @@ def windows(benchmark: DataFrame, item_id: str = "item_id", text: str = "text",
 def term_counts(corpus: DataFrame, tests: DataFrame) -> DataFrame:
     """(term, n): occurrences in the corpus of the windows' terms; a term that never occurs has n = 0."""
     vocabulary = tests.select(F.explode("terms").alias("term")).distinct()
-    known = sized(vocabulary, F.col("term"))
-    seen = corpus.select(F.explode("words").alias("term")).join(known, "term").groupBy("term").agg(F.count("*").alias("n"))
+    placed = corpus.select(F.explode("words").alias("term"))
+    if small(vocabulary, F.col("term")):
+        seen = placed.join(F.broadcast(vocabulary), "term").groupBy("term").agg(F.count("*").alias("n"))
+    else:  # counts cross the shuffle, not words
+        seen = placed.groupBy("term").agg(F.count("*").alias("n")).join(vocabulary, "term")
     return table(vocabulary.join(seen, "term", "left").select("term", F.coalesce("n", F.lit(0)).alias("n")), "terms")
 
 
@@ -75,11 +82,14 @@ def rarest(tests: DataFrame) -> Column:
 
 def postings(corpus: DataFrame, tests: DataFrame, reach: int) -> DataFrame:
     """(term, doc_id, at, before, context): each place of the windows' rarest terms, with ``reach`` words either side."""
-    listed = sized(tests.select(rarest(tests).alias("term")).distinct(), F.col("term"))
-    placed = corpus.select("doc_id", "words", F.posexplode("words").alias("at", "term")).join(listed, "term")
+    listed = tests.select(rarest(tests).alias("term")).distinct()
+    placed = corpus.select("doc_id", "words", F.posexplode("words").alias("at", "term"))
     before = F.least(F.col("at"), F.lit(reach))
     context = F.slice("words", F.col("at") - before + 1, before + reach + 1)
-    return table(placed.select("term", "doc_id", "at", before.alias("before"), context.alias("context")), "postings")
+    columns = ["term", "doc_id", "at", before.alias("before"), context.alias("context")]
+    if small(listed, F.col("term")):
+        return table(placed.join(F.broadcast(listed), "term").select(*columns), "postings")
+    return table(placed.select(*columns).join(listed, "term"), "postings")  # contexts cross the shuffle, not documents
 
 
 def matches(index: DataFrame, tests: DataFrame, slack: int = 0, share: float = 0.8) -> DataFrame:

@@ -493,3 +493,11 @@ def test_chat_query_adds_the_trap(spark, tmp_path):
     assert got[-7]["turns_sha256"] == hashlib.sha256(f"user\n{text}\nassistant\n{text}\n".encode()).hexdigest()
     assert got[-7]["loss_sha256"] == hashlib.sha256(text.encode()).hexdigest() and got[-7]["loss_chars"] == len(text)
     assert got[1]["n_turns"] == 1 and got[1]["loss_chars"] == 0
+
+
+def test_decontamination_without_broadcasts(spark, monkeypatch):
+    d = spark.createDataFrame([(1, "x one two three y"), (2, "one two"), (3, None)], "doc_id long, text string")
+    b = spark.createDataFrame([(7, "one two three")], "item_id long, text string")
+    want = sorted(tuple(r) for r in decontam.report(d, b).collect())
+    monkeypatch.setattr(decontam, "BROADCAST_BYTES", -1)
+    assert sorted(tuple(r) for r in decontam.report(d, b).collect()) == want and want[0][2] == 3
