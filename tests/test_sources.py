@@ -36,12 +36,12 @@ def test_sample_and_statistics(spark):
 
 def test_jdbc_round_trip(spark, tmp_path):
     url = f"jdbc:derby:{tmp_path}/db;create=true"
-    sinks.jdbc(spark.range(100).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v")), url, "t", DRIVER, "overwrite")
-    sinks.jdbc(spark.range(100, 110).select(F.col("id").alias("k"), F.col("id").alias("v")), url, "t", DRIVER)
+    sinks.jdbc(spark.range(100).select(F.col("id").alias("K"), (F.col("id") * 2).alias("V")), url, "t", DRIVER, "overwrite")
+    sinks.jdbc(spark.range(100, 110).select(F.col("id").alias("K"), F.col("id").alias("V")), url, "t", DRIVER)
     assert tables.jdbc_table(spark, url, "t", DRIVER).count() == 110
-    ranged = tables.jdbc_by_range(spark, url, "(select * from t where v > 10) as q", "k", 0, 110, 4, DRIVER)
+    ranged = tables.jdbc_by_range(spark, url, "(select * from t where V > 10) as q", "K", 0, 110, 4, DRIVER)
     assert ranged.rdd.getNumPartitions() == 4 and ranged.count() == 104
-    assert tables.jdbc_by_predicates(spark, url, "t", ["k < 50", "k >= 50"], DRIVER).count() == 110
+    assert tables.jdbc_by_predicates(spark, url, "t", ["K < 50", "K >= 50"], DRIVER).count() == 110
     ran = []
     sinks.staged_upsert(spark.range(5), url, "stage", DRIVER, ["UPDATE t"], ran.extend)
     assert ran == ["UPDATE t"] and tables.jdbc_table(spark, url, "stage", DRIVER).count() == 5
