@@ -45,26 +45,33 @@ def tests_ids(p: tuple) -> bool:
     return p[0] in ("id", "ids_more_than") or any(tests_ids(x) for x in p[1:] if isinstance(x, tuple) and x and isinstance(x[0], str))
 
 
-def column(p: tuple, text: Column, ids: Column | None = None) -> Column:
+def column(p: tuple, text: Column, ids: Column | None = None, low: Column | None = None) -> Column:
+    """The predicate over ``text``; ``low`` is the lower-cased text, where it is at hand."""
     kind, *args = p
+    low = F.lower(text) if low is None else low
     if kind in ("not", "and", "or"):
-        parts = [column(x, text, ids) for x in args]
+        parts = [column(x, text, ids, low) for x in args]
         return ~parts[0] if kind == "not" else reduce(lambda a, b: a & b if kind == "and" else a | b, parts)
-    low = F.lower(text)
-    quoted = lambda texts: "|".join(re.escape(t) for t in texts)
+
+    def any_of(own: Column, texts: list[str]) -> Column:
+        """Byte searches for a few texts, one pass of an alternation for many."""
+        if len(texts) <= 8:
+            return reduce(lambda a, b: a | b, [own.contains(t) for t in texts])
+        return own.rlike("|".join(re.escape(t) for t in texts))
+
     match kind:
         case "has":
             return text.contains(args[0])
         case "has_lower":
             return low.contains(args[0])
         case "any":
-            return text.rlike(quoted(args[0]))
+            return any_of(text, args[0])
         case "any_lower":
-            return low.rlike(quoted(args[0]))
+            return any_of(low, args[0])
         case "all":
             return reduce(lambda a, b: a & b, [text.contains(t) for t in args[0]])
         case "word":
-            return text.rlike(f"(^|{OUTSIDE}){re.escape(args[0])}($|{OUTSIDE})")
+            return text.contains(args[0]) & text.rlike(f"(^|{OUTSIDE}){re.escape(args[0])}($|{OUTSIDE})")
         case "regex":
             return text.rlike(args[0])
         case "replaced":
@@ -102,7 +109,7 @@ def sql(p: tuple, text: str = "text") -> str:
     raise ValueError(f"{kind} has no SQL form")
 
 
-def _emitted(rules: list[Rule], text: Column, ids: Column | None) -> Column:
+def _emitted(rules: list[Rule], text: Column, ids: Column | None, low: Column) -> Column:
     groups: dict = {}
     for k, rule in enumerate(rules):
         groups.setdefault(rule.group or k, []).append(rule)
@@ -111,7 +118,7 @@ def _emitted(rules: list[Rule], text: Column, ids: Column | None) -> Column:
         choice = None
         for rule in sorted(members, key=lambda r: r.priority):
             own = F.array(*[F.lit(i).cast("bigint") for i in rule.emits])
-            hit = column(rule.predicate, text, ids)
+            hit = column(rule.predicate, text, ids, low)
             choice = F.when(hit, own) if choice is None else choice.when(hit, own)
         parts.append(F.coalesce(choice, F.array().cast("array<bigint>")))
     return F.flatten(F.array(*parts)) if parts else F.array().cast("array<bigint>")
@@ -132,11 +139,13 @@ def matched(df: DataFrame, rules: list[Rule], text: str = "text", out: str = "id
         if len(chunks[-1]) + len(members) > chunk and chunks[-1]:
             chunks.append([])
         chunks[-1] += members
-    df = df.withColumns({f"_m{i}": _emitted(c, t, None) for i, c in enumerate(chunks)})
+    df = df.withColumn("_low", F.lower(t))  # once for all rules
+    low = F.col("_low")
+    df = df.withColumns({f"_m{i}": _emitted(c, t, None, low) for i, c in enumerate(chunks)})
     df = df.withColumn(out, F.array_distinct(F.flatten(F.array(*[F.col(f"_m{i}") for i in range(len(chunks))])))).drop(*[f"_m{i}" for i in range(len(chunks))])
     if second:
-        df = df.withColumn(out, F.array_union(out, _emitted(second, t, F.col(out))))
-    return df.withColumn(out, F.array_sort(out))
+        df = df.withColumn(out, F.array_union(out, _emitted(second, t, F.col(out), low)))
+    return df.withColumn(out, F.array_sort(out)).drop("_low")
 
 
 def without_no_institution(ids: Column) -> Column:
@@ -159,11 +168,12 @@ def rewritten(df: DataFrame, rewrites: list[Rewrite], text: str = "text", ids: s
     """
     t = F.coalesce(F.col(text), F.lit(""))
     empty = F.array().cast("array<bigint>")
+    df = df.withColumn("_low", F.lower(t))
     for r in rewrites:
         now = F.col(ids)
         after = F.array_union(F.array_except(now, F.array(*[F.lit(i).cast("bigint") for i in r.removes]) if r.removes else empty), F.array(*[F.lit(i).cast("bigint") for i in r.adds]) if r.adds else empty)
-        df = df.withColumn(ids, F.when(column(r.predicate, t, now), after).otherwise(now))
-    return df.withColumn(ids, without_no_institution(F.col(ids)))
+        df = df.withColumn(ids, F.when(column(r.predicate, t, now, F.col("_low")), after).otherwise(now))
+    return df.withColumn(ids, without_no_institution(F.col(ids))).drop("_low")
 
 
 def family(parent: int, swaps: dict[int, tuple[str, int]]) -> list[Rewrite]:
