@@ -31,7 +31,8 @@ from biblioflow.llm.common import _written, shared_folder
 GROUPS = 1 << 17
 #: Fewest rows for which a cell is split.
 LEAST_GROUP = 256
-ROWS_A_FILE = 8192
+#: A file holds about so many rows or bytes of text, whichever are fewer.
+ROWS_A_FILE, BYTES_A_FILE = 8192, 64 << 20
 MOST_FILES = 10_000
 
 
@@ -110,20 +111,20 @@ def layout(docs: DataFrame, dims: list[str], text: str = "text", shards: int = 8
         return pd.Series(first[c] + hashes.to_numpy("i8") % np.maximum(1, parts[c]))
 
     named = group(cell, F.xxhash64(*dims))
-    weight = F.count("*") if law == "rows" else F.sum(size_of(F.col(text)))
     rows, load = np.zeros(int(parts.sum()), np.int64), np.zeros(int(parts.sum()), np.int64)
-    for r in own.groupBy(named.alias("g")).agg(F.count("*").alias("n"), weight.alias("load")).collect():  # at most CELLS + GROUPS rows
+    for r in own.groupBy(named.alias("g")).agg(F.count("*").alias("n"), F.sum(size_of(F.col(text))).alias("load")).collect():  # at most CELLS + GROUPS rows
         rows[r["g"]], load[r["g"]] = r["n"], r["load"]
-    files = max(1, min(MOST_FILES, -(-n // ROWS_A_FILE)))
+    total = int(load.sum())
+    files = max(1, min(MOST_FILES, max(-(-n // ROWS_A_FILE), -(-total // BYTES_A_FILE))))
     base = np.cumsum(rows) - rows
     if law == "rows":
         starts = [-(-k * n // shards) for k in range(shards)]
     elif law == "bytes":
         middle = np.cumsum(load) - load / 2
-        starts = [int(rows[: np.searchsorted(middle, k * load.sum() / shards)].sum()) for k in range(shards)]
+        starts = [int(rows[: np.searchsorted(middle, k * total / shards)].sum()) for k in range(shards)]
     else:
         raise ValueError(f"unknown law {law}")
-    file = base * files // max(1, n)
+    file = ((np.cumsum(load) - load) / max(1, total) * files).astype(np.int64)  # equal bytes, so that tasks are even
     opening = np.full(files, n, np.int64)
     np.minimum.at(opening, file, base)
 
