@@ -97,21 +97,26 @@ def run(d: Direction, x: np.ndarray, out: np.ndarray, kept: list | None = None)
 
 def back(d: Direction, x: np.ndarray, kept: list, upstream: np.ndarray) -> list[np.ndarray]:
     """Gradients of one direction by backpropagation through time; ``upstream``: by state, steps x rows x H."""
-    hidden = d.candidate.shape[1]
-    grads = [np.zeros_like(p) for p in d.parts()]
+    steps, rows, hidden = upstream.shape
+    dgs, dcs = np.empty((steps, rows, 2 * hidden), upstream.dtype), np.empty_like(upstream)
     dh = np.zeros_like(upstream[0])
-    for t in range(len(x) - 1, -1, -1):
-        h, g, r, c = kept[t]
+    for t in range(steps - 1, -1, -1):
+        h, g, _, c = kept[t]
         reset, update = g[:, :hidden], g[:, hidden:]
-        dh = dh + upstream[t]
-        dc = dh * update * (np.abs(c) < 1)
-        dr = dc @ d.to_candidate.T
-        dg = np.concatenate([dr * h, dh * (c - h)], axis=1) * (0.25 * ((g > 0) & (g < 1)))
-        np.add.at(grads[0], x[t], dg)
-        np.add.at(grads[1], x[t], dc)
-        grads[2] += h.T @ dg
-        grads[3] += r.T @ dc
-        dh = dh * (1 - update) + dr * reset + dg @ d.to_gates.T
+        dh += upstream[t]
+        dcs[t] = dh * update * (np.abs(c) < 1)
+        dr = dcs[t] @ d.to_candidate.T
+        dgs[t, :, :hidden], dgs[t, :, hidden:] = dr * h, dh * (c - h)
+        dgs[t] *= 0.25 * ((g > 0) & (g < 1))
+        dh = dh * (1 - update) + dr * reset + dgs[t] @ d.to_gates.T
+    every = lambda i: np.concatenate([k[i] for k in kept])
+    flat_g, flat_c = dgs.reshape(-1, 2 * hidden), dcs.reshape(-1, hidden)
+    order = np.argsort(x, axis=None, kind="stable")
+    at = x.ravel()[order]
+    first = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
+    grads = [np.zeros_like(d.gates), np.zeros_like(d.candidate), every(0).T @ flat_g, every(2).T @ flat_c]
+    grads[0][at[first]] = np.add.reduceat(flat_g[order], first, axis=0)
+    grads[1][at[first]] = np.add.reduceat(flat_c[order], first, axis=0)
     return grads
 
 
@@ -144,7 +149,7 @@ def gradients(net: Network, x: np.ndarray, y: np.ndarray) -> tuple[float, list[n
     return loss, [*ahead, *behind, both.reshape(-1, 2 * hidden).T @ flat, flat.sum(axis=0)]
 
 
-def fit(windows: np.ndarray, classes: np.ndarray, languages: list[str], steps: int = 240, rows: int = 256, rate: float = 0.02, seed: int = 7) -> Network:
+def fit(windows: np.ndarray, classes: np.ndarray, languages: list[str], steps: int = 160, rows: int = 256, rate: float = 0.02, seed: int = 7) -> Network:
     """Adam over batches of windows (n x WINDOW bytes)."""
     net, rng = start(languages, seed=seed), np.random.default_rng(seed)
     parts = net.parts()
@@ -195,16 +200,16 @@ def probabilities(net: Network, texts: list[bytes]) -> np.ndarray:
 def train(docs: DataFrame, eligible: Column, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", sample: int = 400, windows: int = 6, languages: int = 64) -> Network | None:
     """Fit on at most ``sample`` documents of each of at most ``languages`` languages; None if there are none."""
     small_batches(docs.sparkSession)
-    known = docs.where(eligible & F.col(lang).isNotNull() & F.col(text).isNotNull())
-    names = sorted(r[0] for r in known.groupBy(lang).count().orderBy(F.desc("count"), lang).limit(languages).collect())
+    known = docs.where(eligible & F.col(lang).isNotNull())
+    names = [r[0] for r in known.groupBy(lang).count().orderBy(F.desc("count"), lang).limit(languages).collect()]
     if not names:
         return None
-    ids = docs.where(eligible & F.col(lang).isNotNull()).select(F.col(doc_id).alias("_id"), F.col(lang).alias("_lang"))
+    ids = known.select(F.col(doc_id).alias("_id"), F.col(lang).alias("_lang"))
     chosen = [ids.where(F.col("_lang") == n).orderBy(F.xxhash64("_id"), "_id").limit(sample) for n in names]
     some = chosen[0]
     for c in chosen[1:]:
         some = some.union(c)
-    rows = known.select(F.col(doc_id).alias("_id"), F.col(lang).alias("_lang"), F.col(text).alias("_text"))
+    rows = known.where(F.col(text).isNotNull()).select(F.col(doc_id).alias("_id"), F.col(lang).alias("_lang"), F.col(text).alias("_text"))
     rows = rows.join(F.broadcast(some.distinct()), ["_id", "_lang"])  # at most ``languages`` x ``sample`` ids
 
     def spread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -219,6 +224,7 @@ def train(docs: DataFrame, eligible: Column, doc_id: str = "doc_id", text: str =
     got = table(rows.mapInPandas(spread, "i long, p long, lang string, bytes binary"), "windows").collect()  # languages x sample x windows rows
     got = sorted((r["i"], r["p"], r["lang"], bytes(r["bytes"])) for r in got)
     x = np.frombuffer(b"".join(r[3] for r in got), np.uint8).reshape(-1, WINDOW)
+    names = sorted({r[2] for r in got})
     return fit(x, np.array([names.index(r[2]) for r in got]), names) if len(got) else None
 
 
