@@ -12,6 +12,7 @@ import os
 import re
 from collections.abc import Sequence
 from functools import cache
+from itertools import accumulate, chain, pairwise
 from pathlib import Path
 
 import numpy as np
@@ -57,11 +58,11 @@ class Encoder:
             self.known[p] = np.array(e.ids, dtype="<u4").tobytes()
 
     def _joined(self, pieces: list[str]) -> None:
-        """Pieces that each are one pre-token (with a space before it, or with a word's end) share a call."""
-        for at in range(0, len(pieces), GROUP):
-            part = pieces[at : at + GROUP]
-            text = (" " if self.suffix else "").join(part)
-            ids = np.array(self.library.encode(text, add_special_tokens=False).ids, dtype="<u4")
+        """Pieces that each are one pre-token (with a space before it, or with a word's end) share a text."""
+        groups = [pieces[at : at + GROUP] for at in range(0, len(pieces), GROUP)]
+        between = " " if self.suffix else ""
+        for part, e in zip(groups, self.library.encode_batch_fast([between.join(g) for g in groups], add_special_tokens=False), strict=True):
+            ids = np.array(e.ids, dtype="<u4")
             marks = np.flatnonzero(self.flag[ids])
             if len(marks) != len(part):
                 self._each(part)
@@ -82,17 +83,17 @@ class Encoder:
         """A null text has no ids."""
         if len(self.known) > CACHE:
             self.known.clear()
-        get = self.known.get
         rows = [self.find(t) if t else [] for t in texts]
-        got = [list(map(get, r)) for r in rows]
-        open_rows = [k for k, g in enumerate(got) if None in g]
-        if new := {p for k in open_rows for p, i in zip(rows[k], got[k], strict=True) if i is None}:
-            self._learn(list(new))
-            for k in open_rows:
-                got[k] = list(map(get, rows[k]))
+        pieces = list(chain.from_iterable(rows))
+        got = list(map(self.known.get, pieces))
+        if new := [k for k, ids in enumerate(got) if ids is None]:
+            self._learn(list({pieces[k] for k in new}))
+            for k in new:
+                got[k] = self.known[pieces[k]]
         if self.flag is None:
             self.known.clear()
-        return [b"".join(g) for g in got]
+        bounds = list(accumulate(map(len, rows), initial=0))
+        return [b"".join(got[a:b]) for a, b in pairwise(bounds)]
 
 
 @cache
