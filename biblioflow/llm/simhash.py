@@ -21,7 +21,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from biblioflow.llm.common import small_batches, table, utf8
@@ -32,15 +32,33 @@ SMALL_BUCKET = 8
 #: Fingerprints a bucket should hold on average; decides the number of blocks, never the result.
 BUCKET_TARGET = 16
 
+#: MinHash bands and the minima in each.
+BANDS, BAND_ROWS = 20, 4
+#: Differing bits up to which texts that share a band are judged on their shingles (about 10 at similarity 0.8).
+WIDE_BITS = 24
+#: Steps in which buckets of more than SMALL_BUCKET are linked by forests before all that is left is judged.
+FOREST_BITS = (4, 10)
+#: (node, key) pairs that are broadcast, 16 bytes each.
+BROADCAST_ROWS = 2_000_000
 
-def fingerprint(text: bytes, words: int = 4, seed: int = 42) -> int:
-    """SimHash of the word shingles, as a signed 64-bit integer."""
+
+def shingles(text: bytes, words: int = 4, seed: int = 42) -> np.ndarray:
+    """Hashes of the word shingles in their order; none for a text without words."""
     w = text.lower().split()  # bytes: A-Z and ASCII white space only
     if not w:
-        return 0
-    shingles = [b" ".join(x) for x in zip(*(w[i:] for i in range(words)), strict=False)] if len(w) >= words else [b" ".join(w)]
+        return np.empty(0, "<u8")
+    joined = [b" ".join(x) for x in zip(*(w[i:] for i in range(words)), strict=False)] if len(w) >= words else [b" ".join(w)]
     digest = xxhash.xxh64_intdigest
-    h = np.array([digest(s, seed) for s in shingles], dtype="<u8")
+    return np.array([digest(s, seed) for s in joined], dtype="<u8")
+
+
+def fingerprint(text: bytes, words: int = 4, seed: int = 42) -> int:
+    """SimHash of the word shingles, as a signed 64-bit integer."""
+    return majority(shingles(text, words, seed))
+
+
+def majority(h: np.ndarray) -> int:
+    """The bits that most hashes have; zero for none."""
     ones = np.zeros(BITS, dtype=np.int64)
     for at in range(0, len(h), 1 << 16):
         part = h[at : at + (1 << 16)]
@@ -175,13 +193,195 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     return prints.join(of_fp, "fp").select("doc_id", "fp", "component_id")
 
 
+def row_key(doc_id: Column, text: Column) -> Column:
+    """A key of a row by its id and text: rows share it only if they are alike in both."""
+    return F.xxhash64(doc_id.isNull(), doc_id, text.isNull(), text)
+
+
+def minima(h: np.ndarray, bands: int = BANDS, rows: int = BAND_ROWS, seed: int = 1) -> list[int]:
+    """A signed key for each band of the least values that hash functions give the shingles; none for no shingles."""
+    if not len(h):
+        return []
+    rng = np.random.default_rng(seed)
+    mul, add = (rng.integers(0, 1 << 64, bands * rows, dtype="u8") for _ in range(2))
+    least = np.full(bands * rows, (1 << 64) - 1, "u8")
+    for at in range(0, len(h), 1 << 12):
+        np.minimum(least, ((mul | np.uint64(1))[:, None] * h[at : at + (1 << 12)] + add[:, None]).min(axis=1), out=least)
+    data = least.astype("<u8").tobytes()
+    keys = [xxhash.xxh64_intdigest(data[8 * rows * b : 8 * rows * (b + 1)], b) for b in range(bands)]
+    return [k - (1 << 64) if k >> 63 else k for k in keys]
+
+
+def sketches(docs: DataFrame, doc_id: str, text: str, words: int) -> DataFrame:
+    """(key, doc_id, node, fp, bands) for every row; node: hash of the set of shingles."""
+    small_batches(docs.sparkSession)
+
+    @F.pandas_udf("node long, fp long, bands array<long>")
+    def of(texts: pd.Series) -> pd.DataFrame:
+        out = []
+        for t in utf8(texts):
+            h = np.unique(shingles(t, words))
+            node = int(np.frombuffer(xxhash.xxh64_digest(h.tobytes()), ">i8")[0])
+            out.append((node, majority(h), minima(h)))
+        return pd.DataFrame(out, columns=["node", "fp", "bands"])
+
+    keyed = docs.select(row_key(F.col(doc_id), F.col(text)).alias("key"), F.col(doc_id).alias("doc_id"), of(F.col(text)).alias("s"))
+    return keyed.select("key", "doc_id", "s.node", "s.fp", "s.bands")
+
+
+def cross_forest(fps: np.ndarray, labels: np.ndarray, bits: int) -> list[tuple[int, int]]:
+    """Index pairs of at most ``bits`` bits that span every component of the links between different labels."""
+    found: list[tuple[int, int]] = []
+    left = np.arange(len(fps))
+    while left.size > 1:
+        same = labels[left] == labels[left[0]]
+        queue, left = list(left[same]), left[~same]
+        while queue and left.size:
+            u = queue.pop()
+            hit = left[np.bitwise_count(fps[left] ^ fps[u]) <= bits]
+            if hit.size:
+                hit = hit[np.unique(labels[hit], return_index=True)[1]]
+                found += [(int(u), int(v)) for v in hit]
+                joined = np.isin(labels[left], labels[hit])
+                queue += list(left[joined])
+                left = left[~joined]
+    return found
+
+
+def cross_pairs(fps: np.ndarray, labels: np.ndarray, bits: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All index pairs of at most ``bits`` bits between different labels; the commonest label is never searched from."""
+    _, of, n = np.unique(labels, return_inverse=True, return_counts=True)
+    rank = np.argsort(np.argsort(n, kind="stable"), kind="stable")[of]
+    order = np.argsort(rank, kind="stable")
+    fps, rank = fps[order], rank[order]
+    ends = np.searchsorted(rank, rank, side="right")
+    for u in range(len(fps)):
+        if ends[u] == len(fps):
+            return
+        v = ends[u] + np.flatnonzero(np.bitwise_count(fps[ends[u] :] ^ fps[u]) <= bits)
+        if v.size:
+            yield np.full(v.size, order[u]), order[v]
+
+
+def candidates(members: DataFrame, bits: int | None) -> DataFrame:
+    """Distinct (a, b), a < b, of nodes that share a bucket; members: (bucket, node, fp, label).
+
+    In buckets of up to SMALL_BUCKET, and in all if ``bits`` is None, every pair of different labels within WIDE_BITS;
+    in the others a forest of those within ``bits``. A bucket's members meet in one task, 32 bytes each.
+    """
+    dealt = members.repartition("bucket").sortWithinPartitions("bucket", "node").select("bucket", "node", "fp", "label")
+
+    def of_bucket(node: np.ndarray, fp: np.ndarray, label: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        if len(node) <= SMALL_BUCKET or bits is None:
+            yield from ((node[u], node[v]) for u, v in cross_pairs(fp, label, WIDE_BITS))
+        elif pairs := cross_forest(fp, label, bits):
+            u, v = np.array(pairs).T
+            yield node[u], node[v]
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [np.empty(0, "i8"), np.empty(0, "i8"), np.empty(0, "u8"), np.empty(0, "i8")]
+        parts: list[list[np.ndarray]] = []
+
+        def out(n: int) -> Iterator[pa.RecordBatch]:
+            starts = np.flatnonzero(np.r_[True, held[0][1:n] != held[0][: n - 1]]) if n else np.empty(0, int)
+            sizes = np.diff(np.r_[starts, n])
+            left, right, size = [np.empty(0, "i8")], [np.empty(0, "i8")], 0
+            for at, m in zip(starts[sizes > 1], sizes[sizes > 1], strict=True):
+                for a, b in of_bucket(*(x[at : at + m] for x in held[1:])):
+                    left.append(a)
+                    right.append(b)
+                    size += len(a)
+                    if size > 100_000:
+                        yield batch_of(left, right)
+                        left, right, size = [], [], 0
+            if left:
+                yield batch_of(left, right)
+
+        def batch_of(left: list, right: list) -> pa.RecordBatch:
+            a, b = np.concatenate(left), np.concatenate(right)
+            return pa.record_batch([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+
+        def merge() -> None:
+            nonlocal held, parts
+            held = [np.concatenate(x) for x in zip(held, *parts, strict=True)]
+            parts = []
+
+        waiting = 0
+        for batch in batches:
+            new = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("bucket", "node", "fp", "label")]
+            new[2] = new[2].view("u8")
+            parts.append(new)
+            waiting += len(new[0])
+            if waiting > max(50_000, len(held[0])):
+                merge()
+                waiting = 0
+                whole = int(np.searchsorted(held[0], held[0][-1]))  # the last bucket may go on
+                yield from out(whole)
+                held = [x[whole:] for x in held]
+        merge()
+        yield from out(len(held[0]))
+
+    return dealt.mapInArrow(compare, "a long, b long").distinct()
+
+
+def verified(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+    """The pairs whose sets of shingles, from ``sets`` (node, hashes), have a Jaccard similarity of ``least`` or more."""
+
+    @F.pandas_udf("boolean")
+    def alike(a: pd.Series, b: pd.Series) -> pd.Series:
+        out = []
+        for x, y in zip(a, b, strict=True):
+            x, y = np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8")
+            both = len(np.intersect1d(x, y, assume_unique=True)) if min(len(x), len(y)) >= least * max(len(x), len(y)) else 0
+            out.append(both / max(1, len(x) + len(y) - both) >= least)
+        return pd.Series(out, dtype="bool")
+
+    side = lambda c: sets.select(F.col("node").alias(c), F.col("hashes").alias(f"of_{c}"))
+    return pairs.join(side("a"), "a").join(side("b"), "b").where(alike("of_a", "of_b")).select("a", "b")
+
+
+def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 5, least: float = 0.8) -> DataFrame:
+    """(key, doc_id, label) for every row: rows linked by shingle similarities of ``least`` or more share a label.
+
+    Large buckets are linked in steps: forests of close fingerprints first, whose verified links make labels; in the
+    end all pairs of different labels that still share a bucket are judged, so no pair goes unjudged because a forest
+    took another one for it.
+    """
+    rows = table(sketches(docs, doc_id, text, words), "sketches")
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "key"))["key"].alias("key")
+    distinct = table(rows.groupBy("node").agg(F.min("fp").alias("fp"), F.min("bands").alias("bands"), first), "distinct")
+    placed = distinct.select("key", "node", "fp", F.explode("bands").alias("bucket"))
+    counts = placed.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
+    shared = table(placed.join(counts, "bucket"), "buckets")
+    needed = table(shared.select("node", "key").distinct(), "needed")
+    needed = F.broadcast(needed) if needed.count() <= BROADCAST_ROWS else needed
+
+    @F.pandas_udf("binary")
+    def hashes(texts: pd.Series) -> pd.Series:
+        return pd.Series([np.unique(shingles(t, words)).tobytes() for t in utf8(texts)], dtype="object")
+
+    keyed = docs.select(row_key(F.col(doc_id), F.col(text)).alias("key"), F.col(text).alias("text")).join(needed, "key").dropDuplicates(["node"])
+    sets = table(keyed.select("node", hashes("text").alias("hashes")), "sets")
+    members = shared.select("bucket", "node", "fp", F.col("node").alias("label"), "n")
+    edges = table(verified(candidates(members, FOREST_BITS[0]), sets, least), "edges")
+    large = shared.where(F.col("n") > SMALL_BUCKET).select("bucket", "node", "fp")
+    label = components(edges)
+    if not large.isEmpty():
+        for bits in (*FOREST_BITS[1:], None):
+            now = large.join(label, "node", "left").select("bucket", "node", "fp", F.coalesce("label", "node").alias("label"))
+            mixed = now.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("bucket")
+            edges = table(edges.union(verified(candidates(now.join(mixed, "bucket"), bits), sets, least)), "edges")
+            label = components(edges)
+    return rows.select("key", "doc_id", "node").join(label, "node", "left").select("key", "doc_id", F.coalesce("label", "node").alias("label"))
+
+
 def deduplicate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """``docs`` with one row of each component: that of its smallest doc_id.
+    """``docs`` with one row of each component of near copies: the first by doc_id (null last) and the text's hash.
 
-    Rows without a doc_id are kept only if their whole component has none; of rows that repeat a doc_id one stays,
-    the first by its columns' hash.
+    Rows are told apart by id and text: a null or repeated doc_id takes no other text along. Of rows alike in both
+    one stays.
     """
-    found = near_duplicates(docs, doc_id, text, **options)
-    keep = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_keep")).distinct()
-    kept = docs.join(keep, F.col(doc_id).eqNullSafe(F.col("_keep")), "left_semi")
-    return kept.dropDuplicates([doc_id])
+    found = near_copies(docs, doc_id, text, **options)
+    keep = found.groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "key"))["key"].alias("_key")).select("_key")
+    keyed = docs.withColumn("_key", row_key(F.col(doc_id), F.col(text)))
+    return keyed.join(keep, "_key", "left_semi").dropDuplicates(["_key"]).drop("_key")

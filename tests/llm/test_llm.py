@@ -110,6 +110,36 @@ def test_near_duplicates_edge_cases(spark, docs, none):
     assert simhash.deduplicate(docs).columns == docs.columns
 
 
+def shingle_sets(text: str) -> set:
+    w = text.lower().split()
+    return {tuple(w[i : i + 5]) for i in range(len(w) - 4)} or {tuple(w)}
+
+
+@pytest.mark.parametrize("small", [8, 1])
+def test_deduplicate_finds_copies_from_similarity_08(spark, monkeypatch, small):
+    monkeypatch.setattr(simhash, "SMALL_BUCKET", small)
+    rng = random.Random(17)
+    texts: dict[int, str] = {}
+    for i in range(30):
+        base = [f"w{rng.randrange(3000)}" for _ in range(rng.randrange(60, 200))]
+        texts[len(texts)] = " ".join(base)
+        for _ in range(rng.randrange(4) if i else 30):
+            w = list(base)
+            for _ in range(rng.choice([1, 2, 3, 4])):
+                w[rng.randrange(len(w))] = f"new{rng.randrange(10**6)}"
+            texts[len(texts)] = " ".join(w)
+    sets = {i: shingle_sets(t) for i, t in texts.items()}
+    alike = lambda a, b: len(sets[a] & sets[b]) / len(sets[a] | sets[b])
+    near = [(a, b) for a in sets for b in sets if a < b and alike(a, b) >= 0.8]
+    assert sum(alike(a, b) < 0.9 for a, b in near) > 20 and any(0.6 < alike(a, b) < 0.8 for a in sets for b in sets if a < b)
+    label = {i: i for i in sets}
+    for _ in sets:
+        for a, b in near:
+            label[a] = label[b] = min(label[a], label[b])
+    d = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    assert sorted(r["doc_id"] for r in simhash.deduplicate(d).collect()) == sorted(set(label.values()))
+
+
 # Decontamination
 
 
