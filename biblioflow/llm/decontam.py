@@ -13,8 +13,8 @@ The benchmark's side of a join is broadcast only if its measured size is below B
 join is shuffled by term. Document words never cross a shuffle except the postings' contexts.
 
 Defined cases: a null or empty text has no words; an item without words has no window; an item of fewer words than a
-window is one window; a null item_id counts as the empty text; rows that share a doc_id share their matches and each
-keep their own n_words; other columns, also of clashing names, are left aside; empty tables give no matches.
+window is one window; a null item_id counts as the empty text; in a report, rows that share a doc_id share their matches
+and each keep their own n_words (``decontaminate`` judges each row by itself); other columns, also of clashing names, are left aside; empty tables give no matches.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from biblioflow.llm.common import ascii_lower, table
+from biblioflow.llm.common import ascii_lower, row_key, table
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WINDOW = 13
@@ -133,6 +133,7 @@ def report(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text:
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = WINDOW) -> DataFrame:
-    """``docs`` without the rows of contaminated documents."""
-    bad = report(docs, benchmark, doc_id, text, length).where("contaminated").select(F.col("doc_id").alias("_bad")).distinct()
-    return docs.join(bad, F.col(doc_id).eqNullSafe(F.col("_bad")), "left_anti")
+    """``docs`` without the rows of contaminated texts; each row is judged by its own text, whatever rows share its id."""
+    keyed = docs.withColumn("_key", row_key(F.col(doc_id), F.col(text)))
+    bad = report(keyed, benchmark, "_key", text, length).where("contaminated").select(F.col("doc_id").alias("_key")).distinct()
+    return keyed.join(bad, "_key", "left_anti").drop("_key").select(*docs.columns)

@@ -21,10 +21,10 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from biblioflow.llm.common import small_batches, table, utf8
+from biblioflow.llm.common import row_key, small_batches, table, utf8
 
 BITS = 64
 #: Buckets of up to so many fingerprints are compared by shifted columns, larger ones by search.
@@ -193,11 +193,6 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     return prints.join(of_fp, "fp").select("doc_id", "fp", "component_id")
 
 
-def row_key(doc_id: Column, text: Column) -> Column:
-    """A key of a row by its id and text: rows share it only if they are alike in both."""
-    return F.xxhash64(doc_id.isNull(), doc_id, text.isNull(), text)
-
-
 def minima(h: np.ndarray, bands: int = BANDS, rows: int = BAND_ROWS, seed: int = 1) -> list[int]:
     """A signed key for each band of the least values that hash functions give the shingles; none for no shingles."""
     if not len(h):

@@ -531,3 +531,15 @@ def test_decontamination_without_broadcasts(spark, monkeypatch):
     want = sorted(tuple(r) for r in decontam.report(d, b).collect())
     monkeypatch.setattr(decontam, "BROADCAST_BYTES", -1)
     assert sorted(tuple(r) for r in decontam.report(d, b).collect()) == want and want[0][2] == 3
+
+
+def test_rows_of_null_or_shared_ids_are_judged_by_their_own_text(spark):
+    texts = [" ".join(f"t{i}w{j}" for j in range(40)) for i in range(6)]
+    passage = " ".join(f"passage{j}" for j in range(20))
+    rows = [(None, texts[0]), (None, texts[1]), (None, texts[0]), (7, texts[2]), (7, texts[3]), (7, texts[1]), (3, texts[2]), (7, texts[4]), (None, texts[5])]
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = sorted((r["doc_id"] or 0, r["text"]) for r in simhash.deduplicate(d).collect())
+    assert kept == sorted([(0, texts[0]), (7, texts[1]), (3, texts[2]), (7, texts[3]), (7, texts[4]), (0, texts[5])])
+    d = spark.createDataFrame([*rows, (None, passage), (7, f"{texts[0]} {passage}")], "doc_id long, text string")
+    left = decontam.decontaminate(d, spark.createDataFrame([(1, passage)], "item_id long, text string"))
+    assert sorted(left.collect(), key=repr) == sorted(spark.createDataFrame(rows, "doc_id long, text string").collect(), key=repr)
