@@ -9,12 +9,16 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
 #: Used only where the session names no checkpoint folder and all tasks run on this machine.
 LOCAL_CHECKPOINTS = "/tmp/checkpoints"
 #: Rows in an Arrow batch; texts can be long, so batches are kept far below Spark's default.
 BATCH_ROWS = 256
 
+#: Tables up to this measured size are marked for broadcast.
+BROADCAST_BYTES = 64 << 20
+
 _written: list[tuple[SparkSession, str]] = []
 
 
@@ -38,7 +42,20 @@ def table(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     path = f"{shared_folder(spark)}/biblioflow/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", codec).parquet(path)
     _written.append((spark, path))
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.table_path = path
+    return out
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def release(df: DataFrame) -> None:
+    """Delete a ``table`` that nothing reads any more."""
+    delete(df.sparkSession, df.table_path)
+    _written.remove((df.sparkSession, df.table_path))
 
 
 @atexit.register
@@ -51,8 +68,7 @@ def drop_tables() -> None:
             if path.startswith(f"file://{LOCAL_CHECKPOINTS}/"):
                 shutil.rmtree(path.removeprefix("file://"), ignore_errors=True)
         else:
-            target = context._jvm.org.apache.hadoop.fs.Path(path)
-            target.getFileSystem(context._jsc.hadoopConfiguration()).delete(target, True)
+            delete(spark, path)
 
 
 def small_batches(spark: SparkSession) -> None:
@@ -66,9 +82,25 @@ def crc_fold(doc_id: Column, folds: int) -> Column:
     return F.crc32(F.encode(F.coalesce(doc_id.cast("string"), F.lit("")), "UTF-8")) % folds
 
 
-def row_key(doc_id: Column, text: Column) -> Column:
-    """A key of a row by its id and text: rows share it only if they are alike in both."""
-    return F.xxhash64(doc_id.isNull(), doc_id, text.isNull(), text)
+def spare(df: DataFrame, name: str) -> str:
+    """``name``, or a longer one that no column of ``df`` has."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def row_key(df: DataFrame) -> Column:
+    """A key of a row by all its columns, 128 bits: only rows alike in every column share it."""
+    value = lambda f: F.array_sort(F.map_entries(df[f"`{f.name}`"])) if isinstance(f.dataType, MapType) else df[f"`{f.name}`"]
+    cells = [c for f in df.schema for c in (value(f).isNull(), value(f))]
+    return F.struct(F.xxhash64(*cells).alias("high"), F.xxhash64(F.lit(1), *cells).alias("low"))
+
+
+def sized(df: DataFrame, width: Column | int) -> DataFrame:
+    """A written ``df``, marked for broadcast if its rows, ``width`` bytes each, are measured to be small enough."""
+    n = df.agg(F.sum(F.lit(width) if isinstance(width, int) else width)).first()[0] or 0
+    return F.broadcast(df) if n <= BROADCAST_BYTES else df
 
 
 def ascii_lower(text: Column) -> Column:

@@ -24,13 +24,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from biblioflow.llm.common import row_key, small_batches, table, utf8
+from biblioflow.llm.common import release, row_key, small_batches, spare, table, utf8
 
 BITS = 64
 #: Buckets of up to so many fingerprints are compared by shifted columns, larger ones by search.
 SMALL_BUCKET = 8
 #: Fingerprints a bucket should hold on average; decides the number of blocks, never the result.
 BUCKET_TARGET = 16
+#: A bucket of more fingerprints is dealt again inside its task, by keys of FINE_BLOCKS blocks.
+LARGE_BUCKET, FINE_BLOCKS = 4096, 9
 
 #: MinHash bands and the minima in each.
 BANDS, BAND_ROWS = 20, 4
@@ -112,6 +114,27 @@ def forest(fps: np.ndarray, bits: int) -> list[tuple[int, int]]:
     return found
 
 
+def large_forest(fps: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Index pairs that connect what ``forest`` connects, by the pigeonhole again: each close pair shares a finer key.
+
+    A key that still holds more than half of the members is so dense that one search spans it.
+    """
+    left, right = [], []
+    for mask in block_masks(FINE_BLOCKS, bits):
+        key = fps & np.uint64(mask % (1 << BITS))
+        order = np.argsort(key, kind="stable")
+        key = key[order]
+        starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+        lengths = np.diff(np.r_[starts, len(key)])
+        for at, n in zip(starts[lengths > 1], lengths[lengths > 1], strict=True):
+            own = order[at : at + n]
+            if pairs := forest(fps[own], bits):
+                u, v = np.array(pairs).T
+                left.append(own[u])
+                right.append(own[v])
+    return np.concatenate([np.empty(0, int), *left]), np.concatenate([np.empty(0, int), *right])
+
+
 def bucket_links(run: np.ndarray, fps: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     """Links inside runs of equal ``run`` values: all of a small bucket, a forest of a large one."""
     starts = np.flatnonzero(np.r_[True, run[1:] != run[:-1]])
@@ -126,10 +149,10 @@ def bucket_links(run: np.ndarray, fps: np.ndarray, bits: int) -> tuple[np.ndarra
         left.append(fps[i])
         right.append(fps[i + shift])
     for at, n in zip(starts[lengths > SMALL_BUCKET], lengths[lengths > SMALL_BUCKET], strict=True):
-        if pairs := forest(bucket := fps[at : at + n], bits):
-            u, v = np.array(pairs).T
-            left.append(bucket[u])
-            right.append(bucket[v])
+        bucket = fps[at : at + n]
+        u, v = large_forest(bucket, bits) if n > LARGE_BUCKET else np.array(forest(bucket, bits), int).reshape(-1, 2).T
+        left.append(bucket[u])
+        right.append(bucket[v])
     return np.concatenate(left), np.concatenate(right)
 
 
@@ -142,6 +165,10 @@ def links(distinct: DataFrame, bits: int = 4, blocks: int | None = None) -> Data
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = [np.empty(0, "i4"), np.empty(0, "i8"), np.empty(0, "u8")]
+        parts: list[list[np.ndarray]] = []
+
+        def merged() -> list[np.ndarray]:
+            return [np.concatenate(x) for x in zip(held, *parts, strict=True)]
 
         def out(n: int) -> pa.RecordBatch:
             choice, key, fp = (x[:n] for x in held)
@@ -150,15 +177,19 @@ def links(distinct: DataFrame, bits: int = 4, blocks: int | None = None) -> Data
             a, b = a.view("i8"), b.view("i8")
             return pa.record_batch([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
 
+        waiting = 0
         for batch in batches:
             new = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("choice", "key", "fp")]
             new[2] = new[2].view("u8")  # numpy counts the bits of a signed number's absolute value
-            held = [np.concatenate(x) for x in zip(held, new, strict=True)]
-            whole = np.flatnonzero((held[0] != held[0][-1:]) | (held[1] != held[1][-1:]))  # the last bucket may go on
-            if whole.size > 50_000:
-                n = int(whole[-1]) + 1
+            parts.append(new)
+            waiting += len(new[0])
+            if waiting > max(50_000, len(held[0])):
+                held, parts, waiting = merged(), [], 0
+                whole = np.flatnonzero((held[0] != held[0][-1]) | (held[1] != held[1][-1]))  # the last bucket may go on
+                n = int(whole[-1]) + 1 if whole.size else 0
                 yield out(n)
                 held = [x[n:] for x in held]
+        held = merged()
         yield out(len(held[0]))
 
     return dealt.select("choice", "key", "fp").mapInArrow(compare, "a long, b long").distinct()
@@ -168,7 +199,8 @@ def components(edges: DataFrame) -> DataFrame:
     """(node, label): the smallest node that each node of ``edges`` (a, b) reaches.
 
     Every round takes the smallest label among the neighbours and then jumps to the label's own label, so the
-    distance covered doubles; each round is a table in the shared folder.
+    distance covered doubles; each round is a table in the shared folder and replaces the one before. The joins meet
+    many rows of one node or label with a single row of it, so adaptive execution can split them.
     """
     both = table(edges.select(F.col("a").alias("node"), F.col("b").alias("other")).union(edges.select("b", "a")), "links")
     labels = table(both.groupBy("node").agg(F.least(F.col("node"), F.min("other")).alias("label")), "labels")
@@ -176,10 +208,12 @@ def components(edges: DataFrame) -> DataFrame:
         near = both.join(labels.select(F.col("node").alias("other"), "label"), "other").groupBy("node").agg(F.min("label").alias("near"))
         hooked = labels.join(near, "node").select("node", F.col("label").alias("was"), F.least("label", "near").alias("label"))
         owner = labels.select(F.col("node").alias("label"), F.col("label").alias("root"))
-        after = table(hooked.join(owner, "label").select("node", "was", F.least("label", "root").alias("label")), "labels")
-        labels = after.select("node", "label")
-        if after.where(F.col("was") != F.col("label")).isEmpty():
-            return labels
+        after = table(hooked.join(owner, "label").select("node", F.least("label", "root").alias("label"), (F.col("was") != F.least("label", "root")).alias("moved")), "labels")
+        release(labels)
+        labels = after
+        if after.where("moved").isEmpty():
+            release(both)
+            return labels.select("node", "label")
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 4, seed: int = 42, bits: int = 4, blocks: int | None = None) -> DataFrame:
@@ -220,7 +254,7 @@ def sketches(docs: DataFrame, doc_id: str, text: str, words: int) -> DataFrame:
             out.append((node, majority(h), minima(h)))
         return pd.DataFrame(out, columns=["node", "fp", "bands"])
 
-    keyed = docs.select(row_key(F.col(doc_id), F.col(text)).alias("key"), F.col(doc_id).alias("doc_id"), of(F.col(text)).alias("s"))
+    keyed = docs.select(row_key(docs).alias("key"), F.col(doc_id).alias("doc_id"), of(F.col(text)).alias("s"))
     return keyed.select("key", "doc_id", "s.node", "s.fp", "s.bands")
 
 
@@ -355,7 +389,7 @@ def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", wor
     def hashes(texts: pd.Series) -> pd.Series:
         return pd.Series([np.unique(shingles(t, words)).tobytes() for t in utf8(texts)], dtype="object")
 
-    keyed = docs.select(row_key(F.col(doc_id), F.col(text)).alias("key"), F.col(text).alias("text")).join(needed, "key").dropDuplicates(["node"])
+    keyed = docs.select(row_key(docs).alias("key"), F.col(text).alias("text")).join(needed, "key").dropDuplicates(["node"])
     sets = table(keyed.select("node", hashes("text").alias("hashes")), "sets")
     members = shared.select("bucket", "node", "fp", F.col("node").alias("label"), "n")
     edges = table(verified(candidates(members, FOREST_BITS[0]), sets, least), "edges")
@@ -371,12 +405,12 @@ def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", wor
 
 
 def deduplicate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """``docs`` with one row of each component of near copies: the first by doc_id (null last) and the text's hash.
+    """``docs`` with one row of each component of near copies: the first by doc_id (null last) and the row's hash.
 
-    Rows are told apart by id and text: a null or repeated doc_id takes no other text along. Of rows alike in both
-    one stays.
+    Rows are told apart by all their columns: a null or repeated doc_id takes no other row along. Of rows alike in
+    every column one stays.
     """
     found = near_copies(docs, doc_id, text, **options)
-    keep = found.groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "key"))["key"].alias("_key")).select("_key")
-    keyed = docs.withColumn("_key", row_key(F.col(doc_id), F.col(text)))
-    return keyed.join(keep, "_key", "left_semi").dropDuplicates(["_key"]).drop("_key")
+    key = spare(docs, "_key")
+    keep = found.groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "key"))["key"].alias(key)).select(key)
+    return docs.withColumn(key, row_key(docs)).join(keep, key, "left_semi").dropDuplicates([key]).drop(key)

@@ -14,7 +14,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from biblioflow.llm import chat, dac, decontam, hilbert, langid, packing, repetition, simhash, token_ids, toxicity, url_filter
+from biblioflow.llm import chat, common, dac, decontam, hilbert, langid, packing, repetition, simhash, token_ids, toxicity, url_filter
 from biblioflow.llm.queries import URL_RULES, op5_chat
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, score double, shard int"
@@ -188,10 +188,46 @@ def test_decontamination_edge_cases(spark, docs, none):
     assert kept.columns == docs.columns and {r["doc_id"] for r in kept.collect()} == {r[0] for r in odd_rows(40)} - {None, 4}
 
 
-def test_proximity_matches(spark):
-    corpus = decontam.tokens(spark.createDataFrame([(1, "alpha x beta y gamma delta"), (2, "alpha beta gamma delta"), (3, "alpha beta")], "doc_id long, text string"))
-    found = decontam.find(corpus, spark.createDataFrame([(1, "alpha beta gamma delta")], "item_id long, text string"), length=4, slack=4, share=1.0)
-    assert sorted((r["doc_id"], r["kind"]) for r in found.collect()) == [(1, "proximity"), (2, "phrase")]
+def plain_proximity(texts: dict, items: dict, length: int, slack: int, share: float) -> set:
+    """(doc, item, start, length) of spans that begin and end at a term of a window and hold enough of its terms."""
+    out = set()
+    for item, it in items.items():
+        q = it.split()
+        k = min(length, len(q))
+        for win in {tuple(q[s : s + k]) for s in range(len(q) - k + 1)}:
+            need = -(-len(set(win)) * share // 1)
+            for i, text in texts.items():
+                w = text.split()
+                phrase = {s for s in range(len(w)) if tuple(w[s : s + k]) == win}
+                for s in set(range(len(w))) - phrase:
+                    held = [p for p in range(s, min(len(w), s + k + slack)) if w[p] in win]
+                    if held and held[0] == s and len({w[p] for p in held}) >= need:
+                        out.add((i, str(item), s, held[-1] - s + 1))
+    return out
+
+
+@pytest.mark.parametrize(("share", "slack"), [(1.0, 3), (0.75, 2), (0.6, 0)])
+def test_proximity_matches_brute_force(spark, share, slack):
+    rng = random.Random(12)
+    word = lambda: rng.choice(["the", "of", "a", *(f"w{rng.randrange(30)}" for _ in range(3))])
+    items = {i: " ".join(word() for _ in range(rng.choice([3, 5, 8]))) for i in range(8)} | {50: "rareone alpha beta gamma delta"}
+    texts = {i: " ".join(word() for _ in range(rng.randrange(30))) for i in range(30)}
+    texts |= {90: "x rartypo alpha beta gamma delta y", 91: "alpha x beta rareone gamma delta", 92: "rareone alpha beta gamma delta", 93: "alpha beta"}
+    for i in range(8):
+        w = items[i].split()
+        w[rng.randrange(len(w))] = "typo"
+        texts[60 + i] = f"q {' '.join(w)} q {items[i]}"
+    corpus = decontam.tokens(spark.createDataFrame(list(texts.items()), "doc_id long, text string"))
+    b = spark.createDataFrame(list(items.items()), "item_id long, text string")
+    ids = {r["row"]: r["doc_id"] for r in corpus.collect()}
+    found = decontam.find(corpus, b, length=5, slack=slack, share=share).collect()
+    near = {(ids[r["row"]], r["item_id"], r["start"], r["length"]) for r in found if r["kind"] == "proximity"}
+    assert near == plain_proximity(texts, items, 5, slack, share) and near
+    if share < 1:
+        assert any(i == 90 for i, *_ in near)  # the rarest word is another one
+    whole = decontam.postings(corpus)
+    again = decontam.find(corpus, b, length=5, slack=slack, share=share, index=whole).collect()
+    assert sorted(map(tuple, again)) == sorted(map(tuple, found))
 
 
 # Token ids, packing, token files
@@ -529,7 +565,7 @@ def test_decontamination_without_broadcasts(spark, monkeypatch):
     d = spark.createDataFrame([(1, "x one two three y"), (2, "one two"), (3, None)], "doc_id long, text string")
     b = spark.createDataFrame([(7, "one two three")], "item_id long, text string")
     want = sorted(tuple(r) for r in decontam.report(d, b).collect())
-    monkeypatch.setattr(decontam, "BROADCAST_BYTES", -1)
+    monkeypatch.setattr(common, "BROADCAST_BYTES", -1)
     assert sorted(tuple(r) for r in decontam.report(d, b).collect()) == want and want[0][2] == 3
 
 
