@@ -8,8 +8,8 @@ escaping until it does. The last way is one-to-one for any string (it leaves no
 search ends. A conversation is its turns' renderings in order, and what is read back is parsed from the whole of it.
 
 Defined cases: a null role or text is empty; turns of one conversation are in the order of turn, role, text (nulls
-first), and repeated rows are turns of their own; a null conv_id is a conversation; other columns are left aside; an
-empty table gives no conversations. A conversation's text is one value, whatever its number of turns.
+first), and repeated rows are turns of their own; a null conv_id is a conversation; other columns, also of clashing names,
+are left aside; an empty table gives no conversations. A conversation's text is one value, whatever its number of turns.
 """
 
 from __future__ import annotations
@@ -79,6 +79,26 @@ def rendered_turn(role: Column, text: Column) -> tuple[Column, Column]:
     return found["role"], found["text"]
 
 
+#: Code points in the blocks that ``under_mask`` cuts a conversation into.
+BLOCK = 4096
+
+
+def under_mask(formatted_: Column, spans: Column) -> Column:
+    """What stands in ``formatted_`` under each of ``spans`` (start, length), read back from its escapes.
+
+    The conversation is cut into blocks once, and a span touches its own blocks only, so many turns cost no more than one.
+    """
+    blocks = F.regexp_extract_all(formatted_, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0))
+
+    def held(span: Column) -> Column:
+        first = F.floor(span["start"] / BLOCK)
+        last = F.floor((span["start"] + span["length"]) / BLOCK)
+        some = F.array_join(F.slice(blocks, (first + 1).cast("int"), (last - first + 1).cast("int")), "")
+        return unescaped(F.substring(some, (span["start"] - first * BLOCK + 1).cast("int"), span["length"].cast("int")))
+
+    return F.transform(spans, held)
+
+
 def formatted(turns: DataFrame, conv_id: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
     """(conv_id, formatted, loss_spans, turns, identical): a row for each conversation.
 

@@ -32,7 +32,7 @@ def shared_folder(spark: SparkSession) -> str:
     return f"file://{LOCAL_CHECKPOINTS}"
 
 
-def table(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
+def table(df: DataFrame, name: str, codec: str = "zstd", options: dict[str, str] | None = None) -> DataFrame:
     """Write ``df`` once as a Parquet table in the shared folder and read it back.
 
     This cuts the lineage: a lost executor costs the rows that are being read, not the plan that made them.
@@ -40,7 +40,7 @@ def table(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/biblioflow/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", codec).parquet(path)
+    df.write.options(compression=codec, **(options or {})).parquet(path)
     _written.append((spark, path))
     out = spark.read.schema(df.schema).parquet(path)
     out.table_path = path

@@ -5,14 +5,17 @@ continuation bit for each: whether the id goes on in the next level. A rank dire
 DIRECTORY positions, so the place in the next level is one directory entry and the bits after it.
 
 A file is a row of a Parquet table in the shared folder (any store that Spark writes to): ``data`` is the code, beside
-it the ids of its documents and where they begin. Rows are numbered by (bucket, segment) in ascending doc_id order.
-A segment ends with the document that takes it to SEGMENT tokens or more.
+it the ids of its documents and where they begin. The table is written without compression or dictionaries, so a code's
+bytes lie in the store as they are. Rows are numbered by (bucket, segment) in ascending doc_id order; a bucket is a range
+of doc_id, equal ids being dealt on by the hash of their text. A task streams its bucket, whatever its size. A segment
+ends with the document that takes it to SEGMENT tokens or more. ``tokens_at`` looks single positions up.
 
 Layout of ``data``, little-endian: MAGIC, uint32 number of levels, uint64 number of ids; for each level uint32 width in
 bits, uint64 number of chunks; then for each level its chunks, its bits (lowest first) and its directory (uint32).
 
-Defined cases: a null or empty text is the end id alone; equal doc_ids follow each other in the order of their texts;
-a null doc_id comes first; other columns are left aside; an empty table gives no files.
+Defined cases: a null or empty text is the end id alone; doc_id is read as a whole number (others count as null); equal
+doc_ids follow each other in the order of their texts' hashes; a null doc_id comes first; other columns are left aside;
+an empty table gives no files.
 """
 
 from __future__ import annotations
@@ -24,8 +27,10 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from biblioflow.llm import token_ids
 from biblioflow.llm.common import small_batches, table
@@ -34,8 +39,8 @@ MAGIC = b"DACTOKN1"
 WIDTHS = (8, 8, 16)
 DIRECTORY = 512
 SEGMENT = 1 << 20
-BUCKET_DOCS = 4096
-MOST_BUCKETS = 10_000
+#: Bytes of text a bucket should hold, up to MANY_BUCKETS; from there on they grow to MOST_BYTES, then their number.
+BUCKET_BYTES, MOST_BYTES, MANY_BUCKETS = 8 << 20, 1 << 30, 4096
 KINDS = {8: "<u1", 16: "<u2", 32: "<u4"}
 
 
@@ -107,19 +112,12 @@ class Reader:
 
 
 def ordered(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """(bucket, doc_id, text), dealt by ranges of doc_id and sorted in them."""
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    n = rows.select("doc_id").count()
-    buckets = max(1, min(MOST_BUCKETS, -(-n // BUCKET_DOCS)))
-    cuts = rows.agg(F.percentile_approx("doc_id", [k / buckets for k in range(1, buckets)], 100 * buckets)).first()[0] if buckets > 1 else []
-    bounds = np.unique(np.array(cuts or [], dtype=np.int64))
-
-    @F.pandas_udf("int")
-    def bucket(ids: pd.Series) -> pd.Series:
-        found = np.searchsorted(bounds, ids.fillna(-(1 << 63)).to_numpy("i8"))
-        return pd.Series(np.where(ids.isna(), 0, found).astype("i4"))
-
-    return rows.withColumn("bucket", bucket("doc_id")).repartitionById(len(bounds) + 1, "bucket").sortWithinPartitions("bucket", "doc_id", "text")
+    """(doc_id, text), dealt by ranges of doc_id and sorted in them; a range that one id fills is cut by text and row."""
+    ids = F.col(doc_id) if isinstance(docs.schema[doc_id].dataType, (T.LongType, T.IntegerType, T.ShortType, T.ByteType)) else F.col(doc_id).try_cast("long")
+    rows = docs.select(ids.cast("long").alias("doc_id"), F.col(text).alias("text"), F.xxhash64(text).alias("hash"), F.monotonically_increasing_id().alias("row"))
+    size = docs.agg(F.sum(F.coalesce(F.octet_length(text), F.lit(0)) + 16)).first()[0] or 0
+    keys = [F.col("doc_id").asc_nulls_first(), F.col("hash"), F.col("row")]
+    return rows.repartitionByRange(max(1, min(MANY_BUCKETS, -(-size // BUCKET_BYTES)), -(-size // MOST_BYTES)), *keys).sortWithinPartitions(*keys).select("doc_id", "text")
 
 
 def write(docs: DataFrame, tokenizer: str, end_id: int, doc_id: str = "doc_id", text: str = "text", segment: int = SEGMENT) -> DataFrame:
@@ -129,21 +127,21 @@ def write(docs: DataFrame, tokenizer: str, end_id: int, doc_id: str = "doc_id",
     """
     small_batches(docs.sparkSession)
     end = np.array([end_id], dtype="<u4").tobytes()
+    shipped = token_ids.ship(docs.sparkSession, tokenizer)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = token_ids.encoder(tokenizer).encode
-        bucket, number, ids, starts, parts, n = None, 0, [], [], [], 0
+        tokens, bucket = token_ids.encoder(shipped).encode, TaskContext.get().partitionId()
+        number, ids, starts, parts, n = 0, [], [], [], 0
 
         def file() -> pa.RecordBatch:
             data = encode(np.frombuffer(b"".join(parts), "<u4"))
             return pa.record_batch([pa.array([bucket], pa.int32()), pa.array([number], pa.int64()), pa.array([n], pa.int64()), pa.array([ids], pa.list_(pa.int64())), pa.array([starts], pa.list_(pa.int64())), pa.array([data], pa.binary())], names=["bucket", "segment", "n_tokens", "doc_ids", "starts", "data"])
 
         for batch in batches:
-            for of, i, data in zip(batch.column("bucket").to_pylist(), batch.column("doc_id").to_pylist(), tokens(batch.column("text").to_pylist()), strict=True):
-                if ids and (of != bucket or n >= segment):
+            for i, data in zip(batch.column("doc_id").to_pylist(), tokens(batch.column("text").to_pylist()), strict=True):
+                if ids and n >= segment:
                     yield file()
-                    number, ids, starts, parts, n = number + 1 if of == bucket else 0, [], [], [], 0
-                bucket = of
+                    number, ids, starts, parts, n = number + 1, [], [], [], 0
                 ids.append(i)
                 starts.append(n)
                 parts.append(data + end)
@@ -151,7 +149,7 @@ def write(docs: DataFrame, tokenizer: str, end_id: int, doc_id: str = "doc_id",
         if ids:
             yield file()
 
-    return table(ordered(docs, doc_id, text).mapInArrow(pack, "bucket int, segment long, n_tokens long, doc_ids array<long>, starts array<long>, data binary"), "token-files")
+    return table(ordered(docs, doc_id, text).mapInArrow(pack, "bucket int, segment long, n_tokens long, doc_ids array<long>, starts array<long>, data binary"), "token-files", "uncompressed", {"parquet.enable.dictionary": "false"})
 
 
 def read(files: DataFrame) -> DataFrame:
@@ -166,10 +164,36 @@ def read(files: DataFrame) -> DataFrame:
                 yield pa.record_batch([pa.array([row["bucket"]] * k, pa.int32()), pa.array([row["segment"]] * k, pa.int64()), pa.array(row["doc_ids"], pa.int64()), pa.array(row["starts"], pa.int64()), pa.array(np.diff(starts)), pa.array(crc, pa.int64())], names=["bucket", "segment", "doc_id", "at", "n_tokens", "ids_crc32"])
 
     docs = files.mapInArrow(unpack, "bucket int, segment long, doc_id long, at long, n_tokens long, ids_crc32 long")
+    return docs.join(bases(files), ["bucket", "segment"]).select("doc_id", (F.col("base") + F.col("at")).alias("start"), "n_tokens", "ids_crc32")
+
+
+def bases(files: DataFrame) -> DataFrame:
+    """(bucket, segment, base): tokens in all files before."""
     sizes = files.select("bucket", "segment", "n_tokens")
-    by_bucket = sizes.groupBy("bucket").agg(F.sum("n_tokens").alias("n"))  # at most MOST_BUCKETS rows
+    by_bucket = sizes.groupBy("bucket").agg(F.sum("n_tokens").alias("n"))  # a row for each bucket
     before = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
-    bases = by_bucket.select("bucket", F.coalesce(F.sum("n").over(before(Window.orderBy("bucket"))), F.lit(0)).alias("base"))
+    above = by_bucket.select("bucket", F.coalesce(F.sum("n").over(before(Window.orderBy("bucket"))), F.lit(0)).alias("base"))
     inside = F.coalesce(F.sum("n_tokens").over(before(Window.partitionBy("bucket").orderBy("segment"))), F.lit(0))
-    at_file = sizes.withColumn("inside", inside).join(bases, "bucket").select("bucket", "segment", (F.col("base") + F.col("inside")).alias("base"))
-    return docs.join(at_file, ["bucket", "segment"]).select("doc_id", (F.col("base") + F.col("at")).alias("start"), "n_tokens", "ids_crc32")
+    return sizes.withColumn("inside", inside).join(above, "bucket").select("bucket", "segment", (F.col("base") + F.col("inside")).alias("base"))
+
+
+def tokens_at(files: DataFrame, positions: DataFrame, position: str = "position", segment: int = SEGMENT) -> DataFrame:
+    """(position, token) of each different position that lies in the corpus, read from the codes without decoding them."""
+    held = files.select("bucket", "segment", "n_tokens").join(bases(files), ["bucket", "segment"])
+    last = F.col("base") + F.col("n_tokens") - 1
+    stretch = lambda c: F.floor(c / F.lit(segment))
+    where = held.select("bucket", "segment", "base", last.alias("last"), F.explode(F.sequence(stretch(F.col("base")), stretch(last))).alias("stretch"))
+    asked = positions.select(F.col(position).cast("long").alias("position")).distinct().withColumn("stretch", stretch(F.col("position")))
+    met = asked.join(where, "stretch").where("position between base and last")
+    by_file = met.groupBy("bucket", "segment", F.pmod(F.xxhash64("position"), F.lit(64)).alias("part")).agg(F.collect_list("position").alias("positions"), F.first("base").alias("base"))
+
+    @F.pandas_udf("array<struct<position: long, token: long>>")
+    def look(data: pd.Series, base: pd.Series, wanted: pd.Series) -> pd.Series:
+        out = []
+        for d, b, ps in zip(data, base, wanted, strict=True):
+            reader = Reader(d)
+            out.append([{"position": int(p), "token": reader.token(int(p) - int(b))} for p in ps])
+        return pd.Series(out)
+
+    found = by_file.join(files.select("bucket", "segment", "data"), ["bucket", "segment"])
+    return found.select(F.inline(look("data", "base", "positions")))

@@ -5,15 +5,17 @@ curve order, and the order is cut into shards and files. Rows near each other in
 files' minima and maxima prune reads on any of them.
 
 The order is never sorted as a whole. Counts by cell (at most 2 ** (bits * dimensions)) give each cell its place;
-crowded cells are split by a hash of the row, so that there are at most CELLS + GROUPS groups and none holds more than
-about a GROUPS-th of the rows, however many rows one cell has. A file is a stretch of whole groups: one shuffle brings
-its rows together, and a row's rank is the file's first rank plus its place in it.
+crowded cells are split by a hash of all the row's columns, and where rows that are alike in every column still crowd a
+group, by the row's number in a table written for that. So there are at most CELLS + GROUPS groups, and none holds more
+than about a GROUPS-th of the rows. A file is a stretch of whole groups: one shuffle brings its rows together, and a
+row's rank is the file's first rank plus its place in it.
 
 Laws: ``rows`` cuts shards at equal ranks (counts at most one apart), ``bytes`` at equal sums of sizes (UTF-8 bytes of
 the text plus one), to the group.
 
 Defined cases: a null in a dimension counts as the smallest value; a null text has size 1; repeated rows are rows;
-input columns named like the layout's own (shard, slot, rank) are replaced; an empty table gives empty shards.
+input columns named like the layout's own (shard, slot, rank) are replaced, other columns stay; few different values in
+the dimensions give few cells, not fewer files; an empty table gives empty shards.
 """
 
 from __future__ import annotations
@@ -26,14 +28,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from biblioflow.llm.common import _written, shared_folder
+from biblioflow.llm.common import _written, row_key, shared_folder, spare, table
 
 GROUPS = 1 << 17
 #: Fewest rows for which a cell is split.
 LEAST_GROUP = 256
 #: A file holds about so many rows or bytes of text, whichever are fewer.
 ROWS_A_FILE, BYTES_A_FILE = 8192, 64 << 20
-MOST_FILES = 10_000
+#: Beyond so many files they grow to MOST_BYTES of text first, then their number.
+MANY_FILES, MOST_BYTES = 10_000, 1 << 30
+#: A group this many times as large as planned holds copies of one row.
+CROWDED = 8
 
 
 def curve_index(cells: np.ndarray, bits: int) -> np.ndarray:
@@ -93,14 +98,14 @@ def size_of(text: Column) -> Column:
 def layout(docs: DataFrame, dims: list[str], text: str = "text", shards: int = 8, law: str = "rows", bits: int = 4) -> DataFrame:
     """``docs`` with shard, slot and rank, dealt and sorted in curve order: one partition for each file."""
     own = docs.drop("shard", "slot", "rank")
-    cell = cell_of(own, dims, bits)
-    n = 0
+    cell, salt = cell_of(own, dims, bits), row_key(own)["high"]
     counts = np.zeros(1 << bits * len(dims), np.int64)
     for r in own.groupBy(cell.alias("cell")).count().collect():  # at most one row for each cell
         counts[r["cell"]] = r["count"]
     n = int(counts.sum())
     place = curve_index(np.stack([np.arange(len(counts)) >> bits * (len(dims) - 1 - i) & (1 << bits) - 1 for i in range(len(dims))], axis=1), bits)
-    parts = -(-counts // max(LEAST_GROUP, -(-n // GROUPS)))
+    share = max(LEAST_GROUP, -(-n // GROUPS))
+    parts = -(-counts // share)
     order = np.argsort(place)
     first = np.zeros(len(counts), np.int64)
     first[order] = np.cumsum(parts[order]) - parts[order]  # number of a cell's first group
@@ -110,12 +115,22 @@ def layout(docs: DataFrame, dims: list[str], text: str = "text", shards: int = 8
         c = cells.to_numpy("i8")
         return pd.Series(first[c] + hashes.to_numpy("i8") % np.maximum(1, parts[c]))
 
-    named = group(cell, F.xxhash64(*dims))
-    rows, load = np.zeros(int(parts.sum()), np.int64), np.zeros(int(parts.sum()), np.int64)
-    for r in own.groupBy(named.alias("g")).agg(F.count("*").alias("n"), F.sum(size_of(F.col(text))).alias("load")).collect():  # at most CELLS + GROUPS rows
-        rows[r["g"]], load[r["g"]] = r["n"], r["load"]
+    def counted(rows_: DataFrame, named_: Column) -> tuple[np.ndarray, np.ndarray]:
+        rows, load = np.zeros(int(parts.sum()), np.int64), np.zeros(int(parts.sum()), np.int64)
+        for r in rows_.groupBy(named_.alias("g")).agg(F.count("*").alias("n"), F.sum(size_of(F.col(text))).alias("load")).collect():  # at most CELLS + GROUPS rows
+            rows[r["g"]], load[r["g"]] = r["n"], r["load"]
+        return rows, load
+
+    named = group(cell, salt)
+    rows, load = counted(own, named)
+    number = spare(own, "_number")
+    if rows.max(initial=0) > CROWDED * share:
+        own = table(own.withColumn(number, F.monotonically_increasing_id()), "numbered")
+        named = group(cell, F.xxhash64(number))
+        rows, load = counted(own, named)
     total = int(load.sum())
-    files = max(1, min(MOST_FILES, max(-(-n // ROWS_A_FILE), -(-total // BYTES_A_FILE))))
+    files = max(1, -(-n // ROWS_A_FILE), -(-total // BYTES_A_FILE))
+    files = min(files, max(MANY_FILES, -(-total // MOST_BYTES)))
     base = np.cumsum(rows) - rows
     if law == "rows":
         starts = [-(-k * n // shards) for k in range(shards)]
@@ -124,7 +139,7 @@ def layout(docs: DataFrame, dims: list[str], text: str = "text", shards: int = 8
         starts = [int(rows[: np.searchsorted(middle, k * total / shards)].sum()) for k in range(shards)]
     else:
         raise ValueError(f"unknown law {law}")
-    file = ((np.cumsum(load) - load) / max(1, total) * files).astype(np.int64)  # equal bytes, so that tasks are even
+    file = ((np.cumsum(load) - load) / max(1, total) * files).astype(np.int64).clip(0, files - 1)  # equal bytes, so that tasks are even
     opening = np.full(files, n, np.int64)
     np.minimum.at(opening, file, base)
 
@@ -133,9 +148,10 @@ def layout(docs: DataFrame, dims: list[str], text: str = "text", shards: int = 8
         f = file[groups.to_numpy("i8")]
         return pd.DataFrame({"file": f.astype("i4"), "opening": opening[f]})
 
-    dealt = own.withColumn("_g", named).withColumn("_t", target("_g")).repartitionById(files, F.col("_t.file")).sortWithinPartitions("_g", *dims)
-    rank = F.col("_t.opening") + F.monotonically_increasing_id() % F.lit(1 << 33)  # its low 33 bits count the partition's rows
-    ranked = dealt.withColumn("rank", rank).drop("_g", "_t")
+    g, to = spare(own, "_g"), spare(own, "_t")
+    dealt = own.withColumn(g, named).withColumn(to, target(g)).repartitionById(files, F.col(f"{to}.file")).sortWithinPartitions(g, *dims)
+    rank = F.col(f"{to}.opening") + F.monotonically_increasing_id() % F.lit(1 << 33)  # its low 33 bits count the partition's rows
+    ranked = dealt.withColumn("rank", rank).drop(g, to, number)
     shard = sum(((F.col("rank") >= s).cast("int") for s in starts[1:]), F.lit(0))
     return ranked.withColumn("shard", shard).withColumn("slot", F.col("rank") - F.element_at(F.array(*[F.lit(s).cast("long") for s in starts]), F.col("shard") + 1))
 

@@ -1,15 +1,17 @@
 """Language identification by a bidirectional gated recurrent network over UTF-8 bytes.
 
 The network is trained in numpy by backpropagation through time and labels every byte position; a document's
-probabilities are the mean over all positions of its whole text. Texts are cut into windows of WINDOW bytes that run
-side by side as rows of one matrix. The gates are piecewise linear (a hard sigmoid and a hard tanh), which makes a
-position cheap enough to read whole corpora.
+probabilities are the mean over all positions of its whole text. Both directions carry their state from the beginning
+of a text to its end and back. Only a text of more than SEGMENT bytes is cut: its segments run side by side as rows of
+one matrix, each read WARM bytes further on both sides, so that its states come from the text around it. The gates
+are piecewise linear (a hard sigmoid and a hard tanh), which makes a position cheap enough to read whole corpora.
 
-Fitting uses a bounded sample: for each of at most ``languages`` most frequent languages, at most ``sample``
-documents, those of the smallest hash of their doc_id, and ``windows`` windows of each. Prediction reads whole texts.
+Fitting uses a bounded sample: for each language at most ``sample`` documents, those of the smallest hash of doc_id and
+text, and ``windows`` windows of WINDOW bytes of each. Prediction reads whole texts.
 
 Defined cases: a text that is null or has no letter is ``und`` with score 0; with nothing to learn from every text is
-``und``; rows of null language are not learned from; repeated rows are predicted each.
+``und``; rows of null language are not learned from; doc_id may be of any type, and rows alike in doc_id and text are
+learned from once; repeated rows are predicted each; columns named lang_pred and score are replaced, other columns stay.
 """
 
 from __future__ import annotations
@@ -19,15 +21,16 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from biblioflow.llm.common import small_batches, table
+from biblioflow.llm.common import small_batches, spare, table
 
 WINDOW = 64
-HIDDEN = 12
-#: Windows that run side by side; bounds memory, whatever the batch.
-ROWS = 2048
+HIDDEN = 16
+SEGMENT, WARM = 2048, 128
+#: Segments that run side by side; bounds memory, whatever the batch.
+ROWS = 512
 UNKNOWN = "und"
 
 
@@ -68,13 +71,23 @@ def start(languages: list[str], hidden: int = HIDDEN, seed: int = 7) -> Network:
     return Network(languages, direction(), direction(), some(2 * hidden, len(languages), scale=0.3), np.zeros(len(languages), "f4"))
 
 
-def run(d: Direction, x: np.ndarray, out: np.ndarray, kept: list | None = None) -> None:
-    """States of one direction over x (steps x rows) into out (steps x rows x H); ``kept`` gets what training needs."""
+def run(d: Direction, x: np.ndarray, out: np.ndarray, kept: list | None = None, active: np.ndarray | None = None) -> None:
+    """States of one direction over x (steps x rows) into out (steps x rows x H); ``kept`` gets what training needs.
+
+    ``active``: how many rows, from the first on, still go on at each step.
+    """
     rows, hidden = x.shape[1], d.candidate.shape[1]
-    h = np.zeros((rows, hidden), "f4")
-    g, gx = np.empty((rows, 2 * hidden), "f4"), np.empty((rows, 2 * hidden), "f4")
-    c, r = np.empty((rows, hidden), "f4"), np.empty((rows, hidden), "f4")
+    states = np.zeros((rows, hidden), "f4")
+    gates, inputs = np.empty((rows, 2 * hidden), "f4"), np.empty((rows, 2 * hidden), "f4")
+    candidates, resets = np.empty((rows, hidden), "f4"), np.empty((rows, hidden), "f4")
+    n = -1
     for t, at in enumerate(x):
+        if active is not None and active[t] != n:
+            n = active[t]
+            h, g, gx, c, r = states[:n], gates[:n], inputs[:n], candidates[:n], resets[:n]
+        elif n < 0:
+            n, h, g, gx, c, r = rows, states, gates, inputs, candidates, resets
+        at = at[:n]
         np.take(d.gates, at, axis=0, out=gx, mode="clip")
         np.matmul(h, d.to_gates, out=g)
         g += gx
@@ -92,7 +105,7 @@ def run(d: Direction, x: np.ndarray, out: np.ndarray, kept: list | None = None)
         c -= h
         c *= g[:, hidden:]
         h += c
-        out[t] = h
+        out[t, :n] = h
 
 
 def back(d: Direction, x: np.ndarray, kept: list, upstream: np.ndarray) -> list[np.ndarray]:
@@ -149,7 +162,7 @@ def gradients(net: Network, x: np.ndarray, y: np.ndarray) -> tuple[float, list[n
     return loss, [*ahead, *behind, both.reshape(-1, 2 * hidden).T @ flat, flat.sum(axis=0)]
 
 
-def fit(windows: np.ndarray, classes: np.ndarray, languages: list[str], steps: int = 160, rows: int = 256, rate: float = 0.02, seed: int = 7) -> Network:
+def fit(windows: np.ndarray, classes: np.ndarray, languages: list[str], steps: int = 300, rows: int = 256, rate: float = 0.02, seed: int = 7) -> Network:
     """Adam over batches of windows (n x WINDOW bytes)."""
     net, rng = start(languages, seed=seed), np.random.default_rng(seed)
     parts = net.parts()
@@ -169,24 +182,35 @@ def fit(windows: np.ndarray, classes: np.ndarray, languages: list[str], steps: i
     return net
 
 
-def cut(text: bytes) -> tuple[np.ndarray, int]:
-    """The text's bytes as rows of WINDOW, the last filled with zeros; and how many bytes it has."""
-    n = -(-len(text) // WINDOW)
-    return np.frombuffer(text.ljust(n * WINDOW, b"\0"), np.uint8).reshape(n, WINDOW), len(text)
+def stretches(texts: list[bytes]) -> list[tuple[int, int, int, int, int]]:
+    """(text, first byte read, first byte labelled, byte after the last labelled, byte after the last read), longest first."""
+    out = []
+    for k, t in enumerate(texts):
+        for at in range(0, len(t), SEGMENT):
+            end = min(len(t), at + SEGMENT)
+            out.append((k, max(0, at - WARM), at, end, min(len(t), end + WARM)))
+    return sorted(out, key=lambda s: s[1] - s[4])
 
 
 def label_positions(net: Network, texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """For blocks of windows: (text of each window, probabilities steps x rows x classes, positions that are text)."""
-    pieces = [cut(t) for t in texts]
-    windows = np.concatenate([p for p, _ in pieces] or [np.empty((0, WINDOW), np.uint8)])
-    of = np.repeat(np.arange(len(pieces)), [len(p) for p, _ in pieces])
-    first = np.cumsum([0, *(len(p) for p, _ in pieces)])
-    size = np.array([n for _, n in pieces])
-    for at in range(0, len(windows), ROWS):
-        x, own = windows[at : at + ROWS], of[at : at + ROWS]
-        left = size[own] - WINDOW * (np.arange(at, at + len(x)) - first[own])
-        both = states(net, x.T.astype(np.intp))
-        yield own, softmax(both @ net.out + net.bias), np.arange(WINDOW)[:, None] < left
+    """For blocks of segments: (text of each, probabilities steps x rows x classes, positions that it labels)."""
+    parts, hidden = stretches(texts), net.forward.candidate.shape[1]
+    for at in range(0, len(parts), ROWS):
+        own, first, start, end, last = np.array(parts[at : at + ROWS]).T
+        length = last - first
+        steps = np.arange(length[0])
+        x = np.zeros((len(own), length[0]), np.uint8)
+        for r, (k, a, z) in enumerate(zip(own.tolist(), first.tolist(), last.tolist(), strict=True)):
+            x[r, : z - a] = np.frombuffer(texts[k], np.uint8, z - a, a)
+        turn = np.maximum(length[:, None] - 1 - steps, 0)  # each row from its last byte to its first
+        active = np.searchsorted(-length, -steps, side="left")
+        logits = []
+        for d, seen, w in ((net.forward, x, net.out[:hidden]), (net.backward, np.take_along_axis(x, turn, axis=1), net.out[hidden:])):
+            states_ = np.zeros((len(steps), len(own), hidden), "f4")
+            run(d, np.ascontiguousarray(seen.T).astype(np.intp), states_, active=active)
+            logits.append(states_ @ w)
+        z = logits[0] + np.take_along_axis(logits[1], turn.T[:, :, None], axis=0) + net.bias
+        yield own, softmax(z), (steps[:, None] >= start - first) & (steps[:, None] < end - first)
 
 
 def probabilities(net: Network, texts: list[bytes]) -> np.ndarray:
@@ -197,35 +221,36 @@ def probabilities(net: Network, texts: list[bytes]) -> np.ndarray:
     return total / np.maximum(1, np.array([len(t) for t in texts]))[:, None]
 
 
-def train(docs: DataFrame, eligible: Column, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", sample: int = 400, windows: int = 6, languages: int = 64) -> Network | None:
-    """Fit on at most ``sample`` documents of each of at most ``languages`` languages; None if there are none."""
-    small_batches(docs.sparkSession)
-    known = docs.where(eligible & F.col(lang).isNotNull())
-    names = [r[0] for r in known.groupBy(lang).count().orderBy(F.desc("count"), lang).limit(languages).collect()]
-    if not names:
+def train(docs: DataFrame, eligible: Column, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", sample: int = 400, windows: int = 6) -> Network | None:
+    """Fit on at most ``sample`` documents of each language; None if there are none.
+
+    One scan counts the languages; one more takes, by hash, about four times as many rows as needed, and the first of these
+    are kept. No language meets in one task before that.
+    """
+    spark = docs.sparkSession
+    small_batches(spark)
+    known = docs.where(eligible & F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(lang).cast("string").alias("lang"), F.col(doc_id).alias("id"), F.col(text).alias("text"))
+    counts = [(r["lang"], r["count"]) for r in known.groupBy("lang").count().collect()]  # one row a language
+    if not counts:
         return None
-    ids = known.select(F.col(doc_id).alias("_id"), F.col(lang).alias("_lang"))
-    chosen = [ids.where(F.col("_lang") == n).orderBy(F.xxhash64("_id"), "_id").limit(sample) for n in names]
-    some = chosen[0]
-    for c in chosen[1:]:
-        some = some.union(c)
-    rows = known.where(F.col(text).isNotNull()).select(F.col(doc_id).alias("_id"), F.col(lang).alias("_lang"), F.col(text).alias("_text"))
-    rows = rows.join(F.broadcast(some.distinct()), ["_id", "_lang"])  # at most ``languages`` x ``sample`` ids
+    cuts = spark.createDataFrame([(name, (1 << 63) - 1 if n <= 4 * sample else (1 << 64) * 4 * sample // n - (1 << 63)) for name, n in counts], "lang string, cut long")
+    some = known.withColumn("hash", F.xxhash64("id", "text")).join(F.broadcast(cuts), "lang").where("hash <= cut").groupBy("lang", "hash").agg(F.min("text").alias("text"))
+    rows = some.withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy("hash"))).where(F.col("place") <= sample).select("lang", "hash", "text")
 
     def spread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
-            for i, name, t in zip(batch["_id"], batch["_lang"], batch["_text"], strict=True):
+            for name, i, t in zip(batch["lang"], batch["hash"], batch["text"], strict=True):
                 data = t.encode("utf-8", "surrogatepass")
                 places = sorted({round(k * max(0, len(data) - WINDOW) / max(1, windows - 1)) for k in range(windows)})
-                out += [(int(i or 0), p, name, data[p : p + WINDOW].ljust(WINDOW, b"\0")) for p in places]
-            yield pd.DataFrame(out, columns=["i", "p", "lang", "bytes"])
+                out += [(name, i, p, data[p : p + WINDOW].ljust(WINDOW, b"\0")) for p in places]
+            yield pd.DataFrame(out, columns=["lang", "i", "p", "bytes"])
 
-    got = table(rows.mapInPandas(spread, "i long, p long, lang string, bytes binary"), "windows").collect()  # languages x sample x windows rows
+    got = table(rows.mapInPandas(spread, "lang string, i long, p long, bytes binary"), "windows").collect()  # sample x windows rows a language
     got = sorted((r["i"], r["p"], r["lang"], bytes(r["bytes"])) for r in got)
     x = np.frombuffer(b"".join(r[3] for r in got), np.uint8).reshape(-1, WINDOW)
     names = sorted({r[2] for r in got})
-    return fit(x, np.array([names.index(r[2]) for r in got]), names) if len(got) else None
+    return fit(x, np.array([names.index(r[2]) for r in got]), names)
 
 
 def predictor(net: Network | None):
@@ -245,11 +270,19 @@ def predictor(net: Network | None):
 def predicted(docs: DataFrame, net: Network | None, text: str = "text") -> DataFrame:
     """``docs`` with lang_pred and score."""
     small_batches(docs.sparkSession)
-    return docs.withColumn("_p", predictor(net)(F.col(text))).select(*docs.columns, "_p.lang_pred", "_p.score")
+    found = spare(docs, "_p")
+    own = docs.withColumn(found, predictor(net)(F.col(text))).drop("lang_pred", "score")
+    return own.withColumns({"lang_pred": F.col(f"{found}.lang_pred"), "score": F.col(f"{found}.score")}).drop(found)
+
+
+def least_score(net: Network | None, margin: float) -> float:
+    """The score ``margin`` of the way from chance, one over the number of languages, to certainty."""
+    chance = 1 / len(net.languages) if net else 1.0
+    return chance + margin * (1 - chance)
 
 
-def reject_unknown(docs: DataFrame, net: Network | None, text: str = "text", least: float = 0.5) -> DataFrame:
-    """``docs`` without rows of no language: ``und``, or a pooled probability below ``least``."""
+def reject_unknown(docs: DataFrame, net: Network | None, text: str = "text", margin: float = 0.2) -> DataFrame:
+    """``docs`` without rows of no language: ``und``, or a pooled probability below ``least_score``."""
     small_batches(docs.sparkSession)
     found = predictor(net)(F.col(text))
-    return docs.where((found["lang_pred"] != UNKNOWN) & (found["score"] >= least))
+    return docs.where((found["lang_pred"] != UNKNOWN) & (found["score"] >= least_score(net, margin)))

@@ -7,7 +7,8 @@ most a few times ``capacity``, whatever the corpus) say which ranks of a length
 finds its place from its own length and rank. No piece is sorted or moved for it.
 
 ``pieces`` tokenizes once, cuts documents into full windows and a rest, and writes them as a table with the writing
-task's number and the piece's ordinal among that task's pieces of equal length; ranks follow from counts by task.
+task's number and the piece's ordinal among that task's pieces of equal length; ranks follow from counts by task. These
+counts are broadcast while they are measured to be small; beyond that their join shuffles the pieces once.
 
 Defined cases: a null or empty text is the end id alone; repeated rows are packed each; an empty table gives no rows;
 other columns are left aside. Sequences are padded to ``capacity``; one whose length is a power of two needs no
@@ -28,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from biblioflow.llm import token_ids
-from biblioflow.llm.common import small_batches, table
+from biblioflow.llm.common import sized, small_batches, table
 
 CAPACITY = 1024
 
@@ -110,9 +111,10 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int = 0, capacity: int = CAP
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     schema = T.StructType([rows.schema["doc_id"], *(T.StructField(c, T.LongType()) for c in ("start", "length")), T.StructField("ids", T.BinaryType()), *(T.StructField(c, T.LongType()) for c in ("ids_crc32", "doc_tokens", "part", "ordinal"))])
     end = np.array([end_id], dtype="<u4").tobytes()
+    shipped = token_ids.ship(docs.sparkSession, tokenizer)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, part = token_ids.encoder(tokenizer).encode, TaskContext.get().partitionId()
+        encode, part = token_ids.encoder(shipped).encode, TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, dtype=np.int64)
         for batch in batches:
             take, out = [], []
@@ -147,7 +149,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 0, capacity: int = CAPAC
         k = r - rule[:, 1]
         return pd.DataFrame({"sequence_id": rule[:, 2] + k // rule[:, 3], "offset": rule[:, 4] + k % rule[:, 3] * n})
 
-    ranked = cut.join(bases.select("length", "part", "base"), ["length", "part"])
+    ranked = cut.join(sized(bases, 24).select("length", "part", "base"), ["length", "part"])
     placed = ranked.withColumn("at", place("length", F.col("base") + F.col("ordinal")))
     return placed.select("doc_id", "start", "length", "ids", "ids_crc32", "doc_tokens", "at.sequence_id", "at.offset")
 

@@ -41,11 +41,12 @@ URL_RULES = (
 
 
 def op3_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return url_filter.judged(_table(spark, sf_dir, "pages"), URL_RULES).drop("url")
+    return url_filter.judged(_table(spark, sf_dir, "pages"), URL_RULES).select("page_id", "host", "path", "rule", "verdict", "score")
 
 
 def op4_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repetition.judged(_table(spark, sf_dir, "documents")).drop("spans", "longest_repeat")
+    found = repetition.judged(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "covered_words")
 
 
 def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,7 +55,8 @@ def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     extra = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), trap.alias("text"))
     found = chat.formatted(given.unionByName(extra))
     every = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
-    loss = F.array_join(F.transform(F.filter("turns", lambda t: t["role"] == chat.LOSS_ROLE), lambda t: t["text"]), "")
+    found = found.withColumn("loss", F.array_join(chat.under_mask(F.col("formatted"), F.col("loss_spans")), ""))
+    loss = F.col("loss")
     return found.select(
         "conv_id",
         F.size("turns").cast("long").alias("n_turns"),

@@ -8,7 +8,8 @@ place before extends by one word are not maximal. The maximal repeats of ``least
 spans; ``covered`` of a document's words may lie in spans and no repeat may be longer than ``longest`` words.
 
 Defined cases: a null or empty text has no words, fails the base rule (too few words) and is not kept; repeated rows are
-judged each; very long texts are sorted whole.
+judged each; very long texts are sorted whole (four bytes a word are kept for each doubling up to the longest repeat);
+other columns, also of clashing names, are left aside; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -56,7 +57,7 @@ def suffix_array(words: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, list[
         start = slots[np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))]
         ranks = ranks.copy()
         ranks[array[slots]] = start
-        rounds.append(ranks)
+        rounds.append(ranks.astype(np.int32) if n < 1 << 31 else ranks)  # kept for the common prefixes
         tied = ~(new & np.r_[new[1:], True])
         slots = slots[tied]
         if not len(slots):

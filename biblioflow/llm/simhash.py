@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from biblioflow.llm.common import release, row_key, small_batches, spare, table, utf8
+from biblioflow.llm.common import release, row_key, sized, small_batches, spare, table, utf8
 
 BITS = 64
 #: Buckets of up to so many fingerprints are compared by shifted columns, larger ones by search.
@@ -38,10 +38,8 @@ LARGE_BUCKET, FINE_BLOCKS = 4096, 9
 BANDS, BAND_ROWS = 20, 4
 #: Differing bits up to which texts that share a band are judged on their shingles (about 10 at similarity 0.8).
 WIDE_BITS = 24
-#: Steps in which buckets of more than SMALL_BUCKET are linked by forests before all that is left is judged.
-FOREST_BITS = (4, 10)
-#: (node, key) pairs that are broadcast, 16 bytes each.
-BROADCAST_ROWS = 2_000_000
+#: Shingles for a word of an odd sketch, and its fewest words.
+SKETCH_SHINGLES, SKETCH_WORDS = 24, 8
 
 
 def shingles(text: bytes, words: int = 4, seed: int = 42) -> np.ndarray:
@@ -258,58 +256,100 @@ def sketches(docs: DataFrame, doc_id: str, text: str, words: int) -> DataFrame:
     return keyed.select("key", "doc_id", "s.node", "s.fp", "s.bands")
 
 
-def cross_forest(fps: np.ndarray, labels: np.ndarray, bits: int) -> list[tuple[int, int]]:
-    """Index pairs of at most ``bits`` bits that span every component of the links between different labels."""
-    found: list[tuple[int, int]] = []
-    left = np.arange(len(fps))
-    while left.size > 1:
-        same = labels[left] == labels[left[0]]
-        queue, left = list(left[same]), left[~same]
-        while queue and left.size:
-            u = queue.pop()
-            hit = left[np.bitwise_count(fps[left] ^ fps[u]) <= bits]
-            if hit.size:
-                hit = hit[np.unique(labels[hit], return_index=True)[1]]
-                found += [(int(u), int(v)) for v in hit]
-                joined = np.isin(labels[left], labels[hit])
-                queue += list(left[joined])
-                left = left[~joined]
-    return found
-
+def odd_sketch(h: np.ndarray) -> bytes:
+    """Parities of how many of the different shingles fall on each bit; the number of bits grows with the shingles.
 
-def cross_pairs(fps: np.ndarray, labels: np.ndarray, bits: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """All index pairs of at most ``bits`` bits between different labels; the commonest label is never searched from."""
-    _, of, n = np.unique(labels, return_inverse=True, return_counts=True)
-    rank = np.argsort(np.argsort(n, kind="stable"), kind="stable")[of]
-    order = np.argsort(rank, kind="stable")
-    fps, rank = fps[order], rank[order]
-    ends = np.searchsorted(rank, rank, side="right")
-    for u in range(len(fps)):
-        if ends[u] == len(fps):
-            return
-        v = ends[u] + np.flatnonzero(np.bitwise_count(fps[ends[u] :] ^ fps[u]) <= bits)
-        if v.size:
-            yield np.full(v.size, order[u]), order[v]
-
-
-def candidates(members: DataFrame, bits: int | None) -> DataFrame:
-    """Distinct (a, b), a < b, of nodes that share a bucket; members: (bucket, node, fp, label).
-
-    In buckets of up to SMALL_BUCKET, and in all if ``bits`` is None, every pair of different labels within WIDE_BITS;
-    in the others a forest of those within ``bits``. A bucket's members meet in one task, 32 bytes each.
+    Two sketches differ in no more bits than the sets differ in shingles, so too many rule a pair out for certain.
     """
-    dealt = members.repartition("bucket").sortWithinPartitions("bucket", "node").select("bucket", "node", "fp", "label")
+    words = SKETCH_WORDS
+    while words * SKETCH_SHINGLES < len(h):
+        words *= 2
+    odd = np.bincount((h % np.uint64(64 * words)).astype(np.int64), minlength=64 * words) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+class Bucket:
+    """Members that share a band: fingerprints, labels, numbers of shingles and odd sketches."""
+
+    def __init__(self, fps: np.ndarray, labels: np.ndarray, sizes: np.ndarray, sketches_: list[bytes], least: float):
+        self.fps, self.labels, self.sizes, self.least = fps, labels, sizes, least
+        self.words = np.array([len(x) // 8 for x in sketches_])
+        self.folded: dict[int, np.ndarray] = {}
+        self.row = np.zeros(len(fps), np.int64)
+        for w in np.unique(self.words):  # alike sets are of one width or the next, so each is kept in both
+            for width in (w, w // 2) if w > SKETCH_WORDS else (w,):
+                self.folded.setdefault(int(width), np.zeros((len(fps), int(width)), "u8"))
+        for k, x in enumerate(sketches_):
+            own = np.frombuffer(x, "<u8")
+            self.folded[len(own)][k] = own
+            if len(own) // 2 in self.folded:
+                self.folded[len(own) // 2][k] = own[: len(own) // 2] ^ own[len(own) // 2 :]
+
+    def near(self, u: int, others: np.ndarray) -> np.ndarray:
+        """Those of ``others`` that may be as similar to u as ``least``: none that is so is left out by size or sketch."""
+        n = self.sizes[others]
+        fits = (np.minimum(n, self.sizes[u]) >= self.least * np.maximum(n, self.sizes[u])) & (np.bitwise_count(self.fps[others] ^ self.fps[u]) <= WIDE_BITS)
+        others = others[fits]
+        out = []
+        for wide in np.unique(self.words[others]):
+            v = others[self.words[others] == wide]
+            at = self.folded[int(min(wide, self.words[u]))]
+            apart = np.bitwise_count(at[v] ^ at[u]).sum(axis=1, dtype=np.int64)
+            out.append(v[apart * (1 + self.least) <= (1 - self.least) * (self.sizes[v] + self.sizes[u]) + 1e-9])
+        return np.concatenate(out) if out else others
+
+    def forest(self) -> list[tuple[int, int]]:
+        """Index pairs that span every component of the near pairs between different labels."""
+        found: list[tuple[int, int]] = []
+        left = np.arange(len(self.fps))
+        while left.size > 1:
+            same = self.labels[left] == self.labels[left[0]]
+            queue, left = list(left[same]), left[~same]
+            while queue and left.size:
+                u = queue.pop()
+                hit = self.near(u, left)
+                if hit.size:
+                    hit = hit[np.unique(self.labels[hit], return_index=True)[1]]
+                    found += [(int(u), int(v)) for v in hit]
+                    joined = np.isin(self.labels[left], self.labels[hit])
+                    queue += list(left[joined])
+                    left = left[~joined]
+        return found
+
+    def pairs(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """All near index pairs between different labels; the commonest label is never searched from."""
+        _, of, n = np.unique(self.labels, return_inverse=True, return_counts=True)
+        rank = np.argsort(np.argsort(n, kind="stable"), kind="stable")[of]
+        order = np.argsort(rank, kind="stable")
+        ends = np.searchsorted(rank[order], rank[order], side="right")
+        for k, u in enumerate(order):
+            if ends[k] == len(order):
+                return
+            v = self.near(u, order[ends[k] :])
+            if v.size:
+                yield np.full(v.size, u), v
+
+
+def candidates(members: DataFrame, least: float, forest: bool) -> DataFrame:
+    """Distinct (a, b), a < b, of nodes that share a bucket; members: (bucket, node, fp, label, size, sketch).
+
+    All near pairs of different labels, or a forest of them. Sketches leave little more than the pairs that are linked;
+    a bucket's members meet in one task, about a hundred bytes each.
+    """
+    fields = ("bucket", "node", "fp", "label", "size")
+    dealt = members.repartition("bucket").sortWithinPartitions("bucket", "node").select(*fields, "sketch")
 
-    def of_bucket(node: np.ndarray, fp: np.ndarray, label: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        if len(node) <= SMALL_BUCKET or bits is None:
-            yield from ((node[u], node[v]) for u, v in cross_pairs(fp, label, WIDE_BITS))
-        elif pairs := cross_forest(fp, label, bits):
-            u, v = np.array(pairs).T
+    def of_bucket(node: np.ndarray, fp: np.ndarray, label: np.ndarray, size: np.ndarray, sketch: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        own = Bucket(fp, label, size, sketch, least)
+        if forest:
+            u, v = np.array(own.forest(), int).reshape(-1, 2).T
             yield node[u], node[v]
+        else:
+            yield from ((node[u], node[v]) for u, v in own.pairs())
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [np.empty(0, "i8"), np.empty(0, "i8"), np.empty(0, "u8"), np.empty(0, "i8")]
-        parts: list[list[np.ndarray]] = []
+        held: list = [np.empty(0, "i8"), np.empty(0, "i8"), np.empty(0, "u8"), np.empty(0, "i8"), np.empty(0, "i8"), []]
+        parts: list[list] = []
 
         def out(n: int) -> Iterator[pa.RecordBatch]:
             starts = np.flatnonzero(np.r_[True, held[0][1:n] != held[0][: n - 1]]) if n else np.empty(0, int)
@@ -332,14 +372,15 @@ def candidates(members: DataFrame, bits: int | None) -> DataFrame:
 
         def merge() -> None:
             nonlocal held, parts
-            held = [np.concatenate(x) for x in zip(held, *parts, strict=True)]
+            columns = list(zip(held, *parts, strict=True))
+            held = [*(np.concatenate(x) for x in columns[:-1]), [s for x in columns[-1] for s in x]]
             parts = []
 
         waiting = 0
         for batch in batches:
-            new = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("bucket", "node", "fp", "label")]
+            new = [batch.column(c).to_numpy(zero_copy_only=False) for c in fields]
             new[2] = new[2].view("u8")
-            parts.append(new)
+            parts.append([*new, batch.column("sketch").to_pylist()])
             waiting += len(new[0])
             if waiting > max(50_000, len(held[0])):
                 merge()
@@ -372,35 +413,33 @@ def verified(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
 def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 5, least: float = 0.8) -> DataFrame:
     """(key, doc_id, label) for every row: rows linked by shingle similarities of ``least`` or more share a label.
 
-    Large buckets are linked in steps: forests of close fingerprints first, whose verified links make labels; in the
-    end all pairs of different labels that still share a bucket are judged, so no pair goes unjudged because a forest
-    took another one for it.
+    Buckets are linked in two steps: forests of near pairs first, whose verified links make labels; then all near pairs of
+    different labels that still share a bucket are judged, so no pair goes unjudged because a forest took another one
+    for it.
     """
     rows = table(sketches(docs, doc_id, text, words), "sketches")
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "key"))["key"].alias("key")
     distinct = table(rows.groupBy("node").agg(F.min("fp").alias("fp"), F.min("bands").alias("bands"), first), "distinct")
     placed = distinct.select("key", "node", "fp", F.explode("bands").alias("bucket"))
     counts = placed.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
-    shared = table(placed.join(counts, "bucket"), "buckets")
+    shared = table(placed.join(counts, "bucket").select("bucket", "node", "fp", "key"), "buckets")
     needed = table(shared.select("node", "key").distinct(), "needed")
-    needed = F.broadcast(needed) if needed.count() <= BROADCAST_ROWS else needed
 
-    @F.pandas_udf("binary")
-    def hashes(texts: pd.Series) -> pd.Series:
-        return pd.Series([np.unique(shingles(t, words)).tobytes() for t in utf8(texts)], dtype="object")
+    @F.pandas_udf("size long, sketch binary, hashes binary")
+    def set_of(texts: pd.Series) -> pd.DataFrame:
+        found = [np.unique(shingles(t, words)) for t in utf8(texts)]
+        return pd.DataFrame({"size": [len(h) for h in found], "sketch": [odd_sketch(h) for h in found], "hashes": [h.tobytes() for h in found]})
 
-    keyed = docs.select(row_key(docs).alias("key"), F.col(text).alias("text")).join(needed, "key").dropDuplicates(["node"])
-    sets = table(keyed.select("node", hashes("text").alias("hashes")), "sets")
-    members = shared.select("bucket", "node", "fp", F.col("node").alias("label"), "n")
-    edges = table(verified(candidates(members, FOREST_BITS[0]), sets, least), "edges")
-    large = shared.where(F.col("n") > SMALL_BUCKET).select("bucket", "node", "fp")
+    keyed = docs.select(row_key(docs).alias("key"), F.col(text).alias("text")).join(sized(needed, 40), "key").dropDuplicates(["node"])
+    sets = table(keyed.select("node", set_of("text").alias("s")).select("node", "s.size", "s.sketch", "s.hashes"), "sets")
+    members = table(shared.select("bucket", "node", "fp").join(sets.select("node", "size", "sketch"), "node"), "members")
+    edges = table(verified(candidates(members.withColumn("label", F.col("node")), least, forest=True), sets, least), "edges")
     label = components(edges)
-    if not large.isEmpty():
-        for bits in (*FOREST_BITS[1:], None):
-            now = large.join(label, "node", "left").select("bucket", "node", "fp", F.coalesce("label", "node").alias("label"))
-            mixed = now.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("bucket")
-            edges = table(edges.union(verified(candidates(now.join(mixed, "bucket"), bits), sets, least)), "edges")
-            label = components(edges)
+    now = members.join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    mixed = now.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("bucket")
+    more = table(verified(candidates(now.join(mixed, "bucket"), least, forest=False), sets, least), "edges")
+    if not more.isEmpty():
+        label = components(edges.union(more))
     return rows.select("key", "doc_id", "node").join(label, "node", "left").select("key", "doc_id", F.coalesce("label", "node").alias("label"))
 
 

@@ -1,8 +1,9 @@
 """Token ids of whole texts by the ``tokenizers`` library, one piece between white space at a time.
 
-The pre-tokenizers of the supported files never join characters across the pieces that ``_pieces`` cuts, so a text's
+The pre-tokenizers of the supported files never join characters across the pieces that ``find`` cuts, so a text's
 ids are its pieces' ids in order. A worker keeps the ids of the pieces it has met, up to CACHE of them, and hands new
-ones to the library together. Files of other kinds are encoded as whole texts.
+ones to the library together. A text that holds one of the file's added tokens, and any text where the file is of
+another kind, is encoded by the library as a whole.
 """
 
 from __future__ import annotations
@@ -16,6 +17,8 @@ from itertools import accumulate, chain, pairwise
 from pathlib import Path
 
 import numpy as np
+from pyspark import SparkFiles
+from pyspark.sql import SparkSession
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
@@ -38,8 +41,9 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True
         said = json.loads(Path(path).read_text())
+        added = [t["content"] for t in said.get("added_tokens") or []]
+        self.added = re.compile("|".join(map(re.escape, added)), re.IGNORECASE).search if added else lambda text: None
         names = [t for t, _ in sorted(self.library.get_vocab().items(), key=lambda x: x[1])]
         self.known: dict[str, bytes] = {}
         self.suffix = said["model"].get("end_of_word_suffix") or ""
@@ -83,7 +87,8 @@ class Encoder:
         """A null text has no ids."""
         if len(self.known) > CACHE:
             self.known.clear()
-        rows = [self.find(t) if t else [] for t in texts]
+        whole = {k for k, t in enumerate(texts) if t and self.added(t)}
+        rows = [self.find(t) if t and k not in whole else [] for k, t in enumerate(texts)]
         pieces = list(chain.from_iterable(rows))
         got = list(map(self.known.get, pieces))
         if new := [k for k, ids in enumerate(got) if ids is None]:
@@ -93,10 +98,19 @@ class Encoder:
         if self.flag is None:
             self.known.clear()
         bounds = list(accumulate(map(len, rows), initial=0))
-        return [b"".join(got[a:b]) for a, b in pairwise(bounds)]
+        out = [b"".join(got[a:b]) for a, b in pairwise(bounds)]
+        for k in whole:
+            out[k] = np.array(self.library.encode(texts[k], add_special_tokens=False).ids, dtype="<u4").tobytes()
+        return out
+
+
+def ship(spark: SparkSession, path: str) -> str:
+    """Send the tokenizer's file along with the job; the name under which ``encoder`` finds it in a task."""
+    spark.sparkContext.addFile(path)
+    return Path(path).name
 
 
 @cache
-def encoder(path: str) -> Encoder:
-    """One encoder a worker process and file."""
-    return Encoder(path)
+def encoder(name: str) -> Encoder:
+    """One encoder a worker process and shipped file."""
+    return Encoder(SparkFiles.get(name))

@@ -1,17 +1,19 @@
 """URL filter by the ratio of two character language models, in DataFrame operations only.
 
 Rules on host and path label some URLs; a variable-order Markov model is counted for the accepted and one for the
-rejected ones. A URL is read as symbols of a small alphabet; a symbol's probability mixes the contexts of two, one and
-no symbols by Witten-Bell weights, so a context counts as far as it was seen. The score is the mean over the URL of
-the difference of the log-probabilities; the cut between accepted and rejected is calibrated on labelled URLs that the
-models did not count (those of crc32 divisible by FOLDS).
+rejected ones. A symbol's probability mixes the contexts of ORDER, ..., one and no symbols before it by Witten-Bell
+weights, so a context counts as far as it was seen; a context of two symbols or more that was seen fewer than LEAST times
+is pruned and the next shorter one stands for it. The score is the mean over the URL of the difference of the
+log-probabilities; the cut between accepted and rejected is calibrated on labelled URLs that the models did not count
+(those of crc32 divisible by FOLDS).
 
-The alphabet bounds the models: at most ALPHABET ** 3 trigrams, whatever the corpus, so their table is broadcast.
-Where a rule fits, it decides.
+Probabilities are worked out once for each different gram of ORDER + 1 symbols in the URLs, from the shortest context up,
+by joins of tables of different grams; they are broadcast to the URLs' positions only while they are measured to be
+small. Where a rule fits, it decides.
 
 Defined cases: a null URL or one without ``://`` has an empty host and path; a URL of no symbols has score null and is
 allowed; without accepted or without rejected URLs every other URL is allowed; repeated rows are judged each; other
-columns are left aside.
+columns, also of clashing names, are left aside; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -21,12 +23,16 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from biblioflow.llm.common import ascii_lower, table
+from biblioflow.llm.common import ascii_lower, sized, table
 
-#: Symbols besides the start mark: letters, 0 for any digit, these, and ~ for anything else.
+#: Symbols besides the start mark: letters, digits, these, and ~ for anything else.
 MARKS = "/.-_?=&%:#"
-ALPHABET = 26 + 1 + len(MARKS) + 1 + 1
-START = "^^"
+ALPHABET = 26 + 10 + len(MARKS) + 1 + 1
+START = "^"
+#: Symbols of the longest context, and how often a context of more than one is seen at least.
+ORDER, LEAST = 5, 2
+#: Contexts of so many symbols have at most ALPHABET ** (SHORT + 1) grams, whatever the corpus.
+SHORT = 2
 FOLDS = 5
 #: Scores are calibrated in steps of this size, within a range.
 STEP, RANGE = 0.01, 20
@@ -63,46 +69,43 @@ def symbols(url: Column) -> Column:
     """What follows ``://`` (or the whole), in the small alphabet."""
     at = F.instr(url, "://")
     low = ascii_lower(F.when(at > 0, F.substring(url, at + 3, F.length(url))).otherwise(url))
-    return F.regexp_replace(F.regexp_replace(low, "[0-9]", "0"), f"[^a-z0{MARKS.replace('-', chr(92) + '-')}]", "~")
+    return F.regexp_replace(low, f"[^a-z0-9{MARKS.replace('-', chr(92) + '-')}]", "~")
 
 
-def trigrams(rows: DataFrame, text: str) -> DataFrame:
-    """A row for each symbol, with the two before it; a row of null for an empty text."""
+def grams(rows: DataFrame, text: str, order: int = ORDER) -> DataFrame:
+    """A row for each symbol, with the ``order`` before it; a row of null for an empty text."""
     n = F.length(text)
     places = F.when(n > 0, F.sequence(F.lit(1), n))
-    padded = F.concat(F.lit(START), F.col(text))
-    return rows.withColumn("at", F.explode_outer(places)).withColumn("gram", F.substring(padded, F.col("at"), F.lit(3))).drop("at")
+    padded = F.concat(F.lit(START * order), F.col(text))
+    return rows.withColumn("at", F.explode_outer(places)).withColumn("gram", F.substring(padded, F.col("at"), F.lit(order + 1))).drop("at")
 
 
-def log_ratios(counts: DataFrame) -> DataFrame:
-    """(gram, ratio): log p(symbol | accepted) - log p(symbol | rejected) for each trigram in ``counts``.
+def log_ratios(counts: DataFrame, order: int = ORDER) -> DataFrame:
+    """(gram, ratio): log p(symbol | accepted) - log p(symbol | rejected) for each gram in ``counts``.
 
-    counts: (gram, yes, no), occurrences in accepted and rejected URLs.
+    counts: (gram, yes, no), occurrences in accepted and rejected URLs, 0 for grams of other URLs only.
     """
-    seen = counts.select("gram", F.substring("gram", 1, 2).alias("two"), F.substring("gram", 2, 2).alias("pair"), F.substring("gram", 2, 1).alias("one"), F.substring("gram", 3, 1).alias("symbol"), "yes", "no")
-    kinds = lambda c: F.sum((F.col(c) > 0).cast("int"))
-    both = [f(c).alias(f"{p}_{c}") for p, f in (("n", F.sum), ("t", kinds)) for c in ("yes", "no")]
-    named = lambda df, p: df.select(*df.columns[:1], *[F.col(c).alias(f"{p}{c}") for c in df.columns[1:]])
-    pairs = seen.groupBy("pair").agg(F.sum("yes").alias("yes"), F.sum("no").alias("no"))
-    ones = pairs.groupBy(F.substring("pair", 1, 1).alias("one")).agg(*both)
-    zero = pairs.groupBy(F.substring("pair", 2, 1).alias("symbol")).agg(F.sum("yes").alias("s_yes"), F.sum("no").alias("s_no"))
-    whole = seen.select(F.lit(1).alias("k"), "yes", "no").groupBy("k").agg(F.sum("yes").alias("all_yes"), F.sum("no").alias("all_no"))
-    joined = (
-        seen.withColumn("k", F.lit(1))
-        .join(F.broadcast(named(seen.groupBy("two").agg(*both), "c2_")), "two")
-        .join(F.broadcast(named(pairs, "p_")), "pair")
-        .join(F.broadcast(named(ones, "c1_")), "one")
-        .join(F.broadcast(zero), "symbol")
-        .join(F.broadcast(whole), "k")
-    )
-
-    def logp(c: str) -> Column:
-        p = (F.col(f"s_{c}") + 1) / (F.col(f"all_{c}") + ALPHABET)
-        for n, total, kinds in ((f"p_{c}", f"c1_n_{c}", f"c1_t_{c}"), (c, f"c2_n_{c}", f"c2_t_{c}")):
-            p = F.when(F.col(total) > 0, (F.col(n) + F.col(kinds) * p) / (F.col(total) + F.col(kinds))).otherwise(p)
-        return F.log(p)
-
-    return joined.select("gram", (logp("yes") - logp("no")).alias("ratio"))
+    sides = ("yes", "no")
+    whole = counts.agg(*[F.sum(c).alias(c) for c in sides]).first()
+    total = {c: whole[c] or 0 for c in sides}
+    level = counts.groupBy(F.right("gram", F.lit(1)).alias("gram")).agg(*[F.sum(c).alias(c) for c in sides])
+    found = level.select("gram", *[((F.col(c) + 1) / (total[c] + ALPHABET)).alias(f"p_{c}") for c in sides])
+    for k in range(1, order + 1):
+        level = counts.groupBy(F.right("gram", F.lit(k + 1)).alias("gram")).agg(*[F.sum(c).alias(c) for c in sides])
+        level = level.withColumns({"context": F.left("gram", F.lit(k)), "shorter": F.right("gram", F.lit(k))})
+        seen = level.groupBy("context").agg(*[F.sum(c).alias(f"n_{c}") for c in sides], *[F.count_if(F.col(c) > 0).alias(f"t_{c}") for c in sides])
+        if k > 1:
+            seen = seen.where(F.col("n_yes") + F.col("n_no") >= LEAST)
+        found = found.withColumnRenamed("gram", "shorter")
+        if k <= SHORT:
+            seen, found = F.broadcast(seen), F.broadcast(found)
+
+        def mixed(c: str) -> Column:
+            n, t = F.col(f"n_{c}"), F.col(f"t_{c}")
+            return F.when(n > 0, (F.col(c) + t * F.col(f"p_{c}")) / (n + t)).otherwise(F.col(f"p_{c}")).alias(f"p_{c}")
+
+        found = level.join(found, "shorter").join(seen, "context", "left").select("gram", *[mixed(c) for c in sides])
+    return found.select("gram", (F.log("p_yes") - F.log("p_no")).alias("ratio"))
 
 
 def threshold(labelled: DataFrame) -> float | None:
@@ -134,10 +137,10 @@ def judged(pages: DataFrame, rules: tuple[Rule, ...], page_id: str = "page_id",
     known = rows.select("url", symbols(F.col("url")).alias("text"), allow.alias("allow"))
     counted = F.crc32(F.encode("url", "UTF-8")) % FOLDS != 0
     of = lambda ok: F.sum((counted & F.col("allow").eqNullSafe(ok)).cast("long"))
-    counts = table(trigrams(known, "text").where("gram is not null").groupBy("gram").agg(of(True).alias("yes"), of(False).alias("no")), "grams")
-    ratios = table(log_ratios(counts), "ratios")  # at most ALPHABET ** 3 rows
-    placed = trigrams(rows.withColumn("row", F.monotonically_increasing_id()).withColumn("text", symbols(F.col("url"))), "text")
-    scores = placed.join(F.broadcast(ratios), "gram", "left").groupBy("row", "page_id", "url").agg(F.avg("ratio").alias("score"))
+    counts = table(grams(known, "text").where("gram is not null").groupBy("gram").agg(of(True).alias("yes"), of(False).alias("no")), "grams")
+    ratios = table(log_ratios(counts), "ratios")
+    placed = grams(rows.withColumn("row", F.monotonically_increasing_id()).withColumn("text", symbols(F.col("url"))), "text")
+    scores = placed.join(sized(ratios, 40), "gram", "left").groupBy("row", "page_id", "url").agg(F.avg("ratio").alias("score"))
     host, path = host_and_path(F.col("url"))
     name, allow = rule_of(F.col("host"), F.col("path"), rules)
     found = table(scores.withColumn("host", host).withColumn("path", path).select("page_id", "url", "host", "path", name.alias("rule"), allow.alias("allow"), "score"), "urls")

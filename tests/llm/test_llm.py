@@ -13,6 +13,7 @@ import public_tokenizers
 import pytest
 import xxhash
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from biblioflow.llm import chat, common, dac, decontam, hilbert, langid, packing, repetition, simhash, token_ids, toxicity, url_filter
 from biblioflow.llm.queries import URL_RULES, op5_chat
@@ -115,9 +116,25 @@ def shingle_sets(text: str) -> set:
     return {tuple(w[i : i + 5]) for i in range(len(w) - 4)} or {tuple(w)}
 
 
-@pytest.mark.parametrize("small", [8, 1])
-def test_deduplicate_finds_copies_from_similarity_08(spark, monkeypatch, small):
-    monkeypatch.setattr(simhash, "SMALL_BUCKET", small)
+def test_sketches_never_rule_a_link_out():
+    rng = random.Random(4)
+    for n in (3, 40, 190, 200, 400, 3000):
+        base = [rng.getrandbits(64) for _ in range(n)]
+        sets = [base]
+        for _ in range(30):
+            own = [h for h in base if rng.random() > rng.choice([0, 0.05, 0.1, 0.2])]
+            sets.append(own + [rng.getrandbits(64) for _ in range(rng.randrange(max(1, n // 6)))])
+        sets = [np.unique(np.array(x, "u8")) for x in sets]
+        zero = np.zeros(len(sets), "u8")
+        bucket = simhash.Bucket(zero, np.arange(len(sets)), np.array([len(x) for x in sets]), [simhash.odd_sketch(x) for x in sets], 0.8)
+        linked, near = set(), set()
+        for u in range(len(sets)):
+            near |= {(u, int(v)) for v in bucket.near(u, np.arange(len(sets)))}
+            linked |= {(u, v) for v in range(len(sets)) if len(np.intersect1d(sets[u], sets[v])) / max(1, len(np.union1d(sets[u], sets[v]))) >= 0.8}
+        assert linked <= near and len(near) < 1.6 * len(linked) + 10
+
+
+def test_deduplicate_finds_copies_from_similarity_08(spark):
     rng = random.Random(17)
     texts: dict[int, str] = {}
     for i in range(30):
@@ -236,10 +253,11 @@ def test_proximity_matches_brute_force(spark, share, slack):
 @pytest.mark.parametrize("path", [BYTE, WORD])
 def test_piecewise_ids_equal_the_library(path):
     rng = random.Random(1)
-    alphabet = "aAbZéß İσΣ\u00a0\u2003'’.,!?_-0 1²Ⅷ\n\t\u0301 \x1c\u3000😀<|endoftext|>'s't'll中文\u0958\ufb1d"
-    texts = ["".join(rng.choice(alphabet) for _ in range(rng.randrange(40))) for _ in range(4000)] + ["it's he'll we've. foo's, 'tis  x\n\n y \n z", LONG[:5000], "", None]
-    encoder = token_ids.Encoder(path)
-    want = [np.array(e.ids, "<u4").tobytes() for e in encoder.library.encode_batch([t or "" for t in texts], add_special_tokens=False)]
+    alphabet = [*"aAbZéß İσΣ\u00a0\u2003'’.,!?_-0 1²Ⅷ\n\t\u0301 \x1c\u3000😀<|>'s't'll中文\u0958\ufb1d", "<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "endoftext"]
+    texts = ["".join(rng.choice(alphabet) for _ in range(rng.randrange(40))) for _ in range(4000)] + ["it's he'll we've. foo's, 'tis  x\n\n y \n z", LONG[:5000], "", None, f"a<|endoftext|> {LONG[:3000]} <|startoftext|><|endoftext|>b"]
+    assert sum("<|endoftext|>" in (t or "") for t in texts) > 1000
+    encoder, library = token_ids.Encoder(path), Tokenizer.from_file(path)
+    want = [np.array(e.ids, "<u4").tobytes() for e in library.encode_batch([t or "" for t in texts], add_special_tokens=False)]
     assert encoder.encode(texts) == want and encoder.encode(texts) == want
 
 
@@ -310,10 +328,25 @@ def test_codes_give_random_access(seed):
     assert dac.Reader(dac.encode(ids[:0])).slice(0, 0).tolist() == []
 
 
+def test_positions_are_looked_up_in_the_codes(spark, docs):
+    files = dac.write(docs, WORD, 2, segment=100)
+    whole = np.concatenate([dac.Reader(r["data"]).slice(0, r["n_tokens"]) for r in files.orderBy("bucket", "segment").collect()])
+    asked = sorted({0, len(whole) - 1, *random.Random(1).sample(range(len(whole)), 200)})
+    got = dac.tokens_at(files, spark.createDataFrame([(p,) for p in [*asked, *asked, -1, len(whole)]], "position long"), segment=64)
+    assert sorted((r["position"], r["token"]) for r in got.collect()) == [(p, int(whole[p])) for p in asked]
+
+
+def test_large_ids_keep_their_order_beside_a_null(spark):
+    ids = [2**62 + k for k in range(40)] + [None, -(2**62)]
+    d = spark.createDataFrame([(i, "a b") for i in ids], "doc_id long, text string")
+    got = sorted(dac.read(dac.write(d, WORD, 2, segment=7)).collect(), key=lambda r: r["start"])
+    assert [r["doc_id"] for r in got] == [None, *sorted(i for i in ids if i is not None)]
+
+
 def test_token_files_round_trip(spark, docs, none):
     got = sorted((tuple(r) for r in dac.read(dac.write(docs, WORD, 2, segment=100)).collect()), key=lambda r: r[1])
     encoder, start, want = token_ids.Encoder(WORD), 0, []
-    for i, text in sorted(((r[0], r[1]) for r in odd_rows(40)), key=lambda r: (r[0] is not None, r[0] or 0, r[1] or "")):
+    for i, text in sorted(((r[0], r[1]) for r in odd_rows(40)), key=lambda r: (r[0] is not None, r[0] or 0)):
         ids = encoder.encode([text])[0] + np.array([2], "<u4").tobytes()
         want.append((i, start, len(ids) // 4, zlib.crc32(ids)))
         start += len(ids) // 4
@@ -347,12 +380,44 @@ def test_toxicity_learns_and_leaves_mentions_alone(spark):
     assert abs(shift) < 0.5 and model.score("muslims w1 w2") < 0.5
 
 
+def test_counterfactual_term_cuts_false_positives_on_neutral_mentions(spark):
+    """Planted group mentions: most toxic rows name a group, so a free model takes the name for toxicity."""
+    rng = random.Random(9)
+    plain = [f"w{i}" for i in range(60)]
+    rows, labels = [], []
+    for i in range(900):
+        bad = i % 3 == 0
+        words = [rng.choice(plain) for _ in range(25)]
+        if rng.random() < (0.95 if bad else 0.02):
+            words += ["jews", "immigrants"]
+        if bad and rng.random() < 0.7:
+            words += [rng.choice(["vermin", "filth", "scumlike"])]
+        rng.shuffle(words)
+        rows.append((i, " ".join(words) + "."))
+        labels.append((i, int(bad)))
+    neutral = [(10_000 + i, " ".join([*rng.sample(plain, 20), "jews", "immigrants"]) + ".") for i in range(60)]
+    d, y = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")
+    held, free = (toxicity.train(d, y, F.lit(True), swap=w) for w in (1.0, 0.0))
+    wrong = lambda m: sum(m.score(t) >= 0.7 for _, t in neutral)
+    assert held.pairs > 100 and wrong(free) > 30 and wrong(held) < wrong(free) / 3
+    caught = lambda m: sum(m.score(t) >= 0.7 for (i, t) in rows if any(w in t for w in ("vermin", "filth", "scumlike"))) / sum(any(w in t for w in ("vermin", "filth", "scumlike")) for _, t in rows)
+    assert caught(held) > 0.95
+
+
+def test_every_mention_is_swapped():
+    text = ". ".join(f"x{i} muslims and jews" for i in range(40))
+    partners = toxicity.swap_partners(toxicity.IDENTITY)
+    assert len(list(toxicity.counterfactuals(text, partners))) == 40 * (len(partners["muslims"]) + len(partners["jews"]))
+    a, b = next(toxicity.counterfactuals("muslims here", {"muslims": ["people"]}))
+    assert a == toxicity.forms("muslims") and b == toxicity.forms("people")
+
+
 def test_counterfactual_term_lowers_the_change():
     rng = np.random.default_rng(1)
     y = (np.arange(400) % 2).astype(float)
     word = lambda k: np.array(sorted(k), "<i4").tobytes()
     rows = [word({1 + int(b), *([0] if rng.random() < (0.9 if b else 0.2) else []), 3 + int(rng.integers(5))}) for b in y]
-    pairs = [(word({0, 3}), word({3}))]
+    pairs = [(word({0, 3}), word({3}), 5)]
     free, _ = toxicity.fit_logistic(rows, y, [], 8)
     held, _ = toxicity.fit_logistic(rows, y, pairs, 8)
     assert abs(held[0]) < 0.2 * abs(free[0])
@@ -397,21 +462,39 @@ def test_language_is_learned_and_every_position_labelled(spark):
     net = langid.train(d, F.col("doc_id") % 4 != 2, sample=60)
     held = langid.predicted(d, net).where("doc_id % 4 = 2").collect()
     assert sum(r["lang"] == r["lang_pred"] for r in held) / len(held) > 0.95
-    texts = [b"aeiou" * 100, b"", b"z" * 65]
-    seen = np.zeros(3, int)
+    texts = [b"aeiou" * 700, b"", b"z" * 65, "".join(rng.choice(kinds["xx"] + kinds["yy"]) for _ in range(2000)).encode()]
+    seen = np.zeros(4, int)
     for own, p, real in langid.label_positions(net, texts):
         assert np.allclose(p.sum(axis=2), 1, atol=1e-4)
         np.add.at(seen, own, real.sum(axis=0))
-    assert seen.tolist() == [500, 0, 65]
+    assert seen.tolist() == [3500, 0, 65, 2000]
+    for t, got in zip(texts, langid.probabilities(net, texts), strict=True):
+        if t:  # against the whole text in one stretch, state carried from end to end
+            x = np.frombuffer(t, np.uint8).astype(np.intp)[:, None]
+            assert np.allclose(got, langid.softmax(langid.states(net, x) @ net.out + net.bias).mean(axis=(0, 1)), atol=2e-3)
+
+
+def test_every_language_is_learned_whatever_its_id(spark):
+    rows = [(f"id-{i}", chr(0x4E00 + 40 * (i % 70)) * 30 + " ab", f"l{i % 70}") for i in range(210)]
+    net = langid.train(spark.createDataFrame(rows, "doc_id string, text string, lang string"), F.lit(True))
+    assert net.languages == sorted(f"l{k}" for k in range(70))
+
+
+def test_sample_is_bounded_by_language(spark, monkeypatch):
+    seen = {}
+    monkeypatch.setattr(langid, "fit", lambda x, y, names: seen.update(n=np.bincount(y), names=names))
+    rows = [(i, f"text {i} " * 30, "big" if i % 10 else "small") for i in range(2000)] + [(5, "same", "big")] * 500
+    langid.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"), F.lit(True), sample=20, windows=1)
+    assert seen["names"] == ["big", "small"] and seen["n"].tolist() == [20, 20]
 
 
 def test_language_edge_cases(spark, docs, none):
     net = langid.train(docs, F.lit(True))
-    got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in langid.predicted(docs.drop("score"), net).collect()}
+    got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in langid.predicted(docs, net).collect()}
     assert got[1] == got[2] == got[3] == ("und", 0.0) and got[4][0] in ("en", "de")
-    assert langid.predicted(none.drop("score"), net).count() == 0 and langid.train(none, F.lit(True)) is None
-    assert {r["lang_pred"] for r in langid.predicted(docs.drop("score"), None).collect()} == {"und"}
-    assert langid.reject_unknown(docs, net, least=0.0).columns == docs.columns
+    assert langid.predicted(none, net).count() == 0 and langid.train(none, F.lit(True)) is None
+    assert {r["lang_pred"] for r in langid.predicted(docs, None).collect()} == {"und"}
+    assert langid.reject_unknown(docs, net, margin=0.0).columns == docs.columns
 
 
 # Repetition
@@ -482,6 +565,36 @@ def test_shards_hold_every_row_once(spark, law):
     assert sorted(r["rank"] for r in got) == list(range(len(rows)))
 
 
+def test_ranks_follow_the_curve_and_files_prune(spark):
+    rng = random.Random(3)
+    rows = [(i, f"text {i}", rng.choice("abcdefgh"), rng.choice("pqrstuvw"), rng.randrange(10**6)) for i in range(20_000)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(5)
+    dims, bits = ["source", "lang", "n_chars"], 3
+    got = hilbert.write(d, dims, shards=4, bits=bits)
+    cell = got.withColumn("cell", hilbert.cell_of(d, dims, bits)).orderBy("rank").collect()
+    cells = np.array([[r["cell"] >> bits * (2 - i) & (1 << bits) - 1 for i in range(3)] for r in cell])
+    assert (np.diff(hilbert.curve_index(cells, bits)) >= 0).all()
+    bounds = lambda key: [(min(r[d] for r in f), max(r[d] for r in f)) for f in key for d in ["n_chars"]]
+    runs = [cell[k : k + 500] for k in range(0, len(cell), 500)]
+    for dim in range(3):  # a run of 500 of 20,000 rows spans a part of every dimension
+        spans = [cells[k : k + 500, dim].max() - cells[k : k + 500, dim].min() + 1 for k in range(0, len(cells), 500)]
+        assert np.mean(spans) < 0.62 * (1 << bits)
+    assert len(runs) == len(bounds(runs))
+    files = got.groupBy(F.input_file_name().alias("f")).agg(F.min("rank").alias("a"), F.max("rank").alias("z"), F.count("*").alias("n")).orderBy("a").collect()
+    assert all(f["z"] - f["a"] + 1 == f["n"] for f in files)
+
+
+def test_few_values_and_equal_rows_are_dealt_evenly(spark, monkeypatch):
+    d = spark.createDataFrame([(i, f"t{i}", ["en", "de", None][i % 3]) for i in range(9000)], "doc_id long, text string, lang string")
+    got = hilbert.write(d, ["lang"], shards=4).groupBy("shard").agg(F.count("*").alias("n"), F.max("slot").alias("m")).collect()
+    assert [(r["n"], r["m"]) for r in got] == [(2250, 2249)] * 4
+    same = spark.range(40_000).select(F.lit(5).cast("long").alias("doc_id"), F.lit("one text").alias("text"), F.lit("en").alias("lang"))
+    laid = hilbert.layout(same, ["lang"], shards=4)
+    parts = [r["count"] for r in laid.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    assert sum(parts) == 40_000 and len(parts) > 2 and max(parts) < 2 * 40_000 / len(parts)
+    assert laid.select("rank").distinct().count() == 40_000 and laid.columns[:3] == same.columns
+
+
 def test_layout_of_an_empty_table(spark, none):
     assert hilbert.write(none, ["source", "n_chars"]).count() == 0
 
@@ -514,22 +627,62 @@ def test_models_tell_kinds_of_urls_apart(spark):
     assert url_filter.judged(spark.createDataFrame([], "page_id long, url string"), URL_RULES).count() == 0
 
 
-def test_log_ratios_match_plain_witten_bell(spark):
-    grams = {"^^a": (3, 1), "^ab": (2, 0), "abc": (1, 1), "^^b": (0, 4), "bca": (2, 2), "xbc": (1, 0)}
-    got = {r["gram"]: r["ratio"] for r in url_filter.log_ratios(spark.createDataFrame([(g, *n) for g, n in grams.items()], "gram string, yes long, no long")).collect()}
+def plain_ratios(grams: dict[str, tuple[int, int]], order: int) -> dict[str, float]:
+    """Witten-Bell from the longest context down, by definition."""
 
     def p(gram, side):
         n = lambda f: sum(v[side] for g, v in grams.items() if f(g))
-        kinds = lambda f, key: len({key(g) for g, v in grams.items() if f(g) and v[side]})
-        x = (n(lambda g: g[2] == gram[2]) + 1) / (n(lambda g: True) + url_filter.ALPHABET)
-        for k in (1, 0):
-            total, t = n(lambda g, k=k: g[k:2] == gram[k:2]), kinds(lambda g, k=k: g[k:2] == gram[k:2], lambda g, k=k: g[k:])
-            if total:
-                x = (n(lambda g, k=k: g[k:] == gram[k:]) + t * x) / (total + t)
+        both = lambda f: sum(sum(v) for g, v in grams.items() if f(g))
+        x = (n(lambda g: g[-1] == gram[-1]) + 1) / (n(lambda g: True) + url_filter.ALPHABET)
+        for k in range(1, order + 1):
+            own = lambda g, k=k: g[-k - 1 : -1] == gram[-k - 1 : -1]
+            if n(own) and (k == 1 or both(own) >= url_filter.LEAST):
+                kinds = len({g[-1] for g, v in grams.items() if own(g) and v[side]})
+                x = (n(lambda g, k=k: g[-k - 1 :] == gram[-k - 1 :]) + kinds * x) / (n(own) + kinds)
         return np.log(x)
 
-    for g, ratio in got.items():
-        assert ratio == pytest.approx(p(g, 0) - p(g, 1))
+    return {g: p(g, 0) - p(g, 1) for g in grams}
+
+
+def test_log_ratios_match_plain_witten_bell(spark):
+    grams = {"^^a": (3, 1), "^ab": (2, 0), "abc": (1, 1), "^^b": (0, 4), "bca": (2, 2), "xbc": (1, 0), "yya": (0, 0)}
+    got = {r["gram"]: r["ratio"] for r in url_filter.log_ratios(spark.createDataFrame([(g, *n) for g, n in grams.items()], "gram string, yes long, no long"), order=2).collect()}
+    assert got == pytest.approx(plain_ratios(grams, 2))
+
+
+def test_url_verdicts_match_brute_force(spark):
+    """Labels, counts, scores, cut and verdicts of whole URLs, by definition."""
+    rng = random.Random(21)
+    make = lambda: "".join(rng.choice(["ab", "ca", "7", "-", "xy", "Z", "é"]) for _ in range(rng.randrange(1, 4)))
+    urls = list(dict.fromkeys(f"{rng.choice(['http', 'https'])}://{make()}.{rng.choice(['example.com', 'example.net', 'b.org', 'c.edu'])}/{rng.choice(['en', 'de', 'es'])}/{rng.choice('78')}{make()}" for _ in range(120)))
+    got = {r["url"]: r for r in url_filter.judged(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string"), URL_RULES).collect()}
+    order, allow, grams = url_filter.ORDER, {}, defaultdict(lambda: [0, 0])
+
+    def text(u):
+        return "".join(c if c in "abcdefghijklmnopqrstuvwxyz0123456789" + url_filter.MARKS else "~" for c in re.sub("[A-Z]", lambda m: m[0].lower(), u.split("://", 1)[1]))
+
+    def cuts(u):
+        padded = url_filter.START * order + text(u)
+        return [padded[i : i + order + 1] for i in range(len(text(u)))]
+
+    for u in urls:
+        host, path = re.match(r"([^/?#]*)([^?#]*)", u.split("://", 1)[1]).groups()
+        fits = [r for r in URL_RULES if (host == r.host or host.endswith("." + r.host)) and path.startswith(r.path)]
+        allow[u] = max(fits, key=lambda r: len(r.name)).allow if fits else None
+        assert got[u]["rule"] == (max(fits, key=lambda r: len(r.name)).name if fits else None)
+        for g in cuts(u):
+            grams[g][0 if allow[u] else 1] += allow[u] is not None and zlib.crc32(u.encode()) % url_filter.FOLDS != 0
+    ratio = plain_ratios({g: tuple(n) for g, n in grams.items()}, order)
+    score = {u: sum(ratio[g] for g in cuts(u)) / len(cuts(u)) for u in urls}
+    assert {u: r["score"] for u, r in got.items()} == pytest.approx(score)
+    held = sorted({(int(score[u] // url_filter.STEP), allow[u]) for u in urls if allow[u] is not None and zlib.crc32(u.encode()) % url_filter.FOLDS == 0})
+    free = [u for u in urls if allow[u] is None]
+    assert len(held) > 5 and len(free) > 20 and {got[u]["verdict"] for u in free} == {"allow", "block"}
+    least = min(score[u] for u in free if got[u]["verdict"] == "allow")
+    assert max(score[u] for u in free if got[u]["verdict"] == "block") < least
+    errors = lambda cut: sum((score[u] >= cut) != allow[u] for u in urls if allow[u] is not None and zlib.crc32(u.encode()) % url_filter.FOLDS == 0)
+    assert errors(least) <= min(errors(c / 100) for c in range(-500, 500)) + 1  # the cut lies on a step
+    assert all(r["verdict"] == ("allow" if allow[u] else "block") for u, r in got.items() if allow[u] is not None)
 
 
 # Chat
