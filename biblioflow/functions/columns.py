@@ -47,20 +47,6 @@ def same_set(a: Column, b: Column) -> Column:
     return F.array_sort(F.array_distinct(a)).eqNullSafe(F.array_sort(F.array_distinct(b)))
 
 
-def first_non_empty(c: Column) -> Column:
-    """First element of a list that is neither null nor empty, else the empty string."""
-    return F.coalesce(F.get(F.filter(c, lambda x: x.isNotNull() & (x != "")), F.lit(0)), F.lit(""))
-
-
-def at_most_one(c: Column) -> Column:
-    """Whether a list has at most one different non-empty value."""
-    return F.size(F.array_distinct(F.filter(F.coalesce(c, F.array()), lambda x: x.isNotNull() & (x != "")))) <= 1
-
-
-def last_token(c: Column) -> Column:
-    return F.element_at(F.split(c, " "), -1)
-
-
 def id_list(c: Column) -> Column:
     """array<bigint> of a JSON text such as ``[1, 2]``; text that is no list gives null."""
     return F.from_json(c, "array<bigint>")

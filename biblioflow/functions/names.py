@@ -8,10 +8,9 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections import Counter
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -85,9 +84,16 @@ def usable(raw: Column) -> Column:
 
 
 def coauthor_key(c: Column) -> Column:
-    """First letter and last word of a name, lower-case without separators."""
+    """First letter and last word of a name, lower-case without separators; a name of one word as it is without them."""
     low = F.trim(F.lower(c))
-    return F.concat(F.substring(low, 1, 1), F.lit("_"), F.regexp_replace(F.element_at(F.split(low, r"\s+"), -1), r"[\s.,_-]", ""))
+    last = F.regexp_replace(F.element_at(F.split(low, r"\s+"), -1), r"[\s.,:/-]", "")
+    return F.when(low.rlike(r"\s"), F.concat(F.substring(low, 1, 1), F.lit("_"), last)).otherwise(last)
+
+
+def coauthor_keys(c: Column, longer_than: int = 6) -> Column:
+    """The different keys of a list of coauthors that are longer than ``longer_than``, sorted; short ones tell nobody apart."""
+    keys = F.transform(F.coalesce(c, F.array().cast("array<string>")), coauthor_key)
+    return F.array_sort(F.array_distinct(F.filter(keys, lambda k: F.length(k) > longer_than)))
 
 
 def display_changed(old: str | None, new: str | None) -> bool:
@@ -101,8 +107,8 @@ def block_of(search: Column) -> Column:
 
 
 def letter_of(search: Column) -> Column:
-    """Blocking key: the first letter of what stands before the last word, or of the word itself."""
-    return F.substring(F.ltrim(search), 1, 1)
+    """Blocking key: the first letter of what stands before the last word; empty for a name of one word."""
+    return F.when(F.instr(F.trim(search), " ") > 0, F.substring(F.ltrim(search), 1, 1)).otherwise(F.lit(""))
 
 
 def slots(name: str) -> dict[str, tuple[list[str], list[str]]]:
@@ -122,6 +128,14 @@ def slots(name: str) -> dict[str, tuple[list[str], list[str]]]:
     return {k: (sorted(a), sorted(b)) for k, (a, b) in found.items()}
 
 
+def merged_slots(structures: list[dict[str, tuple[list[str], list[str]]]]) -> dict[str, tuple[list[str], list[str]]]:
+    """The slots of several names of one author as one structure: each slot's names and initials together.
+
+    Search forms have no hyphens, so each name adds at most one of either to a slot.
+    """
+    return {k: tuple(sorted({x for s in structures for x in s[k][part]}) for part in (0, 1)) for k in slots("")}
+
+
 def _agrees(a: tuple, b: tuple) -> bool:
     """Full names where both have them, else initials, else nothing speaks against it."""
     if a[0] and b[0]:
@@ -129,52 +143,83 @@ def _agrees(a: tuple, b: tuple) -> bool:
     return bool(set(a[1]) & set(b[1])) if a[1] and b[1] else True
 
 
-def compatible(a: str, b: str) -> bool:
-    """Whether two search forms may be one person's name; symmetric."""
-    x, y = slots(a), slots(b)
-    u, v = a.split(), b.split()
-    if not u or not v:
+def _not_swapped(x: dict, y: dict) -> bool:
+    """Whether first and last names agree by more than one name that stands in both slots.
+
+    Where an author has been read both ways round, one name in both slots would match twice by itself. Names found in
+    all four lists are set aside; of what is left, first names must meet first names or last names last names.
+    """
+    lists = [set(s[k][0]) for s in (x, y) for k in ("first", "last")]
+    if not all(lists) or not any(first & last and len(first) > 1 for first, last in (lists[:2], lists[2:])):
+        return True
+    if all(len(n) == 2 for n in lists):
+        return lists[2] | lists[3] <= lists[0] | lists[1]
+    common = set.intersection(*lists)
+    f, p, g, q = (n - common for n in lists)
+    if not any((f, p, g, q)):
+        return True
+    return bool((f & g) or (p & q))
+
+
+def compatible_slots(x: dict, y: dict) -> bool:
+    """Whether two structures agree: first, last, guard against swapped names, then middles until both have none."""
+    if not (x["first"][1] and y["first"][1]):
         return True
-    if not _agrees(x["first"], y["first"]):
-        return len(u) == len(v) == 2 and u == v[::-1]
-    if not _agrees(x["last"], y["last"]):
+    if not _agrees(x["first"], y["first"]) or not _agrees(x["last"], y["last"]) or not _not_swapped(x, y):
         return False
     for i in range(1, MIDDLES + 1):
         p, q = x[f"middle{i}"], y[f"middle{i}"]
         if not p[1] and not q[1]:
             return True
-        # a full first name against a longer one: the shorter name may leave middles out
         if p[1] and q[1] and not _agrees(p, q):
             return False
     return True
 
 
+def rotated(a: str, b: str) -> bool:
+    """Two names of two words each, one the other's turned round."""
+    u, v = a.split(), b.split()
+    return len(u) == len(v) == 2 and u == v[::-1]
+
+
+def compatible(a: str, b: str) -> bool:
+    """Whether two search forms may be one person's name; symmetric."""
+    x, y = slots(a), slots(b)
+    if x["first"][1] and y["first"][1] and not _agrees(x["first"], y["first"]):
+        return rotated(a, b)
+    return compatible_slots(x, y)
+
+
+def registry_form(name: str | None) -> list[str]:
+    """Words of a folded name for comparison with a registry: hyphens, dots, commas and bars part words, other symbols go."""
+    text = re.sub(r"[.,|\-\u2010]", " ", fold(unicodedata.normalize("NFKC", name or "")).lower())
+    return re.sub(r"[^\w\s]|[\d_]", "", text).split()
+
+
 def evidence(author: str | None, given: list[str] | None, family: list[str] | None) -> list[float]:
-    """[family, given, initials] points of a registry's name in an author string; all 0 without a family name.
+    """[family, given, initials] points of a registry's name in an author string; all 0 where no family name is found.
 
-    A token counts 1 as a whole word and 0.75 inside one; what matched is cut out. Of tokens left over, the first
-    letter counts 1 as a whole word.
+    A token of two letters or more counts 1 as a whole word and 0.75 inside one; what matched is cut out. Of the given,
+    then the family tokens left over, the first letter counts 1 as a whole word.
     """
-    text = " ".join(re.sub(r"[^\w\s]|_", " ", fold(author or "").lower()).split())
-    clean = lambda tokens: [t for t in (search_form(x) for x in tokens or []) if t]
-    points, left = [0.0, 0.0, 0.0], []
-    for kind, tokens in enumerate((clean(family), clean(given))):
-        for token in tokens:
-            whole = re.search(rf"(?<!\w){re.escape(token)}(?!\w)", text) if len(token) > 1 else None
-            if whole:
-                points[kind] += 1
-                text = text[: whole.start()] + " " + text[whole.end() :]
-            elif len(token) > 1 and token in text:
-                points[kind] += 0.75
-                text = text.replace(token, "", 1)
-            elif kind:
-                left.append(token)
-        if not kind and not points[0]:
-            return [0.0, 0.0, 0.0]
-    for token in left:
-        if found := re.search(rf"(?<!\w){re.escape(token[0])}(?!\w)", text):
+    text = " ".join(registry_form(author))
+    tokens = [[t for x in names or [] for t in registry_form(x)] for names in (family, given)]
+    points, left = [0.0, 0.0, 0.0], ([], [])
+    if tokens[0] and not any(t in text for t in tokens[0]):
+        return points
+    for kind, own in enumerate(tokens):
+        for token in own:
+            found = re.search(rf"\b{re.escape(token)}\b", text) if len(token) > 1 else None
+            at = found.start() if found else text.find(token) if len(token) > 1 else -1
+            if at < 0:
+                left[kind].append(token)
+                continue
+            points[kind] += 1 if found else 0.75
+            text = (text[:at] + text[at + len(token) :]).strip()
+    for token in left[1] + left[0]:
+        if found := re.search(rf"\b{re.escape(token[0])}\b", text):
             points[2] += 1
-            text = text[: found.start()] + " " + text[found.end() :]
+            text = (text[: found.start()] + text[found.end() :]).strip()
     return points
 
 
@@ -183,26 +228,36 @@ def accepted(e: Column) -> Column:
     return (F.get(e, F.lit(0)) > 0) & ((F.get(e, F.lit(1)) > 0) | (F.get(e, F.lit(2)) > 0))
 
 
-def display_name(names: list[str]) -> str:
-    """The most frequent name of more than one word; ties to the longest, then the greatest; with its diacritics."""
-    counts = Counter(n for n in names if n)
-    if not counts:
-        return ""
-    pool = {n: k for n, k in counts.items() if " " in n} or counts
-    best = max(pool, key=lambda n: (pool[n], len(n), n))
-    same = [n for n in counts if fold(n) == fold(best)]
-    return max(same, key=lambda n: (sum(fold(c) != c for c in n), counts[n], n))
+def diacritics(name: str) -> int:
+    return sum(fold(c) != c for c in name)
 
 
-def alternate_names(names: list[str]) -> list[str]:
-    """Names without a trailing bracket and with plain hyphens; of variants in dots and case the longest stays."""
-    by: dict[str, str] = {}
-    for n in names:
-        n = re.sub(r"[‐-―]", "-", n or "").rstrip("( ").strip()
-        if n:
-            key = n.replace(".", "").lower()
-            by[key] = max(by.get(key, ""), n, key=lambda x: (len(x), x))
-    return sorted(by.values())
+def plain_hyphens(c: Column) -> Column:
+    """A name with plain hyphens and without a trailing bracket."""
+    return F.trim(F.regexp_replace(F.regexp_replace(c, "[\u2010-\u2015]", "-"), r"[( ]+$", ""))
+
+
+def display_names(rows: DataFrame, key: str, name: str) -> DataFrame:
+    """(key, display_name): the most frequent name of more than one word; ties to the longest, then the greatest; of the
+    variants that differ from it by diacritics only, the one with most of them. A key without names has "".
+
+    Names are counted first; after that a key meets each of its different names once, and only in aggregates.
+    """
+    counts = rows.groupBy(F.col(key).alias("key"), F.col(name).alias("name")).agg(F.count("*").alias("n")).where(F.coalesce("name", F.lit("")) != "")
+    counts = counts.withColumn("folded", fold_of("name"))
+    order = F.struct(F.instr("name", " ") > 0, "n", F.length("name"), "name")
+    best = counts.groupBy("key").agg(F.max_by("folded", order).alias("best")).select(F.col("key").alias("_key"), "best")
+    same = counts.join(best, F.col("key").eqNullSafe(F.col("_key")) & (F.col("folded") == F.col("best"))).select("key", "name", "n")
+    shown = same.groupBy(F.col("key").alias("_key")).agg(F.max_by("name", F.struct(diacritics_of("name"), "n", "name")).alias("display_name"))
+    keys = rows.select(F.col(key).alias("key")).distinct()
+    return keys.join(shown, F.col("key").eqNullSafe(F.col("_key")), "left").select(F.col("key").alias(key), F.coalesce("display_name", F.lit("")).alias("display_name"))
+
+
+def alternates(rows: DataFrame, key: str, name: str) -> DataFrame:
+    """(key, name): names with plain hyphens and without a trailing bracket; of variants in dots and case the longest stays."""
+    plain = rows.select(F.col(key).alias(key), plain_hyphens(F.col(name)).alias("name")).where("name <> ''")
+    form = F.lower(F.replace("name", F.lit("."), F.lit("")))
+    return plain.groupBy(key, form.alias("form")).agg(F.max_by("name", F.struct(F.length("name"), "name")).alias("name")).select(key, "name")
 
 
 TEXTS = T.ArrayType(T.StringType())
@@ -223,9 +278,14 @@ def scripts_of(names: pd.Series) -> pd.Series:
     return names.map(scripts)
 
 
-@F.pandas_udf(T.BooleanType())
-def compatible_of(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([compatible(x or "", y or "") for x, y in zip(a, b, strict=True)], dtype=bool)
+@F.pandas_udf(T.StringType())
+def fold_of(names: pd.Series) -> pd.Series:
+    return names.map(fold)
+
+
+@F.pandas_udf(T.IntegerType())
+def diacritics_of(names: pd.Series) -> pd.Series:
+    return names.map(diacritics).astype("int32")
 
 
 @F.pandas_udf(T.ArrayType(T.DoubleType()))
@@ -249,11 +309,29 @@ def slots_of(names: pd.Series) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=SLOT_NAMES)
 
 
-@F.pandas_udf(T.StringType())
-def display_name_of(names: pd.Series) -> pd.Series:
-    return names.map(lambda x: display_name(list(x) if x is not None else []))
-
-
-@F.pandas_udf(TEXTS)
-def alternate_names_of(names: pd.Series) -> pd.Series:
-    return names.map(lambda x: alternate_names(list(x) if x is not None else []))
+def slots_match(a: str, b: str) -> Column:
+    """``compatible`` of two columns of ``slots_of`` structures, beside which ``{column}_words`` holds the name's words."""
+    x, y = (lambda k: F.col(f"{a}.{k}")), (lambda k: F.col(f"{b}.{k}"))
+    some = lambda c: F.size(c) > 0
+
+    def agrees(k: str) -> Column:
+        initials = ~(some(x(f"{k}_initials")) & some(y(f"{k}_initials"))) | F.arrays_overlap(x(f"{k}_initials"), y(f"{k}_initials"))
+        return F.when(some(x(k)) & some(y(k)), F.arrays_overlap(x(k), y(k))).otherwise(initials)
+
+    middles = F.lit(True)
+    for i in range(MIDDLES, 0, -1):
+        k = f"middle{i}"
+        middles = ~(some(x(f"{k}_initials")) | some(y(f"{k}_initials"))) | (agrees(k) & middles)
+    lists = [x("first"), x("last"), y("first"), y("last")]
+    alias = lambda f, p: F.arrays_overlap(f, p) & (F.size(f) > 1)
+    guarded = some(lists[0]) & some(lists[1]) & some(lists[2]) & some(lists[3]) & (alias(lists[0], lists[1]) | alias(lists[2], lists[3]))
+    pairs_only = (F.size(lists[0]) == 2) & (F.size(lists[1]) == 2) & (F.size(lists[2]) == 2) & (F.size(lists[3]) == 2)
+    all_there = F.size(F.array_except(F.array_union(lists[2], lists[3]), F.array_union(lists[0], lists[1]))) == 0
+    common = F.array_intersect(F.array_intersect(lists[0], lists[1]), F.array_intersect(lists[2], lists[3]))
+    f, p, g, q = (F.array_except(n, common) for n in lists)
+    left = ~(some(f) | some(p) | some(g) | some(q)) | F.arrays_overlap(f, g) | F.arrays_overlap(p, q)
+    fine = ~guarded | F.when(pairs_only, all_there).otherwise(left)
+    u, v = F.col(f"{a}_words"), F.col(f"{b}_words")
+    turned = (F.size(u) == 2) & (F.size(v) == 2) & (u == F.reverse(v))
+    named = some(x("first_initials")) & some(y("first_initials"))
+    return ~named | F.when(agrees("first"), agrees("last") & fine & middles).otherwise(turned)

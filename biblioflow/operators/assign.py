@@ -6,8 +6,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from biblioflow.functions.columns import capped_list, jaccard, newest, orcid_compatible, overlap, paper_of
-from biblioflow.functions.names import block_of, compatible_of, letter_of, search_form_of, usable
-from biblioflow.operators.diff import NULL_BUCKET
+from biblioflow.functions.names import block_of, coauthor_keys, letter_of, search_form_of, slots_match, slots_of, usable
+from biblioflow.operators.citations import redirected
+from biblioflow.operators.diff import NULL_BUCKET, TOMBSTONE
+from biblioflow.sources.stages import staged
 
 #: Coefficients of the pair score over the feature vector; the intercept comes first.
 SCORER = (-3.0, 2.5, 1.5, 3.5, 0.05, 0.3, 2.0, 2.5)
@@ -19,21 +21,19 @@ ROOT_CONCEPTS = (17744445, 138885662, 162324750, 144133560, 15744967, 33923547,
 CONCEPT_SCORE = 0.3
 
 
-def allocated(df: DataFrame, order: list[Column | str], last: int, name: str = "new_id", partitions: int = 64) -> DataFrame:
-    """``df`` with ids last + 1, last + 2, ... by ``order`` (its first key a number), without sorting all rows in one task.
+def allocated(df: DataFrame, order: list[Column | str], last: int, name: str = "new_id", rows_a_range: int = 100_000, most_ranges: int = 10_000) -> DataFrame:
+    """``df`` with ids last + 1, last + 2, ... by ``order``, without sorting all rows in one task.
 
-    Rows are ranked inside ranges of the first key, and the ranges' counts (one row each) are added up.
+    Rows are dealt by ranges of the whole order (their number grows with the rows) and sorted there; they are written
+    with their range and place, and the ranges' counts are added up.
     """
-    dealt = df.withColumn("_key", F.coalesce(order[0] if isinstance(order[0], Column) else F.col(order[0]), F.lit(-1)))
-    cuts = dealt.agg(F.percentile_approx("_key", [i / partitions for i in range(1, partitions)], 10_000)).first()[0] or []
-    block = F.lit(0)
-    for cut in sorted(set(cuts)):
-        block = block + (F.col("_key") > F.lit(cut)).cast("int")
-    dealt = dealt.withColumn("_block", block)
-    sizes = dealt.groupBy("_block").agg(F.count("*").alias("_n"))  # at most ``partitions`` rows
-    before = F.coalesce(F.sum("_n").over(Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    rank = F.row_number().over(Window.partitionBy("_block").orderBy("_key", *order[1:]))
-    return dealt.join(F.broadcast(sizes.select("_block", before.alias("_base"))), "_block").withColumn(name, F.lit(last) + F.col("_base") + rank).drop("_block", "_base", "_key")
+    ranges = max(1, min(most_ranges, -(-df.count() // rows_a_range)))
+    keys = [c if isinstance(c, Column) else F.col(c) for c in order]
+    sorted_ = df.repartitionByRange(ranges, *keys).sortWithinPartitions(*keys)
+    dealt = staged(sorted_.withColumn("_range", F.spark_partition_id()).withColumn("_place", F.monotonically_increasing_id() % F.lit(1 << 33)), "allocated")
+    sizes = dealt.groupBy("_range").agg(F.count("*").alias("_n"))  # at most ``most_ranges`` rows
+    before = F.coalesce(F.sum("_n").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return dealt.join(F.broadcast(sizes.select("_range", before.alias("_base"))), "_range").withColumn(name, F.lit(last) + F.col("_base") + F.col("_place") + 1).drop("_range", "_base", "_place")
 
 
 def features(pairs: DataFrame, a: str = "_1", b: str = "_2") -> DataFrame:
@@ -95,57 +95,132 @@ def assigned(candidates: DataFrame) -> DataFrame:
     return best.withColumn("_gained", gained).withColumn("_place", place).where("_gained <= 1 or _place = 1").drop("_gained", "_place")
 
 
-def orcid_matches(new: DataFrame, authors: DataFrame) -> DataFrame:
+def orcid_matches(new: DataFrame, owners: DataFrame) -> DataFrame:
     """(work_author_id_1, author_id) of new authorships whose identifier one author has; the smallest author_id wins."""
-    owner = authors.where(F.coalesce("orcid", F.lit("")) != "").groupBy("orcid").agg(F.min("author_id").alias("author_id"))
-    return new.join(owner, new["orcid_1"] == owner["orcid"]).select("work_author_id_1", "author_id")
+    owner = owners.where(F.col("orcid_2") != "").groupBy("orcid_2").agg(F.min("author_id").alias("author_id"))
+    return new.join(owner, new["orcid_1"] == owner["orcid_2"]).select("work_author_id_1", "author_id")
 
 
-def name_candidates(new: DataFrame, authors: DataFrame, barred: DataFrame | None = None) -> DataFrame:
-    """Pairs of new authorships and existing ones of authors with that very name among their alternate names.
+def name_candidates(new: DataFrame, known: DataFrame) -> DataFrame:
+    """(author_id, new columns) of authors known by the very name of a new authorship; known: author_id, author."""
+    return new.join(known.select("author_id", F.col("author").alias("author_1")).distinct(), "author_1")
 
-    new: suffix _1 columns, author_1; authors: author_id, alternate_names; ``barred``: (paper_id, author_id) never paired.
+
+def blocked_candidates(new: DataFrame, known: DataFrame) -> DataFrame:
+    """(author_id, new columns) whose names share a block (last word, letter before it) and are compatible.
+
+    Each different name is taken apart once; compatibility is an expression over the parts.
     """
-    named = authors.select("author_id", F.explode("alternate_names").alias("author_1")).distinct()
-    found = new.join(named, "author_1")
-    if barred is None:
-        return found
-    return found.join(barred.select(F.col("paper_id").alias("paper_id_1"), "author_id"), ["paper_id_1", "author_id"], "left_anti")
 
+    def form(df: DataFrame, c: str, side: str) -> DataFrame:
+        parts = df.select(F.col(c).alias(side)).distinct().withColumn(f"{side}_s", search_form_of(side))
+        parts = parts.withColumn(f"{side}_slots", slots_of(f"{side}_s")).withColumn(f"{side}_slots_words", F.split(f"{side}_s", " "))
+        return parts.withColumn("_block", block_of(F.col(f"{side}_s"))).withColumn("_letter", letter_of(F.col(f"{side}_s")))
+
+    met = form(new, "author_1", "a").join(form(known, "author", "b"), ["_block", "_letter"]).where(slots_match("a_slots", "b_slots"))
+    pairs = met.select(F.col("a").alias("author_1"), F.col("b").alias("author"))
+    authors = pairs.join(known, "author").select("author_1", "author_id").distinct()
+    return new.join(authors, "author_1")
+
+
+def curated_clusters(current: DataFrame, requests: DataFrame, merges: DataFrame, frozen: DataFrame) -> DataFrame:
+    """(work_author_id, author_id): current clusters after the newest request for each authorship and the merges.
+
+    current: work_author_id, author_id; requests: work_author_id, new_author_id, request_date. The two sentinels are no
+    clusters.
+    """
+    wanted = newest(requests, ["work_author_id"], F.desc("request_date"), F.desc("new_author_id")).select("work_author_id", "new_author_id")
+    asked = current.select("work_author_id", "author_id").join(wanted, "work_author_id", "full").select("work_author_id", F.coalesce("new_author_id", "author_id").alias("author_id"))
+    moved = redirected(asked, merge_map(merges, frozen).dropDuplicates(["merge_from_id"]), "author_id")
+    return moved.where(~F.col("author_id").isin(NULL_BUCKET, TOMBSTONE)).distinct()
 
-def blocked_candidates(new: DataFrame, authors: DataFrame, barred: DataFrame | None = None) -> DataFrame:
-    """Pairs of new authorships and authors whose names share a block (last word, first letter) and are compatible."""
-    form = lambda df, c: df.withColumn("_s", search_form_of(c)).withColumn("_block", block_of(F.col("_s"))).withColumn("_letter", letter_of(F.col("_s")))
-    known = form(authors.select("author_id", F.explode("alternate_names").alias("_n")), "_n").select("author_id", F.col("_s").alias("_known"), "_block", "_letter").distinct()
-    met = form(new, "author_1").join(known, ["_block", "_letter"]).where(compatible_of("_s", "_known"))
-    found = met.select("author_id", *new.columns).dropDuplicates(["author_id", "work_author_id_1"])
-    return found if barred is None else found.join(barred.select(F.col("paper_id").alias("paper_id_1"), "author_id"), ["paper_id_1", "author_id"], "left_anti")
 
+def disambiguated(works: DataFrame, current: DataFrame, last_id: int, requests: DataFrame | None = None, merges: DataFrame | None = None, frozen: DataFrame | None = None, removed: DataFrame | None = None, splits: DataFrame | None = None) -> DataFrame:
+    """(work_author_id, author_id, how) of every authorship in ``works``, whether it had an author before or not.
 
-def cascade(new: DataFrame, members: DataFrame, authors: DataFrame, last_id: int, barred: DataFrame | None = None) -> DataFrame:
-    """(work_author_id_1, author_id, how): by identifier, exact name with evidence, compatible name with evidence, else new.
+    works: work_author_id, paper_id, author, orcid and the lists institutions, coauthors, concepts, citations; current:
+    work_author_id, author_id; requests, merges, frozen: see ``curated_clusters``; removed: (paper_id, author_id) that are parted
+    and never paired by name again; splits: (request, work_author_id) that must form an author of their own.
 
-    new: work_author_id_1, paper_id_1, author_1, orcid_1, institutions_1, coauthors_1, concepts_1, citations_1;
-    members: the same with suffix _2 and author_id; authors: author_id, orcid, alternate_names. Names that stand for no
-    person go to the null bucket. Each round takes what the rounds before left.
+    1. curation; 2. an author of its own for each split; 3. authors that share an identifier become one; then for the
+    others, collapsed to one of each set of equal features: 4. by identifier, 5. by exact name with evidence, 6. the same
+    once more, seeing what 5 has added, 7. by compatible name with evidence, 8. new ids; 9. the collapsed are expanded,
+    10. names that stand for no person go to the null bucket, 11. a new cluster that equals an old one keeps its id.
+    Every round's assignments are written, and the authors' names, identifiers and members are those after the round before.
     """
-    how = lambda df, name: df.select("work_author_id_1", "author_id", F.lit(name).alias("how"))
-    without = lambda df, done: df.join(done.select("work_author_id_1"), "work_author_id_1", "left_anti")
-    named = usable(F.col("author_1"))
-    unnamed = new.where(~named).select("work_author_id_1", F.lit(NULL_BUCKET).alias("author_id")).distinct()
-    by_id = orcid_matches(new.where(named), authors).persist()
-    rest, done = without(new.where(named), by_id), [how(unnamed, "unnamed"), how(by_id, "identifier")]
-    owners = authors.select("author_id", F.col("orcid").alias("orcid_2"))
-    for name, candidates in (("name", name_candidates), ("compatible", blocked_candidates)):
-        pairs = candidates(rest, authors, barred).join(members, "author_id").join(owners, "author_id")
-        given = assigned(scored_candidates(features(pairs))).persist()  # both in the result and in what is left
-        rest = without(rest, given)
-        done.append(how(given, name))
-    fresh = allocated(rest.select("work_author_id_1").distinct(), [paper_of(F.col("work_author_id_1")), "work_author_id_1"], last_id, "author_id")
-    out = how(fresh, "new")
-    for part in done:
-        out = out.unionByName(part)
-    return out
+    spark = works.sparkSession
+    none = lambda ddl: spark.createDataFrame([], ddl)
+    requests = none("work_author_id string, new_author_id long, request_date timestamp") if requests is None else requests
+    merges = none("merge_from_id long, merge_to_id long") if merges is None else merges
+    frozen = none("author_id long") if frozen is None else frozen
+    splits = none("request string, work_author_id string") if splits is None else splits
+    concepts = F.array_sort(F.filter(F.coalesce("concepts", F.array().cast("array<bigint>")), lambda x: ~x.isin(*ROOT_CONCEPTS)))
+    lists = {"coauthors": coauthor_keys(F.col("coauthors")), "concepts": concepts, **{c: F.array_sort(F.coalesce(c, F.array().cast("array<bigint>"))) for c in ("institutions", "citations")}}
+    named = usable(F.col("author"))
+    rows = staged(works.withColumns(lists).withColumn("orcid", F.coalesce("orcid", F.lit(""))).withColumn("named", named), "works")
+    how = lambda df, name: df.select("work_author_id", "author_id", F.lit(name).alias("how"))
+
+    kept = staged(curated_clusters(current, requests, merges, frozen), "curated")
+    forced = allocated(splits.select("request").distinct(), ["request"], last_id, "author_id").join(splits, "request")
+    forced = staged(forced.select("work_author_id", F.col("author_id").cast("long").alias("author_id")).distinct(), "split")
+    last_id += splits.select("request").distinct().count()
+    clusters = how(kept.join(forced, "work_author_id", "left_anti"), "kept").union(how(forced, "split"))
+    clusters = clusters.join(rows.select("work_author_id", "paper_id"), "work_author_id")
+    if removed is not None:
+        clusters = clusters.join(removed.select("paper_id", "author_id").distinct(), ["paper_id", "author_id"], "left_anti")
+    clusters = staged(clusters.select("work_author_id", "author_id", "how"), "clusters")
+    winners = identifier_winners(_owned(clusters, rows), frozen)
+    clusters = staged(redirected(clusters, winners, "author_id", "author_id", "winner_id").select("work_author_id", "author_id", "how"), "clusters")
+
+    fresh = rows.where("named").join(clusters, "work_author_id", "left_anti")
+    alone = F.lit("")  # an authorship that is barred from an author is nobody's copy
+    if removed is not None:
+        fresh = fresh.join(removed.select("paper_id", F.lit(True).alias("_barred")).distinct(), "paper_id", "left")
+        alone = F.when(F.col("_barred"), F.col("work_author_id")).otherwise(F.lit(""))
+    profile = fresh.select("work_author_id", *PROFILE, alone.alias("_alone"))
+    groups = staged(collapsed(profile, "work_author_id", [*PROFILE, "_alone"]).select("work_author_id", "members"), "groups")
+    left = fresh.join(groups.select("work_author_id"), "work_author_id", "left_semi").drop("named", "_barred")
+    left = staged(left.select(*[F.col(c).alias(f"{c}_1") for c in left.columns]), "left")
+
+    def round_(name: str, given: DataFrame) -> None:
+        nonlocal clusters, left
+        given = staged(given.select(F.col("work_author_id_1").alias("work_author_id"), "author_id"), "given")
+        clusters = clusters.unionByName(how(given, name))
+        left = left.join(given.select(F.col("work_author_id").alias("work_author_id_1")), "work_author_id_1", "left_anti")
+
+    round_("identifier", orcid_matches(left, _owners(clusters, rows)))
+    for name, candidates in (("name", name_candidates), ("name again", name_candidates), ("compatible", blocked_candidates)):
+        met = candidates(left, clusters.join(rows, "work_author_id").select("author_id", "author").distinct())
+        if removed is not None:
+            met = met.join(removed.select(F.col("paper_id").alias("paper_id_1"), "author_id").distinct(), ["paper_id_1", "author_id"], "left_anti")
+        members = clusters.select("work_author_id", "author_id").join(rows.drop("orcid", "named"), "work_author_id")
+        members = members.select("author_id", *[F.col(c).alias(f"{c}_2") for c in members.columns if c != "author_id"])
+        pairs = met.join(members, "author_id").join(_owners(clusters, rows), "author_id")
+        round_(name, assigned(scored_candidates(features(pairs))))
+
+    made = allocated(left.select("work_author_id_1").distinct(), [paper_of(F.col("work_author_id_1")), "work_author_id_1"], last_id, "author_id")
+    round_("new", made)
+    again = groups.where(F.size("members") > 1).select("work_author_id", F.explode("members").alias("_member"))
+    copies = clusters.join(again, "work_author_id").where(F.col("_member") != F.col("work_author_id")).select(F.col("_member").alias("work_author_id"), "author_id", "how")
+    clusters = staged(clusters.unionByName(copies), "clusters")
+    unnamed = rows.where("not named").join(clusters, "work_author_id", "left_anti").select("work_author_id", F.lit(NULL_BUCKET).cast("long").alias("author_id"))
+    old = kept_ids(clusters.where("how = 'new'"), current)
+    clusters = redirected(clusters, old, "author_id", "author_id", "old_id").select("work_author_id", "author_id", "how")
+    return clusters.unionByName(how(unnamed.distinct(), "unnamed"))
+
+
+PROFILE = ("author", "orcid", "coauthors", "concepts", "institutions", "citations")
+
+
+def _owners(clusters: DataFrame, rows: DataFrame) -> DataFrame:
+    """(author_id, orcid_2): an author's identifier, the smallest of its members', or the empty one."""
+    held = clusters.select("work_author_id", "author_id").join(rows.select("work_author_id", "orcid"), "work_author_id")
+    return held.groupBy("author_id").agg(F.coalesce(F.min(F.when(F.col("orcid") != "", F.col("orcid"))), F.lit("")).alias("orcid_2"))
+
+
+def _owned(clusters: DataFrame, rows: DataFrame) -> DataFrame:
+    """(author_id, orcid) of every member, the orcid being its author's."""
+    return clusters.join(_owners(clusters, rows).withColumnRenamed("orcid_2", "orcid"), "author_id").select("author_id", "orcid")
 
 
 def merge_map(merges: DataFrame, frozen: DataFrame) -> DataFrame:

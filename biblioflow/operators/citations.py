@@ -28,9 +28,13 @@ def citation_edges(citations: DataFrame, works: DataFrame) -> DataFrame:
     return citations.select("paper_id", "paper_reference_id").distinct().join(citing, "paper_id").join(cited, "paper_reference_id").select("citing", "cited").distinct()
 
 
-def dated_edges(edges: DataFrame, works: DataFrame) -> DataFrame:
-    """(citing, cited, year_diff) of edges whose dates are known and in order; works: paper_id, publication_date."""
-    year = works.select("paper_id", F.year(F.to_date("publication_date")).alias("year")).where(F.col("year").isNotNull())
+def dated_edges(edges: DataFrame, works: DataFrame, as_of_year: int | None = None) -> DataFrame:
+    """(citing, cited, year_diff) of edges whose dates are known and in order; works: paper_id, publication_date.
+
+    With ``as_of_year`` dates are read by ``publication_year``, moved into the hundred years before it.
+    """
+    year = F.year(F.to_date("publication_date")) if as_of_year is None else publication_year(F.col("publication_date"), as_of_year)
+    year = works.select("paper_id", year.alias("year")).where(F.col("year").isNotNull())
     citing = year.select(F.col("paper_id").alias("citing"), F.col("year").alias("citation_year"))
     cited = year.select(F.col("paper_id").alias("cited"), F.col("year").alias("pub_year"))
     return edges.join(citing, "citing").join(cited, "cited").where("citation_year >= pub_year").select("citing", "cited", (F.col("citation_year") - F.col("pub_year")).alias("year_diff"))
@@ -93,12 +97,16 @@ def percentiles(counted: DataFrame, parity: bool = False) -> DataFrame:
     """(paper_id, percentile): share of the group (year, type, subfield) with fewer citations, below 1.
 
     (minimum rank - 1) / (largest rank + 1); with ``parity`` different year offsets are counted in place of citations.
+    Papers are counted by group and value first, so only the few different values of a group are ranked.
     """
-    by = Window.partitionBy("pub_year", "work_type", "subfield_id")
-    known = counted.dropna(subset=["pub_year", "work_type", "subfield_id"])
-    ranked = known.withColumn("_rank", F.rank().over(by.orderBy("citation_offsets" if parity else "total_citations")))
-    share = (F.col("_rank") - 1) / (F.max("_rank").over(by) + 1)
-    return ranked.select("paper_id", F.round(share, 8).alias("percentile"))
+    group, value = ["pub_year", "work_type", "subfield_id"], "citation_offsets" if parity else "total_citations"
+    known = counted.dropna(subset=group)
+    by = Window.partitionBy(*group)
+    tally = known.groupBy(*group, value).agg(F.count("*").alias("_n"))
+    fewer = F.coalesce(F.sum("_n").over(by.orderBy(value).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    ranked = tally.withColumn("_fewer", fewer)
+    share = ranked.select(*group, value, F.round(F.col("_fewer") / (F.max("_fewer").over(by) + 2), 8).alias("percentile"))
+    return known.join(share, [*group, value]).select("paper_id", "percentile")
 
 
 def publication_year(date: Column, as_of_year: int) -> Column:

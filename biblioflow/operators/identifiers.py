@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from biblioflow.functions.columns import merged_sets, orcid_of, overlap
 from biblioflow.functions.names import accepted, compatible, evidence_of, search_form_of
+from biblioflow.sources.stages import staged
 
 #: Weights of shared members in the reassignment of an over-merged author's works.
 WEIGHTS = {"institutions": 2.0, "coauthors": 0.05, "concepts": 0.01, "citations": 0.2, "coauthor_orcids": 5.0, "topics": 5.0, "subfields": 1.0, "fields": 0.01}
@@ -59,35 +60,45 @@ def evidence_score(a: str, b: str) -> Column:
 
 
 def _assign(group: pd.DataFrame) -> pd.DataFrame:
-    """Greedy by score: a work goes to the first anchor all of whose names it is compatible with; its name joins them."""
+    """Greedy by score: a profile goes to the first anchor all of whose names it is compatible with; its name joins them."""
     names = {o: list(n) for o, n in zip(group["orcid"], group["names"], strict=True)}
     done: dict[str, str] = {}
-    for r in group.sort_values(["score", "work_author_id", "orcid"], ascending=[False, True, True]).itertuples():
-        if r.work_author_id not in done and all(compatible(r.name, n) for n in names[r.orcid]):
-            done[r.work_author_id] = r.orcid
+    for r in group.sort_values(["score", "first", "orcid"], ascending=[False, True, True]).itertuples():
+        if r.first not in done and all(compatible(r.name, n) for n in names[r.orcid]):
+            done[r.first] = r.orcid
             if r.name not in names[r.orcid]:
                 names[r.orcid].append(r.name)
-    out = pd.DataFrame(list(done.items()), columns=["work_author_id", "orcid"], dtype=object)
-    return out.assign(author_id=group["author_id"].iloc[0])[["author_id", "work_author_id", "orcid"]]
+    out = pd.DataFrame(list(done.items()), columns=["first", "orcid"], dtype=object)
+    return out.assign(author_id=group["author_id"].iloc[0])[["author_id", "first", "orcid"]]
 
 
 def reassigned(works: DataFrame, frozen: DataFrame, rounds: int = 3) -> DataFrame:
     """(author_id, work_author_id, orcid): over-merged authors' works without identifier, given to an anchor.
 
-    works: author_id, work_author_id, orcid, name and the sets of WEIGHTS. Each round enlarges the anchors by what the
-    round before assigned.
+    works: author_id, work_author_id, orcid, name and the sets of WEIGHTS. Works of one author with the same name and the
+    same scores are one profile and are given together, so an author's different profiles meet in a task, not its works.
+    Each round is written, and enlarges the anchors by what it assigned; a round that assigns nothing is the last.
     """
     own = works.withColumn("name", search_form_of("name")).join(overmerged(works, frozen), "author_id", "left_semi")
+    own = staged(own.withColumn("orcid", F.coalesce("orcid", F.lit(""))), "overmerged")
     known, done = own, None
     for _ in range(rounds):
         a = anchors(known).alias("a")
-        free = known.where(F.coalesce("orcid", F.lit("")) == "").alias("b")
+        free = known.where("orcid = ''").alias("b")
         pairs = free.join(a, F.col("a.author_id") == F.col("b.author_id")).withColumn("score", evidence_score("a", "b")).where("score > 0")
-        pairs = pairs.select("b.author_id", "b.work_author_id", "b.name", "a.orcid", "a.names", "score")
-        given = pairs.groupBy("author_id").applyInPandas(_assign, "author_id long, work_author_id string, orcid string")
+        scores = F.array_sort(F.collect_list(F.struct("a.orcid", "score")))  # an entry for each anchor of the author
+        profiles = staged(pairs.groupBy("b.author_id", "b.work_author_id", "b.name").agg(scores.alias("scores")), "profiles")
+        firsts = profiles.groupBy("author_id", "name", "scores").agg(F.min("work_author_id").alias("first"))
+        held = firsts.select("author_id", "name", "first", F.explode("scores").alias("s")).select("author_id", "name", "first", "s.orcid", "s.score")
+        held = held.join(a.select("author_id", "orcid", "names"), ["author_id", "orcid"])
+        found = held.groupBy("author_id").applyInPandas(_assign, "author_id long, first string, orcid string")
+        given = profiles.join(firsts, ["author_id", "name", "scores"]).join(found, ["author_id", "first"])
+        given = staged(given.select("author_id", "work_author_id", "orcid"), "given")
         done = given if done is None else done.unionByName(given)
-        new = done.select("work_author_id", F.col("orcid").alias("_o"))
-        known = own.join(new, "work_author_id", "left").withColumn("orcid", F.coalesce("_o", "orcid")).drop("_o")
+        if given.isEmpty():
+            break
+        new = given.select("author_id", "work_author_id", F.col("orcid").alias("_o"))
+        known = staged(known.join(new, ["author_id", "work_author_id"], "left").withColumn("orcid", F.coalesce("_o", "orcid")).drop("_o"), "enlarged")
     return done
 
 
@@ -103,17 +114,20 @@ def split_requests(works: DataFrame, given: DataFrame, date: str) -> DataFrame:
 def _group(group: pd.DataFrame) -> pd.DataFrame:
     clusters: list[list[str]] = []
     out = []
-    for r in group.sort_values(["name", "work_author_id"]).itertuples():
+    for r in group.sort_values("name").itertuples():
         k = next((i for i, names in enumerate(clusters) if all(compatible(r.name, n) for n in names)), len(clusters))
         if k == len(clusters):
             clusters.append([])
-        if r.name not in clusters[k]:
-            clusters[k].append(r.name)
-        out.append((r.author_id, r.work_author_id, k))
-    return pd.DataFrame(out, columns=["author_id", "work_author_id", "cluster"])
+        clusters[k].append(r.name)
+        out.append((r.author_id, r.name, k))
+    return pd.DataFrame(out, columns=["author_id", "name", "cluster"])
 
 
 def leftover_groups(leftovers: DataFrame) -> DataFrame:
-    """(author_id, work_author_id, cluster): an author's works, first fit by compatible names in order of name and id."""
-    rows = leftovers.select("author_id", "work_author_id", search_form_of("name").alias("name"))
-    return rows.groupBy("author_id").applyInPandas(_group, "author_id long, work_author_id string, cluster long")
+    """(author_id, work_author_id, cluster): an author's works, first fit by compatible names in order of name.
+
+    An author's different names meet in a task, not its works.
+    """
+    rows = staged(leftovers.select("author_id", "work_author_id", search_form_of("name").alias("name")), "leftovers")
+    grouped = rows.select("author_id", "name").distinct().groupBy("author_id").applyInPandas(_group, "author_id long, name string, cluster long")
+    return rows.join(grouped, ["author_id", "name"]).select("author_id", "work_author_id", "cluster")

@@ -6,12 +6,16 @@ A predicate is a nested tuple; it compiles to a Spark column and to DuckDB SQL:
     ("word", text)  ("regex", pattern)  ("replaced", {old: new}, text)  ("id", n)  ("ids_more_than", n)
     ("not", p)  ("and", p, ...)  ("or", p, ...)
 
+Up to FEW rules are compiled to expressions. More are applied in one pass over the text (``rulebook``): an automaton finds
+the literals of all rules at once, and only rules that one of these can make true are looked at.
+
 A rule emits ids where its predicate holds; of rules in one group the first by priority that holds is the only one.
 Rules that test ids run after all others, on what those emitted.
 """
 
 from __future__ import annotations
 
+import json
 import re
 from dataclasses import dataclass
 from functools import reduce
@@ -19,7 +23,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from biblioflow.operators import rulebook
+
 NO_INSTITUTION = -1
+#: Rules or rewrites up to which each is an expression of its own.
+FEW = 64
 #: A character that is no part of a word, in any script.
 OUTSIDE = r"[^\p{L}\p{N}_]"
 
@@ -124,27 +132,37 @@ def _emitted(rules: list[Rule], text: Column, ids: Column | None, low: Column) -
     return F.flatten(F.array(*parts)) if parts else F.array().cast("array<bigint>")
 
 
-def matched(df: DataFrame, rules: list[Rule], text: str = "text", out: str = "ids", chunk: int = 100) -> DataFrame:
-    """``df`` with the sorted set of ids that the rules emit for a text; null text emits none.
+def read_predicate(value) -> tuple:
+    """A predicate of a JSON value: ``["and", ["has", "x"], ["not", ["word", "y"]]]``."""
+    kind, *args = value
+    if kind in ("not", "and", "or"):
+        return (kind, *(read_predicate(x) for x in args))
+    return (kind, *args)
 
-    Rules are compiled ``chunk`` at a time, so that no expression outgrows generated code.
-    """
+
+def read_rules(table: DataFrame) -> list[Rule]:
+    """Rules of a table (predicate: JSON text, emits array<bigint>, group, priority), in a fixed order; one row a rule."""
+    rows = table.select("predicate", "emits", "group", "priority").collect()
+    found = [Rule(read_predicate(json.loads(r["predicate"])), tuple(r["emits"]), r["group"], r["priority"] or 0) for r in rows]
+    return sorted(found, key=lambda r: (r.group or "", r.priority, r.emits, json.dumps(r.predicate)))
+
+
+def read_rewrites(table: DataFrame) -> list[Rewrite]:
+    """Rewrites of a table (position, predicate: JSON text, removes, adds), in the order of ``position``; one row a rewrite."""
+    rows = table.select("position", "predicate", "removes", "adds").orderBy("position").collect()
+    return [Rewrite(read_predicate(json.loads(r["predicate"])), tuple(r["removes"] or ()), tuple(r["adds"] or ())) for r in rows]
+
+
+def matched(df: DataFrame, rules: list[Rule], text: str = "text", out: str = "ids") -> DataFrame:
+    """``df`` with the sorted set of ids that the rules emit for a text; null text emits none."""
     t = F.coalesce(F.col(text), F.lit(""))
+    if len(rules) > FEW:
+        return df.withColumn(out, rulebook.emitting(rules)(t, F.lower(t)))
     first, second = [r for r in rules if not tests_ids(r.predicate)], [r for r in rules if tests_ids(r.predicate)]
-    own: dict = {}
-    for k, r in enumerate(first):
-        own.setdefault(r.group or k, []).append(r)
-    chunks: list[list[Rule]] = [[]]
-    for members in own.values():
-        if len(chunks[-1]) + len(members) > chunk and chunks[-1]:
-            chunks.append([])
-        chunks[-1] += members
     df = df.withColumn("_low", F.lower(t))  # once for all rules
-    low = F.col("_low")
-    df = df.withColumns({f"_m{i}": _emitted(c, t, None, low) for i, c in enumerate(chunks)})
-    df = df.withColumn(out, F.array_distinct(F.flatten(F.array(*[F.col(f"_m{i}") for i in range(len(chunks))])))).drop(*[f"_m{i}" for i in range(len(chunks))])
+    df = df.withColumn(out, F.array_distinct(_emitted(first, t, None, F.col("_low"))))
     if second:
-        df = df.withColumn(out, F.array_union(out, _emitted(second, t, F.col(out), low)))
+        df = df.withColumn(out, F.array_union(out, _emitted(second, t, F.col(out), F.col("_low"))))
     return df.withColumn(out, F.array_sort(out)).drop("_low")
 
 
@@ -164,10 +182,12 @@ def chosen_ids(base: Column, override: Column) -> Column:
 def rewritten(df: DataFrame, rewrites: list[Rewrite], text: str = "text", ids: str = "ids") -> DataFrame:
     """``df`` with the ids after all rewrites in order, as a sorted set; nothing left gives [-1].
 
-    Each rewrite is a column of its own stage, as later ones see what earlier ones did.
+    A few rewrites are a column of their own stage each, as later ones see what earlier ones did; many are one pass.
     """
     t = F.coalesce(F.col(text), F.lit(""))
     empty = F.array().cast("array<bigint>")
+    if len(rewrites) > FEW:
+        return df.withColumn(ids, without_no_institution(rulebook.rewriting(rewrites)(t, F.lower(t), F.coalesce(ids, empty))))
     df = df.withColumn("_low", F.lower(t))
     for r in rewrites:
         now = F.col(ids)

@@ -6,6 +6,8 @@ priority; subfield: market segment; requests: events.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -112,7 +114,8 @@ def events_of(spark, sf_dir) -> DataFrame:
 def papers_of(spark, sf_dir) -> DataFrame:
     segment = t(spark, sf_dir, "customer").select("c_custkey", F.col("c_mktsegment").alias("subfield_id"))
     orders = t(spark, sf_dir, "orders").join(segment, F.col("o_custkey") == F.col("c_custkey"), "left")
-    return orders.select(F.col("o_orderkey").alias("paper_id"), F.year("o_orderdate").alias("pub_year"), F.col("o_orderpriority").alias("work_type"), "subfield_id")
+    year = citations.publication_year(F.date_format("o_orderdate", "yyyy-MM-dd"), AS_OF)
+    return orders.select(F.col("o_orderkey").alias("paper_id"), year.alias("pub_year"), F.col("o_orderpriority").alias("work_type"), "subfield_id")
 
 
 def counted(spark, sf_dir) -> DataFrame:
@@ -122,7 +125,7 @@ def counted(spark, sf_dir) -> DataFrame:
 COUNTED = f"""
 ev AS (SELECT l_orderkey AS paper_id, year(l_shipdate) - year(o_orderdate) AS year_diff, year(o_orderdate) AS y FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE year(l_shipdate) >= year(o_orderdate)),
 n AS (SELECT paper_id, count(*) FILTER (year_diff BETWEEN 0 AND least(3, {AS_OF} - y)) AS near, count(*) AS total, count(DISTINCT year_diff) AS offs FROM ev GROUP BY 1),
-counted AS (SELECT o_orderkey AS paper_id, year(o_orderdate) AS pub_year, o_orderpriority AS work_type, c_mktsegment AS subfield_id,
+counted AS (SELECT o_orderkey AS paper_id, greatest(least(year(o_orderdate), {AS_OF}), {AS_OF} - 100) AS pub_year, o_orderpriority AS work_type, c_mktsegment AS subfield_id,
   coalesce(near, 0) AS pub_plus_3_citations, coalesce(total, 0) AS total_citations, coalesce(offs, 0) AS citation_offsets
   FROM orders LEFT JOIN customer ON o_custkey = c_custkey LEFT JOIN n ON n.paper_id = o_orderkey)
 """
@@ -225,18 +228,35 @@ def merged_sets(spark, sf_dir):
     return merged.where(F.size("s") > 0).select("o_custkey", F.array_join("s", ",").alias("institutions"))
 
 
-@query("""WITH f AS (SELECT l_orderkey AS work, list_distinct(list(l_suppkey)) AS i, list_distinct(list(l_partkey)) AS c FROM lineitem GROUP BY 1),
-p AS (SELECT a.o_orderkey AS a, b.o_orderkey AS b FROM orders a JOIN orders b ON a.o_custkey = b.o_custkey AND a.o_orderkey < b.o_orderkey)
-SELECT a, b, CAST(len(list_intersect(x.i, y.i)) > 0 AS INT) AS inst_per, round(len(list_intersect(x.c, y.c)) / len(list_distinct(list_concat(x.c, y.c))), 4) AS citation_per
-FROM p JOIN f x ON x.work = a JOIN f y ON y.work = b WHERE len(list_intersect(x.i, y.i)) > 0 OR len(list_intersect(x.c, y.c)) > 0""")
+def profiles(spark, sf_dir) -> DataFrame:
+    """(o_custkey, paper_id, author and the sets of an authorship) of each order."""
+    lines = t(spark, sf_dir, "lineitem").join(t(spark, sf_dir, "part").select("p_partkey", "p_brand"), F.col("l_partkey") == F.col("p_partkey"))
+    cited = (F.col("l_partkey") * 7 + F.col("l_suppkey")).alias("cited")
+    sets = lines.select("*", cited).groupBy(F.col("l_orderkey").alias("paper_id")).agg(*[F.sort_array(F.collect_set(c)).alias(n) for n, c in (("institutions", "l_suppkey"), ("citations", "cited"), ("coauthors", "p_brand"))], F.sort_array(F.collect_set(F.col("l_partkey") % 40)).alias("concepts"))
+    author = F.lower(F.concat_ws(" ", F.col("o_orderstatus"), F.split("o_orderpriority", "-")[1]))
+    return t(spark, sf_dir, "orders").select("o_custkey", F.col("o_orderkey").alias("paper_id"), author.alias("author")).join(sets, "paper_id")
+
+
+PROFILES = """f AS (SELECT l_orderkey AS w, list_distinct(list(l_suppkey)) AS i, list_distinct(list(l_partkey * 7 + l_suppkey)) AS r, list_distinct(list(p_brand)) AS c, list_distinct(list(l_partkey % 40)) AS k FROM lineitem JOIN part ON p_partkey = l_partkey GROUP BY 1),
+o AS (SELECT o_custkey, o_orderkey, lower(o_orderstatus || ' ' || string_split(o_orderpriority, '-')[2]) AS author, f.* FROM orders JOIN f ON w = o_orderkey)"""
+
+
+@query(f"""WITH {PROFILES},
+x AS (SELECT a.o_orderkey AS a, b.o_orderkey AS b, CAST(len(list_intersect(a.i, b.i)) > 0 AS INT) AS inst_per,
+  round(len(list_intersect(a.k, b.k)) / len(list_distinct(list_concat(a.k, b.k))), 4) AS concepts_per, round(len(list_intersect(a.c, b.c)) / len(list_distinct(list_concat(a.c, b.c))), 4) AS coauthors_per,
+  round(len(list_intersect(a.r, b.r)) / len(list_distinct(list_concat(a.r, b.r))), 4) AS citation_per, CAST(list_contains(a.r, b.o_orderkey) OR list_contains(b.r, a.o_orderkey) AS INT) AS citation_work_match,
+  CASE WHEN a.author = b.author THEN length(a.author) ELSE 0 END AS exact_match_len, CASE WHEN a.author = b.author THEN len(string_split(a.author, ' ')) ELSE 0 END AS exact_match_spaces
+  FROM o a JOIN o b ON a.o_custkey = b.o_custkey AND a.o_orderkey < b.o_orderkey)
+SELECT a, b, inst_per, concepts_per, coauthors_per, citation_per, citation_work_match, CAST(exact_match_len AS INT) AS exact_match_len, CAST(exact_match_spaces AS INT) AS exact_match_spaces FROM x WHERE inst_per > 0 OR citation_per > 0""")
 def pair_features(spark, sf_dir):
-    own = t(spark, sf_dir, "orders").select("o_custkey", F.col("o_orderkey").alias("paper_id"))
-    rows = own.join(feature_rows(spark, sf_dir).withColumnRenamed("work", "paper_id"), "paper_id")
-    rows = rows.select("o_custkey", "paper_id", "institutions", "citations", F.array().cast("array<string>").alias("coauthors"), F.array().cast("array<bigint>").alias("concepts"), F.lit("a b").alias("author"))
-    side = lambda s: rows.select("o_custkey", *[F.col(c).alias(c + s) for c in rows.columns if c != "o_custkey"])
-    pairs = side("_1").join(side("_2"), "o_custkey").where("paper_id_1 < paper_id_2")
-    found = assign.features(pairs.withColumn("citations_1", F.array_sort("citations_1")))
-    return found.where("inst_per > 0 or citation_per > 0").select(F.col("paper_id_1").alias("a"), F.col("paper_id_2").alias("b"), "inst_per", "citation_per")
+    """Features of an entity's works that share an institution or a reference: pairs come from the members they share."""
+    own = profiles(spark, sf_dir)
+    member = F.explode(F.concat(F.transform("institutions", lambda x: F.concat(F.lit("i"), x)), F.transform("citations", lambda x: F.concat(F.lit("c"), x))))
+    listed = own.select("o_custkey", "paper_id", member.alias("member"))
+    pairs = listed.withColumnRenamed("paper_id", "a").join(listed.withColumnRenamed("paper_id", "b"), ["o_custkey", "member"]).where("a < b").select("a", "b").distinct()
+    side = lambda key, s: own.select(F.col("paper_id").alias(key), *[F.col(c).alias(c + s) for c in own.columns])
+    found = assign.features(pairs.join(side("a", "_1"), "a").join(side("b", "_2"), "b"))
+    return found.select("a", "b", *assign.VECTOR)
 
 
 @query("SELECT l_partkey, l_suppkey, min(l_orderkey) AS representative, count(*) AS n FROM lineitem GROUP BY 1, 2")
@@ -246,12 +266,17 @@ def representative_rows(spark, sf_dir):
     return grouped.select(F.col("features")[0].alias("l_partkey"), F.col("features")[1].alias("l_suppkey"), "representative", "n")
 
 
-@query("SELECT a.c_custkey AS a, b.c_custkey AS b FROM customer a JOIN customer b ON a.c_nationkey = b.c_nationkey AND a.c_custkey < b.c_custkey WHERE a.c_mktsegment = b.c_mktsegment OR a.c_acctbal < 0 OR b.c_acctbal < 0")
+@query("""WITH o AS (SELECT c_nationkey, c_custkey, CASE WHEN c_acctbal < 0 THEN '' ELSE c_mktsegment END AS orcid FROM customer)
+SELECT a.c_nationkey, least(a.orcid, b.orcid) AS a, greatest(a.orcid, b.orcid) AS b, count(*) AS n FROM o a JOIN o b ON a.c_nationkey = b.c_nationkey AND a.c_custkey < b.c_custkey
+WHERE a.orcid = b.orcid OR a.orcid = '' OR b.orcid = '' GROUP BY ALL""")
 def orcid_compatible_pairs(spark, sf_dir):
+    """Compatible pairs of a block by identifier class: a class and its size say as much as all its pairs."""
     own = t(spark, sf_dir, "customer").select("c_nationkey", "c_custkey", F.when(F.col("c_acctbal") < 0, "").otherwise(F.col("c_mktsegment")).alias("orcid"))
-    a, b = own.alias("a"), own.alias("b")
-    met = a.join(b, (F.col("a.c_nationkey") == F.col("b.c_nationkey")) & (F.col("a.c_custkey") < F.col("b.c_custkey")))
-    return met.where(columns.orcid_compatible(F.col("a.orcid"), F.col("b.orcid"))).select(F.col("a.c_custkey").alias("a"), F.col("b.c_custkey").alias("b"))
+    classes = own.groupBy("c_nationkey", "orcid").agg(F.count("*").alias("n"))
+    side = lambda s: classes.select("c_nationkey", F.col("orcid").alias(s), F.col("n").alias(f"n_{s}"))
+    met = side("a").join(side("b"), "c_nationkey").where((F.col("a") <= F.col("b")) & columns.orcid_compatible(F.col("a"), F.col("b")))
+    n = F.when(F.col("a") == F.col("b"), F.expr("n_a * (n_a - 1) div 2")).otherwise(F.col("n_a") * F.col("n_b"))
+    return met.withColumn("n", n).where("n > 0").select("c_nationkey", "a", "b", "n")
 
 
 @query("SELECT DISTINCT s_suppkey, p_brand FROM supplier JOIN lineitem ON s_suppkey = l_suppkey JOIN part ON p_partkey = l_partkey")
@@ -362,9 +387,16 @@ _MATCHED = f"h AS (SELECT doc_id, id FROM ({_HITS})), m AS (SELECT doc_id, text,
 _JOINED = "array_to_string(list_sort({}), ',')"
 
 
+def rule_tables(spark) -> tuple[DataFrame, DataFrame]:
+    """RULES and REWRITES as tables, as they would lie in a store."""
+    given = [(json.dumps(r.predicate), list(r.emits), r.group, r.priority) for r in RULES]
+    changes = [(k, json.dumps(r.predicate), list(r.removes), list(r.adds)) for k, r in enumerate(REWRITES)]
+    return spark.createDataFrame(given, "predicate string, emits array<bigint>, group string, priority int"), spark.createDataFrame(changes, "position int, predicate string, removes array<bigint>, adds array<bigint>")
+
+
 @query(f"WITH {_MATCHED} SELECT doc_id, {_JOINED.format('ids')} AS ids FROM m")
 def rule_match(spark, sf_dir):
-    return rules.matched(t(spark, sf_dir, "documents").select("doc_id", "text"), RULES).select("doc_id", F.array_join("ids", ",").alias("ids"))
+    return rules.matched(t(spark, sf_dir, "documents").select("doc_id", "text"), rules.read_rules(rule_tables(spark)[0])).select("doc_id", F.array_join("ids", ",").alias("ids"))
 
 
 _REWRITTEN = f"""{_MATCHED},
@@ -377,17 +409,24 @@ w AS (SELECT doc_id, CASE WHEN len(ids) = 0 THEN [-1] ELSE ids END AS ids FROM d
 
 @query(f"WITH {_REWRITTEN} SELECT doc_id, {_JOINED.format('ids')} AS ids FROM w")
 def rule_rewrite(spark, sf_dir):
-    found = rules.matched(t(spark, sf_dir, "documents").select("doc_id", "text"), RULES)
-    return rules.rewritten(found, REWRITES).select("doc_id", F.array_join("ids", ",").alias("ids"))
-
-
-@query("""WITH d AS (SELECT *, row_number() OVER (PARTITION BY text ORDER BY doc_id) AS rn FROM documents),
-u AS (SELECT text, min(doc_id) % 5 AS old FROM documents GROUP BY 1)
-SELECT text, CAST(old AS VARCHAR) AS old_ids, array_to_string(list_sort(list_distinct([old, 99])), ',') AS new_ids FROM u WHERE contains(lower(text), ' the ')""")
+    given, changes = rule_tables(spark)
+    found = rules.matched(t(spark, sf_dir, "documents").select("doc_id", "text"), rules.read_rules(given))
+    return rules.rewritten(found, rules.read_rewrites(changes)).select("doc_id", F.array_join("ids", ",").alias("ids"))
+
+
+@query("""WITH u AS (SELECT text, min(doc_id) % 5 AS k, min(doc_id) % 7 AS m FROM documents GROUP BY 1),
+c AS (SELECT text, CASE WHEN m = 0 THEN [7] WHEN m = 1 THEN [-1] ELSE [k] END AS old FROM u),
+f AS (SELECT text, list_filter(old, lambda x: x <> -1) AS old, CASE WHEN contains(lower(text), ' the ') THEN [99] ELSE [] END AS found FROM c),
+n AS (SELECT text, old, list_distinct(list_concat(old, found)) AS ids FROM f),
+r AS (SELECT text, old, CASE WHEN list_contains(ids, 99) AND contains(text, 'ing') THEN list_append(list_filter(ids, lambda x: x <> 99), 98) ELSE ids END AS ids FROM n),
+w AS (SELECT text, CASE WHEN len(old) = 0 THEN [-1] ELSE old END AS old, CASE WHEN len(ids) = 0 THEN [-1] ELSE ids END AS ids FROM r)
+SELECT text, array_to_string(list_sort(old), ',') AS old_ids, array_to_string(list_sort(ids), ',') AS new_ids FROM w WHERE list_sort(old) <> list_sort(ids)""")
 def affiliation_refresh(spark, sf_dir):
-    own = t(spark, sf_dir, "documents").groupBy("text").agg((F.min("doc_id") % 5).alias("k"))
-    strings = own.select(F.col("text").alias("original_affiliation"), F.concat(F.lit("["), "k", F.lit("]")).alias("affiliation_ids"), F.lit("[]").alias("affiliation_ids_override"))
-    done = rules.refreshed(strings, [rules.Rule(("has_lower", " the "), (99,))], [])
+    own = t(spark, sf_dir, "documents").groupBy("text").agg((F.min("doc_id") % 5).alias("k"), (F.min("doc_id") % 7).alias("m"))
+    override = F.when(F.col("m") == 0, "[-1, 7]").when(F.col("m") == 1, "[-1]").otherwise("[]")
+    strings = own.select(F.col("text").alias("original_affiliation"), F.concat(F.lit("["), "k", F.lit("]")).alias("affiliation_ids"), override.alias("affiliation_ids_override"))
+    change = rules.Rewrite(("and", ("id", 99), ("has", "ing")), (99,), (98,))
+    done = rules.refreshed(strings, [rules.Rule(("has_lower", " the "), (99,))], [change])
     return done.select(F.col("original_affiliation").alias("text"), F.array_join("old_ids", ",").alias("old_ids"), F.array_join("new_ids", ",").alias("new_ids"))
 
 
@@ -398,10 +437,26 @@ def name_clean(spark, sf_dir):
     return own.select("doc_id", F.length("s").cast("bigint").alias("n"), F.md5("s").alias("h"))
 
 
-@query()
+def people(spark, sf_dir) -> DataFrame:
+    """(p_partkey, p_brand, raw): part names as personal names in five ways of writing."""
+    first, last = F.split("p_name", " ")[0], F.split("p_name", " ")[1]
+    initial, middle = F.upper(F.left(first, F.lit(1))), F.upper(F.left("p_type", F.lit(1)))
+    f, x = F.initcap(first), F.initcap(last)
+    way = F.col("p_partkey") % 5
+    raw = F.when(way == 0, F.concat_ws(" ", f, x)).when(way == 1, F.concat(x, F.lit(", "), f)).when(way == 2, F.concat(initial, F.lit(". "), x))
+    raw = raw.when(way == 3, F.concat_ws(" ", x, initial)).otherwise(F.concat(F.lit("Dr. "), f, F.lit(" "), middle, F.lit(". "), x))
+    return t(spark, sf_dir, "part").select("p_partkey", "p_brand", raw.alias("raw"))
+
+
+PEOPLE = """p AS (SELECT p_partkey, p_brand, p_partkey % 5 AS way, string_split(p_name, ' ')[1] AS f, string_split(p_name, ' ')[2] AS x, lower(p_type[1]) AS m FROM part),
+s AS (SELECT *, CASE WHEN way IN (2, 3) THEN f[1] ELSE f END AS g, CASE WHEN way = 4 THEN m ELSE '' END AS mid FROM p),
+n AS (SELECT *, CASE WHEN mid = '' THEN g || ' ' || x ELSE g || ' ' || mid || ' ' || x END AS search FROM s)"""
+
+
+@query(f"WITH {PEOPLE} SELECT p_partkey, search, x AS block, f[1] AS letter FROM n")
 def search_name(spark, sf_dir):
-    own = t(spark, sf_dir, "documents").select("doc_id", names.search_form_of(names.parsed_of("text")).alias("search"))
-    return own.select("doc_id", "search", names.block_of(F.col("search")).alias("block"), names.letter_of(F.col("search")).alias("letter"))
+    own = people(spark, sf_dir).select("p_partkey", names.search_form_of(names.parsed_of("raw")).alias("search"))
+    return own.select("p_partkey", "search", names.block_of(F.col("search")).alias("block"), names.letter_of(F.col("search")).alias("letter"))
 
 
 @query("SELECT doc_id, NOT regexp_matches(text, '[\\p{Han}\\p{Hangul}\\p{Hiragana}\\p{Katakana}\\p{Cyrillic}\\p{Arabic}\\p{Hebrew}\\p{Thai}\\p{Greek}\\p{Devanagari}]') AS latin FROM documents")
@@ -409,33 +464,73 @@ def script_filter(spark, sf_dir):
     return t(spark, sf_dir, "documents").select("doc_id", names.keeps_script(F.col("text")).alias("latin"))
 
 
-@query()
+@query(f"WITH {PEOPLE} SELECT p_partkey, CASE WHEN length(g) > 1 THEN g ELSE '' END AS first, f[1] AS first_initials, mid AS middle1_initials, x AS last, x[1] AS last_initials FROM n")
 def name_slots(spark, sf_dir):
-    own = t(spark, sf_dir, "part").select("p_partkey", names.slots_of("p_name").alias("s"))
-    return own.select("p_partkey", F.array_join("s.first", "|").alias("first"), F.array_join("s.last", "|").alias("last"), F.array_join("s.last_initials", "|").alias("last_initials"))
+    own = people(spark, sf_dir).select("p_partkey", names.slots_of(names.search_form_of(names.parsed_of("raw"))).alias("s"))
+    return own.select("p_partkey", *[F.array_join(f"s.{k}", "|").alias(k) for k in ("first", "first_initials", "middle1_initials", "last", "last_initials")])
 
 
-@query()
+@query(f"""WITH {PEOPLE}, d AS (SELECT DISTINCT search, g, mid, x, f[1] AS l FROM n)
+SELECT a.search AS a, b.search AS b FROM d a JOIN d b ON a.x = b.x AND a.l = b.l AND a.search <= b.search
+WHERE (a.g = b.g OR length(a.g) = 1 OR length(b.g) = 1) AND (a.mid = '' OR b.mid = '' OR a.mid = b.mid)""")
 def blocked_match(spark, sf_dir):
-    """Names of parts that are compatible, inside a block of last word and first letter."""
-    own = t(spark, sf_dir, "part").select(F.col("p_name").alias("name")).distinct()
-    keyed = own.withColumn("search", names.search_form_of("name")).withColumn("block", names.block_of(F.col("search"))).withColumn("letter", names.letter_of(F.col("search")))
-    a, b = keyed.alias("a"), keyed.alias("b")
-    met = a.join(b, (F.col("a.block") == F.col("b.block")) & (F.col("a.letter") == F.col("b.letter")) & (F.col("a.name") <= F.col("b.name")))
-    return met.where(names.compatible_of("a.search", "b.search")).select(F.col("a.name").alias("a"), F.col("b.name").alias("b"))
+    """Different names that are compatible, inside a block of last word and first letter; parts are taken once a name."""
+    own = people(spark, sf_dir).select(names.search_form_of(names.parsed_of("raw")).alias("s")).distinct()
+    parts = own.select("s", names.slots_of("s").alias("slots"), F.split("s", " ").alias("words"), names.block_of(F.col("s")).alias("block"), names.letter_of(F.col("s")).alias("letter"))
+    side = lambda c: parts.select("block", "letter", F.col("s").alias(c), F.col("slots").alias(f"{c}_slots"), F.col("words").alias(f"{c}_slots_words"))
+    met = side("a").join(side("b"), ["block", "letter"]).where("a <= b")
+    return met.where(names.slots_match("a_slots", "b_slots")).select("a", "b")
+
+
+@query("""WITH n AS (SELECT p_brand, CASE WHEN p_partkey % 3 = 0 THEN upper(p_name) WHEN p_partkey % 7 = 0 THEN p_name || '.' ELSE p_name END AS name FROM part),
+c AS (SELECT p_brand, name, count(*) AS k FROM n GROUP BY ALL),
+r AS (SELECT *, row_number() OVER (PARTITION BY p_brand ORDER BY k DESC, length(name) DESC, name DESC) AS rn FROM c),
+v AS (SELECT p_brand, count(DISTINCT lower(replace(name, '.', ''))) AS n_alternates FROM c GROUP BY 1)
+SELECT p_brand, name AS display_name, n_alternates FROM r JOIN v USING (p_brand) WHERE rn = 1""")
+def display_name(spark, sf_dir):
+    name = F.when(F.col("p_partkey") % 3 == 0, F.upper("p_name")).when(F.col("p_partkey") % 7 == 0, F.concat("p_name", F.lit("."))).otherwise(F.col("p_name"))
+    parts = t(spark, sf_dir, "part").select("p_brand", name.alias("name"))
+    n = names.alternates(parts, "p_brand", "name").groupBy("p_brand").agg(F.count("*").alias("n_alternates"))
+    return names.display_names(parts, "p_brand", "name").join(n, "p_brand")
 
 
-@query()
-def display_name(spark, sf_dir):
-    parts = t(spark, sf_dir, "part").select("p_brand", "p_name")
-    return parts.groupBy("p_brand").agg(F.collect_list("p_name").alias("ns")).select("p_brand", names.display_name_of("ns").alias("display_name"), F.size(names.alternate_names_of("ns")).alias("n_alternates"))
+EVIDENCE = """CAST(q = x AS INT) AS family, CAST(q = x AND way NOT IN (2, 3) AND h = f AS INT) AS given,
+CAST(q = x AND CASE WHEN way IN (2, 3) THEN h[1] = f[1] WHEN way = 4 THEN h <> f AND h[1] = m ELSE false END AS INT) AS initials"""
 
 
-@query()
+@query(f"WITH {PEOPLE}, e AS (SELECT *, CASE WHEN p_partkey % 4 = 0 THEN 'ring' ELSE x END AS q, CASE WHEN p_partkey % 3 = 0 THEN 'small' ELSE f END AS h FROM n), r AS (SELECT p_partkey, {EVIDENCE} FROM e) SELECT p_partkey, CAST(family AS DOUBLE) AS family, CAST(given AS DOUBLE) AS given, CAST(initials AS DOUBLE) AS initials FROM r")
 def name_evidence(spark, sf_dir):
-    own = t(spark, sf_dir, "customer").select("c_custkey", F.regexp_replace("c_name", "#", " ").alias("n"))
-    e = names.evidence_of("n", F.array(F.lit("Customer")), F.array(F.regexp_extract("n", "([0-9]+)", 1)))
-    return own.select("c_custkey", F.get(e, F.lit(0)).alias("family"), F.get(e, F.lit(1)).alias("given"), F.get(e, F.lit(2)).alias("initials"))
+    own = people(spark, sf_dir).join(t(spark, sf_dir, "part").select("p_partkey", "p_name"), "p_partkey")
+    given = F.when(F.col("p_partkey") % 3 == 0, "small").otherwise(F.split("p_name", " ")[0])
+    family = F.when(F.col("p_partkey") % 4 == 0, "ring").otherwise(F.split("p_name", " ")[1])
+    e = own.select("p_partkey", names.evidence_of("raw", F.array(F.initcap(given)), F.array(F.initcap(family))).alias("e"))
+    return e.select("p_partkey", *[F.get("e", F.lit(i)).alias(c) for i, c in enumerate(("family", "given", "initials"))])
+
+
+@query(f"""WITH {PEOPLE}, c AS (SELECT DISTINCT l_orderkey AS paper_id, l_linenumber AS author_sequence_number, n.*, CASE WHEN l_quantity < 25 THEN f || ' ' || x ELSE 'small ring' END AS orcid FROM lineitem JOIN n ON p_partkey = l_partkey),
+e AS (SELECT *, string_split(orcid, ' ')[2] AS q, string_split(orcid, ' ')[1] AS h FROM c),
+y AS (SELECT paper_id, author_sequence_number, orcid, {EVIDENCE} FROM e),
+k AS (SELECT *, dense_rank() OVER (PARTITION BY paper_id, orcid ORDER BY family DESC, given DESC, initials DESC) AS r FROM y WHERE family > 0 AND (given > 0 OR initials > 0)),
+b AS (SELECT DISTINCT paper_id, orcid, author_sequence_number FROM k WHERE r = 1),
+u AS (SELECT *, count(*) OVER (PARTITION BY paper_id, orcid) AS same FROM b)
+SELECT paper_id, author_sequence_number, orcid FROM u WHERE same = 1""")
+def registry_reconcile(spark, sf_dir):
+    """Claims of identifiers that the registry's name supports best, on one authorship of a work only."""
+    own = people(spark, sf_dir).join(t(spark, sf_dir, "part").select("p_partkey", "p_name"), "p_partkey")
+    lines = t(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity").join(own, F.col("l_partkey") == F.col("p_partkey"))
+    orcid = F.when(F.col("l_quantity") < 25, F.col("p_name")).otherwise(F.lit("small ring"))
+    claims = lines.select(F.col("l_orderkey").alias("paper_id"), F.col("l_linenumber").alias("author_sequence_number"), F.col("raw").alias("original_author"), orcid.alias("orcid"))
+    registry = t(spark, sf_dir, "part").select(F.col("p_name").alias("orcid"), F.split("p_name", " ")[0].alias("given_names"), F.split("p_name", " ")[1].alias("family_name")).distinct()
+    return identifiers.reconciled(claims, registry).distinct()
+
+
+@query("""WITH e AS (SELECT event_id, event_id % 4 AS a, user_id % 3 AS b, lpad(CAST(user_id AS VARCHAR), 19, '0') AS id FROM events)
+SELECT event_id, CASE WHEN a = 0 THEN id WHEN b = 0 THEN id WHEN a = 1 THEN '' ELSE id END AS orcid FROM e""")
+def identifier_priority(spark, sf_dir):
+    """The user's identifier, else the harvested, else the source's; bare or as an address."""
+    a, b, own = F.col("event_id") % 4, F.col("user_id") % 3, F.lpad(F.col("user_id").cast("string"), 19, "0")
+    user = F.when(a == 0, F.concat(F.lit("https://orcid.org/"), own)).otherwise(F.lit("no identifier"))
+    return t(spark, sf_dir, "events").select("event_id", identifiers.chosen_identifier(user, F.when(b == 0, own), F.when(a == 1, F.lit(None)).otherwise(own)).alias("orcid"))
 
 
 @query("""WITH c AS (SELECT DISTINCT user_id AS paper_id, event_type AS orcid, event_id % 10 AS author_sequence_number, value FROM events),
@@ -458,16 +553,33 @@ def authorships(spark, sf_dir) -> DataFrame:
     )
 
 
+def cascade_input(spark, sf_dir) -> dict[str, DataFrame]:
+    """Authorships of all orders; those of 2001 on have no author yet, but for some that are asked for."""
+    own = profiles(spark, sf_dir).join(t(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("paper_id"), "o_orderdate", "o_totalprice"), "paper_id")
+    own = own.join(t(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_mktsegment", "c_acctbal"), "o_custkey")
+    key = F.concat_ws("_", "paper_id", F.lit("1"))
+    name = F.concat_ws(" ", F.when(F.col("paper_id") % 3 == 0, F.left("c_mktsegment", F.lit(1))).otherwise(F.initcap("c_mktsegment")), F.translate((F.col("o_custkey") % 400).cast("string"), "0123456789", "abcdefghij"))
+    author = F.when(F.col("paper_id") % 97 == 0, "None").otherwise(name)
+    orcid = F.when(F.col("o_totalprice") > 450_000, F.concat(F.lit("o"), F.col("o_custkey"))).otherwise("")
+    works_ = own.select(key.alias("work_author_id"), "paper_id", author.alias("author"), orcid.alias("orcid"), "institutions", "coauthors", "concepts", "citations")
+    old = own.where("o_orderdate < '2001-01-01'")
+    merges = old.where("o_custkey % 50 = 7").select(F.col("o_custkey").alias("merge_from_id"), (F.col("o_custkey") + 1).alias("merge_to_id")).distinct()
+    return {
+        "works": works_,
+        "current": old.select(key.alias("work_author_id"), F.col("o_custkey").alias("author_id")),
+        "requests": old.where("paper_id % 211 = 5").select(key.alias("work_author_id"), (F.col("o_custkey") + 3).alias("new_author_id"), F.col("o_orderdate").alias("request_date")),
+        "merges": merges,
+        "frozen": own.where("c_acctbal < 0").select(F.col("o_custkey").alias("author_id")).distinct(),
+        "removed": old.where("paper_id % 173 = 2").select("paper_id", F.col("o_custkey").alias("author_id")),
+        "splits": old.where("paper_id % 307 = 11").select(F.concat(F.lit("r"), F.col("o_custkey")).alias("request"), key.alias("work_author_id")),
+    }
+
+
 @query()
 def cascade_assign(spark, sf_dir):
-    rows = authorships(spark, sf_dir)
-    side = lambda df, s, drop: df.drop(*drop).select(*[F.col(c) if c == "author_id" else F.col(c).alias(c + s) for c in df.drop(*drop).columns])
-    rows = rows.drop("o_orderpriority", "c_acctbal")
-    new = side(rows.where("o_orderdate >= '2001-06-01'"), "_1", ["author_id", "o_orderdate"])
-    old = rows.where("o_orderdate < '2001-06-01'")
-    members = side(old, "_2", ["orcid", "o_orderdate"])
-    authors = old.groupBy("author_id").agg(F.max("orcid").alias("orcid"), F.collect_set("author").alias("alternate_names"))
-    return assign.cascade(new, members, authors, 5_000_000_000)
+    """Every round of the cascade, compared with a plain version in the tests."""
+    given = cascade_input(spark, sf_dir)
+    return assign.disambiguated(given.pop("works"), given.pop("current"), 5_000_000_000, **given)
 
 
 def overmerged_works(spark, sf_dir) -> DataFrame:
@@ -481,7 +593,7 @@ def overmerged_works(spark, sf_dir) -> DataFrame:
 def overmerge_split(spark, sf_dir):
     works_ = overmerged_works(spark, sf_dir)
     frozen = works_.where("c_acctbal < 0").select("author_id")
-    return identifiers.reassigned(works_.drop("c_acctbal"), frozen, rounds=1)
+    return identifiers.reassigned(works_.drop("c_acctbal"), frozen)
 
 
 @query()
@@ -517,13 +629,21 @@ def run_statistics(spark, sf_dir):
     return sinks.statistics(t(spark, sf_dir, "orders"), open=F.col("o_orderstatus") == "O", large=F.col("o_totalprice") > 100000)
 
 
-@query("SELECT paper_id, CAST(min(o_suppkey) AS BIGINT) AS first_institution, CAST(count(*) AS BIGINT) AS n FROM (SELECT l_orderkey AS paper_id, l_suppkey AS o_suppkey FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderpriority <> '1-URGENT')) GROUP BY 1")
+@query("""WITH w AS (SELECT o_orderkey FROM orders WHERE o_orderpriority <> '1-URGENT'),
+l AS (SELECT l_orderkey AS p, l_linenumber AS q, l_suppkey, l_partkey, l_quantity, CASE WHEN l_linenumber % 2 = 0 THEN l_suppkey ELSE -1 END AS a, p_name FROM lineitem JOIN part ON p_partkey = l_partkey JOIN w ON o_orderkey = l_orderkey),
+o AS (SELECT p, q, arg_max(p_name, struct_pack(n := length(p_name), s := p_name)) AS author, coalesce(min(CASE WHEN l_quantity > 40 THEN 'o' || l_suppkey END), '') AS orcid, list_sort(list_distinct(list(l_suppkey))) AS i, max(a) AS a FROM l GROUP BY ALL),
+e AS (SELECT p, list_sort(list_distinct(list(author))) AS c FROM o GROUP BY 1),
+k AS (SELECT l_orderkey AS p, list_sort(list_distinct(list(l_partkey % 60))) AS k FROM lineitem WHERE l_discount * 10 > 0.3 GROUP BY 1),
+r AS (SELECT l_orderkey AS p, list_sort(list_distinct(list(l_partkey * 7 + l_suppkey))) AS r FROM lineitem GROUP BY 1)
+SELECT p || '_' || q AS work_author_id, author AS original_author, orcid, array_to_string(i, ',') AS institutions, coalesce(array_to_string(k, ','), '') AS concepts, array_to_string(r, ',') AS citations, array_to_string(list_filter(c, lambda x: x <> author), ',') AS coauthors
+FROM o JOIN e USING (p) LEFT JOIN k USING (p) LEFT JOIN r USING (p) WHERE a = -1""")
 def disambiguation_input(spark, sf_dir):
-    """D19, reduced to what SQL compares: one row a paper's unassigned authorship."""
-    lines = t(spark, sf_dir, "lineitem")
-    affiliations = lines.select(F.col("l_orderkey").alias("paper_id"), F.lit(-1).cast("bigint").alias("author_id"), F.col("l_suppkey").alias("affiliation_id"), F.lit(1).alias("author_sequence_number"), F.lit("A B").alias("original_author"), F.lit("").alias("original_orcid"))
+    """One row an authorship without an author, with its paper's concepts, references and coauthors."""
+    lines = t(spark, sf_dir, "lineitem").join(t(spark, sf_dir, "part").select("p_partkey", "p_name"), F.col("l_partkey") == F.col("p_partkey"))
+    author = F.when(F.col("l_linenumber") % 2 == 0, F.col("l_suppkey")).otherwise(F.lit(-1))
+    orcid = F.when(F.col("l_quantity") > 40, F.concat(F.lit("o"), "l_suppkey")).otherwise("")
+    affiliations = lines.select(F.col("l_orderkey").alias("paper_id"), author.alias("author_id"), F.col("l_suppkey").alias("affiliation_id"), F.col("l_linenumber").alias("author_sequence_number"), F.col("p_name").alias("original_author"), orcid.alias("original_orcid"))
     own = works(spark, sf_dir).withColumn("created_date", F.to_timestamp("publication_date"))
-    none = spark.createDataFrame([], "paper_id bigint, field_of_study bigint, score double, paper_reference_id bigint")
-    rows = assign.disambiguation_input(affiliations, own, none.select("paper_id", "field_of_study", "score"), none.select("paper_id", "paper_reference_id"))
-    counted_ = lines.groupBy(F.col("l_orderkey").alias("paper_id")).agg(F.count("*").alias("n"))
-    return rows.select(columns.paper_of(F.col("work_author_id")).alias("paper_id"), F.array_min("institutions").alias("first_institution")).join(counted_, "paper_id")
+    concepts = lines.select(F.col("l_orderkey").alias("paper_id"), (F.col("l_partkey") % 60).alias("field_of_study"), (F.col("l_discount") * 10).alias("score"))
+    rows = assign.disambiguation_input(affiliations, own, concepts, references(spark, sf_dir))
+    return rows.select("work_author_id", "original_author", "orcid", *[F.array_join(c, ",").alias(c) for c in ("institutions", "concepts", "citations", "coauthors")])

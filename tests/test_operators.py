@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import json
+import random
+import re
+from datetime import datetime
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -127,6 +132,13 @@ def test_compatible_names(a, b, same):
     ("Maria De Silva", ["Maria"], ["Silva"], [1, 1, 0], True),
     ("Silvana Costa", ["Ana"], ["Silva"], [0.75, 0, 0], False),
     ("Wei Li", ["Wei"], ["Zhang"], [0, 0, 0], False),
+    ("Ana Lopez-Garcia", ["Ana"], ["Lopez-Garcia"], [2, 1, 0], True),
+    ("Jean-Pierre Dupont", ["Jean-Pierre"], ["Dupont"], [1, 2, 0], True),
+    ("maria silva d", ["Maria"], ["De", "Silva"], [1, 1, 1], True),
+    ("J J Smith", ["John", "James"], ["Smith"], [1, 0, 2], True),
+    ("Seán O'Neill", ["Sean"], ["O’Neill"], [1, 1, 0], True),
+    ("Ana", ["Ana"], [], [0, 1, 0], False),
+    (None, ["Ana"], ["Silva"], [0, 0, 0], False),
 ])
 def test_name_evidence(spark, author, given, family, points, ok):
     assert names.evidence(author, given, family) == points
@@ -134,11 +146,82 @@ def test_name_evidence(spark, author, given, family, points, ok):
     assert one.select(names.accepted(F.col("e"))).first()[0] is ok
 
 
-def test_display_names():
-    assert names.display_name(["John Smith", "John Smith", "J Smith", "JSmith"]) == "John Smith"
-    assert names.display_name(["Ann Lee", "Anna Lee"]) == "Anna Lee"
-    assert names.display_name(["Jose Diaz", "Jose Diaz", "José Díaz"]) == "José Díaz"
-    assert names.alternate_names(["J. Smith", "J Smith", "john lee (", None]) == ["J. Smith", "john lee"]
+def plain_evidence(author, given, family):
+    """D7 by words and marks: what is matched becomes a mark that no later token matches."""
+    clean = lambda x: "".join(" " if c in ".,|-\u2010" else c for c in names.fold(x or "").lower() if c in ".,|-\u2010 " or c.isalpha()).split()
+    text, points, rest = " ".join(clean(author)), [0.0, 0.0, 0.0], {"f": [], "g": []}
+    tokens = {"f": [t for x in family for t in clean(x)], "g": [t for x in given for t in clean(x)]}
+    if tokens["f"] and all(t not in text for t in tokens["f"]):
+        return points
+    for k, (kind, own) in enumerate((("f", tokens["f"]), ("g", tokens["g"]))):
+        for t in own:
+            words = text.split(" ")
+            if len(t) > 1 and t in words:
+                points[k] += 1
+                text = re.sub(rf"(^| ){t}( |$)", lambda m: m[1] + m[2], text, count=1).strip()
+            elif len(t) > 1 and t in text:
+                points[k] += 0.75
+                text = text.replace(t, "", 1).strip()
+            else:
+                rest[kind].append(t)
+    for t in rest["g"] + rest["f"]:
+        words = text.split(" ")
+        if t[0] in words:
+            points[2] += 1
+            words.remove(t[0])
+            text = " ".join(words)
+    return points
+
+
+def test_evidence_matches_a_plain_version():
+    rng = random.Random(5)
+    words = ["Ana", "An", "A", "B", "De", "Lopez-Garcia", "Garcia", "Lopez", "Silva", "Silvana", "D.", "van", "O'Neil"]
+    for _ in range(3000):
+        author, given, family = ([rng.choice(words) for _ in range(rng.randrange(n, 4))] for n in (1, 0, 0))
+        assert names.evidence(" ".join(author), given, family) == plain_evidence(" ".join(author), given, family), (author, given, family)
+
+
+def test_structures_and_the_guard_against_swaps():
+    structure = lambda *forms: names.merged_slots([names.slots(f) for f in forms])
+    same = lambda a, b: (names.compatible_slots(structure(*a), structure(*b)), names.compatible_slots(structure(*b), structure(*a)))
+    assert structure("john smith", "j a smith")["first"] == (["john"], ["j"]) and structure("john smith", "smith john")["last"] == (["john", "smith"], ["j", "s"])
+    assert same(["john smith", "smith john"], ["john smith"]) == (True, True)
+    assert same(["john smith", "smith john"], ["john smith", "smith john"]) == (True, True)
+    # one name in all four lists and the other different on both sides: not one person
+    assert same(["wei zhang", "zhang wei"], ["wei li", "li wei"]) == (False, False)
+    assert same(["ann lee", "anna lee"], ["ann lee"]) == (True, True) and same(["ann lee"], ["bob lee"]) == (False, False)
+
+
+def plain_compatible(a: str, b: str) -> bool:
+    """D9 for search forms, slot by slot."""
+    u, v = a.split(), b.split()
+    if not u or not v:
+        return True
+    agree = lambda x, y: x == y if len(x) > 1 and len(y) > 1 else x[0] == y[0]
+    if not agree(u[0], v[0]):
+        return len(u) == len(v) == 2 and u == v[::-1]
+    if not agree(u[-1], v[-1]):
+        return False
+    return all(agree(x, y) for x, y in zip(u[1:-1], v[1:-1], strict=False))
+
+
+def test_compatibility_matches_a_plain_version_and_its_expression(spark):
+    rng = random.Random(6)
+    words = ["john", "j", "jon", "smith", "s", "a", "ann", "bo", "b"]
+    forms = sorted({" ".join(rng.choice(words) for _ in range(rng.randrange(5))) for _ in range(60)})
+    parts = spark.createDataFrame([(f,) for f in forms], "s string").select("s", names.slots_of("s").alias("slots"), F.filter(F.split("s", " "), lambda x: x != "").alias("words"))
+    side = lambda c: parts.select(F.col("s").alias(c), F.col("slots").alias(f"{c}_slots"), F.col("words").alias(f"{c}_slots_words"))
+    met = side("a").crossJoin(side("b")).select("a", "b", names.slots_match("a_slots", "b_slots").alias("same"))
+    for r in met.collect():
+        assert r["same"] == names.compatible(r["a"], r["b"]) == plain_compatible(r["a"], r["b"]), (r["a"], r["b"])
+
+
+def test_display_names(spark):
+    given = [("a", "John Smith"), ("a", "John Smith"), ("a", "J Smith"), ("a", "JSmith"), ("b", "Ann Lee"), ("b", "Anna Lee"), ("c", "Jose Diaz"), ("c", "Jose Diaz"), ("c", "José Díaz"), ("d", None), (None, "No Key")]
+    d = spark.createDataFrame(given, "k string, n string")
+    assert {(r["k"], r["display_name"]) for r in names.display_names(d, "k", "n").collect()} == {("a", "John Smith"), ("b", "Anna Lee"), ("c", "José Díaz"), ("d", ""), (None, "No Key")}
+    d = spark.createDataFrame([("a", n) for n in ("J. Smith", "J Smith", "john lee (", None, "Mary\u2010Ann")], "k string, n string")
+    assert rows(names.alternates(d, "k", "n"), "name") == [("J. Smith",), ("Mary-Ann",), ("john lee",)]
 
 
 def test_name_forms(spark):
@@ -149,11 +232,20 @@ def test_name_forms(spark):
     assert got["first"] == (["mary", "maryjane"], ["m"]) and got["last"] == (["watson"], ["w"])
     assert not names.display_changed("Ann Lee", "ann lee") and names.display_changed("Ann Lee", "A Lee")
     keyed = spark.createDataFrame([("Ann B. Lee-Ray",), ("None",), (None,)], "n string").select(names.coauthor_key(F.col("n")), names.usable(F.col("n"))).collect()
-    assert [tuple(k) for k in keyed] == [("a_leeray", True), ("n_none", False), (None, False)]
+    assert [tuple(k) for k in keyed] == [("a_leeray", True), ("none", False), (None, False)]
+    lists = spark.createDataFrame([(["Ann B. Lee-Ray", "ann lee-ray", "Bo Li", None],), (None,)], "c array<string>").select(names.coauthor_keys(F.col("c"))).collect()
+    assert [r[0] for r in lists] == [["a_leeray"], []]
+    assert [r[0] for r in spark.createDataFrame([("ann lee",), ("lee",)], "s string").select(names.letter_of(F.col("s"))).collect()] == ["a", ""]
     one = spark.createDataFrame([(" ;(12) Ann  &NA; Lee*",), (None,)], "n string").select(names.cleaned(F.col("n"))).collect()
     assert [r[0] for r in one] == ["Ann Lee", ""]
 
 
+def test_identifier_priority(spark):
+    own = "0000-0001-2345-6789"
+    d = spark.createDataFrame([(None, "x", own), (f"https://orcid.org/{own}", "a" * 19, ""), ("", "a" * 19, own), ("x", None, None)], "u string, h string, s string")
+    assert [r[0] for r in d.select(identifiers.chosen_identifier(F.col("u"), F.col("h"), F.col("s"))).collect()] == [own, own, "a" * 19, ""]
+
+
 def test_reconciled_identifiers(spark):
     claims = spark.createDataFrame([(1, 1, "Maria Silva", "o"), (1, 2, "M Silva", "o"), (2, 1, "Wei Zhang", "o"), (3, 1, "M Silva", "o"), (3, 2, "M Silva", "o")], "paper_id long, author_sequence_number int, original_author string, orcid string")
     registry = spark.createDataFrame([("o", "Maria", "Silva")], "orcid string, given_names string, family_name string")
@@ -194,15 +286,50 @@ def test_collapse_expand_and_kept_ids(spark):
     assert rows(assign.kept_ids(new, old), "author_id", "old_id") == [(10, 1)]
 
 
+KINDS = "work_author_id string, paper_id long, author string, orcid string, institutions array<long>, coauthors array<string>, concepts array<long>, citations array<long>"
+
+
 def test_cascade_rounds(spark):
-    kinds = "work_author_id string, paper_id long, author string, orcid string, institutions array<long>, coauthors array<string>, concepts array<long>, citations array<long>"
-    new = spark.createDataFrame([("1_1", 1, "Ann Lee", "O", [], [], [], []), ("2_1", 2, "Ann Lee", "", [5], ["x"], [1], [90]), ("3_1", 3, "A Lee", "", [5], ["x"], [1], [90]), ("4_1", 4, "Ann Lee", "", [], [], [], []), ("5_1", 5, "None", "", [], [], [], [])], kinds)
-    old = spark.createDataFrame([("90_1", 90, "Ann Lee", "", [5], ["x"], [1], [])], kinds)
-    side = lambda df, s: df.select(*[F.col(c).alias(c + s) for c in df.columns])
-    members = side(old.drop("orcid"), "_2").withColumn("author_id", F.lit(7).cast("long"))
-    authors = spark.createDataFrame([(7, "", ["Ann Lee"]), (8, "O", ["Someone Else"])], "author_id long, orcid string, alternate_names array<string>")
-    got = rows(assign.cascade(side(new, "_1"), members, authors, 100), "work_author_id_1", "author_id", "how")
-    assert got == [("1_1", 8, "identifier"), ("2_1", 7, "name"), ("3_1", 7, "compatible"), ("4_1", 101, "new"), ("5_1", diff.NULL_BUCKET, "unnamed")]
+    rows_ = [
+        ("1_1", 1, "Ann Lee", "O", [], [], [], []), ("2_1", 2, "Ann Lee", "", [5], ["Some Coauthor"], [1], [90]), ("3_1", 3, "A Lee", "", [5], ["Some Coauthor"], [1], [90]),
+        ("4_1", 4, "Ann Lee", "", [], [], [], []), ("5_1", 5, "None", "", [], [], [], []), ("90_1", 90, "Ann Lee", "", [5], ["Some Coauthor"], [1], []), ("91_1", 91, "Someone Else", "O", [], [], [], []),
+        ("6_1", 6, "Ann Lee", "", [77], [], [], [2]),  # its only evidence is authorship 2_1, which the round before adds
+        ("7_1", 7, "Ann Lee", "", [5], ["Some Coauthor"], [1], [90]),  # barred from author 7
+        ("8_1", 8, "Ann Lee", "", [], [], [], []),  # equal to 4_1 in all features
+    ]
+    works = spark.createDataFrame(rows_, KINDS)
+    current = spark.createDataFrame([("90_1", 7), ("91_1", 8)], "work_author_id string, author_id long")
+    removed = spark.createDataFrame([(7, 7)], "paper_id long, author_id long")
+    got = rows(assign.disambiguated(works, current, 100, removed=removed), "work_author_id", "author_id", "how")
+    assert got == [
+        ("1_1", 8, "identifier"), ("2_1", 7, "name"), ("3_1", 7, "compatible"), ("4_1", 101, "new"), ("5_1", diff.NULL_BUCKET, "unnamed"),
+        ("6_1", 7, "name again"), ("7_1", 102, "new"), ("8_1", 101, "new"), ("90_1", 7, "kept"), ("91_1", 8, "kept"),
+    ]
+
+
+def test_an_author_gains_one_identifier_in_all_rounds(spark):
+    """Author 7 gains A by exact name; B, which fits by a compatible name a round later, is then another person's."""
+    rows_ = [("90_1", 90, "Ann Lee", "", [5], [], [1], []), ("1_1", 1, "Ann Lee", "A", [5], [], [1], [90]), ("2_1", 2, "A Lee", "B", [5], [], [1], [90])]
+    works, current = spark.createDataFrame(rows_, KINDS), spark.createDataFrame([("90_1", 7)], "work_author_id string, author_id long")
+    assert rows(assign.disambiguated(works, current, 100), "work_author_id", "author_id", "how") == [("1_1", 7, "name"), ("2_1", 101, "new"), ("90_1", 7, "kept")]
+
+
+def test_curation_comes_first(spark):
+    """Newest request, merges (a frozen author keeps its id), parted works, splits, shared identifiers, kept ids."""
+    named = lambda k, orcid="": (f"{k}_1", k, f"Person {chr(97 + k % 26)}{chr(97 + k // 26)}", orcid, [], [], [], [])
+    works = spark.createDataFrame([named(k, {60: "X", 61: "X"}.get(k, "")) for k in (10, 20, 30, 31, 40, 50, 51, 60, 61, 70)], KINDS)
+    ids = "work_author_id string, author_id long"
+    current = spark.createDataFrame([("10_1", 1), ("20_1", 2), ("30_1", 3), ("31_1", 33), ("40_1", 4), ("50_1", 5), ("51_1", 5), ("60_1", 6), ("61_1", 66), ("70_1", 9)], ids)
+    day = lambda n: datetime(2025, 1, n)
+    requests = spark.createDataFrame([("10_1", 100, day(1)), ("10_1", 101, day(2))], "work_author_id string, new_author_id long, request_date timestamp")
+    merges = spark.createDataFrame([(2, 22), (3, 33)], "merge_from_id long, merge_to_id long")
+    frozen = spark.createDataFrame([(3,), (66,)], "author_id long")
+    removed = spark.createDataFrame([(40, 4), (70, 9)], "paper_id long, author_id long")
+    splits = spark.createDataFrame([("s", "50_1")], "request string, work_author_id string")
+    got = {r["work_author_id"]: (r["author_id"], r["how"]) for r in assign.disambiguated(works, current, 1000, requests, merges, frozen, removed, splits).collect()}
+    assert got["10_1"] == (101, "kept") and got["20_1"] == (22, "kept") and got["30_1"] == got["31_1"] == (3, "kept")
+    assert got["50_1"] == (1001, "split") and got["51_1"] == (5, "kept") and got["60_1"] == got["61_1"] == (66, "kept")
+    assert got["40_1"] == (4, "new") and got["70_1"] == (9, "new")  # alone as before, so they keep their old ids
 
 
 def test_disambiguation_input(spark):
@@ -227,6 +354,61 @@ def test_rules_and_rewrites(spark):
     assert rules.rewritten(parent, rules.family(1, {2: ("third", 3)})).first()["ids"] == [1, 3]
 
 
+def made_up_rules(n: int, rng) -> tuple[list, list]:
+    word = lambda: rng.choice("abcdefgh") + rng.choice(["ar", "el", "in", "ou"]) + rng.choice(["", "x", "y"])
+
+    def predicate(depth: int = 0, ids: bool = False):
+        kind = rng.choice(["has", "has_lower", "any", "any_lower", "all", "word", "regex", "replaced", "not", "and", "or", *(["id", "ids_more_than"] if ids else [])])
+        match kind:
+            case "has" | "word":
+                return (kind, word())
+            case "has_lower":
+                return (kind, word())
+            case "any" | "any_lower" | "all":
+                return (kind, [word() for _ in range(rng.randrange(1, 3))])
+            case "regex":
+                return (kind, f"{word()} ?[a-c]")
+            case "replaced":
+                return (kind, {"-": " "}, f"{word()} {word()}"[:4])
+            case "id":
+                return (kind, rng.randrange(60))
+            case "ids_more_than":
+                return (kind, rng.randrange(4))
+        if depth > 1:
+            return ("has", word())
+        return (kind, predicate(depth + 1, ids)) if kind == "not" else (kind, predicate(depth + 1, ids), ("has", word()))
+
+    own = [rules.Rule(predicate(), (rng.randrange(60),), rng.choice([None, None, "g1", "g2"]), rng.randrange(5)) for _ in range(n)]
+    own += [rules.Rule(("and", ("id", rng.randrange(60)), predicate()), (rng.randrange(60, 70),)) for _ in range(5)]
+    changes = [rules.Rewrite(("and", predicate(1, True), ("id", rng.randrange(70))) if rng.random() < 0.7 else predicate(1, True), (rng.randrange(70),), tuple(rng.sample(range(70), rng.randrange(2)))) for _ in range(n)]
+    return own, changes
+
+
+def test_one_pass_equals_the_expressions(spark, monkeypatch):
+    rng = random.Random(8)
+    own, changes = made_up_rules(40, rng)
+    words = [a + b + c for a in "abcdefgh" for b in ("ar", "el", "in", "ou") for c in ("", "x", "y")]
+    texts = [(rng.choice([" ", "-", ", "]).join(rng.choice([str, str.upper, str.title])(rng.choice(words)) for _ in range(rng.randrange(12))),) for _ in range(150)] + [(None,), ("",)]
+    d = spark.createDataFrame(texts, "text string")
+    few = rules.rewritten(rules.matched(d, own), changes[:30]).collect()
+    monkeypatch.setattr(rules, "FEW", 0)
+    assert rules.rewritten(rules.matched(d, own), changes[:30]).collect() == few and len({tuple(r["ids"]) for r in few}) > 20
+
+
+def test_a_large_rule_table(spark):
+    """1,200 rules and 700 rewrites, read from JSON tables; the last rewrite sees what the first ones did."""
+    own, changes = made_up_rules(1200, random.Random(9))
+    changes = changes[:699] + [rules.Rewrite(("has", "chain"), (), (900,))]
+    chain = [rules.Rewrite(("id", 900 + k), (900 + k,), (901 + k,)) for k in range(100)]
+    given = spark.createDataFrame([(json.dumps(r.predicate), list(r.emits), r.group, r.priority) for r in own], "predicate string, emits array<bigint>, group string, priority int")
+    table = spark.createDataFrame([(k, json.dumps(r.predicate), list(r.removes), list(r.adds)) for k, r in enumerate(changes + chain)], "position int, predicate string, removes array<bigint>, adds array<bigint>")
+    read, rewrites = rules.read_rules(given), rules.read_rewrites(table)
+    assert len(read) == len(own) and [r.predicate for r in rewrites] == [r.predicate for r in changes + chain]
+    d = spark.createDataFrame([("chain of ar el",), ("Aarx, bel",), (None,)], "text string")
+    got = [r["ids"] for r in rules.rewritten(rules.matched(d, read), rewrites).collect()]
+    assert 1000 in got[0] and 900 not in got[0] and got[2]
+
+
 def test_empty_inputs(spark):
     none = lambda ddl: spark.createDataFrame([], ddl)
     assert metrics.entity_topic_profile(none("e long, paper_id long"), none("paper_id long, topic_id long"), "e").count() == 0
