@@ -4,15 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import Row
 
 
-def parquet(df: DataFrame, path: str, mode: str = "overwrite", files: int | None = None) -> None:
-    """Write Parquet; ``files`` compacts to fewer files without a shuffle, or spreads over more."""
+def parquet(df: DataFrame, path: str, mode: str = "overwrite", files: int | None = None, spread: bool = False) -> None:
+    """Write Parquet; ``files`` compacts to so many files at most, without a shuffle, or with ``spread`` deals rows over so many."""
     if files:
-        df = df.coalesce(files) if files <= df.rdd.getNumPartitions() else df.repartition(files)
+        df = df.repartition(files) if spread else df.coalesce(files)
     df.write.mode(mode).parquet(path)
 
 
@@ -30,6 +30,28 @@ def staged_upsert(df: DataFrame, url: str, stage: str, properties: dict[str, str
     run(statements)
 
 
+def transaction(spark: SparkSession, url: str, properties: dict[str, str], statements: list[str]) -> None:
+    """Run set-based statements in one transaction over one connection of the driver; any failure undoes them all."""
+    jvm = spark.sparkContext._jvm
+    login = jvm.java.util.Properties()
+    for k, v in properties.items():
+        login.setProperty(k, v)
+    if "driver" in properties:
+        jvm.java.lang.Class.forName(properties["driver"], True, jvm.java.lang.Thread.currentThread().getContextClassLoader())
+    connection = jvm.java.sql.DriverManager.getConnection(url, login)
+    try:
+        connection.setAutoCommit(False)
+        statement = connection.createStatement()
+        for sql in statements:
+            statement.execute(sql)
+        connection.commit()
+    except Exception:
+        connection.rollback()
+        raise
+    finally:
+        connection.close()
+
+
 def batched_updates(df: DataFrame, apply: Callable[[list[Row]], None], batch: int = 200) -> None:
     """Hand rows to ``apply`` in batches, on the executors; it must be idempotent, as tasks may be retried."""
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from datetime import date, datetime
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -59,10 +60,20 @@ def split_points(df: DataFrame, key: str, parts: int) -> list:
     return sorted(set(found or []))
 
 
+def _literal(value) -> str:
+    """A value as an SQL literal."""
+    if isinstance(value, datetime):
+        return f"TIMESTAMP '{value:%Y-%m-%d %H:%M:%S.%f}'"
+    if isinstance(value, date):
+        return f"DATE '{value:%Y-%m-%d}'"
+    return "'" + value.replace("'", "''") + "'" if isinstance(value, str) else str(value)
+
+
 def range_predicates(key: str, points: list) -> list[str]:
-    """Half-open ranges that cover every row once; nulls go with the lowest."""
+    """Half-open ranges that cover every row once; nulls go with the lowest. Points may be numbers, texts, dates or times."""
     if not points:
         return ["1 = 1"]
+    points = [_literal(p) for p in points]
     first, last = f"{key} < {points[0]} OR {key} IS NULL", f"{key} >= {points[-1]}"
     return [first, *(f"{key} >= {a} AND {key} < {b}" for a, b in zip(points, points[1:], strict=False)), last]
 
@@ -77,5 +88,10 @@ def jdbc_by_range(spark: SparkSession, url: str, query: str, column: str, low: i
     return spark.read.format("jdbc").options(**options).load()
 
 
+def warehouse_table(spark: SparkSession, kind: str, options: dict[str, str]) -> DataFrame:
+    """A table of any connector on the class path, by its format's name and options."""
+    return spark.read.format(kind).options(**options).load()
+
+
 def jdbc_table(spark: SparkSession, url: str, query: str, properties: dict[str, str]) -> DataFrame:
     return spark.read.jdbc(url, query, properties=properties)
