@@ -464,6 +464,15 @@ def script_filter(spark, sf_dir):
     return t(spark, sf_dir, "documents").select("doc_id", names.keeps_script(F.col("text")).alias("latin"))
 
 
+@query("SELECT p_partkey, CASE p_partkey % 5 WHEN 1 THEN 'CJK' WHEN 2 THEN 'CYRILLIC' WHEN 3 THEN 'ARABIC,GREEK' ELSE '' END AS scripts, p_partkey % 5 IN (0, 4) AS kept FROM part")
+def name_scripts(spark, sf_dir):
+    """Scripts of names that are not Latin, and whether the name is matched at all."""
+    way = F.col("p_partkey") % 5
+    tail = F.when(way == 1, " 李").when(way == 2, " Иван").when(way == 3, " علي Νίκος").when(way == 4, " Ørsted-Ñandú 3").otherwise("")
+    own = t(spark, sf_dir, "part").select("p_partkey", F.concat("p_name", tail).alias("name"))
+    return own.select("p_partkey", F.array_join(names.scripts_of("name"), ",").alias("scripts"), names.keeps_script(F.col("name")).alias("kept"))
+
+
 @query(f"WITH {PEOPLE} SELECT p_partkey, CASE WHEN length(g) > 1 THEN g ELSE '' END AS first, f[1] AS first_initials, mid AS middle1_initials, x AS last, x[1] AS last_initials FROM n")
 def name_slots(spark, sf_dir):
     own = people(spark, sf_dir).select("p_partkey", names.slots_of(names.search_form_of(names.parsed_of("raw"))).alias("s"))
