@@ -336,10 +336,11 @@ def upsert_unnest(spark, sf_dir):
     return diff.unnested(t(spark, sf_dir, "part").withColumn("ws", F.split("p_name", " ")), "p_partkey", "ws", "name").distinct()
 
 
-@query("SELECT o_orderkey, CASE WHEN c_acctbal < 0 THEN 5317838346 ELSE o_custkey END AS author_id FROM orders LEFT JOIN customer ON o_custkey = c_custkey")
+@query("SELECT o_orderkey, CASE WHEN c_acctbal < 0 AND o_orderstatus <> 'F' THEN 5317838346 ELSE o_custkey END AS author_id FROM orders LEFT JOIN customer ON o_custkey = c_custkey")
 def upsert_tombstone(spark, sf_dir):
     gone = t(spark, sf_dir, "customer").where("c_acctbal < 0").select(F.col("c_custkey").alias("author_id"))
-    return diff.tombstoned(t(spark, sf_dir, "orders").select("o_orderkey", F.col("o_custkey").alias("author_id")), gone, "author_id", "author_id")
+    own = t(spark, sf_dir, "orders").select("o_orderkey", F.col("o_custkey").alias("author_id"), "o_orderstatus")
+    return diff.tombstoned(own, gone, "author_id", "author_id", only=F.col("o_orderstatus") != "F").select("o_orderkey", "author_id")
 
 
 @query("SELECT c_custkey AS id FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'F')")

@@ -39,6 +39,19 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def stored(spark: SparkSession, name: str, data: bytes) -> str:
+    """The path of a file with ``data`` in the shared folder; it goes when the driver ends."""
+    folder = f"{shared_folder(spark)}/biblioflow/{uuid.uuid4().hex}"
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}")
+    out = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(target)
+    try:
+        out.write(bytearray(data))
+    finally:
+        out.close()
+    _written.append((spark, folder))
+    return f"{folder}/{name}"
+
+
 @atexit.register
 def drop_stages() -> None:
     """Delete the stages: through the session if it still lives, else those in the local folder."""
