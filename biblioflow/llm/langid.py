@@ -71,23 +71,13 @@ def start(languages: list[str], hidden: int = HIDDEN, seed: int = 7) -> Network:
     return Network(languages, direction(), direction(), some(2 * hidden, len(languages), scale=0.3), np.zeros(len(languages), "f4"))
 
 
-def run(d: Direction, x: np.ndarray, out: np.ndarray, kept: list | None = None, active: np.ndarray | None = None) -> None:
-    """States of one direction over x (steps x rows) into out (steps x rows x H); ``kept`` gets what training needs.
-
-    ``active``: how many rows, from the first on, still go on at each step.
-    """
+def run(d: Direction, x: np.ndarray, out: np.ndarray, kept: list | None = None) -> None:
+    """States of one direction over x (steps x rows) into out (steps x rows x H); ``kept`` gets what training needs."""
     rows, hidden = x.shape[1], d.candidate.shape[1]
-    states = np.zeros((rows, hidden), "f4")
-    gates, inputs = np.empty((rows, 2 * hidden), "f4"), np.empty((rows, 2 * hidden), "f4")
-    candidates, resets = np.empty((rows, hidden), "f4"), np.empty((rows, hidden), "f4")
-    n = -1
+    h = np.zeros((rows, hidden), "f4")
+    g, gx = np.empty((rows, 2 * hidden), "f4"), np.empty((rows, 2 * hidden), "f4")
+    c, r = np.empty((rows, hidden), "f4"), np.empty((rows, hidden), "f4")
     for t, at in enumerate(x):
-        if active is not None and active[t] != n:
-            n = active[t]
-            h, g, gx, c, r = states[:n], gates[:n], inputs[:n], candidates[:n], resets[:n]
-        elif n < 0:
-            n, h, g, gx, c, r = rows, states, gates, inputs, candidates, resets
-        at = at[:n]
         np.take(d.gates, at, axis=0, out=gx, mode="clip")
         np.matmul(h, d.to_gates, out=g)
         g += gx
@@ -105,7 +95,40 @@ def run(d: Direction, x: np.ndarray, out: np.ndarray, kept: list | None = None,
         c -= h
         c *= g[:, hidden:]
         h += c
-        out[t, :n] = h
+        out[t] = h
+
+
+def read(d: Direction, w: np.ndarray, x: np.ndarray, active: np.ndarray) -> np.ndarray:
+    """What the states of ``run`` add to the logits (steps x rows x classes); ``active``: how many rows, from the first on,
+    still go on at each step. Gates lie one after the other, so that every operation runs over one block of memory."""
+    (steps, rows), hidden = x.shape, d.candidate.shape[1]
+    tables = np.stack([0.25 * d.gates[:, :hidden] + 0.5, 0.25 * d.gates[:, hidden:] + 0.5]).astype("f4")
+    to_gates = np.stack([0.25 * d.to_gates[:, :hidden], 0.25 * d.to_gates[:, hidden:]]).astype("f4")
+    candidate, to_candidate = np.ascontiguousarray(d.candidate, "f4"), np.ascontiguousarray(d.to_candidate, "f4")
+    states, flat = np.zeros((rows, hidden), "f4"), np.empty((6, rows * hidden), "f4")
+    out = np.zeros((steps, rows, w.shape[1]), "f4")
+    n = -1
+    for t in range(steps):
+        if active[t] != n:
+            n = int(active[t])
+            h, size = states[:n], n * hidden
+            g, gx = flat[:2].reshape(-1)[: 2 * size].reshape(2, n, hidden), flat[2:4].reshape(-1)[: 2 * size].reshape(2, n, hidden)
+            c, r = flat[4, :size].reshape(n, hidden), flat[5, :size].reshape(n, hidden)
+        at = x[t, :n]
+        np.matmul(h, to_gates, out=g)
+        g += np.take(tables, at, axis=1, out=gx, mode="clip")
+        np.maximum(g, 0, out=g)
+        np.minimum(g, 1, out=g)
+        np.multiply(g[0], h, out=r)
+        np.matmul(r, to_candidate, out=c)
+        c += np.take(candidate, at, axis=0, out=r, mode="clip")
+        np.maximum(c, -1, out=c)
+        np.minimum(c, 1, out=c)
+        c -= h
+        c *= g[1]
+        h += c
+        np.matmul(h, w, out=out[t, :n])
+    return out
 
 
 def back(d: Direction, x: np.ndarray, kept: list, upstream: np.ndarray) -> list[np.ndarray]:
@@ -192,33 +215,44 @@ def stretches(texts: list[bytes]) -> list[tuple[int, int, int, int, int]]:
     return sorted(out, key=lambda s: s[1] - s[4])
 
 
-def label_positions(net: Network, texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """For blocks of segments: (text of each, probabilities steps x rows x classes, positions that it labels)."""
+def exponents(net: Network, texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """For blocks of segments: (text of each, exponents of the logits steps x rows x classes, their sums, positions labelled)."""
     parts, hidden = stretches(texts), net.forward.candidate.shape[1]
+    every = np.ones(len(net.languages), "f4")
     for at in range(0, len(parts), ROWS):
         own, first, start, end, last = np.array(parts[at : at + ROWS]).T
         length = last - first
         steps = np.arange(length[0])
-        x = np.zeros((len(own), length[0]), np.uint8)
-        for r, (k, a, z) in enumerate(zip(own.tolist(), first.tolist(), last.tolist(), strict=True)):
-            x[r, : z - a] = np.frombuffer(texts[k], np.uint8, z - a, a)
-        turn = np.maximum(length[:, None] - 1 - steps, 0)  # each row from its last byte to its first
+        x, turned = (np.zeros((len(own), length[0]), np.uint8) for _ in range(2))
+        for r, (k, a, n) in enumerate(zip(own.tolist(), first.tolist(), length.tolist(), strict=True)):
+            x[r, :n] = np.frombuffer(texts[k], np.uint8, n, a)
+            turned[r, :n] = x[r, :n][::-1]
         active = np.searchsorted(-length, -steps, side="left")
-        logits = []
-        for d, seen, w in ((net.forward, x, net.out[:hidden]), (net.backward, np.take_along_axis(x, turn, axis=1), net.out[hidden:])):
-            states_ = np.zeros((len(steps), len(own), hidden), "f4")
-            run(d, np.ascontiguousarray(seen.T).astype(np.intp), states_, active=active)
-            logits.append(states_ @ w)
-        z = logits[0] + np.take_along_axis(logits[1], turn.T[:, :, None], axis=0) + net.bias
-        yield own, softmax(z), (steps[:, None] >= start - first) & (steps[:, None] < end - first)
+        side = lambda d, w, seen: read(d, np.ascontiguousarray(w, "f4"), np.ascontiguousarray(seen.T).astype(np.intp), active)
+        z, behind = side(net.forward, net.out[:hidden], x), side(net.backward, net.out[hidden:], turned)
+        for r, n in enumerate(length.tolist()):
+            z[:n, r] += behind[n - 1 :: -1, r] if n < len(behind) else behind[::-1, r]
+        z += net.bias
+        top = z[:, :, 0].copy()
+        for c in range(1, z.shape[2]):
+            np.maximum(top, z[:, :, c], out=top)
+        z -= top[:, :, None]
+        np.exp(z, out=z)
+        yield own, z, z @ every, (steps[:, None] >= start - first) & (steps[:, None] < end - first)
+
+
+def label_positions(net: Network, texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """For blocks of segments: (text of each, probabilities steps x rows x classes, positions that it labels)."""
+    for own, e, total, labelled in exponents(net, texts):
+        yield own, e / total[:, :, None], labelled
 
 
 def probabilities(net: Network, texts: list[bytes]) -> np.ndarray:
     """Pooled probabilities, texts x classes; zero for a text of no bytes."""
-    total = np.zeros((len(texts), len(net.languages)))
-    for own, p, real in label_positions(net, texts):
-        np.add.at(total, own, np.einsum("trc,tr->rc", p, real.astype("f4")))
-    return total / np.maximum(1, np.array([len(t) for t in texts]))[:, None]
+    pooled = np.zeros((len(texts), len(net.languages)))
+    for own, e, total, labelled in exponents(net, texts):
+        np.add.at(pooled, own, np.einsum("trc,tr->rc", e, labelled / total))
+    return pooled / np.maximum(1, np.array([len(t) for t in texts]))[:, None]
 
 
 def train(docs: DataFrame, eligible: Column, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", sample: int = 400, windows: int = 6) -> Network | None:
