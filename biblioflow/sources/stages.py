@@ -30,25 +30,42 @@ def shared_folder(spark: SparkSession) -> str:
     return f"file://{LOCAL_CHECKPOINTS}"
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written and read back; the table goes when the driver ends."""
-    spark = df.sparkSession
+def new_path(spark: SparkSession, name: str) -> str:
+    """A path in the shared folder for a table that goes when the driver ends."""
     path = f"{shared_folder(spark)}/biblioflow/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
     _written.append((spark, path))
-    return spark.read.schema(df.schema).parquet(path)
+    return path
+
+
+def staged(df: DataFrame, name: str, codec: str = "zstd", options: dict[str, str] | None = None) -> DataFrame:
+    """``df`` written as Parquet and read back; the table goes when the driver ends, or by ``release``."""
+    path = new_path(df.sparkSession, name)
+    df.write.options(compression=codec, **(options or {})).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.stage_path = path
+    return out
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def release(df: DataFrame) -> None:
+    """Delete a stage that nothing reads any more."""
+    delete(df.sparkSession, df.stage_path)
+    _written.remove((df.sparkSession, df.stage_path))
 
 
 def stored(spark: SparkSession, name: str, data: bytes) -> str:
     """The path of a file with ``data`` in the shared folder; it goes when the driver ends."""
-    folder = f"{shared_folder(spark)}/biblioflow/{uuid.uuid4().hex}"
+    folder = new_path(spark, "file")
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}")
     out = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(target)
     try:
         out.write(bytearray(data))
     finally:
         out.close()
-    _written.append((spark, folder))
     return f"{folder}/{name}"
 
 
@@ -62,8 +79,7 @@ def drop_stages() -> None:
             if path.startswith(f"file://{LOCAL_CHECKPOINTS}/"):
                 shutil.rmtree(path.removeprefix("file://"), ignore_errors=True)
         else:
-            target = context._jvm.org.apache.hadoop.fs.Path(path)
-            target.getFileSystem(context._jsc.hadoopConfiguration()).delete(target, True)
+            delete(spark, path)
 
 
 def sized(df: DataFrame, width: Column | int) -> DataFrame:
