@@ -1,74 +1,20 @@
-"""What the training-data operators share: intermediate tables, batch sizes, text rules."""
+"""What the training-data operators share: stages, row keys, batch sizes, text rules."""
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import uuid
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import MapType
 
-#: Used only where the session names no checkpoint folder and all tasks run on this machine.
-LOCAL_CHECKPOINTS = "/tmp/checkpoints"
-#: Rows in an Arrow batch; texts can be long, so batches are kept far below Spark's default.
-BATCH_ROWS = 256
-
-#: Tables up to this measured size are marked for broadcast.
-BROADCAST_BYTES = 64 << 20
-
-_written: list[tuple[SparkSession, str]] = []
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share: ``spark.checkpoint.dir`` of the session."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-    return f"file://{LOCAL_CHECKPOINTS}"
-
-
-def table(df: DataFrame, name: str, codec: str = "zstd", options: dict[str, str] | None = None) -> DataFrame:
-    """Write ``df`` once as a Parquet table in the shared folder and read it back.
-
-    This cuts the lineage: a lost executor costs the rows that are being read, not the plan that made them.
-    Tables go when the driver ends.
-    """
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/biblioflow/{name}-{uuid.uuid4().hex}"
-    df.write.options(compression=codec, **(options or {})).parquet(path)
-    _written.append((spark, path))
-    out = spark.read.schema(df.schema).parquet(path)
-    out.table_path = path
-    return out
+from biblioflow.sources.stages import new_path, release, sized
+from biblioflow.sources.stages import staged as table
 
+__all__ = ["ascii_lower", "crc_fold", "new_path", "release", "row_key", "sized", "small_batches", "spare", "table", "utf8"]
 
-def delete(spark: SparkSession, path: str) -> None:
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
-
-
-def release(df: DataFrame) -> None:
-    """Delete a ``table`` that nothing reads any more."""
-    delete(df.sparkSession, df.table_path)
-    _written.remove((df.sparkSession, df.table_path))
-
-
-@atexit.register
-def drop_tables() -> None:
-    """Delete the intermediate tables: through the session if it still lives, else those in the local folder."""
-    while _written:
-        spark, path = _written.pop()
-        context = spark.sparkContext
-        if context._jsc is None:
-            if path.startswith(f"file://{LOCAL_CHECKPOINTS}/"):
-                shutil.rmtree(path.removeprefix("file://"), ignore_errors=True)
-        else:
-            delete(spark, path)
+#: Rows in an Arrow batch; texts can be long, so batches are kept far below Spark's default.
+BATCH_ROWS = 256
 
 
 def small_batches(spark: SparkSession) -> None:
@@ -97,12 +43,6 @@ def row_key(df: DataFrame) -> Column:
     return F.struct(F.xxhash64(*cells).alias("high"), F.xxhash64(F.lit(1), *cells).alias("low"))
 
 
-def sized(df: DataFrame, width: Column | int) -> DataFrame:
-    """A written ``df``, marked for broadcast if its rows, ``width`` bytes each, are measured to be small enough."""
-    n = df.agg(F.sum(F.lit(width) if isinstance(width, int) else width)).first()[0] or 0
-    return F.broadcast(df) if n <= BROADCAST_BYTES else df
-
-
 def ascii_lower(text: Column) -> Column:
     """A-Z to a-z; no other character changes."""
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

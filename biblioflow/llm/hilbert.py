@@ -20,15 +20,13 @@ the dimensions give few cells, not fewer files; an empty table gives empty shard
 
 from __future__ import annotations
 
-import uuid
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from biblioflow.llm.common import _written, row_key, shared_folder, spare, table
+from biblioflow.llm.common import new_path, row_key, spare, table
 
 GROUPS = 1 << 17
 #: Fewest rows for which a cell is split.
@@ -159,9 +157,7 @@ def layout(docs: DataFrame, dims: list[str], text: str = "text", shards: int = 8
 def write(docs: DataFrame, dims: list[str], text: str = "text", shards: int = 8, law: str = "rows", bits: int = 4, path: str | None = None) -> DataFrame:
     """Write the layout as Parquet, a folder for each shard, and read it back."""
     spark = docs.sparkSession
-    if path is None:
-        path = f"{shared_folder(spark)}/biblioflow/shards-{uuid.uuid4().hex}"
-        _written.append((spark, path))
+    path = path or new_path(spark, "shards")
     laid = layout(docs, dims, text, shards, law, bits)
     laid.write.option("compression", "zstd").partitionBy("shard").parquet(path)
     kinds = T.StructType([f for f in laid.schema if f.name != "shard"] + [T.StructField("shard", T.IntegerType())])

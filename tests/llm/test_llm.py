@@ -15,8 +15,9 @@ import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from biblioflow.llm import chat, common, dac, decontam, hilbert, langid, packing, repetition, simhash, token_ids, toxicity, url_filter
+from biblioflow.llm import chat, dac, decontam, hilbert, langid, packing, repetition, simhash, token_ids, toxicity, url_filter
 from biblioflow.llm.queries import URL_RULES, op5_chat
+from biblioflow.sources import stages
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, score double, shard int"
 BYTE = public_tokenizers.path("byte_bpe_50k.json")
@@ -718,7 +719,7 @@ def test_decontamination_without_broadcasts(spark, monkeypatch):
     d = spark.createDataFrame([(1, "x one two three y"), (2, "one two"), (3, None)], "doc_id long, text string")
     b = spark.createDataFrame([(7, "one two three")], "item_id long, text string")
     want = sorted(tuple(r) for r in decontam.report(d, b).collect())
-    monkeypatch.setattr(common, "BROADCAST_BYTES", -1)
+    monkeypatch.setattr(stages, "BROADCAST_BYTES", -1)
     assert sorted(tuple(r) for r in decontam.report(d, b).collect()) == want and want[0][2] == 3
 
 

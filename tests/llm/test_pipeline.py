@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from biblioflow.llm import langid, token_ids
 from biblioflow.llm.queries import language_network, toxicity_model
-from tests.llm.test_llm import plain_components, plain_fingerprint, plain_report
+from tests.llm.test_llm import plain_report, shingle_sets
 
 
 @pytest.fixture(scope="module")
@@ -32,6 +32,8 @@ def folder(spark, tmp_path_factory):
             w += passage
         rows.append((i, " ".join(w), lang, f"s{i % 3}", len(w)))
     rows += [(200, rows[1][1], "yy", "s", 1), (201, rows[1][1].upper(), "yy", "s", 1), (202, None, None, None, None), (203, "", "xx", "s", 0), (204, "12 34 ...", "xx", "s", 3), (205, rows[2][1], "xx", "s", 1)]
+    near = max((r[1].split() for r in rows[:160] if r[0] % 2 == 0 and r[0] % 5 and r[0] % 17 != 3), key=len)  # copies at similarities of 0.8 or more, and one below
+    rows += [(206, " ".join([*near[:-1], "aeiul"]), "xx", "s", 1), (207, " ".join(["lanoei", *near[1:-1], "aeiul"]), "xx", "s", 1), (208, " ".join(w if k % 9 else "onnaei" for k, w in enumerate(near)), "xx", "s", 1)]
     path = str(tmp_path_factory.mktemp("sf"))
     spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{path}/documents.parquet")
     spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{path}/labels.parquet")
@@ -50,12 +52,17 @@ def test_stages_match_a_plain_version(spark, folder):
     net = language_network(docs.where(F.col("doc_id").isin(*left)))
     texts = {i: t for i, t in left.items() if t and any(c.isalpha() for c in t)}
     p = langid.probabilities(net, [t.encode() for t in texts.values()]).max(axis=1)
-    left = {i: t for (i, t), q in zip(texts.items(), p, strict=True) if q >= corpus_pipeline.LEAST_LANGUAGE}
+    least = langid.least_score(net, corpus_pipeline.LANGUAGE_MARGIN)
+    assert least == 0.5 + 0.5 * corpus_pipeline.LANGUAGE_MARGIN
+    left = {i: t for (i, t), q in zip(texts.items(), p, strict=True) if q >= least}
     assert 201 in left and not {202, 203, 204} & set(left)
-    ids = sorted(left)
-    label = plain_components([plain_fingerprint(left[i]) for i in ids], 4)
-    left = {i: left[i] for k, i in enumerate(ids) if label[k] == k}
-    assert not {200, 201, 205} & set(left)
+    sets, label = {i: shingle_sets(t) for i, t in left.items()}, {i: i for i in left}
+    near = [(a, b) for a in sets for b in sets if a < b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    for _ in near:
+        for a, b in near:
+            label[a] = label[b] = min(label[a], label[b])
+    left = {i: t for i, t in left.items() if label[i] == i}
+    assert not {200, 201, 205, 206, 207} & set(left) and 208 in left
     left = {i: left[i] for i, r in plain_report(left, items).items() if not r[3]}
     assert not {i for i in range(160) if i % 17 == 3} & set(left) and len(left) > 100
     encoder = token_ids.Encoder(public_tokenizers.path("byte_bpe_50k.json"))
