@@ -40,8 +40,8 @@ def date_range(spark, sf_dir):
 @query("SELECT event_id FROM events WHERE ts > (SELECT max(ts) FROM events) - INTERVAL 6 HOUR")
 def recent_rows(spark, sf_dir):
     events = t(spark, sf_dir, "events")
-    last = events.agg(F.max("ts").alias("last"))  # one row
-    return events.join(F.broadcast(last), F.col("ts") > F.col("last") - F.expr("INTERVAL 6 HOURS")).select("event_id")
+    last = events.agg(F.max("ts")).scalar()
+    return events.where(F.col("ts") > last - F.expr("INTERVAL 6 HOURS")).select("event_id")
 
 
 @query("SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM lineitem JOIN (SELECT l_partkey, l_suppkey FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1) USING (l_partkey, l_suppkey)")
