@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from biblioflow.llm import chat, dac, decontam, hilbert, langid, packing, repetition, simhash, toxicity, url_filter
+from biblioflow.llm import backoff_lm, chat, dac, decontam, hilbert, langid, packing, repetition, resampling, simhash, toxicity, url_filter, whitening
 from biblioflow.llm.common import crc_fold
 
 
@@ -98,6 +98,20 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (crc_fold(F.col("doc_id"), 4) == 2).alias("held_out"), "lang_pred", "score")
 
 
+def op11_backoff_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = crc_fold(F.col("doc_id"), 5) == 1
+    found = backoff_lm.scored(_table(spark, sf_dir, "documents"), ~held_out)
+    return found.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(_table(spark, sf_dir, "embeddings"))
+
+
+def op13_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resampled(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_hilbert": op2_hilbert,
@@ -109,6 +123,9 @@ QUERIES = {
     "op8_decontam": op8_decontam,
     "op9_simhash": op9_simhash,
     "op10_langid": op10_langid,
+    "op11_backoff_lm": op11_backoff_lm,
+    "op12_whitening": op12_whitening,
+    "op13_resampling": op13_resampling,
 }
 
 OP8_SQL = r"""
