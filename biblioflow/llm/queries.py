@@ -179,8 +179,27 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(r || chr(10) || x || chr(
 FROM n GROUP BY conv_id
 """
 
+OP13_SQL = r"""
+WITH tab AS (SELECT list(list_reduce(list_prepend(b, range(8)), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY b) AS t FROM range(256) r(b)),
+src AS (SELECT 0 AS kind, doc_id, text FROM documents UNION ALL SELECT 1, item_id, text FROM benchmark),
+d AS (SELECT kind, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM src),
+f AS (SELECT kind, doc_id, unnest(w) AS f FROM d UNION ALL SELECT kind, doc_id, w[p] || ' ' || w[p + 1] FROM (SELECT kind, doc_id, w, unnest(range(1, len(w))) AS p FROM d)),
+g AS (SELECT f, hex(encode(f)) AS h FROM (SELECT DISTINCT f FROM f)),
+b AS (SELECT f, xor(list_reduce(list_prepend(4294967295, list_transform(range(1, len(h), 2), lambda i: 16 * (instr('0123456789ABCDEF', h[i]) - 1) + instr('0123456789ABCDEF', h[i + 1]) - 1)), lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1])), 4294967295) % 10000 AS bucket FROM g, tab),
+n AS (SELECT bucket, count(*) FILTER (kind = 0) AS s, count(*) FILTER (kind = 1) AS t FROM f JOIN b USING (f) GROUP BY 1),
+n2 AS (SELECT *, sum(s) OVER () AS all_s, sum(t) OVER () AS all_t FROM n),
+gain AS (SELECT bucket, CAST(floor(1000 * ln(CAST((t + 1) * (all_s + 10000) AS DOUBLE) / CAST((s + 1) * (all_t + 10000) AS DOUBLE))) AS BIGINT) AS g FROM n2),
+m AS (SELECT doc_id, count(*) AS n, CAST(sum(g) AS BIGINT) AS g FROM f JOIN b USING (f) JOIN gain USING (bucket) WHERE kind = 0 GROUP BY 1),
+z AS (SELECT doc_id, len(w) AS n_words, coalesce(n, 0) AS n_features, CASE WHEN n IS NULL THEN 0 WHEN g >= 0 THEN g // n ELSE -((n - 1 - g) // n) END AS weight,
+  CAST('0x' || substr(sha256('7:' || doc_id), 1, 8) AS BIGINT) AS h FROM d LEFT JOIN m USING (doc_id) WHERE kind = 0),
+y AS (SELECT *, weight + CAST(floor(-1000 * ln(-ln((h + 0.5) / CAST(4294967296 AS DOUBLE)))) AS BIGINT) AS score FROM z),
+r AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS k, count(*) OVER () AS total FROM y WHERE n_words >= 20)
+SELECT y.doc_id, CAST(n_features AS BIGINT) AS n_features, CAST(weight AS BIGINT) AS weight, score, CASE WHEN k <= 25 * total // 100 THEN k END AS rank FROM y LEFT JOIN r USING (doc_id)
+"""
+
 ORACLES: dict[str, str] = {
     "op4_repetition": OP4_SQL,
     "op5_chat": OP5_SQL,
     "op8_decontam": OP8_SQL,
+    "op13_resampling": OP13_SQL,
 }

@@ -1,0 +1,216 @@
+"""Operators 11 to 13 against brute force, on odd rows, and their queries on the supplied tables."""
+
+from __future__ import annotations
+
+import hashlib
+import math
+import random
+import re
+import zlib
+from collections import Counter, defaultdict
+from pathlib import Path
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from biblioflow.llm import backoff_lm, resampling, whitening
+from biblioflow.llm.queries import QUERIES
+from tests.llm.test_edges import DDL, LONG, odd_rows
+
+FOLDER = "/root/testdata/sf0.001"
+supplied = pytest.mark.skipif(not Path(FOLDER).exists(), reason="the supplied tables are not here")
+
+
+def plain_model(texts: list, learned: list[bool], order: int) -> list[tuple]:
+    """(tokens, known, training tokens, base, score) of each text by the recursion of Witten and Bell."""
+    tokens = [[*(t or "").encode("utf-8").lower().split(), None] for t in texts]
+    words = Counter(w for ts, y in zip(tokens, learned, strict=True) if y for w in ts)
+    counts, after = Counter(), defaultdict(set)
+    contexts = lambda ts, i: [tuple(["<s>", *ts][i + 1 - k : i + 1]) for k in range(1, order) if i + 1 >= k]
+    for ts, y in zip(tokens, learned, strict=True):
+        for i, w in enumerate(ts if y else []):
+            for h in contexts(ts, i):
+                counts[h] += 1
+                counts[h, w] += 1
+                after[h].add(w)
+    n, v = sum(words.values()), len(words)
+
+    def p(h: tuple, w) -> float:
+        if not h:
+            return (words[w] + 0.5) / (n + 0.5 * (v + 1))
+        below = p(h[1:], w)
+        return (counts[h, w] + len(after[h]) * below) / (counts[h] + len(after[h])) if counts[h] else below
+
+    return [(len(ts), sum(words[w] > 0 for w in ts), n, math.fsum(math.log10(p((), w)) for w in ts), math.fsum(math.log10(p(contexts(ts, i)[-1], w)) for i, w in enumerate(ts))) for ts in tokens]
+
+
+def close(got: list, want: list) -> None:
+    assert len(got) == len(want)
+    for g, w in zip(got, want, strict=True):
+        assert tuple(g[:-2]) == tuple(w[:-2]) and all(math.isclose(a, b, rel_tol=1e-9, abs_tol=1e-9) for a, b in zip(g[-2:], w[-2:], strict=True)), (g, w)
+
+
+@pytest.mark.parametrize(("order", "block", "bucket"), [(2, 12 << 20, 16 << 20), (2, 400, 2000), (3, 400, 2000), (4, 3000, 500)])
+def test_scores_are_those_of_the_recursion(spark, order, block, bucket):
+    rng = random.Random(order)
+    say = lambda: " ".join(rng.choice(["the", "The", "a", "dog", "cat", "é", f"x{rng.randrange(30)}"]) for _ in range(rng.randrange(60)))
+    texts = [None, "", "A b", " \x0b\n", "the " * 300, *(say() for _ in range(150))]
+    learned = [k % 5 != 1 for k in range(len(texts))]
+    d = spark.createDataFrame([(k, t, y) for k, (t, y) in enumerate(zip(texts, learned, strict=True))], "doc_id long, text string, y boolean").repartition(3)
+    got = sorted(map(tuple, backoff_lm.scored(d, F.col("y"), order=order, block=block, bucket=bucket).collect()))
+    close([g[1:] for g in got], plain_model(texts, learned, order))
+
+
+def test_a_history_of_a_third_of_all_tokens_is_dealt_over_buckets(spark):
+    texts = [" ".join(f"hot w{k}_{j} v{j}" for j in range(200)) for k in range(20)]
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    dealt = backoff_lm.blocks(d, F.lit(True), "doc_id", "text", 2, 5000)
+    hot = backoff_lm.hot_histories(dealt, dealt.agg(F.sum("n_tokens")).first()[0])
+    assert 1 <= len(hot) <= 2 / backoff_lm.HOT
+    sizes = [len(r["totals"]) for r in backoff_lm.counted(dealt, hot, 40, 2).groupBy("bucket").agg(F.concat_ws("", F.collect_list(F.hex("totals"))).alias("totals")).collect()]
+    assert len(sizes) > 20 and max(sizes) < sum(sizes) / 5
+    close([g[1:] for g in sorted(map(tuple, backoff_lm.scored(d, F.lit(True), block=5000, bucket=2000).collect()))], plain_model(texts, [True] * 20, 2))
+
+
+def test_a_distribution_sums_to_one(spark):
+    d = spark.createDataFrame([(0, "a b a c a b"), (1, "b b c")], "doc_id long, text string")
+    d = d.union(spark.createDataFrame([(10 + k, x) for k, x in enumerate(["a a", "a b", "a c", "a zz", "a", ""])], d.schema))
+    got = {r["doc_id"]: r["score"] for r in backoff_lm.scored(d, F.col("doc_id") < 10).collect()}
+    plain = plain_model(["a b a c a b", "b b c", "a"], [True, True, False], 2)
+    assert math.isclose(got[14], plain[2][-1])
+    first = lambda x: 10 ** plain_model(["a b a c a b", "b b c", x], [True, True, False], 2)[2][-1]
+    ends = {x: first(f"a {x}") for x in "abc"}
+    assert all(math.isclose(10 ** got[10 + k], ends[x]) for k, x in enumerate("abc"))
+
+
+def test_language_model_on_odd_rows(spark):
+    docs = spark.createDataFrame(odd_rows(), DDL)
+    for eligible in (F.col("doc_id") % 5 != 1, F.lit(False), F.lit(True)):
+        learned = [bool(r["y"]) for r in docs.select(F.coalesce(eligible, F.lit(False)).alias("y")).collect()]
+        got = sorted(map(tuple, backoff_lm.scored(docs, eligible).collect()), key=repr)
+        want = sorted(((r[0], *p) for r, p in zip(odd_rows(), plain_model([r[1] for r in odd_rows()], learned, 2), strict=True)), key=repr)
+        close(got, want)
+    ids = docs.select(F.concat(F.lit("d"), "doc_id").alias("doc_id"), "text")
+    assert Counter(r["doc_id"] for r in backoff_lm.scored(ids, F.lit(True)).collect()) == Counter(r["doc_id"] for r in ids.collect())
+    assert backoff_lm.scored(docs.where("false"), F.lit(True)).count() == 0
+
+
+def plain_whitening(vectors: list) -> tuple[list, dict, np.ndarray, np.ndarray, np.ndarray]:
+    real = [(i, [math.floor(256 * float(np.float32(c))) for c in v]) for i, v in vectors if v and all(c is not None and math.isfinite(c) for c in v)]
+    fit = sorted({tuple(x) for _, x in real})
+    a = np.array(fit, dtype=float)
+    centred = a - a.mean(axis=0)
+    e, v = np.linalg.eigh(centred.T @ centred / len(fit))
+    sums = [sum(x[k] for x in fit) for k in range(len(fit[0]))]
+    deviations = {i: sum((len(fit) * c - s) ** 2 for c, s in zip(x, sums, strict=True)) for i, x in real}
+    return real, deviations, e[::-1], v[:, ::-1], a
+
+
+def whitened_as(got: list, vectors: list, most: int = 4) -> None:
+    real, deviations, e, v, a = plain_whitening(vectors)
+    assert sorted((r["vec_id"], r["component"]) for r in got) == sorted((i, k + 1) for i, _ in real for k in range(min(most, a.shape[1])))
+    by = {(r["vec_id"], r["component"]): r for r in got}
+    for k in range(min(most, a.shape[1])):
+        z = np.array([(np.array(x) - a.mean(axis=0)) @ v[:, k] for _, x in real]) / math.sqrt(e[k])
+        own = np.array([by[i, k + 1]["whitened"] for i, _ in real])
+        assert min(abs(z - own).max(), abs(z + own).max()) < 1e-7
+    for r in got:
+        assert r["n"] == len(a) and r["deviation"] == deviations[r["vec_id"]] and math.isclose(r["explained"], e[r["component"] - 1] / e.sum(), rel_tol=1e-9) and r["identity_error"] < 1e-9
+
+
+def test_whitening_equals_the_eigenvectors_of_the_covariance(spark):
+    rng = np.random.default_rng(3)
+    base = rng.normal(size=(300, 6)) * [5, 3, 2, 1, 0.5, 0.1] + 100
+    vectors = [(k, [float(np.float32(c)) for c in v]) for k, v in enumerate(base)] + [(1000 + k, [float(np.float32(c)) for c in base[0]]) for k in range(200)]
+    vectors += [(2000, None), (2001, [1.0, None, 2.0, 0.0, 0.0, 0.0]), (2002, [math.nan] * 6), (2003, [math.inf, 0.0, 0.0, 0.0, 0.0, 0.0]), (2004, [])]
+    d = spark.createDataFrame(vectors, "vec_id long, embedding array<float>").withColumns({c: F.lit("x") for c in ("x", "v", "n", "component", "node", "r", "whitened")})
+    for parts in (1, 40):  # a tree of more than one level
+        whitened_as(whitening.whitened(d.repartition(parts)).collect(), vectors)
+
+
+def test_the_tree_gives_the_factor_of_all_rows(spark):
+    rng = np.random.default_rng(4)
+    rows = rng.normal(size=(500, 3))
+    parts = spark.createDataFrame([(k, bytearray(whitening.reduced(rows[5 * k : 5 * k + 5], None).tobytes())) for k in range(100)], "node long, r binary")
+    r = whitening.merged(parts, 3)
+    assert np.allclose(r.T @ r, rows.T @ rows)
+
+
+def test_degenerate_vectors(spark):
+    kinds = "vec_id long, embedding array<float>"
+    same = spark.createDataFrame([(1, [1.0, 2.0]), (1, [1.0, 2.0]), (None, [1.0, 2.0])], kinds)
+    got = whitening.whitened(same).collect()
+    assert len(got) == 6 and all((r["n"], r["deviation"], r["whitened"], r["explained"], r["identity_error"]) == (1, 0, None, None, None) for r in got)
+    line = whitening.whitened(spark.createDataFrame([(k, [float(k), 2.0 * k, 0.0]) for k in range(10)] + [(99, [1.0])], kinds)).collect()
+    assert len(line) == 30 and all((r["whitened"] is None) == (r["component"] > 1) for r in line)
+    assert whitening.whitened(same.where("false")).count() == 0 and whitening.whitened(spark.createDataFrame([(1, None)], kinds)).count() == 0
+    huge = whitening.whitened(spark.createDataFrame([(k, [3e30 * k, 1e12 * k]) for k in range(3)], "vec_id long, embedding array<double>").where("vec_id < 0 or embedding[0] < 1")).collect()
+    assert [r["deviation"] for r in huge] == [0, 0]
+
+
+def plain_resampling(rows: list[tuple], target: list, share: int = 25) -> list[tuple]:
+    def features(t):
+        low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or "")
+        w = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", low)
+        return [*w, *(f"{a} {b}" for a, b in zip(w, w[1:], strict=False))], len(w)
+
+    bucket = lambda f: zlib.crc32(f.encode()) % 10_000
+    own = [(i, *features(t)) for i, t in rows]
+    s, g = Counter(bucket(f) for _, fs, _ in own for f in fs), Counter(bucket(f) for t in target for f in features(t)[0])
+    all_s, all_g = sum(s.values()), sum(g.values())
+    gain = lambda b: math.floor(1000 * math.log((g[b] + 1) * (all_s + 10_000) / ((s[b] + 1) * (all_g + 10_000))))
+    out = []
+    for i, fs, n in own:
+        weight = sum(gain(bucket(f)) for f in fs) // len(fs) if fs else 0
+        h = int(hashlib.sha256(f"7:{'' if i is None else i}".encode()).hexdigest()[:8], 16)
+        out.append((i, len(fs), weight, weight + math.floor(-1000 * math.log(-math.log((h + 0.5) / 4294967296))), n))
+    fit = sorted((r for r in out if r[4] >= 20), key=lambda r: (-r[3], r[0] is not None, r[0] or 0, r[1], r[2]))
+    place = defaultdict(list)
+    for k, r in enumerate(fit[: share * len(fit) // 100]):
+        place[r[:4]].append(k + 1)
+    return sorted(((*r[:4], place[r[:4]].pop(0) if r[4] >= 20 and place[r[:4]] else None) for r in out), key=repr)
+
+
+@pytest.mark.parametrize("crowd", [250_000, 3])
+def test_drawn_documents_are_those_of_a_plain_sort(spark, crowd):
+    rng = random.Random(5)
+    words = ["The", "cat", "dog's", "ÜBER", "über", "x9", "naïve", "東京", "y" * 70, "z" * 65, "q" * 64]
+    rows = [(k % 97 if k % 5 else 3, " ".join(rng.choice(words) for _ in range(rng.randrange(60)))) for k in range(400)] + [(None, None), (7, ""), (3, rows_text := "cat dog " * 30)] + [(3, rows_text)] * 60
+    target = ["the cat sat", None, "über naïve dog"]
+    d = spark.createDataFrame(rows, "doc_id long, text string").withColumns({c: F.lit("x") for c in ("score", "rank", "fit", "number", "_above", "weight")})
+    got = resampling.resampled(d.repartition(5), spark.createDataFrame([(t,) for t in target], "text string"), crowd=crowd).collect()
+    assert sorted(map(tuple, got), key=repr) == plain_resampling(rows, target)
+
+
+def test_crc_of_pairs_from_those_of_words():
+    rng = random.Random(6)
+    for _ in range(200):
+        a, b = (bytes(rng.choice(b"abcxyz09\xc3\xa9") for _ in range(rng.choice([1, 3, 10, 63, 64, 65, 200]))) for _ in range(2))
+        text = (a + b" " + b).decode("latin-1")
+        single, pair, sizes = resampling.hashed([text])
+        coded = lambda x: zlib.crc32(x.decode("latin-1").encode()) % 10_000
+        assert sizes.tolist() == [2] and single.tolist() == [coded(a), coded(b)] and pair.tolist() == [coded(a + b" " + b), -1]
+
+
+def test_resampling_on_odd_rows(spark):
+    docs = spark.createDataFrame(odd_rows(), DDL)
+    target = spark.createDataFrame([("t1w1 t1w2",), (LONG[:500],)], "text string")
+    got = resampling.resampled(docs, target).collect()
+    assert sorted(map(tuple, got), key=repr) == plain_resampling([r[:2] for r in odd_rows()], [r["text"] for r in target.collect()])
+    assert resampling.resampled(docs.where("false"), target).count() == 0
+    assert resampling.resampled(docs, target.where("false"), share=100).where("rank is not null").count() == len([r for r in odd_rows() if len(resampling.words_of(r[1])) >= 20])
+
+
+@supplied
+def test_new_queries_on_the_supplied_tables(spark):
+    docs = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{FOLDER}/documents.parquet").collect()]
+    held = [zlib.crc32(str(i).encode()) % 5 == 1 for i, _ in docs]
+    got = {r["doc_id"]: tuple(r)[1:] for r in QUERIES["op11_backoff_lm"](spark, FOLDER).collect()}
+    want = plain_model([t for _, t in docs], [not h for h in held], 2)
+    assert [got[i][0] for i, _ in docs] == held
+    close([got[i][1:] for i, _ in docs], want)
+    out = [(got[i][-1], got[i][-2]) for (i, _), h in zip(docs, held, strict=True) if h]
+    assert sum(s for s, _ in out) > sum(b for _, b in out)  # the model says more of unseen documents than word counts do
+    vectors = [(r["vec_id"], list(r["embedding"])) for r in spark.read.parquet(f"{FOLDER}/embeddings.parquet").collect()]
+    whitened_as(QUERIES["op12_whitening"](spark, FOLDER).collect(), vectors)
