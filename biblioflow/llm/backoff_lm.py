@@ -30,6 +30,7 @@ other columns are left aside, whatever their names.
 from __future__ import annotations
 
 import math
+from array import array
 from collections.abc import Iterator
 from functools import partial
 
@@ -46,7 +47,7 @@ from pyspark.sql import types as T
 from biblioflow.llm.common import small_batches, table
 
 #: UTF-8 bytes of the texts in a block, each with ROW bytes more.
-BLOCK, ROW = 12 << 20, 16
+BLOCK, ROW = 6 << 20, 16
 #: Bytes of text for each bucket.
 BUCKET = 16 << 20
 #: A history of this share of all tokens is surely dealt over SPREAD buckets; one of less than half of it is not.
@@ -163,7 +164,8 @@ class Automaton:
         live = counts > 0
         target = np.where(longer >= 0, longer, n)
         target = np.where(np.r_[seen, 1][target] > 0, target, n)
-        self.arcs = dict(zip(grams.keys[live].tolist(), zip(target[live].tolist(), np.log10(p[live]).tolist(), strict=True), strict=True))
+        self.arcs = {k: i for i, k in enumerate(grams.keys[live].tolist())}
+        self.target, self.weight = array("q", target[live].tobytes()), array("d", np.log10(p[live]).tobytes())
         up = np.where(shorter >= 0, shorter, n)
         self.failure = np.where(np.r_[seen, 1][up] > 0, up, n).tolist()
         self.cost = np.log10(np.where(seen > 0, kinds, 1) / np.maximum(seen + kinds, 1)).tolist()
@@ -178,13 +180,13 @@ class Automaton:
 
     def score(self, tokens: list[int]) -> float:
         """One pass over a text's tokens that carries the state."""
-        arcs, failure, cost, width, root, state = self.arcs, self.failure, self.cost, self.width, self.root, self.start
+        arcs, target, weight, failure, cost, width, root, state = self.arcs, self.target, self.weight, self.failure, self.cost, self.width, self.root, self.start
         spent = []
         for w in tokens:
             while state != root:
-                if arc := arcs.get(state * width + w):
-                    state, weight = arc
-                    spent.append(weight)
+                if (arc := arcs.get(state * width + w)) is not None:
+                    spent.append(weight[arc])
+                    state = target[arc]
                     break
                 spent.append(cost[state])
                 state = failure[state]
@@ -363,14 +365,14 @@ def scored(docs: DataFrame, eligible: Column, doc_id: str = "doc_id", text: str
         base = (c + 0.5) / (total + 0.5 * (different + 1))
         automaton = Automaton(g, words, counts, seen, kinds, base)
         logs, known, starts = np.log10(base).tolist(), c > 0, np.cumsum(lengths) - lengths
-        texts = [tokens[a : a + m].tolist() for a, m in zip(starts.tolist(), lengths.tolist(), strict=True)]
+        each = lambda f: [f(tokens[a : a + m].tolist()) for a, m in zip(starts.tolist(), lengths.tolist(), strict=True)]
         return pa.table({
             "doc_id": own.column("ids").combine_chunks().flatten(),
             "n_tokens": pa.array(lengths, pa.int64()),
             "n_known": pa.array(np.add.reduceat(known[tokens].astype(np.int64), starts), pa.int64()),
             "train_tokens": pa.array([total] * len(lengths), pa.int64()),
-            "base_score": pa.array([math.fsum(map(logs.__getitem__, t)) for t in texts], pa.float64()),
-            "score": pa.array(list(map(automaton.score, texts)), pa.float64()),
+            "base_score": pa.array(each(lambda t: math.fsum(map(logs.__getitem__, t))), pa.float64()),
+            "score": pa.array(each(automaton.score), pa.float64()),
         })
 
     kind = T.StructType().add("doc_id", id_type).add("n_tokens", "long").add("n_known", "long").add("train_tokens", "long").add("base_score", "double").add("score", "double")
