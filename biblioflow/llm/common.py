@@ -6,12 +6,12 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import MapType
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType, VariantType
 
 from biblioflow.sources.stages import new_path, release, sized
 from biblioflow.sources.stages import staged as table
 
-__all__ = ["ascii_lower", "crc_fold", "new_path", "release", "row_key", "sized", "small_batches", "spare", "table", "utf8"]
+__all__ = ["ascii_lower", "crc_fold", "deal_key", "new_path", "release", "row_key", "sized", "small_batches", "spare", "table", "utf8"]
 
 #: Rows in an Arrow batch; texts can be long, so batches are kept far below Spark's default.
 BATCH_ROWS = 256
@@ -36,13 +36,41 @@ def spare(df: DataFrame, name: str) -> str:
     return name
 
 
+def _marked(c: Column, kind: DataType) -> list[Column]:
+    """Whether a value is null, and the value in a form that is hashed whole."""
+    return [c.isNull(), _hashable(c, kind)]
+
+
+def _hashable(c: Column, kind: DataType) -> Column:
+    match kind:
+        case StructType():
+            return F.struct(F.lit(len(kind)), *[x for f in kind for x in _marked(c[f.name], f.dataType)])
+        case ArrayType():
+            return F.transform(c, lambda e: F.struct(*_marked(e, kind.elementType)))
+        case MapType():
+            entry = lambda k: F.struct(*_marked(k, kind.keyType), *_marked(F.element_at(c, k), kind.valueType))
+            return F.transform(F.array_sort(F.map_keys(c)), entry)
+        case VariantType():
+            return F.to_json(c)
+    return c
+
+
 def row_key(df: DataFrame) -> Column:
-    """A key of a row by all its columns, 128 bits: only rows alike in every column share it."""
-    value = lambda f: F.array_sort(F.map_entries(df[f"`{f.name}`"])) if isinstance(f.dataType, MapType) else df[f"`{f.name}`"]
-    cells = [c for f in df.schema for c in (value(f).isNull(), value(f))]
+    """A key of a row by all its columns, 128 bits: only rows alike in every column share it, nulls inside them included.
+
+    Maps are alike if their entries are, in whatever order; variants, if their JSON texts are.
+    """
+    cells = [c for f in df.schema for c in _marked(df[f"`{f.name}`"], f.dataType)]
     return F.struct(F.xxhash64(*cells).alias("high"), F.xxhash64(F.lit(1), *cells).alias("low"))
 
 
+def deal_key(df: DataFrame) -> Column:
+    """A hash of a row by all its columns, to deal rows by; plain enough to be the argument of a Python function."""
+    plain = [df[f"`{f.name}`"] for f in df.schema if not isinstance(f.dataType, (StructType, ArrayType, MapType, VariantType))]
+    rest = [df[f"`{f.name}`"].alias(f"c{k}") for k, f in enumerate(df.schema) if isinstance(f.dataType, (StructType, ArrayType, MapType, VariantType))]
+    return F.xxhash64(*plain, *([F.to_json(F.struct(*rest))] if rest else []), F.lit(0))
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z to a-z; no other character changes."""
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

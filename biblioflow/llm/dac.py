@@ -186,6 +186,7 @@ def tokens_at(files: DataFrame, positions: DataFrame, position: str = "position"
     asked = positions.select(F.col(position).cast("long").alias("position")).distinct().withColumn("stretch", stretch(F.col("position")))
     met = asked.join(where, "stretch").where("position between base and last")
     by_file = met.groupBy("bucket", "segment", F.pmod(F.xxhash64("position"), F.lit(64)).alias("part")).agg(F.collect_list("position").alias("positions"), F.first("base").alias("base"))
+    by_file = sized(table(by_file, "asked"), F.size("positions") * 8 + 64)  # few positions go to the files, not the files to them
 
     @F.pandas_udf("array<struct<position: long, token: long>>")
     def look(data: pd.Series, base: pd.Series, wanted: pd.Series) -> pd.Series:

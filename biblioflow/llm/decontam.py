@@ -154,5 +154,5 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", len
     """``docs`` without the rows of contaminated texts; each row is judged by its own text, whatever rows share its id."""
     key = spare(docs, "_key")
     keyed = docs.withColumn(key, row_key(docs))
-    bad = report(keyed, benchmark, key, text, length).where("contaminated").select(F.col("doc_id").alias(key)).distinct()
-    return keyed.join(bad, key, "left_anti").drop(key)
+    bad = table(report(keyed, benchmark, key, text, length).where("contaminated").select(F.col("doc_id").alias(key)).distinct(), "contaminated")
+    return keyed.join(sized(bad, 40), key, "left_anti").drop(key)

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from biblioflow.llm.common import new_path, row_key, spare, table
+from biblioflow.llm.common import new_path, deal_key, spare, table
 
 GROUPS = 1 << 17
 #: Fewest rows for which a cell is split.
@@ -37,6 +37,8 @@ ROWS_A_FILE, BYTES_A_FILE = 8192, 64 << 20
 MANY_FILES, MOST_BYTES = 10_000, 1 << 30
 #: A group this many times as large as planned holds copies of one row.
 CROWDED = 8
+#: Bits of a cell's number over all dimensions; more dimensions get fewer bits each.
+CELL_BITS = 20
 
 
 def curve_index(cells: np.ndarray, bits: int) -> np.ndarray:
@@ -95,13 +97,15 @@ def size_of(text: Column) -> Column:
 
 def layout(docs: DataFrame, dims: list[str], text: str = "text", shards: int = 8, law: str = "rows", bits: int = 4) -> DataFrame:
     """``docs`` with shard, slot and rank, dealt and sorted in curve order: one partition for each file."""
+    if len(dims) > CELL_BITS:
+        raise ValueError(f"at most {CELL_BITS} dimensions")
+    bits = min(bits, CELL_BITS // len(dims))
     own = docs.drop("shard", "slot", "rank")
-    cell, salt = cell_of(own, dims, bits), row_key(own)["high"]
-    counts = np.zeros(1 << bits * len(dims), np.int64)
-    for r in own.groupBy(cell.alias("cell")).count().collect():  # at most one row for each cell
-        counts[r["cell"]] = r["count"]
+    cell, salt = cell_of(own, dims, bits), deal_key(own)
+    found = sorted((r["cell"], r["count"]) for r in own.groupBy(cell.alias("cell")).count().collect())  # at most 2 ** CELL_BITS cells
+    cells, counts = np.array(found, np.int64).reshape(-1, 2).T
     n = int(counts.sum())
-    place = curve_index(np.stack([np.arange(len(counts)) >> bits * (len(dims) - 1 - i) & (1 << bits) - 1 for i in range(len(dims))], axis=1), bits)
+    place = curve_index(np.stack([cells >> bits * (len(dims) - 1 - i) & (1 << bits) - 1 for i in range(len(dims))], axis=1), bits)
     share = max(LEAST_GROUP, -(-n // GROUPS))
     parts = -(-counts // share)
     order = np.argsort(place)
@@ -109,8 +113,8 @@ def layout(docs: DataFrame, dims: list[str], text: str = "text", shards: int = 8
     first[order] = np.cumsum(parts[order]) - parts[order]  # number of a cell's first group
 
     @F.pandas_udf("long")
-    def group(cells: pd.Series, hashes: pd.Series) -> pd.Series:
-        c = cells.to_numpy("i8")
+    def group(of: pd.Series, hashes: pd.Series) -> pd.Series:
+        c = np.searchsorted(cells, of.to_numpy("i8"))
         return pd.Series(first[c] + hashes.to_numpy("i8") % np.maximum(1, parts[c]))
 
     def counted(rows_: DataFrame, named_: Column) -> tuple[np.ndarray, np.ndarray]:

@@ -6,8 +6,8 @@ of a text to its end and back. Only a text of more than SEGMENT bytes is cut: it
 one matrix, each read WARM bytes further on both sides, so that its states come from the text around it. The gates
 are piecewise linear (a hard sigmoid and a hard tanh), which makes a position cheap enough to read whole corpora.
 
-Fitting uses a bounded sample: for each language at most ``sample`` documents, those of the smallest hash of doc_id and
-text, and ``windows`` windows of WINDOW bytes of each. Prediction reads whole texts.
+Fitting uses a bounded sample: of the ``most`` languages with the most different documents, ties by name, at most ``sample``
+documents each, those of the smallest hash of doc_id and text, and ``windows`` windows of WINDOW bytes of each. Prediction reads whole texts.
 
 Defined cases: a text that is null or has no letter is ``und`` with score 0; with nothing to learn from every text is
 ``und``; rows of null language are not learned from; doc_id may be of any type, and rows alike in doc_id and text are
@@ -29,8 +29,9 @@ from biblioflow.llm.common import small_batches, spare, table
 WINDOW = 64
 HIDDEN = 16
 SEGMENT, WARM = 2048, 128
-#: Segments that run side by side; bounds memory, whatever the batch.
-ROWS = 512
+#: Segments that run side by side at most, and numbers in a block of logits (steps x segments x languages): these bound memory,
+#: whatever the batch and however many languages there are.
+ROWS, CELLS = 512, 5_000_000
 UNKNOWN = "und"
 
 
@@ -219,8 +220,11 @@ def exponents(net: Network, texts: list[bytes]) -> Iterator[tuple[np.ndarray, np
     """For blocks of segments: (text of each, exponents of the logits steps x rows x classes, their sums, positions labelled)."""
     parts, hidden = stretches(texts), net.forward.candidate.shape[1]
     every = np.ones(len(net.languages), "f4")
-    for at in range(0, len(parts), ROWS):
-        own, first, start, end, last = np.array(parts[at : at + ROWS]).T
+    at = 0
+    while at < len(parts):
+        n = max(1, min(ROWS, CELLS // ((parts[at][4] - parts[at][1]) * len(every))))
+        own, first, start, end, last = np.array(parts[at : at + n]).T
+        at += n
         length = last - first
         steps = np.arange(length[0])
         x, turned = (np.zeros((len(own), length[0]), np.uint8) for _ in range(2))
@@ -255,20 +259,22 @@ def probabilities(net: Network, texts: list[bytes]) -> np.ndarray:
     return pooled / np.maximum(1, np.array([len(t) for t in texts]))[:, None]
 
 
-def train(docs: DataFrame, eligible: Column, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", sample: int = 400, windows: int = 6) -> Network | None:
-    """Fit on at most ``sample`` documents of each language; None if there are none.
+def train(docs: DataFrame, eligible: Column, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", sample: int = 400, windows: int = 6, most: int = 512) -> Network | None:
+    """Fit on at most ``sample`` documents of each of at most ``most`` languages; None if there are none.
 
-    One scan counts the languages; one more takes, by hash, about four times as many rows as needed, and the first of these
-    are kept. No language meets in one task before that.
+    One scan counts the languages' different rows, by a mergeable sketch; one more takes, by hash, about four times as many
+    as needed, and the first of these are kept. No language meets in one task before that.
     """
     spark = docs.sparkSession
     small_batches(spark)
     known = docs.where(eligible & F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(lang).cast("string").alias("lang"), F.col(doc_id).alias("id"), F.col(text).alias("text"))
-    counts = [(r["lang"], r["count"]) for r in known.groupBy("lang").count().collect()]  # one row a language
+    known = known.withColumn("hash", F.xxhash64("id", "text"))
+    sizes = known.groupBy("lang").agg(F.approx_count_distinct("hash", 0.02).alias("n")).orderBy(F.desc("n"), "lang").limit(most)
+    counts = [(r["lang"], r["n"]) for r in sizes.collect()]  # at most ``most`` rows
     if not counts:
         return None
     cuts = spark.createDataFrame([(name, (1 << 63) - 1 if n <= 4 * sample else (1 << 64) * 4 * sample // n - (1 << 63)) for name, n in counts], "lang string, cut long")
-    some = known.withColumn("hash", F.xxhash64("id", "text")).join(F.broadcast(cuts), "lang").where("hash <= cut").groupBy("lang", "hash").agg(F.min("text").alias("text"))
+    some = known.join(F.broadcast(cuts), "lang").where("hash <= cut").groupBy("lang", "hash").agg(F.min("text").alias("text"))
     rows = some.withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy("hash"))).where(F.col("place") <= sample).select("lang", "hash", "text")
 
     def spread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -280,7 +286,7 @@ def train(docs: DataFrame, eligible: Column, doc_id: str = "doc_id", text: str =
                 out += [(name, i, p, data[p : p + WINDOW].ljust(WINDOW, b"\0")) for p in places]
             yield pd.DataFrame(out, columns=["lang", "i", "p", "bytes"])
 
-    got = table(rows.mapInPandas(spread, "lang string, i long, p long, bytes binary"), "windows").collect()  # sample x windows rows a language
+    got = table(rows.mapInPandas(spread, "lang string, i long, p long, bytes binary"), "windows").collect()  # sample x windows rows for each of ``most`` languages
     got = sorted((r["i"], r["p"], r["lang"], bytes(r["bytes"])) for r in got)
     x = np.frombuffer(b"".join(r[3] for r in got), np.uint8).reshape(-1, WINDOW)
     names = sorted({r[2] for r in got})

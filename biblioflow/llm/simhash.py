@@ -449,7 +449,14 @@ def deduplicate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **o
     Rows are told apart by all their columns: a null or repeated doc_id takes no other row along. Of rows alike in
     every column one stays.
     """
-    found = near_copies(docs, doc_id, text, **options)
+    found = table(near_copies(docs, doc_id, text, **options), "labels")
     key = spare(docs, "_key")
-    keep = found.groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "key"))["key"].alias(key)).select(key)
-    return docs.withColumn(key, row_key(docs)).join(keep, key, "left_semi").dropDuplicates([key]).drop(key)
+    first = found.groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "key"))["key"].alias("first"), F.count("*").alias("n")).where("n > 1")
+    grouped = table(found.select("key", "label").join(first.select("label", "first"), "label").select(F.col("key").alias(key), (F.col("key") == F.col("first")).alias("stays")), "grouped")
+    repeated = table(grouped.where("stays").groupBy(key).agg(F.count("*").alias("n")).where("n > 1").select(key), "repeated")
+    out = table(grouped.where("not stays").select(key).distinct().union(repeated), "removed")
+    keyed = docs.withColumn(key, row_key(docs))
+    left = keyed.join(sized(out, 40), key, "left_anti")
+    if not repeated.isEmpty():  # rows alike in every column, of which one stays
+        left = left.unionByName(keyed.join(sized(repeated, 40), key, "left_semi").dropDuplicates([key]))
+    return left.drop(key)

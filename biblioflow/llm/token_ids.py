@@ -13,6 +13,7 @@ import os
 import re
 from collections.abc import Sequence
 from functools import cache
+from hashlib import sha256
 from itertools import accumulate, chain, pairwise
 from pathlib import Path
 
@@ -20,6 +21,8 @@ import numpy as np
 from pyspark import SparkFiles
 from pyspark.sql import SparkSession
 
+from biblioflow.sources.stages import stored
+
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 #: Unicode white space as the library's patterns see it.
@@ -44,6 +47,8 @@ class Encoder:
         said = json.loads(Path(path).read_text())
         added = [t["content"] for t in said.get("added_tokens") or []]
         self.added = re.compile("|".join(map(re.escape, added)), re.IGNORECASE).search if added else lambda text: None
+        #: A mark, the same in any case, that all added tokens hold; texts without it need no search.
+        self.mark = next((c for c in added[0] if c.lower() == c.upper() and all(c in t for t in added)), "") if added else ""
         names = [t for t, _ in sorted(self.library.get_vocab().items(), key=lambda x: x[1])]
         self.known: dict[str, bytes] = {}
         self.suffix = said["model"].get("end_of_word_suffix") or ""
@@ -87,7 +92,7 @@ class Encoder:
         """A null text has no ids."""
         if len(self.known) > CACHE:
             self.known.clear()
-        whole = {k for k, t in enumerate(texts) if t and self.added(t)}
+        whole = {k for k, t in enumerate(texts) if t and self.mark in t and self.added(t)}
         rows = [self.find(t) if t and k not in whole else [] for k, t in enumerate(texts)]
         pieces = list(chain.from_iterable(rows))
         got = list(map(self.known.get, pieces))
@@ -105,9 +110,18 @@ class Encoder:
 
 
 def ship(spark: SparkSession, path: str) -> str:
-    """Send the tokenizer's file along with the job; the name under which ``encoder`` finds it in a task."""
-    spark.sparkContext.addFile(path)
-    return Path(path).name
+    """Send the tokenizer's file along with the job; the name under which ``encoder`` finds it in a task.
+
+    The name holds the content's hash, so files of one name and other content, or a file that changes, do not meet.
+    """
+    data = Path(path.removeprefix("file://")).read_bytes()
+    name = f"tokenizer-{sha256(data).hexdigest()}.json"
+    context = spark.sparkContext
+    shipped = context.__dict__.setdefault("_biblioflow_tokenizers", set())
+    if name not in shipped:
+        context.addFile(stored(spark, name, data))
+        shipped.add(name)
+    return name
 
 
 @cache

@@ -131,7 +131,8 @@ def threshold(labelled: DataFrame) -> float | None:
 
 def judged(pages: DataFrame, rules: tuple[Rule, ...], page_id: str = "page_id", url: str = "url") -> DataFrame:
     """(page_id, url, host, path, rule, score, verdict) for every row; score: mean log-ratio, higher is accepted."""
-    rows = pages.select(F.col(page_id).alias("page_id"), F.col(url).alias("url"))
+    rows = pages.select(F.col(page_id).alias("page_id"), F.col(url).alias("url"), F.monotonically_increasing_id().alias("row"))
+    rows = table(rows, "numbered")
     host, path = host_and_path(F.col("url"))
     _, allow = rule_of(host, path, rules)
     known = rows.select("url", symbols(F.col("url")).alias("text"), allow.alias("allow"))
@@ -139,8 +140,9 @@ def judged(pages: DataFrame, rules: tuple[Rule, ...], page_id: str = "page_id",
     of = lambda ok: F.sum((counted & F.col("allow").eqNullSafe(ok)).cast("long"))
     counts = table(grams(known, "text").where("gram is not null").groupBy("gram").agg(of(True).alias("yes"), of(False).alias("no")), "grams")
     ratios = table(log_ratios(counts), "ratios")
-    placed = grams(rows.withColumn("row", F.monotonically_increasing_id()).withColumn("text", symbols(F.col("url"))), "text")
-    scores = placed.join(sized(ratios, 40), "gram", "left").groupBy("row", "page_id", "url").agg(F.avg("ratio").alias("score"))
+    placed = grams(rows.select("row", symbols(F.col("url")).alias("text")), "text").select("row", "gram")  # of a URL only its number is copied
+    scores = placed.join(sized(ratios, 40), "gram").groupBy("row").agg(F.avg("ratio").alias("score"))
+    scores = rows.join(scores, "row", "left")
     host, path = host_and_path(F.col("url"))
     name, allow = rule_of(F.col("host"), F.col("path"), rules)
     found = table(scores.withColumn("host", host).withColumn("path", path).select("page_id", "url", "host", "path", name.alias("rule"), allow.alias("allow"), "score"), "urls")
