@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import time
+from dataclasses import dataclass, field
+
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from biblioflow.functions.columns import capped_list, jaccard, newest, orcid_compatible, overlap, paper_of
 from biblioflow.functions.names import block_of, coauthor_keys, letter_of, search_form_of, slots_match, slots_of, usable
+from biblioflow.operators import authors
 from biblioflow.operators.citations import redirected
 from biblioflow.operators.diff import NULL_BUCKET, TOMBSTONE
-from biblioflow.sources.stages import staged
+from biblioflow.operators.evidence import CROWD, SETS, best_authorships
+from biblioflow.sources.stages import releasing, staged
 
 #: Coefficients of the pair score over the feature vector; the intercept comes first.
 SCORER = (-3.0, 2.5, 1.5, 3.5, 0.05, 0.3, 2.0, 2.5)
@@ -51,11 +56,16 @@ def features(pairs: DataFrame, a: str = "_1", b: str = "_2") -> DataFrame:
         jaccard(c("coauthors", a), c("coauthors", b)).alias("coauthors_per"),
         jaccard(c("citations", a), c("citations", b)).alias("citation_per"),
         flag(cites).alias("citation_work_match"),
-        flag(c("author", a) == c("author", b)).alias("exact_match"),
     )
     total = F.col("inst_per") + F.col("concepts_per") + F.col("coauthors_per") + F.col("citation_per") + F.col("citation_work_match")
-    own = c("author", a)
-    return out.withColumn("total_per", total).withColumn("exact_match_len", F.col("exact_match") * F.length(own)).withColumn("exact_match_spaces", F.col("exact_match") * F.size(F.split(own, " "))).drop("exact_match")
+    return with_exact_match(out.withColumn("total_per", total), a, b)
+
+
+def with_exact_match(pairs: DataFrame, a: str = "_1", b: str = "_2") -> DataFrame:
+    """Length and words of the name where both sides have the same, else 0."""
+    own = F.col("author" + a)
+    same = F.when(own == F.col("author" + b), 1).otherwise(0)
+    return pairs.withColumn("exact_match_len", same * F.length(own)).withColumn("exact_match_spaces", same * F.size(F.split(own, " ")))
 
 
 VECTOR = ("inst_per", "concepts_per", "coauthors_per", "exact_match_len", "exact_match_spaces", "citation_per", "citation_work_match")
@@ -76,6 +86,11 @@ def scored_candidates(pairs: DataFrame, most: int = CANDIDATES, least: float = L
     """
     some = pairs.where("total_per > 0")
     best = newest(some, ["work_author_id_1", "author_id"], F.desc("total_per"), F.col("work_author_id_2"))
+    return likely(best, most, least, score)
+
+
+def likely(best: DataFrame, most: int = CANDIDATES, least: float = LEAST_SCORE, score: Column | None = None) -> DataFrame:
+    """Of a new authorship's best pairs, one for each author, the first ``most`` by evidence, with a score above ``least``."""
     rank = F.row_number().over(Window.partitionBy("work_author_id_1").orderBy(F.desc("total_per"), "author_id"))
     near = best.withColumn("_rank", rank).where(F.col("_rank") <= most).drop("_rank")
     return near.withColumn("score", probability() if score is None else score).where(F.col("score") > least)
@@ -90,9 +105,10 @@ def assigned(candidates: DataFrame) -> DataFrame:
     fine = candidates.where(orcid_compatible(F.col("orcid_1"), F.col("orcid_2"))).select("work_author_id_1", "author_id", F.coalesce("orcid_1", F.lit("")).alias("orcid_1"), "score")
     best = newest(fine, ["work_author_id_1"], F.desc("score"), F.col("author_id"))
     own = Window.partitionBy("author_id")
-    gained = F.size(F.collect_set(F.when(F.col("orcid_1") != "", F.col("orcid_1"))).over(own))
+    real = F.when(F.col("orcid_1") != "", F.col("orcid_1"))
+    several = F.coalesce(F.min(real).over(own) != F.max(real).over(own), F.lit(False))
     place = F.row_number().over(own.orderBy(F.desc("score"), "work_author_id_1"))
-    return best.withColumn("_gained", gained).withColumn("_place", place).where("_gained <= 1 or _place = 1").drop("_gained", "_place")
+    return best.withColumn("_several", several).withColumn("_place", place).where("not _several or _place = 1").drop("_several", "_place")
 
 
 def orcid_matches(new: DataFrame, owners: DataFrame) -> DataFrame:
@@ -124,31 +140,69 @@ def blocked_candidates(new: DataFrame, known: DataFrame) -> DataFrame:
 
 
 def curated_clusters(current: DataFrame, requests: DataFrame, merges: DataFrame, frozen: DataFrame) -> DataFrame:
-    """(work_author_id, author_id): current clusters after the newest request for each authorship and the merges.
+    """(work_author_id, author_id): current clusters after the newest request for each authorship and the merges; of several
+    merges of one author that to the smallest id.
 
     current: work_author_id, author_id; requests: work_author_id, new_author_id, request_date. The two sentinels are no
     clusters.
     """
     wanted = newest(requests, ["work_author_id"], F.desc("request_date"), F.desc("new_author_id")).select("work_author_id", "new_author_id")
     asked = current.select("work_author_id", "author_id").join(wanted, "work_author_id", "full").select("work_author_id", F.coalesce("new_author_id", "author_id").alias("author_id"))
-    moved = redirected(asked, merge_map(merges, frozen).dropDuplicates(["merge_from_id"]), "author_id")
+    moved = redirected(asked, newest(merge_map(merges, frozen), ["merge_from_id"], F.col("merge_to_id")), "author_id")
     return moved.where(~F.col("author_id").isin(NULL_BUCKET, TOMBSTONE)).distinct()
 
 
-def disambiguated(works: DataFrame, current: DataFrame, last_id: int, requests: DataFrame | None = None, merges: DataFrame | None = None, frozen: DataFrame | None = None, removed: DataFrame | None = None, splits: DataFrame | None = None) -> DataFrame:
-    """(work_author_id, author_id, how) of every authorship in ``works``, whether it had an author before or not.
+@dataclass
+class Cascade:
+    """What a run of the cascade gives: the assignments, the counts of the author table, what its rounds observed."""
+
+    assignments: DataFrame
+    counts: DataFrame
+    rounds: list[tuple[str, str, float]] = field(default_factory=list)
+
+    def statistics(self) -> DataFrame:
+        """(round, name, value) of every round: rows given, authors rebuilt and seconds; of the input its rows and empty features."""
+        return self.assignments.sparkSession.createDataFrame(self.rounds, "round string, name string, value double")
+
+
+@releasing
+def disambiguated(works: DataFrame, current: DataFrame, last_id: int, requests: DataFrame | None = None, merges: DataFrame | None = None, frozen: DataFrame | None = None, removed: DataFrame | None = None, splits: DataFrame | None = None, **options) -> DataFrame:
+    """The assignments of ``cascade``, whose tables are deleted once these are written."""
+    return cascade(works, current, last_id, requests, merges, frozen, removed, splits, **options).assignments
+
+
+def cascade(works: DataFrame, current: DataFrame, last_id: int, requests: DataFrame | None = None, merges: DataFrame | None = None, frozen: DataFrame | None = None, removed: DataFrame | None = None, splits: DataFrame | None = None, raw_names: DataFrame | None = None, bar_always: bool = False, crowd: int = CROWD) -> Cascade:
+    """(work_author_id, author_id, how) of every authorship in ``works``, whether it had an author before or not, and the author table.
 
     works: work_author_id, paper_id, author, orcid and the lists institutions, coauthors, concepts, citations; current:
     work_author_id, author_id; requests, merges, frozen: see ``curated_clusters``; removed: (paper_id, author_id) that are parted
-    and never paired by name again; splits: (request, work_author_id) that must form an author of their own.
+    and never paired by name again; splits: (request, work_author_id) that must form an author of their own; raw_names:
+    (work_author_id, author, request_date), of which the newest replaces an authorship's name (ties to the greater name).
+
+    A removal bars the rounds by name. An identifier, or a new author of just the works that the old one had, can bring an
+    authorship back in the same run; with ``bar_always`` they cannot.
 
     1. curation; 2. an author of its own for each split; 3. authors that share an identifier become one; then for the
     others, collapsed to one of each set of equal features: 4. by identifier, 5. by exact name with evidence, 6. the same
     once more, seeing what 5 has added, 7. by compatible name with evidence, 8. new ids; 9. the collapsed are expanded,
     10. names that stand for no person go to the null bucket, 11. a new cluster that equals an old one keeps its id.
-    Every round's assignments are written, and the authors' names, identifiers and members are those after the round before.
+    Every round's assignments are written, and the authors' names, identifiers and members are those after the round before:
+    counts of names and identifiers are kept by ``authors``, and only authors that a round touches are counted again. What the
+    rounds' own passes observe is in ``rounds``.
     """
-    spark = works.sparkSession
+    spark, rounds = works.sparkSession, []
+
+    def observed(df: DataFrame, name: str, round_name: str, *metrics: Column) -> DataFrame:
+        """The stage, with counts of its rows taken as it is written."""
+        began, seen = time.perf_counter(), Observation()
+        out = staged(df.observe(seen, F.count(F.lit(1)).alias("rows"), *metrics), name)
+        rounds.extend((round_name, k, float(v or 0)) for k, v in seen.get.items())
+        rounds.append((round_name, f"{name} seconds", time.perf_counter() - began))
+        return out
+
+    if raw_names is not None:
+        wanted = newest(raw_names.where(F.coalesce("author", F.lit("")) != ""), ["work_author_id"], F.desc("request_date"), F.desc("author"))
+        works = works.join(wanted.select("work_author_id", F.col("author").alias("_raw")), "work_author_id", "left").withColumn("author", F.coalesce("_raw", "author")).drop("_raw")
     none = lambda ddl: spark.createDataFrame([], ddl)
     requests = none("work_author_id string, new_author_id long, request_date timestamp") if requests is None else requests
     merges = none("merge_from_id long, merge_to_id long") if merges is None else merges
@@ -157,7 +211,8 @@ def disambiguated(works: DataFrame, current: DataFrame, last_id: int, requests:
     concepts = F.array_sort(F.filter(F.coalesce("concepts", F.array().cast("array<bigint>")), lambda x: ~x.isin(*ROOT_CONCEPTS)))
     lists = {"coauthors": coauthor_keys(F.col("coauthors")), "concepts": concepts, **{c: F.array_sort(F.coalesce(c, F.array().cast("array<bigint>"))) for c in ("institutions", "citations")}}
     named = usable(F.col("author"))
-    rows = staged(works.withColumns(lists).withColumn("orcid", F.coalesce("orcid", F.lit(""))).withColumn("named", named), "works")
+    empty = [F.count_if(F.size(c) == 0).alias(f"without {c}") for c in SETS]
+    rows = observed(works.withColumns(lists).withColumn("orcid", F.coalesce("orcid", F.lit(""))).withColumn("named", named), "works", "input", *empty, F.count_if(F.col("orcid") == "").alias("without orcid"))
     how = lambda df, name: df.select("work_author_id", "author_id", F.lit(name).alias("how"))
 
     kept = staged(curated_clusters(current, requests, merges, frozen), "curated")
@@ -170,7 +225,8 @@ def disambiguated(works: DataFrame, current: DataFrame, last_id: int, requests:
         clusters = clusters.join(removed.select("paper_id", "author_id").distinct(), ["paper_id", "author_id"], "left_anti")
     clusters = staged(clusters.select("work_author_id", "author_id", "how"), "clusters")
     winners = identifier_winners(_owned(clusters, rows), frozen)
-    clusters = staged(redirected(clusters, winners, "author_id", "author_id", "winner_id").select("work_author_id", "author_id", "how"), "clusters")
+    clusters = observed(redirected(clusters, winners, "author_id", "author_id", "winner_id").select("work_author_id", "author_id", "how"), "clusters", "curation")
+    counts = observed(authors.counted(clusters, rows), "counts", "curation")
 
     fresh = rows.where("named").join(clusters, "work_author_id", "left_anti")
     alone = F.lit("")  # an authorship that is barred from an author is nobody's copy
@@ -183,30 +239,46 @@ def disambiguated(works: DataFrame, current: DataFrame, last_id: int, requests:
     left = staged(left.select(*[F.col(c).alias(f"{c}_1") for c in left.columns]), "left")
 
     def round_(name: str, given: DataFrame) -> None:
-        nonlocal clusters, left
-        given = staged(given.select(F.col("work_author_id_1").alias("work_author_id"), "author_id"), "given")
+        nonlocal clusters, left, counts
+        given = observed(given.select(F.col("work_author_id_1").alias("work_author_id"), "author_id"), "given", name)
         clusters = clusters.unionByName(how(given, name))
+        if rounds[-2][2]:
+            more = observed(authors.counted(given, rows), "gained", name)
+            counts = staged(authors.added(counts, more), "counts")
         left = left.join(given.select(F.col("work_author_id").alias("work_author_id_1")), "work_author_id_1", "left_anti")
 
-    round_("identifier", orcid_matches(left, _owners(clusters, rows)))
+    def allowed(met: DataFrame) -> DataFrame:
+        if removed is None:
+            return met
+        return met.join(removed.select(F.col("paper_id").alias("paper_id_1"), "author_id").distinct(), ["paper_id_1", "author_id"], "left_anti")
+
+    matches = orcid_matches(left, authors.owners(counts))
+    if bar_always:
+        matches = allowed(matches.join(left.select("work_author_id_1", "paper_id_1"), "work_author_id_1"))
+    round_("identifier", matches)
     for name, candidates in (("name", name_candidates), ("name again", name_candidates), ("compatible", blocked_candidates)):
-        met = candidates(left, clusters.join(rows, "work_author_id").select("author_id", "author").distinct())
-        if removed is not None:
-            met = met.join(removed.select(F.col("paper_id").alias("paper_id_1"), "author_id").distinct(), ["paper_id_1", "author_id"], "left_anti")
-        members = clusters.select("work_author_id", "author_id").join(rows.drop("orcid", "named"), "work_author_id")
-        members = members.select("author_id", *[F.col(c).alias(f"{c}_2") for c in members.columns if c != "author_id"])
-        pairs = met.join(members, "author_id").join(_owners(clusters, rows), "author_id")
-        round_(name, assigned(scored_candidates(features(pairs))))
+        met = allowed(candidates(left, counts.select("author_id", "author")))
+        given = ("work_author_id", "paper_id", *SETS)
+        found = best_authorships(met, left.select(*[F.col(f"{c}_1").alias(c) for c in given]), clusters, rows.select(*given), crowd)
+        found = found.join(left.select("work_author_id_1", "author_1", "orcid_1"), "work_author_id_1").join(rows.select(F.col("work_author_id").alias("work_author_id_2"), F.col("author").alias("author_2")), "work_author_id_2")
+        round_(name, assigned(likely(with_exact_match(found)).join(authors.owners(counts), "author_id")))
 
     made = allocated(left.select("work_author_id_1").distinct(), [paper_of(F.col("work_author_id_1")), "work_author_id_1"], last_id, "author_id")
     round_("new", made)
     again = groups.where(F.size("members") > 1).select("work_author_id", F.explode("members").alias("_member"))
     copies = clusters.join(again, "work_author_id").where(F.col("_member") != F.col("work_author_id")).select(F.col("_member").alias("work_author_id"), "author_id", "how")
+    copies = observed(copies, "copies", "expansion")
     clusters = staged(clusters.unionByName(copies), "clusters")
+    counts = staged(authors.added(counts, authors.counted(copies, rows)), "counts")
     unnamed = rows.where("not named").join(clusters, "work_author_id", "left_anti").select("work_author_id", F.lit(NULL_BUCKET).cast("long").alias("author_id"))
     old = kept_ids(clusters.where("how = 'new'"), current)
+    if bar_always and removed is not None:
+        barred = clusters.join(rows.select("work_author_id", "paper_id"), "work_author_id").join(removed.select("paper_id", F.col("author_id").alias("old_id")).distinct(), "paper_id")
+        old = old.join(barred.select("author_id", "old_id").distinct(), ["author_id", "old_id"], "left_anti")
+    old = staged(old, "kept_ids")
     clusters = redirected(clusters, old, "author_id", "author_id", "old_id").select("work_author_id", "author_id", "how")
-    return clusters.unionByName(how(unnamed.distinct(), "unnamed"))
+    counts = authors.renumbered(counts, old, "author_id", "old_id")
+    return Cascade(clusters.unionByName(how(unnamed.distinct(), "unnamed")), counts, rounds)
 
 
 PROFILE = ("author", "orcid", "coauthors", "concepts", "institutions", "citations")

@@ -52,8 +52,9 @@ def uncited(papers: DataFrame, edges: DataFrame) -> DataFrame:
 
 
 def work_types(works: DataFrame, journals: DataFrame) -> DataFrame:
-    """(paper_id, work_type): an article in a live conference series is a conference_article."""
-    series = journals.where(F.col("merge_into_id").isNull()).select("journal_id", F.col("type").alias("_series")).dropDuplicates(["journal_id"])
+    """(paper_id, work_type): an article in a live conference series is a conference_article; of several rows of a journal the
+    smallest type holds."""
+    series = journals.where(F.col("merge_into_id").isNull()).groupBy("journal_id").agg(F.min("type").alias("_series"))
     kind = F.when((F.col("type") == "article") & (F.col("_series") == "conference"), F.lit("conference_article")).otherwise(F.col("type"))
     return works.join(series, "journal_id", "left").select("paper_id", kind.alias("work_type"))
 

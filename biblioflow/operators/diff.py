@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from biblioflow.functions.columns import same_set
+from biblioflow.functions.columns import newest, same_set
 
 TOMBSTONE = 5317838346
 NULL_BUCKET = 9999999999
@@ -41,8 +41,9 @@ def update_from(target: DataFrame, changes: DataFrame, key: str, columns: list[s
 
 
 def insert_missing(target: DataFrame, rows: DataFrame, keys: list[str]) -> DataFrame:
-    """``target`` and those distinct ``rows`` whose keys it lacks."""
-    return target.unionByName(rows.dropDuplicates(keys).join(target.select(*keys), keys, "left_anti").select(*target.columns))
+    """``target`` and those ``rows`` whose keys it lacks; of several rows of a key the smallest by the other columns, null first."""
+    rest = [F.col(c) for c in target.columns if c not in keys]
+    return target.unionByName(newest(rows, keys, *(rest or [F.lit(0)])).join(target.select(*keys), keys, "left_anti").select(*target.columns))
 
 
 def delete_in(target: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:

@@ -6,9 +6,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from biblioflow.functions.columns import merged_sets, orcid_of, overlap
+from biblioflow.functions.columns import orcid_of
 from biblioflow.functions.names import accepted, compatible, evidence_of, search_form_of
-from biblioflow.sources.stages import staged
+from biblioflow.operators.evidence import shared_weights
+from biblioflow.sources.stages import releasing, staged
 
 #: Weights of shared members in the reassignment of an over-merged author's works.
 WEIGHTS = {"institutions": 2.0, "coauthors": 0.05, "concepts": 0.01, "citations": 0.2, "coauthor_orcids": 5.0, "topics": 5.0, "subfields": 1.0, "fields": 0.01}
@@ -24,20 +25,21 @@ def reconciled(claims: DataFrame, registry: DataFrame) -> DataFrame:
     """(paper_id, author_sequence_number, orcid): claims that the registry's name supports and that are unique.
 
     claims: paper_id, author_sequence_number, original_author, orcid; registry: orcid, given_names, family_name. Of a
-    paper's authorships claiming one identifier those of the best evidence stay; several of them drop it.
+    paper's authorships claiming one identifier those of the best evidence stay; several of them drop it. Where the registry has
+    several rows of an identifier, each is tried.
     """
     tokens = lambda c: F.split(F.lower(F.coalesce(c, F.lit(""))), r"\s+")
-    named = registry.dropDuplicates(["orcid"]).select("orcid", tokens(F.col("given_names")).alias("given"), tokens(F.col("family_name")).alias("family"))
+    named = registry.select("orcid", tokens(F.col("given_names")).alias("given"), tokens(F.col("family_name")).alias("family")).distinct()
     proved = claims.where(F.coalesce("orcid", F.lit("")) != "").distinct().join(named, "orcid").withColumn("e", evidence_of("original_author", "given", "family"))
     fine = proved.where(accepted(F.col("e")))
-    return uniquely_best(fine, ["paper_id", "orcid"], [F.col("e")[i].desc() for i in range(3)], "author_sequence_number").select("paper_id", "author_sequence_number", "orcid")
+    return uniquely_best(fine, ["paper_id", "orcid"], [F.col("e")[i].desc() for i in range(3)], "author_sequence_number").select("paper_id", "author_sequence_number", "orcid").distinct()
 
 
 def uniquely_best(df: DataFrame, keys: list[str], order: list[Column], member: str) -> DataFrame:
     """Rows of dense rank 1 in their key, where these have one ``member`` only."""
     best = df.withColumn("_rank", F.dense_rank().over(Window.partitionBy(*keys).orderBy(*order))).where("_rank = 1").drop("_rank")
     members = Window.partitionBy(*keys)
-    return best.withColumn("_n", F.size(F.collect_set(member).over(members))).where("_n = 1").drop("_n")
+    return best.withColumn("_one", F.min(member).over(members) == F.max(member).over(members)).where("_one").drop("_one")
 
 
 def overmerged(works: DataFrame, frozen: DataFrame) -> DataFrame:
@@ -46,19 +48,6 @@ def overmerged(works: DataFrame, frozen: DataFrame) -> DataFrame:
     return several.join(frozen.select("author_id").distinct(), "author_id", "left_anti").select("author_id")
 
 
-def anchors(works: DataFrame) -> DataFrame:
-    """(author_id, orcid, names, sets of WEIGHTS): an author's works by identifier."""
-    own = works.where(F.coalesce("orcid", F.lit("")) != "")
-    return own.groupBy("author_id", "orcid").agg(F.count("*").alias("n_works"), F.sort_array(F.collect_set("name")).alias("names"), *[merged_sets(F.col(c)).alias(c) for c in WEIGHTS])
-
-
-def evidence_score(a: str, b: str) -> Column:
-    total = F.lit(0.0)
-    for name, weight in WEIGHTS.items():
-        total = total + F.lit(weight) * overlap(F.col(f"{a}.{name}"), F.col(f"{b}.{name}"))
-    return F.round(total, 6)
-
-
 def _assign(group: pd.DataFrame) -> pd.DataFrame:
     """Greedy by score: a profile goes to the first anchor all of whose names it is compatible with; its name joins them."""
     names = {o: list(n) for o, n in zip(group["orcid"], group["names"], strict=True)}
@@ -72,6 +61,7 @@ def _assign(group: pd.DataFrame) -> pd.DataFrame:
     return out.assign(author_id=group["author_id"].iloc[0])[["author_id", "first", "orcid"]]
 
 
+@releasing
 def reassigned(works: DataFrame, frozen: DataFrame, rounds: int = 3) -> DataFrame:
     """(author_id, work_author_id, orcid): over-merged authors' works without identifier, given to an anchor.
 
@@ -83,14 +73,15 @@ def reassigned(works: DataFrame, frozen: DataFrame, rounds: int = 3) -> DataFram
     own = staged(own.withColumn("orcid", F.coalesce("orcid", F.lit(""))), "overmerged")
     known, done = own, None
     for _ in range(rounds):
-        a = anchors(known).alias("a")
-        free = known.where("orcid = ''").alias("b")
-        pairs = free.join(a, F.col("a.author_id") == F.col("b.author_id")).withColumn("score", evidence_score("a", "b")).where("score > 0")
-        scores = F.array_sort(F.collect_list(F.struct("a.orcid", "score")))  # an entry for each anchor of the author
-        profiles = staged(pairs.groupBy("b.author_id", "b.work_author_id", "b.name").agg(scores.alias("scores")), "profiles")
+        anchored, free = known.where("orcid <> ''"), known.where("orcid = ''")
+        pairs = shared_weights(free, anchored, WEIGHTS, "author_id", "work_author_id", "orcid").where("score > 0")
+        scores = F.array_sort(F.collect_list(F.struct("orcid", "score")))  # an entry for each anchor of the author
+        scored = pairs.groupBy("author_id", "work_author_id").agg(scores.alias("scores"))
+        profiles = staged(scored.join(free.select("author_id", "work_author_id", "name"), ["author_id", "work_author_id"]).select("author_id", "work_author_id", "name", "scores"), "profiles")
         firsts = profiles.groupBy("author_id", "name", "scores").agg(F.min("work_author_id").alias("first"))
         held = firsts.select("author_id", "name", "first", F.explode("scores").alias("s")).select("author_id", "name", "first", "s.orcid", "s.score")
-        held = held.join(a.select("author_id", "orcid", "names"), ["author_id", "orcid"])
+        named = anchored.groupBy("author_id", "orcid").agg(F.sort_array(F.collect_set("name")).alias("names"))
+        held = held.join(named, ["author_id", "orcid"])
         found = held.groupBy("author_id").applyInPandas(_assign, "author_id long, first string, orcid string")
         given = profiles.join(firsts, ["author_id", "name", "scores"]).join(found, ["author_id", "first"])
         given = staged(given.select("author_id", "work_author_id", "orcid"), "given")
@@ -111,6 +102,17 @@ def split_requests(works: DataFrame, given: DataFrame, date: str) -> DataFrame:
     return groups.withColumn("_p", place).where("_p > 1").select(key.alias("request"), "author_id", "orcid", "works")
 
 
+def as_splits(requests: DataFrame) -> DataFrame:
+    """(request, work_author_id) of ``split_requests``, as the cascade takes them."""
+    return requests.select("request", F.explode("works").alias("work_author_id"))
+
+
+def leftover_splits(groups: DataFrame, date: str) -> DataFrame:
+    """(request, work_author_id) of ``leftover_groups``: every cluster of an author but its first asks for an author of its own."""
+    key = F.concat_ws("-", "author_id", F.lit("left"), "cluster", F.lit(date))
+    return groups.where("cluster > 0").select(key.alias("request"), "work_author_id")
+
+
 def _group(group: pd.DataFrame) -> pd.DataFrame:
     clusters: list[list[str]] = []
     out = []

@@ -1,16 +1,18 @@
-"""Text-to-identifier rules and conditional rewrites of identifier lists, both driven by tables of rules.
+r"""Text-to-identifier rules and conditional rewrites of identifier lists, both driven by tables of rules.
 
-A predicate is a nested tuple; it compiles to a Spark column and to DuckDB SQL:
+A predicate is a nested tuple:
 
     ("has", text)  ("has_lower", text)  ("any", [texts])  ("any_lower", [texts])  ("all", [texts])
     ("word", text)  ("regex", pattern)  ("replaced", {old: new}, text)  ("id", n)  ("ids_more_than", n)
     ("not", p)  ("and", p, ...)  ("or", p, ...)
 
-Up to FEW rules are compiled to expressions. More are applied in one pass over the text (``rulebook``): an automaton finds
-the literals of all rules at once, and only rules that one of these can make true are looked at.
+However many rules there are, they are applied in one pass over the text (``rulebook``): an automaton finds the literals of
+all rules at once, and only rules that one of these can make true are looked at. So a rule means the same in every table:
+patterns are those of the ``regex`` package, where ``\w``, ``\d``, ``\b`` and case folding know all scripts; lower case is
+Python's. An empty list, an unknown kind or a wrong number of arguments is refused; the empty text is in every text.
 
-A rule emits ids where its predicate holds; of rules in one group the first by priority that holds is the only one.
-Rules that test ids run after all others, on what those emitted.
+A rule emits ids where its predicate holds; of rules in one group the first by priority that holds is the only one. Null and the
+empty text are no group. Rules that test ids run after all others, on what those emitted.
 """
 
 from __future__ import annotations
@@ -23,11 +25,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from biblioflow.operators import rulebook
-
 NO_INSTITUTION = -1
-#: Rules or rewrites up to which each is an expression of its own.
-FEW = 64
+#: Arguments of each kind of predicate.
+ARGUMENTS = {"has": 1, "has_lower": 1, "any": 1, "any_lower": 1, "all": 1, "word": 1, "regex": 1, "replaced": 2, "id": 1, "ids_more_than": 1}
 #: A character that is no part of a word, in any script.
 OUTSIDE = r"[^\p{L}\p{N}_]"
 
@@ -53,42 +53,20 @@ def tests_ids(p: tuple) -> bool:
     return p[0] in ("id", "ids_more_than") or any(tests_ids(x) for x in p[1:] if isinstance(x, tuple) and x and isinstance(x[0], str))
 
 
-def column(p: tuple, text: Column, ids: Column | None = None, low: Column | None = None) -> Column:
-    """The predicate over ``text``; ``low`` is the lower-cased text, where it is at hand."""
+def checked(p: tuple, ids: bool = True) -> tuple:
+    """The predicate, if it is one: of a known kind, with as many arguments as that takes, and no empty list."""
     kind, *args = p
-    low = F.lower(text) if low is None else low
     if kind in ("not", "and", "or"):
-        parts = [column(x, text, ids, low) for x in args]
-        return ~parts[0] if kind == "not" else reduce(lambda a, b: a & b if kind == "and" else a | b, parts)
-
-    def any_of(own: Column, texts: list[str]) -> Column:
-        """Byte searches for a few texts, one pass of an alternation for many."""
-        if len(texts) <= 8:
-            return reduce(lambda a, b: a | b, [own.contains(t) for t in texts])
-        return own.rlike("|".join(re.escape(t) for t in texts))
-
-    match kind:
-        case "has":
-            return text.contains(args[0])
-        case "has_lower":
-            return low.contains(args[0])
-        case "any":
-            return any_of(text, args[0])
-        case "any_lower":
-            return any_of(low, args[0])
-        case "all":
-            return reduce(lambda a, b: a & b, [text.contains(t) for t in args[0]])
-        case "word":
-            return text.contains(args[0]) & text.rlike(f"(^|{OUTSIDE}){re.escape(args[0])}($|{OUTSIDE})")
-        case "regex":
-            return text.rlike(args[0])
-        case "replaced":
-            return reduce(lambda c, x: F.replace(c, F.lit(x[0]), F.lit(x[1])), args[0].items(), text).contains(args[1])
-        case "id":
-            return F.array_contains(ids, args[0])
-        case "ids_more_than":
-            return F.size(ids) > args[0]
-    raise ValueError(f"unknown predicate {kind}")
+        if not args or kind == "not" and len(args) > 1:
+            raise ValueError(f"{kind} of {len(args)} predicates")
+        return (kind, *(checked(x, ids) for x in args))
+    if kind not in ARGUMENTS or kind in ("id", "ids_more_than") and not ids:
+        raise ValueError(f"unknown predicate {kind}")
+    if len(args) != ARGUMENTS[kind]:
+        raise ValueError(f"{kind} takes {ARGUMENTS[kind]} arguments")
+    if kind in ("any", "all", "any_lower") and not args[0]:
+        raise ValueError(f"{kind} of no texts")
+    return p
 
 
 def sql(p: tuple, text: str = "text") -> str:
@@ -117,21 +95,6 @@ def sql(p: tuple, text: str = "text") -> str:
     raise ValueError(f"{kind} has no SQL form")
 
 
-def _emitted(rules: list[Rule], text: Column, ids: Column | None, low: Column) -> Column:
-    groups: dict = {}
-    for k, rule in enumerate(rules):
-        groups.setdefault(rule.group or k, []).append(rule)
-    parts = []
-    for members in groups.values():
-        choice = None
-        for rule in sorted(members, key=lambda r: r.priority):
-            own = F.array(*[F.lit(i).cast("bigint") for i in rule.emits])
-            hit = column(rule.predicate, text, ids, low)
-            choice = F.when(hit, own) if choice is None else choice.when(hit, own)
-        parts.append(F.coalesce(choice, F.array().cast("array<bigint>")))
-    return F.flatten(F.array(*parts)) if parts else F.array().cast("array<bigint>")
-
-
 def read_predicate(value) -> tuple:
     """A predicate of a JSON value: ``["and", ["has", "x"], ["not", ["word", "y"]]]``."""
     kind, *args = value
@@ -155,15 +118,11 @@ def read_rewrites(table: DataFrame) -> list[Rewrite]:
 
 def matched(df: DataFrame, rules: list[Rule], text: str = "text", out: str = "ids") -> DataFrame:
     """``df`` with the sorted set of ids that the rules emit for a text; null text emits none."""
-    t = F.coalesce(F.col(text), F.lit(""))
-    if len(rules) > FEW:
-        return df.withColumn(out, rulebook.emitting(rules)(t, F.lower(t)))
-    first, second = [r for r in rules if not tests_ids(r.predicate)], [r for r in rules if tests_ids(r.predicate)]
-    df = df.withColumn("_low", F.lower(t))  # once for all rules
-    df = df.withColumn(out, F.array_distinct(_emitted(first, t, None, F.col("_low"))))
-    if second:
-        df = df.withColumn(out, F.array_union(out, _emitted(second, t, F.col(out), F.col("_low"))))
-    return df.withColumn(out, F.array_sort(out)).drop("_low")
+    from biblioflow.operators import rulebook
+
+    for r in rules:
+        checked(r.predicate)
+    return df.withColumn(out, rulebook.emitting(rules)(F.coalesce(F.col(text), F.lit(""))))
 
 
 def without_no_institution(ids: Column) -> Column:
@@ -180,20 +139,13 @@ def chosen_ids(base: Column, override: Column) -> Column:
 
 
 def rewritten(df: DataFrame, rewrites: list[Rewrite], text: str = "text", ids: str = "ids") -> DataFrame:
-    """``df`` with the ids after all rewrites in order, as a sorted set; nothing left gives [-1].
+    """``df`` with the ids after all rewrites in order, as a sorted set; nothing left gives [-1]; null ids are none."""
+    from biblioflow.operators import rulebook
 
-    A few rewrites are a column of their own stage each, as later ones see what earlier ones did; many are one pass.
-    """
-    t = F.coalesce(F.col(text), F.lit(""))
-    empty = F.array().cast("array<bigint>")
-    if len(rewrites) > FEW:
-        return df.withColumn(ids, without_no_institution(rulebook.rewriting(rewrites)(t, F.lower(t), F.coalesce(ids, empty))))
-    df = df.withColumn("_low", F.lower(t))
     for r in rewrites:
-        now = F.col(ids)
-        after = F.array_union(F.array_except(now, F.array(*[F.lit(i).cast("bigint") for i in r.removes]) if r.removes else empty), F.array(*[F.lit(i).cast("bigint") for i in r.adds]) if r.adds else empty)
-        df = df.withColumn(ids, F.when(column(r.predicate, t, now, F.col("_low")), after).otherwise(now))
-    return df.withColumn(ids, without_no_institution(F.col(ids))).drop("_low")
+        checked(r.predicate)
+    done = rulebook.rewriting(rewrites)(F.coalesce(F.col(text), F.lit("")), F.coalesce(F.col(ids), F.array().cast("array<bigint>")))
+    return df.withColumn(ids, without_no_institution(done))
 
 
 def family(parent: int, swaps: dict[int, tuple[str, int]]) -> list[Rewrite]:

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from biblioflow.functions import columns, names
-from biblioflow.operators import assign, citations, diff, identifiers, metrics, rules
+from biblioflow.operators import assign, authors, citations, diff, identifiers, metrics, rules
 from biblioflow.sources import tables
 
 AS_OF = 2001
@@ -400,6 +400,24 @@ def rule_match(spark, sf_dir):
     return rules.matched(t(spark, sf_dir, "documents").select("doc_id", "text"), rules.read_rules(rule_tables(spark)[0])).select("doc_id", F.array_join("ids", ",").alias("ids"))
 
 
+_ABC = "chr(97 + k % 26) || chr(97 + k // 26 % 26) || chr(97 + k // 7 % 26)"
+
+
+@query(f"""WITH r AS (SELECT k, {_ABC} AS p, chr(97 + k * 5 % 26) AS z FROM (SELECT CAST(k AS INT) AS k FROM range(1200) t(k))), d AS (SELECT doc_id, text, lower(text) AS low FROM documents),
+h AS (SELECT doc_id, k % 400 AS id FROM d JOIN r ON CASE k % 3 WHEN 0 THEN contains(low, p) WHEN 1 THEN contains(text, p) AND NOT contains(text, z || ' ') ELSE contains(text, p) AND regexp_matches(text, '(^|{rules.OUTSIDE})' || p || '($|{rules.OUTSIDE})') END),
+m AS (SELECT doc_id, list(DISTINCT id) AS ids FROM h GROUP BY 1),
+w AS (SELECT doc_id, CASE WHEN ids IS NULL THEN [-1] ELSE list_sort(list_distinct(list_transform(ids, lambda x: CASE WHEN x % 2 = 0 THEN x + 1000 ELSE x END))) END AS ids FROM d LEFT JOIN m USING (doc_id))
+SELECT doc_id, array_to_string(ids, ',') AS ids FROM w""")
+def rule_table(spark, sf_dir):
+    """1,200 rules and 200 rewrites, read from tables with JSON predicates."""
+    letters = lambda k: chr(97 + k % 26) + chr(97 + k // 26 % 26) + chr(97 + k // 7 % 26)
+    kinds = (lambda k, p: ["has_lower", p], lambda k, p: ["and", ["has", p], ["not", ["has", chr(97 + k * 5 % 26) + " "]]], lambda k, p: ["word", p])
+    given = spark.createDataFrame([(json.dumps(kinds[k % 3](k, letters(k))), [k % 400], None, 0) for k in range(1200)], "predicate string, emits array<bigint>, group string, priority int")
+    changes = spark.createDataFrame([(k, json.dumps(["id", k]), [k], [k + 1000]) for k in range(0, 400, 2)], "position int, predicate string, removes array<bigint>, adds array<bigint>")
+    found = rules.matched(t(spark, sf_dir, "documents").select("doc_id", "text"), rules.read_rules(given))
+    return rules.rewritten(found, rules.read_rewrites(changes)).select("doc_id", F.array_join("ids", ",").alias("ids"))
+
+
 _REWRITTEN = f"""{_MATCHED},
 a AS (SELECT doc_id, CASE WHEN list_contains(ids, 1) AND contains(lower(text), 'idiot') THEN list_append(list_filter(ids, lambda x: x <> 1), 10) ELSE ids END AS ids FROM m),
 b AS (SELECT doc_id, CASE WHEN list_contains(ids, -1) THEN list_append(list_filter(ids, lambda x: x <> -1), 11) ELSE ids END AS ids FROM a),
@@ -592,6 +610,46 @@ def cascade_assign(spark, sf_dir):
     return assign.disambiguated(given.pop("works"), given.pop("current"), 5_000_000_000, **given)
 
 
+_NAMED = """a AS (SELECT o_orderkey AS p, o_custkey AS author_id, CASE WHEN o_totalprice > 450000 THEN 'o' || o_custkey ELSE '' END AS orcid,
+  CASE WHEN o_orderkey % 97 = 0 THEN 'None' ELSE (CASE WHEN o_orderkey % 3 = 0 THEN c_mktsegment[1] ELSE c_mktsegment[1] || lower(c_mktsegment[2:]) END) || ' ' || translate(CAST(o_custkey % 400 AS VARCHAR), '0123456789', 'abcdefghij') END AS raw
+  FROM orders JOIN customer ON c_custkey = o_custkey WHERE o_orderdate < '2001-01-01' AND o_orderkey IN (SELECT l_orderkey FROM lineitem)),
+n AS (SELECT author_id, orcid, CASE WHEN p % 4 = 1 THEN replace(raw, 'u', 'ü') ELSE raw END AS author FROM a)"""
+
+
+@query(f"""WITH {_NAMED},
+c AS (SELECT author_id, author, count(*) AS k, replace(author, 'ü', 'u') AS folded FROM n GROUP BY ALL),
+b AS (SELECT author_id, folded FROM (SELECT *, row_number() OVER (PARTITION BY author_id ORDER BY contains(author, ' ') DESC, k DESC, length(author) DESC, author DESC) AS rn FROM c) WHERE rn = 1),
+s AS (SELECT author_id, author FROM (SELECT c.*, row_number() OVER (PARTITION BY author_id ORDER BY length(author) - length(replace(author, 'ü', '')) DESC, k DESC, author DESC) AS rn FROM c JOIN b USING (author_id, folded)) WHERE rn = 1),
+q AS (SELECT user_id AS author_id, event_type FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_type DESC) AS rn FROM events WHERE user_id % 10 = 3) WHERE rn = 1),
+o AS (SELECT author_id, coalesce(min(CASE WHEN orcid <> '' THEN orcid END), '') AS orcid, count(*) AS n_works, array_to_string(list_sort(list(DISTINCT author)), '|') AS alternates FROM n GROUP BY 1)
+SELECT author_id, orcid, coalesce(event_type, author) AS display_name, alternates, n_works FROM o JOIN s USING (author_id) LEFT JOIN q USING (author_id)""")
+def author_table(spark, sf_dir):
+    """The author table over the current authorships, with variants by diacritics and curated display names."""
+    given = cascade_input(spark, sf_dir)
+    name = F.when(F.col("paper_id") % 4 == 1, F.replace("author", F.lit("u"), F.lit("ü"))).otherwise(F.col("author"))
+    asked = t(spark, sf_dir, "events").where("user_id % 10 = 3").select(F.col("user_id").alias("author_id"), F.col("event_type").alias("display_name"), F.col("ts").alias("request_date"))
+    found = authors.table(authors.counted(given["current"], given["works"].withColumn("author", name)), asked)
+    return found.withColumn("alternates", F.array_join("alternates", "|"))
+
+
+@query("""WITH n AS (SELECT o_orderkey || '_1' AS w, o_custkey AS author_id FROM orders WHERE o_orderdate >= '1997-01-01'), x AS (SELECT o_orderkey || '_1' AS w, CASE WHEN o_orderkey % 7 = 0 THEN o_custkey + 1 ELSE o_custkey END AS old_author_id FROM orders WHERE o_orderdate < '2000-01-01')
+SELECT w AS work_author_id, author_id, old_author_id, coalesce(old_author_id <> author_id, false) AS id_changed FROM n LEFT JOIN x USING (w)""")
+def author_id_changes(spark, sf_dir):
+    """Which authorships have another author than before."""
+    own = t(spark, sf_dir, "orders").select(F.concat_ws("_", "o_orderkey", F.lit("1")).alias("work_author_id"), F.col("o_custkey").alias("author_id"), "o_orderdate", "o_orderkey")
+    old = own.where("o_orderdate < '2000-01-01'").withColumn("author_id", F.when(F.col("o_orderkey") % 7 == 0, F.col("author_id") + 1).otherwise(F.col("author_id")))
+    return authors.id_changes(own.where("o_orderdate >= '1997-01-01'"), old)
+
+
+@query(f"""WITH {SNAPSHOTS}, d AS (SELECT n.author_id, CASE WHEN o.author_id IS NULL THEN 'created' WHEN n.orcid <> o.orcid OR n.display_name <> o.display_name OR n.alternates <> o.alternates THEN 'modified' ELSE 'unchanged' END AS change FROM n LEFT JOIN o USING (author_id))
+SELECT author_id, change, CASE WHEN change = 'created' THEN DATE '2002-01-01' ELSE DATE '1990-01-01' + CAST(author_id % 1000 AS INT) END AS created_date, CASE WHEN change = 'unchanged' THEN DATE '1995-01-01' ELSE DATE '2002-01-01' END AS modified_date FROM d""")
+def dated_snapshot(spark, sf_dir):
+    """Created and modified dates carried from one snapshot to the next."""
+    new, old = snapshots(spark, sf_dir)
+    before = old.withColumn("created_date", F.date_add(F.lit("1990-01-01").cast("date"), (F.col("author_id") % 1000).cast("int"))).withColumn("modified_date", F.lit("1995-01-01").cast("date"))
+    return authors.dated(new, before, F.lit("2002-01-01").cast("date")).select("author_id", "change", "created_date", "modified_date")
+
+
 def overmerged_works(spark, sf_dir) -> DataFrame:
     rows = authorships(spark, sf_dir)
     orcid = F.when(F.col("o_orderpriority") == "1-URGENT", "A").when(F.col("o_orderpriority") == "2-HIGH", "B").otherwise("")

@@ -7,7 +7,10 @@ from __future__ import annotations
 
 import atexit
 import shutil
+import threading
 import uuid
+from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +21,7 @@ LOCAL_CHECKPOINTS = "/tmp/checkpoints"
 BROADCAST_BYTES = 64 << 20
 
 _written: list[tuple[SparkSession, str]] = []
+_inside = threading.local()
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -43,9 +47,30 @@ def staged(df: DataFrame, name: str, codec: str = "zstd", options: dict[str, str
     df.write.options(compression=codec, **(options or {})).parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out.stage_path = path
+    if getattr(_inside, "scopes", None):
+        _inside.scopes[-1].append(out)
     return out
 
 
+def releasing(made: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """A function whose result is written as a stage before the stages that it made on its way are deleted."""
+
+    @wraps(made)
+    def run(*args, **kwargs) -> DataFrame:
+        scopes = _inside.__dict__.setdefault("scopes", [])
+        scopes.append([])
+        try:
+            result = made(*args, **kwargs)
+        finally:
+            own = scopes.pop()
+        out = staged(result, made.__name__)
+        for df in own:
+            release(df)
+        return out
+
+    return run
+
+
 def delete(spark: SparkSession, path: str) -> None:
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)

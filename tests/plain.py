@@ -41,7 +41,10 @@ def cascade(works: list, current: list, last: int, requests: list, merges: list,
     asked = {c["work_author_id"]: c["author_id"] for c in current}
     for r in sorted(requests, key=lambda r: (r["request_date"], r["new_author_id"])):
         asked[r["work_author_id"]] = r["new_author_id"]
-    moves = dict((m["merge_to_id"], m["merge_from_id"]) if m["merge_from_id"] in held else (m["merge_from_id"], m["merge_to_id"]) for m in merges)
+    moves = {}
+    for m in merges:
+        a, b = (m["merge_to_id"], m["merge_from_id"]) if m["merge_from_id"] in held else (m["merge_from_id"], m["merge_to_id"])
+        moves[a] = min(b, moves.get(a, b))
     asked = {w: moves.get(a, a) for w, a in asked.items()}
     of = {w: (a, "kept") for w, a in asked.items() if a not in (NULL_BUCKET, TOMBSTONE)}
     keys = sorted({s["request"] for s in splits})

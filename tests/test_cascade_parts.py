@@ -1,0 +1,194 @@
+"""The parts of the cascade against brute force: evidence by postings, the author table by changes, curation, survivors."""
+
+from __future__ import annotations
+
+import random
+from collections import Counter, defaultdict
+from datetime import date, datetime
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
+
+from biblioflow.operators import assign, authors, citations, diff, evidence, identifiers
+from biblioflow.plans import queries
+from biblioflow.sources import stages
+from tests import plain
+
+FOLDER = "/root/testdata/sf0.001"
+supplied = pytest.mark.skipif(not Path(FOLDER).exists(), reason="the supplied tables are not here")
+KINDS = "work_author_id string, paper_id long, author string, orcid string, institutions array<long>, coauthors array<string>, concepts array<long>, citations array<long>"
+
+
+def made_up_works(n: int, seed: int) -> list[tuple]:
+    rng = random.Random(seed)
+    some = lambda top, most: sorted({rng.randrange(top) for _ in range(rng.randrange(most))})
+    return [(f"{p}_1", p, "Ann Lee", "", some(6, 3), [f"coauthor{c}" for c in some(9, 4)], some(8, 5), some(n, 4)) for p in range(n)]
+
+
+def total(a: tuple, b: tuple) -> float:
+    cites = b[1] in a[7] or a[1] in b[7]
+    return round(bool(set(a[4]) & set(b[4])) + plain.jaccard(a[6], b[6]) + plain.jaccard(a[5], b[5]) + plain.jaccard(a[7], b[7]) + cites, 6)
+
+
+@pytest.mark.parametrize("crowd", [64, 20, 3, 1, 0])
+def test_the_best_member_is_found_however_crowded_an_author_is(spark, crowd):
+    works = made_up_works(160, 4)
+    new, old = works[:40], works[40:]
+    of = {w[0]: 1 if k % 3 else 2 for k, w in enumerate(old)}
+    rows = spark.createDataFrame(works, KINDS)
+    met = spark.createDataFrame([(w[0], a) for w in new for a in (1, 2)], "work_author_id_1 string, author_id long")
+    clusters = spark.createDataFrame(list(of.items()), "work_author_id string, author_id long")
+    got = evidence.best_authorships(met, rows.where("paper_id < 40"), clusters, rows, crowd).collect()
+    want = {}
+    for x in new:
+        for a in (1, 2):
+            t, w = min((-total(x, y), y[0]) for y in old if of[y[0]] == a)
+            if t < 0:
+                want[x[0], a] = (w, -t)
+    assert {(r["work_author_id_1"], r["author_id"]): (r["work_author_id_2"], r["total_per"]) for r in got} == want and len(got) == len(want)
+
+
+def test_an_author_of_a_third_of_all_works_makes_few_pairs(spark, monkeypatch):
+    """2,000 works with one institution, concept and coauthor; 300 new ones that share these, and some a rare reference."""
+    old = [(f"{p}_1", p, "Ann Lee", "", [1], ["some coauthor"], [7], [10_000 + p]) for p in range(2000)]
+    new = [(f"{p}_1", p, "Ann Lee", "", [1], ["some coauthor"], [7], [10_000 + p % 100] if p % 2 else []) for p in range(5000, 5300)]
+    rows = spark.createDataFrame(old + new, KINDS)
+    pairs, judged = [], evidence.judged_pairs
+
+    def counted(found, *rest):
+        pairs.append(found.count())
+        return judged(found, *rest)
+
+    monkeypatch.setattr(evidence, "judged_pairs", counted)
+    met = spark.createDataFrame([(w[0], 1) for w in new], "work_author_id_1 string, author_id long")
+    clusters = spark.createDataFrame([(w[0], 1) for w in old], "work_author_id string, author_id long")
+    got = {r["work_author_id_1"]: (r["work_author_id_2"], r["total_per"]) for r in evidence.best_authorships(met, rows.where("paper_id >= 5000"), clusters, rows).collect()}
+    first = min(w[0] for w in old)
+    assert got == {w[0]: (f"{w[1] % 100}_1", 4.0) if w[7] else (first, 3.0) for w in new}
+    assert sum(pairs) <= 2 * len(new)  # not 600,000
+
+
+@supplied
+@pytest.mark.parametrize("crowd", [2, 64])
+def test_the_cascade_with_crowded_authors_and_its_author_table(spark, crowd, monkeypatch):
+    given = queries.cascade_input(spark, FOLDER)
+    steps, added = [], authors.added
+
+    def watched(counts, more):
+        out = added(counts, more)
+        steps.append((counts, more, out))
+        return out
+
+    monkeypatch.setattr(authors, "added", watched)
+    found = assign.cascade(given["works"], given["current"], 5_000_000_000, crowd=crowd, **{k: v for k, v in given.items() if k not in ("works", "current")})
+    got = {(r["work_author_id"], r["author_id"], r["how"]) for r in found.assignments.collect()}
+    rows = {k: df.collect() for k, df in given.items()}
+    want = plain.cascade(rows.pop("works"), rows.pop("current"), 5_000_000_000, **rows)
+    assert got == want
+    names = {r["work_author_id"]: (r["author"], r["orcid"]) for r in given["works"].collect()}
+    rebuilt = defaultdict(Counter)
+    for w, a, how in got:
+        if how != "unnamed":
+            rebuilt[a, names[w][0]][names[w][1]] += 1
+    full = {k: (sum(c.values()), min((o for o in c if o), default=None)) for k, c in rebuilt.items()}
+    assert {(r["author_id"], r["author"]): (r["n"], r["orcid"]) for r in found.counts.collect()} == full
+    for counts, more, out in steps:  # only authors that gain something are counted again
+        before, after, gained = ({(r["author_id"], r["author"]): (r["n"], r["orcid"]) for r in df.collect()} for df in (counts, more, out))
+        touched = {a for a, _ in after}
+        sums = Counter({k: n for k, (n, _) in before.items()})
+        sums.update({k: n for k, (n, _) in after.items()})
+        assert {k: n for k, (n, _) in gained.items()} == dict(sums)
+        assert {k: v for k, v in gained.items() if k[0] not in touched} == {k: v for k, v in before.items() if k[0] not in touched}
+    seen = {(r["round"], r["name"]): r["value"] for r in found.statistics().collect()}
+    how = Counter(h for _, _, h in got)
+    assert seen["input", "rows"] == len(names) and seen["identifier", "rows"] + seen["name", "rows"] <= how["identifier"] + how["name"] and {"without concepts", "without orcid", "works seconds"} <= {n for r, n in seen if r == "input"}
+
+
+def test_observing_adds_no_job(spark):
+    tracker = spark.sparkContext.statusTracker()
+    works = spark.createDataFrame([("1_1", 1, "Ann Lee", "", [], [], [], [])], KINDS)
+    current = spark.createDataFrame([], "work_author_id string, author_id long")
+    spark.sparkContext.setJobGroup("observed", "observed")
+    run = assign.cascade(works, current, 10)
+    after = len(tracker.getJobIdsForGroup("observed"))
+    assert run.rounds and len(tracker.getJobIdsForGroup("observed")) == after
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_stages_on_the_way_are_deleted(spark):
+    before = len(stages._written)
+    works = spark.createDataFrame([("1_1", 1, "Ann Lee", "", [], [], [], []), ("2_1", 2, "Ann Lee", "", [1], [], [], [])], KINDS)
+    got = assign.disambiguated(works, spark.createDataFrame([("2_1", 5)], "work_author_id string, author_id long"), 10)
+    assert len(stages._written) == before + 1 and sorted(tuple(r) for r in got.collect()) == [("1_1", 11, "new"), ("2_1", 5, "kept")]
+
+    @stages.releasing
+    def fails():
+        stages.staged(works, "x")
+        raise ValueError
+
+    with pytest.raises(ValueError):
+        fails()
+    assert not stages._inside.scopes
+
+
+def test_removals_bar_names_or_everything(spark):
+    """Decided: a removal bars the rounds by name; with ``bar_always`` also the identifier's and the old author's return."""
+    works = spark.createDataFrame([("1_1", 1, "Ann Lee", "O", [5], [], [], []), ("2_1", 2, "Someone Else", "O", [], [], [], []), ("3_1", 3, "Bo Ray", "", [], [], [], [])], KINDS)
+    current = spark.createDataFrame([("1_1", 7), ("2_1", 7), ("3_1", 8)], "work_author_id string, author_id long")
+    removed = spark.createDataFrame([(1, 7), (3, 8)], "paper_id long, author_id long")
+    run = lambda **k: {r["work_author_id"]: (r["author_id"], r["how"]) for r in assign.disambiguated(works, current, 100, removed=removed, **k).collect()}
+    assert run() == {"1_1": (7, "identifier"), "2_1": (7, "kept"), "3_1": (8, "new")}
+    assert run(bar_always=True) == {"1_1": (101, "new"), "2_1": (7, "kept"), "3_1": (102, "new")}
+
+
+def test_curated_raw_names_and_splits_of_overmerged_authors(spark):
+    works = spark.createDataFrame([("90_1", 90, "Ann Lee", "", [5], [], [1], []), ("1_1", 1, "Wrong Name", "", [5], [], [1], []), ("4_1", 4, "Bo Ray", "B", [], [], [], []), ("5_1", 5, "Bo Ray", "C", [], [], [], [])], KINDS)
+    current = spark.createDataFrame([("90_1", 7), ("4_1", 9), ("5_1", 9)], "work_author_id string, author_id long")
+    day = lambda n: datetime(2025, 1, n)
+    raw = spark.createDataFrame([("1_1", "Other Name", day(1)), ("1_1", "Ann Lee", day(2)), ("1_1", "", day(3))], "work_author_id string, author string, request_date timestamp")
+    requests = identifiers.split_requests(spark.createDataFrame([(9, "4_1", "B"), (9, "5_1", "C")], "author_id long, work_author_id string, orcid string"), spark.createDataFrame([(9, "5_1", "C")], "author_id long, work_author_id string, orcid string"), "2025")
+    got = {r["work_author_id"]: (r["author_id"], r["how"]) for r in assign.disambiguated(works, current, 100, raw_names=raw, splits=identifiers.as_splits(requests)).collect()}
+    assert got == {"90_1": (7, "kept"), "1_1": (7, "name"), "4_1": (9, "kept"), "5_1": (101, "split")}
+    groups = spark.createDataFrame([(9, "4_1", 0), (9, "5_1", 1), (9, "6_1", 1)], "author_id long, work_author_id string, cluster long")
+    assert sorted(tuple(r) for r in identifiers.leftover_splits(groups, "2025").collect()) == [("9-left-1-2025", "5_1"), ("9-left-1-2025", "6_1")]
+
+
+def test_author_table(spark):
+    counts = spark.createDataFrame([(1, "Jose Diaz", 2, None), (1, "José Díaz", 1, "b"), (1, "J. Diaz", 9, "a"), (2, None, 1, None), (3, "Lee", 5, None)], "author_id long, author string, n long, orcid string")
+    asked = spark.createDataFrame([(3, "Lee A", date(2025, 1, 1)), (3, "Ann Lee", date(2025, 1, 2)), (3, "", date(2025, 1, 3)), (8, "Nobody", date(2025, 1, 3))], "author_id long, display_name string, request_date date")
+    got = {r["author_id"]: tuple(r)[1:] for r in authors.table(counts, asked).collect()}
+    assert got == {1: ("a", "J. Diaz", ["J. Diaz", "Jose Diaz", "José Díaz"], 12), 2: ("", "", [], 1), 3: ("", "Ann Lee", ["Lee"], 5)}
+    moves = spark.createDataFrame([(1, 3)], "a long, b long")
+    assert {(r["author_id"], r["author"]): r["n"] for r in authors.renumbered(counts, moves, "a", "b").collect()} == {(3, "Jose Diaz"): 2, (3, "José Díaz"): 1, (3, "J. Diaz"): 9, (2, None): 1, (3, "Lee"): 5}
+
+
+def test_dates_and_id_changes(spark):
+    kinds = "author_id long, orcid string, display_name string, alternates array<string>"
+    old = spark.createDataFrame([(1, "", "A", ["A"]), (2, "", "B", []), (3, "", "C", [])], kinds).withColumn("created_date", F.when(F.col("author_id") < 3, F.lit("2020-01-01").cast("date"))).withColumn("modified_date", F.lit("2021-01-01").cast("date"))
+    new = spark.createDataFrame([(1, "", "A", ["A"]), (2, "x", "B", []), (3, "", "C", []), (4, "", "D", [])], kinds)
+    got = {r["author_id"]: (r["change"], str(r["created_date"]), str(r["modified_date"])) for r in authors.dated(new, old, F.lit("2025-05-05").cast("date")).collect()}
+    assert got == {1: ("unchanged", "2020-01-01", "2021-01-01"), 2: ("modified", "2020-01-01", "2025-05-05"), 3: ("unchanged", "2025-05-05", "2021-01-01"), 4: ("created", "2025-05-05", "2025-05-05")}
+    ids = "work_author_id string, author_id long"
+    changes = authors.id_changes(spark.createDataFrame([("a", 1), ("b", 2), ("c", 3)], ids), spark.createDataFrame([("a", 1), ("b", 9), ("b", 8)], ids))
+    assert sorted(tuple(r) for r in changes.collect()) == [("a", 1, 1, False), ("b", 2, 8, True), ("c", 3, None, False)]
+
+
+def test_survivors_do_not_depend_on_the_order_of_rows(spark):
+    rng = random.Random(3)
+
+    def shuffled(given: list, ddl: str):
+        rng.shuffle(given)
+        return spark.createDataFrame(list(given), ddl).repartition(rng.randrange(1, 5))
+
+    for _ in range(4):
+        current = spark.createDataFrame([("1_1", 1)], "work_author_id string, author_id long")
+        none = spark.createDataFrame([], "work_author_id string, new_author_id long, request_date timestamp")
+        merges = shuffled([(1, 3), (1, 2), (1, 4)], "merge_from_id long, merge_to_id long")
+        assert assign.curated_clusters(current, none, merges, spark.createDataFrame([], "author_id long")).first()["author_id"] == 2
+        works = spark.createDataFrame([(1, 1, "article")], "paper_id long, journal_id long, type string")
+        assert citations.work_types(works, shuffled([(1, "journal", None), (1, "conference", None)], "journal_id long, type string, merge_into_id long")).first()["work_type"] == "conference_article"
+        claims = spark.createDataFrame([(1, 1, "Maria Silva", "o")], "paper_id long, author_sequence_number int, original_author string, orcid string")
+        assert identifiers.reconciled(claims, shuffled([("o", "Wei", "Zhang"), ("o", "Maria", "Silva"), ("o", "Maria", "Silva")], "orcid string, given_names string, family_name string")).count() == 1
+        kept = diff.insert_missing(spark.createDataFrame([(9, "z")], "k long, v string"), shuffled([(1, "b"), (1, "a"), (9, "y")], "k long, v string"), ["k"])
+        assert sorted(tuple(r) for r in kept.collect()) == [(1, "a"), (9, "z")]
