@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from functools import cache
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -26,6 +27,14 @@ PLACEHOLDERS = (
     "Occdownload Gbif.Org", "GBIF.Org User", "et al. et al.", ",",
 )
 TITLES = {"dr", "prof", "mr", "mrs", "ms", "miss", "sir", "rev"}
+SUFFIXES = {"jr", "sr", "ii", "iii", "iv", "phd", "md", "esq", "dds", "dvm", "mba", "frs", "junior", "senior"}
+PARTICLES = {"van", "von", "der", "den", "de", "del", "della", "di", "da", "dos", "das", "do", "du", "la", "le", "ter", "ten", "zu", "af", "al", "el", "bin", "ibn", "ben", "st"}
+CONJUNCTIONS = {"y", "und", "and", "et", "&"}
+#: Letters, by the ends of their Unicode names, that sound otherwise than their names begin or end.
+SOUNDS = {
+    "GHE": "g", "IE": "e", "IO": "io", "SHORT I": "i", "HA": "kh", "HARD SIGN": "", "SOFT SIGN": "", "YERU": "y", "YU": "iu", "YA": "ia", "U": "u",
+    "BYELORUSSIAN-UKRAINIAN I": "i", "UKRAINIAN IE": "ie", "YI": "yi", "SHORT U": "u", "RHO": "r", "CHI": "kh", "ALEF": "a", "AYIN": "a", "AIN": "a",
+}
 MIDDLES = 5
 
 
@@ -35,24 +44,97 @@ def fold(name: str) -> str:
     return "".join(c for c in folded if not unicodedata.combining(c))
 
 
+@cache
+def letter(c: str) -> str:
+    """A letter of any script in Latin letters, read off its Unicode name; Latin ones, and those that name no sound, as they are."""
+    words = unicodedata.name(c, "").split(" WITH ")[0].split()
+    if len(words) < 2 or words[0] in ("LATIN", "CJK") or not c.isalpha():
+        return c
+    if words[1] == "SYLLABLE":
+        return words[-1].lower()
+    if "LETTER" not in words:
+        return c
+    said = " ".join(words[words.index("LETTER") + 1 :])
+    if said.removeprefix("FINAL ") in SOUNDS:
+        return SOUNDS[said.removeprefix("FINAL ")]
+    sound = said.split()[-1].lower()
+    if words[0] in ("HIRAGANA", "KATAKANA"):
+        return sound
+    if words[0] == "CYRILLIC":  # named by the sound with an e before or after it, or by the vowel
+        return sound.strip("e") or "e" if not set(sound) <= set("aeiou") and sound[-1] != "a" else sound.rstrip("a") or "a"
+    return re.match("[^aeiou]*", sound)[0] or sound[0]  # named by a word that begins with the sound
+
+
+def latin(name: str) -> str:
+    """A folded name in Latin letters; what is left over is left as it is."""
+    folded = fold("".join(letter(c) if "\uac00" <= c <= "\ud7a3" else c for c in name))  # syllables before they fall apart
+    return folded if folded.isascii() else "".join(x.upper() if c.isupper() and len(x) == 1 else x.capitalize() if c.isupper() else x for c in folded for x in [letter(c)])
+
+
 def search_form(name: str | None) -> str:
-    """Lower-case folded name: ``. , |`` part words, other punctuation and digits go, also hyphens."""
-    text = re.sub(r"[.,|]", " ", fold(name or "").lower())
+    """Lower-case Latin name: ``. , |`` part words, other punctuation and digits go, also hyphens."""
+    text = re.sub(r"[.,|]", " ", latin(name or "").lower())
     return " ".join(re.sub(r"[^\w\s]|[\d_]", "", text).split())
 
 
+def word_class(word: str) -> str:
+    """What a word of a name may be: title, suffix, particle, conjunction, initial or name."""
+    low = word.replace(".", "").lower()
+    for kind, known in (("title", TITLES), ("suffix", SUFFIXES), ("particle", PARTICLES), ("conjunction", CONJUNCTIONS)):
+        if low in known:
+            return kind
+    return "initial" if re.fullmatch(r"[^\W\d_]\.?", word) else "name"
+
+
+def name_parts(name: str | None) -> dict[str, str]:
+    """title, first, middle, last and suffix of a name.
+
+    Commas part "Last, First Middle, Suffix"; after the first comma what holds suffixes only is one. Without a comma words are
+    read one after the other: titles, a given name, middle names, and as the surname the last word, or all from the first
+    particle that has a name behind it on; a conjunction ties the words beside it to one. A particle or suffix in the first place is a
+    given name.
+    """
+    text = unicodedata.normalize("NFKC", re.sub(r"^(None|Array) ", "", name or ""))
+    chunks = [c.split() for c in text.split(",")]
+    chunks = [c for c in chunks if c] or [[]]
+    suffix: list[str] = []
+    for k in range(len(chunks) - 1, 0, -1):
+        if all(word_class(w) == "suffix" for w in chunks[k]):
+            suffix = chunks.pop(k) + suffix
+    words, last = (chunks[1], chunks[0]) if len(chunks) > 1 else (chunks[0], [])
+    title: list[str] = []
+    for own in (words, last):
+        while len(own) > 1 and word_class(own[0]) == "title":
+            title.append(own.pop(0))
+    while len(words) > (0 if last else 1) and len(words) + len(last) > 1 and word_class(words[-1]) == "suffix":
+        suffix.insert(0, words.pop())
+    middle = [w for c in chunks[2:] for w in c]
+    if not last and len(words) > 1:
+        at, k = len(words) - 1, len(words) - 1
+        while at >= 2 and word_class(words[at - 1]) == "conjunction":
+            at -= 2
+        state = "given"
+        for k, w in enumerate(words[1:-1], start=1):
+            kind = word_class(w)
+            if state in ("given", "middle") and kind == "particle":
+                at, state = min(at, k), "surname"
+            elif state == "given":
+                state = "middle"
+        at = max(1, at)
+        words, last = words[:at], words[at:]
+    first, middle = words[:1], words[1:] + middle
+    return {k: " ".join(v) for k, v in (("title", title), ("first", first), ("middle", middle), ("last", last), ("suffix", suffix))}
+
+
 def parsed(name: str | None) -> str:
-    """"Last, First M" as "First M Last", without a title; a surname before one to three initials goes behind them."""
-    text = unicodedata.normalize("NFKC", re.sub(r"^(None|Array) ", "", name or "")).strip()
-    if text.count(",") == 1:
-        last, first = (x.strip() for x in text.split(","))
-        text = f"{first} {last}" if first and last else first or last
-    words = text.split()
-    if len(words) > 1 and words[0].rstrip(".").lower() in TITLES:
-        words = words[1:]
-    initials = [bool(re.fullmatch(r"[^\W\d_]\.?", w)) for w in words]
-    if 2 <= len(words) <= 4 and not initials[0] and all(initials[1:]):
-        words = [*words[1:], words[0]]
+    """"Last, First M, Jr." as "First M Last", without title and suffix; without a title a surname of more than three letters goes
+    behind the one to three initials that follow it, if all of these have dots or none has."""
+    p = name_parts(name)
+    words = " ".join(p[k] for k in ("first", "middle", "last")).split()
+    rest = words[1:]
+    dotted = {w.endswith(".") for w in rest}
+    if not p["title"] and 1 <= len(rest) <= 3 and len(words[0]) > 3 and len(dotted) == 1 and all(re.fullmatch(r"[^\W\d_]\.?", w) for w in rest):
+        words = [*rest, words[0]]
     return " ".join(words)
 
 
@@ -191,8 +273,8 @@ def compatible(a: str, b: str) -> bool:
 
 
 def registry_form(name: str | None) -> list[str]:
-    """Words of a folded name for comparison with a registry: hyphens, dots, commas and bars part words, other symbols go."""
-    text = re.sub(r"[.,|\-\u2010]", " ", fold(unicodedata.normalize("NFKC", name or "")).lower())
+    """Words of a name in Latin letters for comparison with a registry: hyphens, dots, commas and bars part words, other symbols go."""
+    text = re.sub(r"[.,|\-\u2010]", " ", latin(unicodedata.normalize("NFKC", name or "")).lower())
     return re.sub(r"[^\w\s]|[\d_]", "", text).split()
 
 
@@ -273,6 +355,14 @@ def parsed_of(names: pd.Series) -> pd.Series:
     return names.map(parsed)
 
 
+PARTS = ("title", "first", "middle", "last", "suffix")
+
+
+@F.pandas_udf(T.StructType([T.StructField(k, T.StringType()) for k in PARTS]))
+def parts_of(names: pd.Series) -> pd.DataFrame:
+    return pd.DataFrame([name_parts(n) for n in names], columns=list(PARTS))
+
+
 @F.pandas_udf(TEXTS)
 def scripts_of(names: pd.Series) -> pd.Series:
     return names.map(scripts)
@@ -311,6 +401,22 @@ def slots_of(names: pd.Series) -> pd.DataFrame:
 
 def slots_match(a: str, b: str) -> Column:
     """``compatible`` of two columns of ``slots_of`` structures, beside which ``{column}_words`` holds the name's words."""
+    u, v = F.col(f"{a}_words"), F.col(f"{b}_words")
+    return structures_match(a, b, (F.size(u) == 2) & (F.size(v) == 2) & (u == F.reverse(v)))
+
+
+def merged_slots_of(rows: DataFrame, key: str, slots_column: str) -> DataFrame:
+    """(key, slots): the structures of all of a key's names as one, each slot's names and initials together.
+
+    A key's different words in a slot meet, not its names' rows.
+    """
+    each = [F.array_sort(F.array_distinct(F.flatten(F.collect_set(F.col(f"{slots_column}.{n}"))))).alias(n) for n in SLOT_NAMES]
+    merged = rows.groupBy(key).agg(*each)
+    return merged.select(key, F.struct(*SLOT_NAMES).alias("slots"))
+
+
+def structures_match(a: str, b: str, unlike: Column | None = None) -> Column:
+    """Whether two columns of structures, of one name or of several merged, agree; ``unlike``: what holds where first names do not."""
     x, y = (lambda k: F.col(f"{a}.{k}")), (lambda k: F.col(f"{b}.{k}"))
     some = lambda c: F.size(c) > 0
 
@@ -331,7 +437,5 @@ def slots_match(a: str, b: str) -> Column:
     f, p, g, q = (F.array_except(n, common) for n in lists)
     left = ~(some(f) | some(p) | some(g) | some(q)) | F.arrays_overlap(f, g) | F.arrays_overlap(p, q)
     fine = ~guarded | F.when(pairs_only, all_there).otherwise(left)
-    u, v = F.col(f"{a}_words"), F.col(f"{b}_words")
-    turned = (F.size(u) == 2) & (F.size(v) == 2) & (u == F.reverse(v))
     named = some(x("first_initials")) & some(y("first_initials"))
-    return ~named | F.when(agrees("first"), agrees("last") & fine & middles).otherwise(turned)
+    return ~named | F.when(agrees("first"), agrees("last") & fine & middles).otherwise(F.lit(False) if unlike is None else unlike)

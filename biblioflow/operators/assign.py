@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from biblioflow.functions.columns import capped_list, jaccard, newest, orcid_compatible, overlap, paper_of
-from biblioflow.functions.names import block_of, coauthor_keys, letter_of, search_form_of, slots_match, slots_of, usable
+from biblioflow.functions.names import block_of, coauthor_keys, letter_of, merged_slots_of, search_form_of, slots_of, structures_match, usable
 from biblioflow.operators import authors
 from biblioflow.operators.citations import redirected
 from biblioflow.operators.diff import NULL_BUCKET, TOMBSTONE
@@ -123,20 +123,29 @@ def name_candidates(new: DataFrame, known: DataFrame) -> DataFrame:
 
 
 def blocked_candidates(new: DataFrame, known: DataFrame) -> DataFrame:
-    """(author_id, new columns) whose names share a block (last word, letter before it) and are compatible.
+    """(author_id, new columns) of authors one of whose names shares a new name's block (last word, letter before it), and all of
+    whose names together, as one structure, are compatible with it.
 
     Each different name is taken apart once; compatibility is an expression over the parts.
     """
+    return new.join(block_matches(new.select("author_1").distinct(), known.select("author_id", "author").distinct()), "author_1")
 
-    def form(df: DataFrame, c: str, side: str) -> DataFrame:
-        parts = df.select(F.col(c).alias(side)).distinct().withColumn(f"{side}_s", search_form_of(side))
-        parts = parts.withColumn(f"{side}_slots", slots_of(f"{side}_s")).withColumn(f"{side}_slots_words", F.split(f"{side}_s", " "))
-        return parts.withColumn("_block", block_of(F.col(f"{side}_s"))).withColumn("_letter", letter_of(F.col(f"{side}_s")))
 
-    met = form(new, "author_1", "a").join(form(known, "author", "b"), ["_block", "_letter"]).where(slots_match("a_slots", "b_slots"))
-    pairs = met.select(F.col("a").alias("author_1"), F.col("b").alias("author"))
-    authors = pairs.join(known, "author").select("author_1", "author_id").distinct()
-    return new.join(authors, "author_1")
+def taken_apart(names: DataFrame, column: str) -> DataFrame:
+    """(column, slots, _block, _letter) of each different name."""
+    parts = names.select(column).distinct().withColumn("_form", search_form_of(column)).withColumn("slots", slots_of("_form"))
+    return parts.select(column, "slots", block_of(F.col("_form")).alias("_block"), letter_of(F.col("_form")).alias("_letter"))
+
+
+def block_matches(new: DataFrame, known: DataFrame) -> DataFrame:
+    """(author_1, author_id) of the names (author_1) and authors' names (author_id, author) that ``blocked_candidates`` brings together."""
+    given = staged(taken_apart(new, "author_1"), "new_names")
+    parts = known.join(taken_apart(known, "author"), "author")
+    met = given.select("author_1", "_block", "_letter").join(parts.select("author_id", "_block", "_letter").distinct(), ["_block", "_letter"]).select("author_1", "author_id")
+    met = staged(met.distinct(), "blocked")
+    merged = merged_slots_of(parts.join(met.select("author_id").distinct(), "author_id", "left_semi"), "author_id", "slots")
+    both = met.join(given.select("author_1", F.col("slots").alias("a")), "author_1").join(merged.withColumnRenamed("slots", "b"), "author_id")
+    return both.where(structures_match("a", "b")).select("author_1", "author_id")
 
 
 def curated_clusters(current: DataFrame, requests: DataFrame, merges: DataFrame, frozen: DataFrame) -> DataFrame:

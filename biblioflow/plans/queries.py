@@ -468,7 +468,8 @@ def people(spark, sf_dir) -> DataFrame:
 
 
 PEOPLE = """p AS (SELECT p_partkey, p_brand, p_partkey % 5 AS way, string_split(p_name, ' ')[1] AS f, string_split(p_name, ' ')[2] AS x, lower(p_type[1]) AS m FROM part),
-s AS (SELECT *, CASE WHEN way IN (2, 3) THEN f[1] ELSE f END AS g, CASE WHEN way = 4 THEN m ELSE '' END AS mid FROM p),
+n0 AS (SELECT *, CASE WHEN way IN (2, 3) THEN f[1] ELSE f END AS g, CASE WHEN way = 4 THEN m ELSE '' END AS mid FROM p),
+s AS (SELECT p_partkey, p_brand, way, m, mid, CASE WHEN short THEN x ELSE f END AS f, CASE WHEN short THEN x ELSE g END AS g, CASE WHEN short THEN f[1] ELSE x END AS x FROM (SELECT *, way = 3 AND length(x) <= 3 AS short FROM n0)),
 n AS (SELECT *, CASE WHEN mid = '' THEN g || ' ' || x ELSE g || ' ' || mid || ' ' || x END AS search FROM s)"""
 
 
@@ -492,7 +493,7 @@ def name_scripts(spark, sf_dir):
     return own.select("p_partkey", F.array_join(names.scripts_of("name"), ",").alias("scripts"), names.keeps_script(F.col("name")).alias("kept"))
 
 
-@query(f"WITH {PEOPLE} SELECT p_partkey, CASE WHEN length(g) > 1 THEN g ELSE '' END AS first, f[1] AS first_initials, mid AS middle1_initials, x AS last, x[1] AS last_initials FROM n")
+@query(f"WITH {PEOPLE} SELECT p_partkey, CASE WHEN length(g) > 1 THEN g ELSE '' END AS first, f[1] AS first_initials, mid AS middle1_initials, CASE WHEN length(x) > 1 THEN x ELSE '' END AS last, x[1] AS last_initials FROM n")
 def name_slots(spark, sf_dir):
     own = people(spark, sf_dir).select("p_partkey", names.slots_of(names.search_form_of(names.parsed_of("raw"))).alias("s"))
     return own.select("p_partkey", *[F.array_join(f"s.{k}", "|").alias(k) for k in ("first", "first_initials", "middle1_initials", "last", "last_initials")])
@@ -510,6 +511,32 @@ def blocked_match(spark, sf_dir):
     return met.where(names.slots_match("a_slots", "b_slots")).select("a", "b")
 
 
+@query(f"""WITH {PEOPLE}, o AS (SELECT *, p_partkey % 500 AS author_id, f[1] AS l FROM n WHERE p_partkey % 3 > 0), d AS (SELECT DISTINCT search, g, mid, x, f[1] AS l FROM n),
+a AS (SELECT author_id, list(DISTINCT g) FILTER (length(g) > 1) AS firsts, list(DISTINCT l) AS initials, list(DISTINCT mid) FILTER (mid <> '') AS mids FROM o GROUP BY 1),
+b AS (SELECT DISTINCT d.search, d.g, d.mid, d.l, author_id FROM d JOIN o USING (x, l))
+SELECT search AS author_1, author_id FROM b JOIN a USING (author_id)
+WHERE CASE WHEN length(g) > 1 AND firsts IS NOT NULL THEN list_contains(firsts, g) ELSE list_contains(initials, l) END AND (mid = '' OR mids IS NULL OR list_contains(mids, mid))""")
+def merged_block_match(spark, sf_dir):
+    """Names against authors whose names are merged into one structure, inside blocks."""
+    own = people(spark, sf_dir).select("p_partkey", names.search_form_of(names.parsed_of("raw")).alias("author"))
+    known = own.where("p_partkey % 3 > 0").select((F.col("p_partkey") % 500).alias("author_id"), "author")
+    return assign.block_matches(own.select(F.col("author").alias("author_1")).distinct(), known.distinct())
+
+
+@query("""WITH p AS (SELECT p_partkey, p_partkey % 6 AS way, upper(p_name[1]) || string_split(p_name, ' ')[1][2:] AS f, upper(string_split(p_name, ' ')[2][1]) || string_split(p_name, ' ')[2][2:] AS x FROM part)
+SELECT p_partkey, CASE WHEN way = 4 THEN 'Prof.' ELSE '' END AS title, f AS first, CASE WHEN way IN (1, 5) THEN 'M.' ELSE '' END AS middle,
+  CASE way WHEN 2 THEN 'van der ' || x WHEN 3 THEN x || ' y ' || f ELSE x END AS last, CASE WHEN way = 0 THEN 'Jr.' WHEN way = 1 THEN 'PhD' WHEN way = 5 THEN 'III' ELSE '' END AS suffix,
+  lower(f || CASE WHEN way IN (1, 5) THEN ' m' ELSE '' END || ' ' || CASE way WHEN 2 THEN 'van der ' || x WHEN 3 THEN x || ' y ' || f ELSE x END) AS search FROM p""")
+def name_parts(spark, sf_dir):
+    """Titles, particles, conjunctions and suffixes in six ways of writing."""
+    f, x, way = F.initcap(F.split("p_name", " ")[0]), F.initcap(F.split("p_name", " ")[1]), F.col("p_partkey") % 6
+    c = lambda *parts: F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
+    raw = F.when(way == 0, c(x, ", ", f, ", Jr.")).when(way == 1, c(f, " M. ", x, ", PhD")).when(way == 2, c(f, " van der ", x)).when(way == 3, c(f, " ", x, " y ", f)).when(way == 4, c("Prof. ", f, " ", x)).otherwise(c(x, ", ", f, " M. III"))
+    own = t(spark, sf_dir, "part").select("p_partkey", raw.alias("raw"))
+    parts = own.select("p_partkey", names.parts_of("raw").alias("p"), names.search_form_of(names.parsed_of("raw")).alias("search"))
+    return parts.select("p_partkey", *[F.col(f"p.{k}").alias(k) for k in names.PARTS], "search")
+
+
 @query("""WITH n AS (SELECT p_brand, CASE WHEN p_partkey % 3 = 0 THEN upper(p_name) WHEN p_partkey % 7 = 0 THEN p_name || '.' ELSE p_name END AS name FROM part),
 c AS (SELECT p_brand, name, count(*) AS k FROM n GROUP BY ALL),
 r AS (SELECT *, row_number() OVER (PARTITION BY p_brand ORDER BY k DESC, length(name) DESC, name DESC) AS rn FROM c),
@@ -526,7 +553,7 @@ EVIDENCE = """CAST(q = x AS INT) AS family, CAST(q = x AND way NOT IN (2, 3) AND
 CAST(q = x AND CASE WHEN way IN (2, 3) THEN h[1] = f[1] WHEN way = 4 THEN h <> f AND h[1] = m ELSE false END AS INT) AS initials"""
 
 
-@query(f"WITH {PEOPLE}, e AS (SELECT *, CASE WHEN p_partkey % 4 = 0 THEN 'ring' ELSE x END AS q, CASE WHEN p_partkey % 3 = 0 THEN 'small' ELSE f END AS h FROM n), r AS (SELECT p_partkey, {EVIDENCE} FROM e) SELECT p_partkey, CAST(family AS DOUBLE) AS family, CAST(given AS DOUBLE) AS given, CAST(initials AS DOUBLE) AS initials FROM r")
+@query(f"WITH {PEOPLE}, e AS (SELECT *, CASE WHEN p_partkey % 4 = 0 THEN 'ring' ELSE x END AS q, CASE WHEN p_partkey % 3 = 0 THEN 'small' ELSE f END AS h FROM n0), r AS (SELECT p_partkey, {EVIDENCE} FROM e) SELECT p_partkey, CAST(family AS DOUBLE) AS family, CAST(given AS DOUBLE) AS given, CAST(initials AS DOUBLE) AS initials FROM r")
 def name_evidence(spark, sf_dir):
     own = people(spark, sf_dir).join(t(spark, sf_dir, "part").select("p_partkey", "p_name"), "p_partkey")
     given = F.when(F.col("p_partkey") % 3 == 0, "small").otherwise(F.split("p_name", " ")[0])
@@ -535,7 +562,7 @@ def name_evidence(spark, sf_dir):
     return e.select("p_partkey", *[F.get("e", F.lit(i)).alias(c) for i, c in enumerate(("family", "given", "initials"))])
 
 
-@query(f"""WITH {PEOPLE}, c AS (SELECT DISTINCT l_orderkey AS paper_id, l_linenumber AS author_sequence_number, n.*, CASE WHEN l_quantity < 25 THEN f || ' ' || x ELSE 'small ring' END AS orcid FROM lineitem JOIN n ON p_partkey = l_partkey),
+@query(f"""WITH {PEOPLE}, c AS (SELECT DISTINCT l_orderkey AS paper_id, l_linenumber AS author_sequence_number, n0.*, CASE WHEN l_quantity < 25 THEN f || ' ' || x ELSE 'small ring' END AS orcid FROM lineitem JOIN n0 ON p_partkey = l_partkey),
 e AS (SELECT *, string_split(orcid, ' ')[2] AS q, string_split(orcid, ' ')[1] AS h FROM c),
 y AS (SELECT paper_id, author_sequence_number, orcid, {EVIDENCE} FROM e),
 k AS (SELECT *, dense_rank() OVER (PARTITION BY paper_id, orcid ORDER BY family DESC, given DESC, initials DESC) AS r FROM y WHERE family > 0 AND (given > 0 OR initials > 0)),

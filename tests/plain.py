@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 from collections import defaultdict
 
-from biblioflow.functions.names import compatible, search_form
+from biblioflow.functions.names import compatible, compatible_slots, merged_slots, search_form, slots
 from biblioflow.operators.assign import CANDIDATES, LEAST_SCORE, ROOT_CONCEPTS, SCORER
 from biblioflow.operators.diff import NULL_BUCKET, TOMBSTONE
 from biblioflow.operators.identifiers import WEIGHTS
@@ -86,13 +86,14 @@ def cascade(works: list, current: list, last: int, requests: list, merges: list,
 
     for name in ("name", "name again", "compatible"):
         team, owner, known = members(), owners(), defaultdict(set)
+        whole = {a: merged_slots([slots(search_form(n)) for n in {rows[w]["author"] for w in ws}]) for a, ws in team.items()} if name == "compatible" else {}
         for w, (a, _) in of.items():
             known[rows[w]["author"] if name != "compatible" else block(rows[w]["author"])].add((a, rows[w]["author"]))
         best = {}
         for w in left:
             x, scored = rows[w], []
             found = known[x["author"] if name != "compatible" else block(x["author"])]
-            authors = {a for a, n in found if name != "compatible" or compatible(search_form(x["author"]), search_form(n))}
+            authors = {a for a, n in found if name != "compatible" or compatible_slots(slots(search_form(x["author"])), whole[a])}
             for a in authors:
                 if (x["paper_id"], a) in barred:
                     continue
