@@ -404,7 +404,9 @@ _ABC = "chr(97 + k % 26) || chr(97 + k // 26 % 26) || chr(97 + k // 7 % 26)"
 
 
 @query(f"""WITH r AS (SELECT k, {_ABC} AS p, chr(97 + k * 5 % 26) AS z FROM (SELECT CAST(k AS INT) AS k FROM range(1200) t(k))), d AS (SELECT doc_id, text, lower(text) AS low FROM documents),
-h AS (SELECT doc_id, k % 400 AS id FROM d JOIN r ON CASE k % 3 WHEN 0 THEN contains(low, p) WHEN 1 THEN contains(text, p) AND NOT contains(text, z || ' ') ELSE contains(text, p) AND regexp_matches(text, '(^|{rules.OUTSIDE})' || p || '($|{rules.OUTSIDE})') END),
+v AS (SELECT DISTINCT doc_id, unnest(regexp_extract_all(text, '[\\p{{L}}\\p{{N}}_]+')) AS p FROM d),
+h AS (SELECT doc_id, k % 400 AS id FROM d JOIN r ON k % 3 = 0 AND contains(low, p) UNION ALL SELECT doc_id, k % 400 FROM d JOIN r ON k % 3 = 1 AND contains(text, p) AND NOT contains(text, z || ' ')
+  UNION ALL SELECT doc_id, k % 400 FROM v JOIN r USING (p) WHERE k % 3 = 2),
 m AS (SELECT doc_id, list(DISTINCT id) AS ids FROM h GROUP BY 1),
 w AS (SELECT doc_id, CASE WHEN ids IS NULL THEN [-1] ELSE list_sort(list_distinct(list_transform(ids, lambda x: CASE WHEN x % 2 = 0 THEN x + 1000 ELSE x END))) END AS ids FROM d LEFT JOIN m USING (doc_id))
 SELECT doc_id, array_to_string(ids, ',') AS ids FROM w""")
