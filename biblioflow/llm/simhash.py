@@ -452,7 +452,8 @@ def deduplicate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **o
     found = table(near_copies(docs, doc_id, text, **options), "labels")
     key = spare(docs, "_key")
     first = found.groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "key"))["key"].alias("first"), F.count("*").alias("n")).where("n > 1")
-    grouped = table(found.select("key", "label").join(first.select("label", "first"), "label").select(F.col("key").alias(key), (F.col("key") == F.col("first")).alias("stays")), "grouped")
+    first = table(first.select("label", "first"), "first")
+    grouped = table(found.select("key", "label").join(sized(first, 40), "label").select(F.col("key").alias(key), (F.col("key") == F.col("first")).alias("stays")), "grouped")
     repeated = table(grouped.where("stays").groupBy(key).agg(F.count("*").alias("n")).where("n > 1").select(key), "repeated")
     out = table(grouped.where("not stays").select(key).distinct().union(repeated), "removed")
     keyed = docs.withColumn(key, row_key(docs))
