@@ -14,7 +14,7 @@ import re
 from collections.abc import Sequence
 from functools import cache
 from hashlib import sha256
-from itertools import accumulate, chain, pairwise
+from itertools import accumulate, chain, islice, pairwise
 from pathlib import Path
 
 import numpy as np
@@ -91,7 +91,7 @@ class Encoder:
     def encode(self, texts: Sequence[str | None]) -> list[bytes]:
         """A null text has no ids."""
         if len(self.known) > CACHE:
-            self.known.clear()
+            self.known = dict(islice(self.known.items(), CACHE // 2))  # what was met first is what is met often
         whole = {k for k, t in enumerate(texts) if t and self.mark in t and self.added(t)}
         rows = [self.find(t) if t and k not in whole else [] for k, t in enumerate(texts)]
         pieces = list(chain.from_iterable(rows))
