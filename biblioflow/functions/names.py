@@ -350,6 +350,12 @@ def search_form_of(names: pd.Series) -> pd.Series:
     return names.map(search_form)
 
 
+def display_changed_of(old: Column, new: Column) -> Column:
+    """``display_changed`` of two columns; null names are empty ones."""
+    a, b = (F.coalesce(c, F.lit("")) for c in (old, new))
+    return (F.length(a) != F.length(b)) | (search_form_of(a) != search_form_of(b))
+
+
 @F.pandas_udf(T.StringType())
 def parsed_of(names: pd.Series) -> pd.Series:
     return names.map(parsed)

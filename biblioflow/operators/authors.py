@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from biblioflow.functions.columns import newest
-from biblioflow.functions.names import diacritics_of, fold_of, plain_hyphens
+from biblioflow.functions.names import diacritics_of, display_changed_of, fold_of, plain_hyphens
 from biblioflow.operators.diff import snapshot_diff
 
 COUNTS = ("author_id", "author", "n", "orcid")
@@ -77,13 +77,15 @@ def table(counts: DataFrame, display_requests: DataFrame | None = None) -> DataF
     return out.select("author_id", "orcid", name.alias("display_name"), F.coalesce("alternates", F.array().cast("array<string>")).alias("alternates"), "n_works")
 
 
-def dated(new: DataFrame, old: DataFrame, today: Column) -> DataFrame:
+def dated(new: DataFrame, old: DataFrame, today: Column, loosely: bool = False) -> DataFrame:
     """``new`` with change, changed, created_date and modified_date; old: the table before, with its two dates.
 
     A created author gets ``today`` for both. A modified one keeps its first date and gets ``today`` for the other; an unchanged
-    one keeps both, and ``today`` stands for a date that is missing.
+    one keeps both, and ``today`` stands for a date that is missing. ``loosely``: a display name that differs only in case,
+    diacritics or dots, its length the same, has not changed.
     """
-    compared = snapshot_diff(new, old, "author_id", ["orcid", "display_name"], ["alternates"])
+    unlike = {"display_name": display_changed_of} if loosely else None
+    compared = snapshot_diff(new, old, "author_id", ["orcid", "display_name"], ["alternates"], unlike=unlike)
     before = old.select("author_id", F.col("created_date").alias("_c"), F.col("modified_date").alias("_m"))
     own = compared.join(before, "author_id", "left")
     modified = F.when(F.col("change") == "unchanged", F.coalesce("_m", today)).otherwise(today)

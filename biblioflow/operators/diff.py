@@ -2,24 +2,29 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from biblioflow.functions.columns import newest, same_set
+from biblioflow.sources.queue import priority
 
 TOMBSTONE = 5317838346
 NULL_BUCKET = 9999999999
 
 
-def snapshot_diff(new: DataFrame, old: DataFrame, key: str, scalars: list[str], sets: list[str], strong: list[str] | None = None) -> DataFrame:
+def snapshot_diff(new: DataFrame, old: DataFrame, key: str, scalars: list[str], sets: list[str], strong: list[str] | None = None, unlike: dict[str, Callable[[Column, Column], Column]] | None = None) -> DataFrame:
     """``new`` with change (created, modified, unchanged) and changed: whether it was created or a ``strong`` column differs.
 
-    Columns in ``sets`` compare as sets; ``strong`` defaults to all scalars.
+    Columns in ``sets`` compare as sets; ``strong`` defaults to all scalars. ``unlike`` gives comparisons of its own for scalars: of
+    the old and the new value, whether they differ.
     """
     strong = scalars if strong is None else strong
     before = old.select(key, *[F.col(c).alias(f"_old_{c}") for c in (*scalars, *sets)], F.lit(True).alias("_was"))
     joined = new.join(before, key, "left")
-    differs = {c: ~F.col(c).eqNullSafe(F.col(f"_old_{c}")) for c in scalars} | {c: ~same_set(F.col(c), F.col(f"_old_{c}")) for c in sets}
+    other = lambda old, new: ~new.eqNullSafe(old)
+    differs = {c: (unlike or {}).get(c, other)(F.col(f"_old_{c}"), F.col(c)) for c in scalars} | {c: ~same_set(F.col(c), F.col(f"_old_{c}")) for c in sets}
     fresh, any_of = F.col("_was").isNull(), lambda names: F.greatest(F.lit(False), F.lit(False), *[differs[c] for c in names])
     change = F.when(fresh, "created").when(any_of(differs), "modified").otherwise("unchanged")
     return joined.select(*new.columns, change.alias("change"), (fresh | any_of(strong)).alias("changed"))
@@ -70,5 +75,4 @@ def tombstoned(target: DataFrame, keys: DataFrame, key: str, column: str, value=
 def queue_inserts(ids: DataFrame, queue: DataFrame, key: str = "id") -> DataFrame:
     """(id, rand, started, finished) for ids that are not queued; the priority is a hash, so a retry gives it again."""
     new = ids.select(key).distinct().join(queue.select(key), key, "left_anti")
-    priority = F.pmod(F.xxhash64(key), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    return new.select(key, priority.alias("rand"), F.lit(None).cast("timestamp").alias("started"), F.lit(None).cast("timestamp").alias("finished"))
+    return new.select(key, priority(key).alias("rand"), F.lit(None).cast("timestamp").alias("started"), F.lit(None).cast("timestamp").alias("finished"))

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import heapq
+from collections.abc import Iterator
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -48,17 +51,60 @@ def overmerged(works: DataFrame, frozen: DataFrame) -> DataFrame:
     return several.join(frozen.select("author_id").distinct(), "author_id", "left_anti").select("author_id")
 
 
-def _assign(group: pd.DataFrame) -> pd.DataFrame:
-    """Greedy by score: a profile goes to the first anchor all of whose names it is compatible with; its name joins them."""
-    names = {o: list(n) for o, n in zip(group["orcid"], group["names"], strict=True)}
+def name_block(name: Column) -> Column:
+    """The initials of a search form's first and last word, in order: names that are compatible have one, but the empty name fits all."""
+    words = F.split(F.trim(name), r"\s+")
+    initials = F.array_sort(F.array(*[F.substring(F.element_at(words, i), 1, 1) for i in (1, -1)]))
+    return F.when(F.trim(name) == "", "").otherwise(F.array_join(initials, ""))
+
+
+def _assign(pairs: pd.DataFrame, anchors: pd.DataFrame) -> pd.DataFrame:
+    """Greedy by score: a profile goes to the first anchor all of whose names it is compatible with; its name joins them.
+
+    Names are one another's only if compatible, and a misfit stays one, so an anchor's names are looked at once for a name that misses.
+    """
+    names: dict[str, list[str]] = {}
+    for o, n in zip(anchors["orcid"], anchors["name"], strict=True):
+        names.setdefault(o, []).append(n)
     done: dict[str, str] = {}
-    for r in group.sort_values(["score", "first", "orcid"], ascending=[False, True, True]).itertuples():
-        if r.first not in done and all(compatible(r.name, n) for n in names[r.orcid]):
+    misfits: set[tuple[str, str]] = set()
+    for r in pairs.sort_values(["score", "first", "orcid"], ascending=[False, True, True]).itertuples():
+        if r.first in done or (r.name, r.orcid) in misfits:
+            continue
+        own = names[r.orcid]
+        if all(compatible(r.name, n) for n in own):
             done[r.first] = r.orcid
-            if r.name not in names[r.orcid]:
-                names[r.orcid].append(r.name)
+            if r.name not in own:
+                own.append(r.name)
+        else:
+            misfits.add((r.name, r.orcid))
     out = pd.DataFrame(list(done.items()), columns=["first", "orcid"], dtype=object)
-    return out.assign(author_id=group["author_id"].iloc[0])[["author_id", "first", "orcid"]]
+    return out.assign(author_id=pairs["author_id"].iloc[0] if len(pairs) else 0)[["author_id", "first", "orcid"]]
+
+
+def _placed(held: DataFrame, anchored: DataFrame) -> DataFrame:
+    """(author_id, first, orcid) of the greedy assignment of profiles, in parts that cannot meet.
+
+    held: author_id, name, first, orcid, score; anchored: author_id, orcid, name. A profile fits an anchor only if all of the anchor's
+    names are of its block, so each block of an author is a task of its own. The empty name fits all and bars none: such a profile
+    takes its best anchor. Where an anchor has no name but the empty one, any block may be the first to take it: that author's are one task.
+    """
+    named = anchored.select("author_id", "orcid", "name", name_block(F.col("name")).alias("block")).distinct()
+    some = F.when(F.col("block") != "", F.col("block"))
+    of = named.groupBy("author_id", "orcid").agg(F.min(some).alias("low"), F.max(some).alias("high"))
+    open_ = of.where("low IS NULL").select("author_id").distinct().withColumn("_open", F.lit(True))
+    blocks = of.where("low IS NULL OR low = high").select("author_id", "orcid", F.col("low").alias("_own")).join(open_, "author_id", "left")
+    part = lambda own: F.when(F.col("_open"), F.lit("")).otherwise(own)
+
+    pairs = held.withColumn("block", name_block(F.col("name")))
+    best = Window.partitionBy("author_id", "first").orderBy(F.col("score").desc(), "orcid")
+    unnamed = pairs.where("block = ''").withColumn("_r", F.row_number().over(best)).where("_r = 1").select("author_id", "first", "orcid")
+    fits = pairs.where("block <> ''").join(blocks, ["author_id", "orcid"]).where(F.col("_own").isNull() | (F.col("_own") == F.col("block")))
+    fits = fits.select("author_id", part(F.col("block")).alias("part"), "first", "name", "orcid", "score")
+    names = named.join(blocks, ["author_id", "orcid"]).select("author_id", part(F.col("_own")).alias("part"), "orcid", "name")
+    keys = ["author_id", "part"]
+    found = fits.groupBy(*keys).cogroup(names.groupBy(*keys)).applyInPandas(_assign, "author_id long, first string, orcid string")
+    return found.unionByName(unnamed)
 
 
 @releasing
@@ -66,7 +112,7 @@ def reassigned(works: DataFrame, frozen: DataFrame, rounds: int = 3) -> DataFram
     """(author_id, work_author_id, orcid): over-merged authors' works without identifier, given to an anchor.
 
     works: author_id, work_author_id, orcid, name and the sets of WEIGHTS. Works of one author with the same name and the
-    same scores are one profile and are given together, so an author's different profiles meet in a task, not its works.
+    same scores are one profile and are given together, and an author's profiles meet only where their names' initials are the same.
     Each round is written, and enlarges the anchors by what it assigned; a round that assigns nothing is the last.
     """
     own = works.withColumn("name", search_form_of("name")).join(overmerged(works, frozen), "author_id", "left_semi")
@@ -80,10 +126,7 @@ def reassigned(works: DataFrame, frozen: DataFrame, rounds: int = 3) -> DataFram
         profiles = staged(scored.join(free.select("author_id", "work_author_id", "name"), ["author_id", "work_author_id"]).select("author_id", "work_author_id", "name", "scores"), "profiles")
         firsts = profiles.groupBy("author_id", "name", "scores").agg(F.min("work_author_id").alias("first"))
         held = firsts.select("author_id", "name", "first", F.explode("scores").alias("s")).select("author_id", "name", "first", "s.orcid", "s.score")
-        named = anchored.groupBy("author_id", "orcid").agg(F.sort_array(F.collect_set("name")).alias("names"))
-        held = held.join(named, ["author_id", "orcid"])
-        found = held.groupBy("author_id").applyInPandas(_assign, "author_id long, first string, orcid string")
-        given = profiles.join(firsts, ["author_id", "name", "scores"]).join(found, ["author_id", "first"])
+        given = profiles.join(firsts, ["author_id", "name", "scores"]).join(_placed(held, anchored), ["author_id", "first"])
         given = staged(given.select("author_id", "work_author_id", "orcid"), "given")
         done = given if done is None else done.unionByName(given)
         if given.isEmpty():
@@ -113,23 +156,57 @@ def leftover_splits(groups: DataFrame, date: str) -> DataFrame:
     return groups.where("cluster > 0").select(key.alias("request"), "work_author_id")
 
 
+class _Seeds:
+    """Clusters by the first and last word of their first name, to look up those that a name may join."""
+
+    def __init__(self) -> None:
+        self.found: dict[tuple[str, str], list[int]] = {}
+
+    def add(self, words: tuple[str, str], k: int) -> None:
+        first, last = ((w, f"{w[0]} *") for w in words)
+        for key in ((f, p) for f in first for p in last):
+            self.found.setdefault(key, []).append(k)
+
+    def fitting(self, words: tuple[str, str]) -> Iterator[int]:
+        """In order: clusters whose first name's words are these, or initials of them, or begin with them, or are these turned round."""
+        first, last = ([w, w[0]] if len(w) > 1 else [f"{w} *"] for w in words)
+        keys = dict.fromkeys([*((f, p) for f in first for p in last), (words[1], words[0])])
+        before = -1
+        for k in heapq.merge(*(self.found.get(key, ()) for key in keys)):
+            if k != before:
+                yield k
+            before = k
+
+
 def _group(group: pd.DataFrame) -> pd.DataFrame:
+    """First fit in order of name. Names of one cluster are all compatible, so a cluster has few: words in full or by initial."""
     clusters: list[list[str]] = []
+    seeds = _Seeds()
     out = []
-    for r in group.sort_values("name").itertuples():
-        k = next((i for i, names in enumerate(clusters) if all(compatible(r.name, n) for n in names)), len(clusters))
+    for name in sorted(group["name"]):
+        words = name.split()
+        ends = (words[0], words[-1])
+        k = next((i for i in seeds.fitting(ends) if all(compatible(name, n) for n in clusters[i])), len(clusters))
         if k == len(clusters):
             clusters.append([])
-        clusters[k].append(r.name)
-        out.append((r.author_id, r.name, k))
-    return pd.DataFrame(out, columns=["author_id", "name", "cluster"])
+            seeds.add(ends, k)
+        clusters[k].append(name)
+        out.append((name, clusters[k][0]))
+    return pd.DataFrame(out, columns=["name", "seed"]).assign(author_id=group["author_id"].iloc[0])[["author_id", "name", "seed"]]
 
 
 def leftover_groups(leftovers: DataFrame) -> DataFrame:
     """(author_id, work_author_id, cluster): an author's works, first fit by compatible names in order of name.
 
-    An author's different names meet in a task, not its works.
+    Different names of an author with the same initials meet in a task: others cannot share a cluster. Clusters are numbered in
+    order of their first names, as they come to be; the empty name fits all of them, so it goes to the first and changes nothing else.
     """
-    rows = staged(leftovers.select("author_id", "work_author_id", search_form_of("name").alias("name")), "leftovers")
-    grouped = rows.select("author_id", "name").distinct().groupBy("author_id").applyInPandas(_group, "author_id long, name string, cluster long")
-    return rows.join(grouped, ["author_id", "name"]).select("author_id", "work_author_id", "cluster")
+    rows = staged(leftovers.select("author_id", "work_author_id", F.trim(search_form_of("name")).alias("name")), "leftovers")
+    named = rows.where("name <> ''").select("author_id", "name", name_block(F.col("name")).alias("block")).distinct()
+    seeded = named.groupBy("author_id", "block").applyInPandas(_group, "author_id long, name string, seed string")
+    seeded = staged(seeded, "seeds")
+    number = (F.row_number().over(Window.partitionBy("author_id").orderBy("seed")) - 1).cast("long")
+    numbers = seeded.select("author_id", "seed").distinct().withColumn("cluster", number)
+    known = seeded.join(numbers, ["author_id", "seed"]).select("author_id", "name", "cluster")
+    placed = rows.where("name <> ''").join(known, ["author_id", "name"])
+    return placed.unionByName(rows.where("name = ''").withColumn("cluster", F.lit(0).cast("long"))).select("author_id", "work_author_id", "cluster")

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from biblioflow.functions import columns, names
 from biblioflow.operators import assign, authors, citations, diff, identifiers, metrics, rules
-from biblioflow.sources import tables
+from biblioflow.sources import queue, tables
 
 AS_OF = 2001
 PRIORITIES = ("1-URGENT", "2-HIGH", "3-MEDIUM")
@@ -41,6 +41,16 @@ def work_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("paper_id"), "l_partkey").join(parts, F.col("l_partkey") == F.col("p_partkey")).select("paper_id", "topic_id")
 
 
+RENAMED = "SELECT p_partkey, p_name AS a, CASE p_partkey % 5 WHEN 0 THEN upper(p_name) WHEN 1 THEN replace(p_name, 'e', 'é') WHEN 2 THEN p_name || ' x' WHEN 3 THEN replace(p_name, 'a', 'o') END AS b FROM part"
+
+
+@query(f"SELECT p_partkey, coalesce(length(a), 0) <> coalesce(length(b), 0) OR lower(strip_accents(coalesce(a, ''))) <> lower(strip_accents(coalesce(b, ''))) AS changed FROM ({RENAMED})")
+def display_changes(spark, sf_dir):
+    """Display names that differ by more than case, dots or diacritics."""
+    named = t(spark, sf_dir, "part").select("p_partkey", F.col("p_name").alias("a"), F.expr("CASE p_partkey % 5 WHEN 0 THEN upper(p_name) WHEN 1 THEN replace(p_name, 'e', 'é') WHEN 2 THEN p_name || ' x' WHEN 3 THEN replace(p_name, 'a', 'o') END").alias("b"))
+    return named.select("p_partkey", names.display_changed_of(F.col("a"), F.col("b")).alias("changed"))
+
+
 @query("SELECT p_name AS topic_id, count(*) AS num_papers FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1")
 def topic_volume(spark, sf_dir):
     return metrics.topic_volume(work_topic(spark, sf_dir))
@@ -71,6 +81,14 @@ def institution_topic_profile(spark, sf_dir):
     return metrics.entity_topic_profile(members.join(papers, "paper_id", "left_semi"), work_topic(spark, sf_dir), "entity_id")
 
 
+@query(PROFILE_SQL.format(entity="c_mktsegment || c_nationkey", join=" JOIN customer ON o_custkey = c_custkey"))
+def source_topic_profile(spark, sf_dir):
+    """D2 of sources: a journal is a market segment of a nation."""
+    own = t(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), F.concat("c_mktsegment", F.col("c_nationkey").cast("string")).alias("entity_id"))
+    members = t(spark, sf_dir, "orders").select("o_custkey", F.col("o_orderkey").alias("paper_id")).join(own, "o_custkey").select("entity_id", "paper_id")
+    return metrics.entity_topic_profile(members, work_topic(spark, sf_dir), "entity_id")
+
+
 def works(spark, sf_dir) -> DataFrame:
     """Orders as works; those of urgent priority are merged into the work before them."""
     key = F.col("o_orderkey")
@@ -349,6 +367,17 @@ def queue_inserts(spark, sf_dir):
     return diff.queue_inserts(t(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id")), queued).select("id")
 
 
+STATE = "CASE WHEN f IS NOT NULL THEN 'finished' WHEN s IS NULL THEN 'waiting' WHEN s <= TIMESTAMP '1999-01-01' - INTERVAL 90 DAY THEN 'expired' ELSE 'leased' END"
+
+
+@query(f"SELECT {STATE} AS state, count(*) AS n, CAST(min(s) AS DATE) AS oldest FROM (SELECT CASE WHEN o_orderpriority <> '5-LOW' THEN CAST(o_orderdate AS TIMESTAMP) END AS s, CASE WHEN o_orderstatus = 'F' THEN CAST(o_orderdate AS TIMESTAMP) END AS f FROM orders) GROUP BY 1")
+def queue_states(spark, sf_dir):
+    """K8: rows of a work queue by state; a lease lasts 90 days."""
+    day = F.col("o_orderdate").cast("timestamp_ntz")
+    rows = t(spark, sf_dir, "orders").select(F.when(F.col("o_orderpriority") != "5-LOW", day).alias("started"), F.when(F.col("o_orderstatus") == "F", day).alias("finished"))
+    return queue.states(rows, F.lit("1999-01-01").cast("timestamp_ntz"), F.expr("INTERVAL 90 DAY")).withColumn("oldest", F.col("oldest").cast("date"))
+
+
 @query("SELECT o_orderkey, CASE WHEN o_orderpriority = '1-URGENT' THEN o_orderkey - 1 ELSE o_orderkey END AS target FROM orders")
 def redirect_join(spark, sf_dir):
     own = works(spark, sf_dir)

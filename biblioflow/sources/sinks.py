@@ -30,8 +30,11 @@ def staged_upsert(df: DataFrame, url: str, stage: str, properties: dict[str, str
     run(statements)
 
 
-def transaction(spark: SparkSession, url: str, properties: dict[str, str], statements: list[str]) -> None:
-    """Run set-based statements in one transaction over one connection of the driver; any failure undoes them all."""
+def transaction(spark: SparkSession, url: str, properties: dict[str, str], statements: list[str | tuple[str, int]]) -> list[int]:
+    """Run set-based statements in one transaction over one connection of the driver; the number of rows that each changed.
+
+    Any failure undoes them all; so does a statement given with a number of rows that changes another number.
+    """
     jvm = spark.sparkContext._jvm
     login = jvm.java.util.Properties()
     for k, v in properties.items():
@@ -42,9 +45,15 @@ def transaction(spark: SparkSession, url: str, properties: dict[str, str], state
     try:
         connection.setAutoCommit(False)
         statement = connection.createStatement()
-        for sql in statements:
+        changed = []
+        for given in statements:
+            sql, expected = given if isinstance(given, tuple) else (given, None)
             statement.execute(sql)
+            changed.append(statement.getUpdateCount())
+            if expected not in (None, changed[-1]):
+                raise RuntimeError(f"{changed[-1]} rows in place of {expected}: {sql}")
         connection.commit()
+        return changed
     except Exception:
         connection.rollback()
         raise

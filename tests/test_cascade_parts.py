@@ -169,6 +169,9 @@ def test_dates_and_id_changes(spark):
     new = spark.createDataFrame([(1, "", "A", ["A"]), (2, "x", "B", []), (3, "", "C", []), (4, "", "D", [])], kinds)
     got = {r["author_id"]: (r["change"], str(r["created_date"]), str(r["modified_date"])) for r in authors.dated(new, old, F.lit("2025-05-05").cast("date")).collect()}
     assert got == {1: ("unchanged", "2020-01-01", "2021-01-01"), 2: ("modified", "2020-01-01", "2025-05-05"), 3: ("unchanged", "2025-05-05", "2021-01-01"), 4: ("created", "2025-05-05", "2025-05-05")}
+    cased = spark.createDataFrame([(1, "", "Á", ["A"]), (2, "", "B.", []), (3, "", None, [])], kinds)
+    assert {r["author_id"]: r["change"] for r in authors.dated(cased, old, F.lit("2025-05-05").cast("date"), loosely=True).collect()} == {1: "unchanged", 2: "modified", 3: "modified"}
+    assert {r["change"] for r in authors.dated(cased, old, F.lit("2025-05-05").cast("date")).collect()} == {"modified"}
     ids = "work_author_id string, author_id long"
     changes = authors.id_changes(spark.createDataFrame([("a", 1), ("b", 2), ("c", 3)], ids), spark.createDataFrame([("a", 1), ("b", 9), ("b", 8)], ids))
     assert sorted(tuple(r) for r in changes.collect()) == [("a", 1, 1, False), ("b", 2, 8, True), ("c", 3, None, False)]
