@@ -103,6 +103,7 @@ def _placed(held: DataFrame, anchored: DataFrame) -> DataFrame:
     fits = fits.select("author_id", part(F.col("block")).alias("part"), "first", "name", "orcid", "score")
     names = named.join(blocks, ["author_id", "orcid"]).select("author_id", part(F.col("_own")).alias("part"), "orcid", "name")
     keys = ["author_id", "part"]
+    names = names.join(fits.select(*keys).distinct(), keys, "left_semi")
     found = fits.groupBy(*keys).cogroup(names.groupBy(*keys)).applyInPandas(_assign, "author_id long, first string, orcid string")
     return found.unionByName(unnamed)
 
@@ -198,13 +199,15 @@ def _group(group: pd.DataFrame) -> pd.DataFrame:
 def leftover_groups(leftovers: DataFrame) -> DataFrame:
     """(author_id, work_author_id, cluster): an author's works, first fit by compatible names in order of name.
 
-    Different names of an author with the same initials meet in a task: others cannot share a cluster. Clusters are numbered in
+    Different names of an author with the same initials meet in a task: others cannot share a cluster, and a name alone with its initials
+    is a cluster without more ado. Clusters are numbered in
     order of their first names, as they come to be; the empty name fits all of them, so it goes to the first and changes nothing else.
     """
     rows = staged(leftovers.select("author_id", "work_author_id", F.trim(search_form_of("name")).alias("name")), "leftovers")
     named = rows.where("name <> ''").select("author_id", "name", name_block(F.col("name")).alias("block")).distinct()
-    seeded = named.groupBy("author_id", "block").applyInPandas(_group, "author_id long, name string, seed string")
-    seeded = staged(seeded, "seeds")
+    held = staged(named.withColumn("alone", F.count("*").over(Window.partitionBy("author_id", "block")) == 1), "names")
+    grouped = held.where("NOT alone").groupBy("author_id", "block").applyInPandas(_group, "author_id long, name string, seed string")
+    seeded = staged(grouped.unionByName(held.where("alone").select("author_id", "name", F.col("name").alias("seed"))), "seeds")
     number = (F.row_number().over(Window.partitionBy("author_id").orderBy("seed")) - 1).cast("long")
     numbers = seeded.select("author_id", "seed").distinct().withColumn("cluster", number)
     known = seeded.join(numbers, ["author_id", "seed"]).select("author_id", "name", "cluster")
