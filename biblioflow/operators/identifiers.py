@@ -5,7 +5,7 @@ from __future__ import annotations
 import heapq
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,6 +16,9 @@ from biblioflow.sources.stages import releasing, staged
 
 #: Weights of shared members in the reassignment of an over-merged author's works.
 WEIGHTS = {"institutions": 2.0, "coauthors": 0.05, "concepts": 0.01, "citations": 0.2, "coauthor_orcids": 5.0, "topics": 5.0, "subfields": 1.0, "fields": 0.01}
+#: What the tasks of greedy assignment and of first fit return.
+PLACED = pa.schema([("author_id", pa.int64()), ("first", pa.string()), ("orcid", pa.string())])
+SEEDED = pa.schema([("author_id", pa.int64()), ("name", pa.string()), ("seed", pa.string())])
 
 
 def chosen_identifier(user: Column, harvested: Column, source: Column) -> Column:
@@ -58,28 +61,30 @@ def name_block(name: Column) -> Column:
     return F.when(F.trim(name) == "", "").otherwise(F.array_join(initials, ""))
 
 
-def _assign(pairs: pd.DataFrame, anchors: pd.DataFrame) -> pd.DataFrame:
+def _assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Greedy by score: a profile goes to the first anchor all of whose names it is compatible with; its name joins them.
 
-    Names are one another's only if compatible, and a misfit stays one, so an anchor's names are looked at once for a name that misses.
+    Rows lie in order of author and part; in one of these the anchors' names come first, with ``first`` null, then the profiles' pairs in
+    order of score. Names are one another's only if compatible, and a misfit stays one, so an anchor's names are looked at once for a name that misses.
     """
-    names: dict[str, list[str]] = {}
-    for o, n in zip(anchors["orcid"], anchors["name"], strict=True):
-        names.setdefault(o, []).append(n)
-    done: dict[str, str] = {}
-    misfits: set[tuple[str, str]] = set()
-    for r in pairs.sort_values(["score", "first", "orcid"], ascending=[False, True, True]).itertuples():
-        if r.first in done or (r.name, r.orcid) in misfits:
-            continue
-        own = names[r.orcid]
-        if all(compatible(r.name, n) for n in own):
-            done[r.first] = r.orcid
-            if r.name not in own:
-                own.append(r.name)
-        else:
-            misfits.add((r.name, r.orcid))
-    out = pd.DataFrame(list(done.items()), columns=["first", "orcid"], dtype=object)
-    return out.assign(author_id=pairs["author_id"].iloc[0] if len(pairs) else 0)[["author_id", "first", "orcid"]]
+    key, names, done, misfits = None, {}, set(), set()
+    for batch in batches:
+        found = []
+        for author, part, first, name, orcid in zip(*(batch.column(c).to_pylist() for c in ("author_id", "part", "first", "name", "orcid")), strict=True):
+            if (author, part) != key:
+                key, names, done, misfits = (author, part), {}, set(), set()
+            if first is None:
+                names.setdefault(orcid, []).append(name)
+            elif first not in done and (name, orcid) not in misfits:
+                own = names[orcid]
+                if all(compatible(name, n) for n in own):
+                    done.add(first)
+                    found.append({"author_id": author, "first": first, "orcid": orcid})
+                    if name not in own:
+                        own.append(name)
+                else:
+                    misfits.add((name, orcid))
+        yield pa.RecordBatch.from_pylist(found, PLACED)
 
 
 def _placed(held: DataFrame, anchored: DataFrame) -> DataFrame:
@@ -103,8 +108,9 @@ def _placed(held: DataFrame, anchored: DataFrame) -> DataFrame:
     fits = fits.select("author_id", part(F.col("block")).alias("part"), "first", "name", "orcid", "score")
     names = named.join(blocks, ["author_id", "orcid"]).select("author_id", part(F.col("_own")).alias("part"), "orcid", "name")
     keys = ["author_id", "part"]
-    names = names.join(fits.select(*keys).distinct(), keys, "left_semi")
-    found = fits.groupBy(*keys).cogroup(names.groupBy(*keys)).applyInPandas(_assign, "author_id long, first string, orcid string")
+    rows = names.unionByName(fits, allowMissingColumns=True).repartition(*keys)
+    rows = rows.sortWithinPartitions(*keys, F.col("first").isNotNull(), F.desc("score"), "first", "orcid")
+    found = rows.mapInArrow(_assign, "author_id long, first string, orcid string")
     return found.unionByName(unnamed)
 
 
@@ -179,21 +185,23 @@ class _Seeds:
             before = k
 
 
-def _group(group: pd.DataFrame) -> pd.DataFrame:
-    """First fit in order of name. Names of one cluster are all compatible, so a cluster has few: words in full or by initial."""
-    clusters: list[list[str]] = []
-    seeds = _Seeds()
-    out = []
-    for name in sorted(group["name"]):
-        words = name.split()
-        ends = (words[0], words[-1])
-        k = next((i for i in seeds.fitting(ends) if all(compatible(name, n) for n in clusters[i])), len(clusters))
-        if k == len(clusters):
-            clusters.append([])
-            seeds.add(ends, k)
-        clusters[k].append(name)
-        out.append((name, clusters[k][0]))
-    return pd.DataFrame(out, columns=["name", "seed"]).assign(author_id=group["author_id"].iloc[0])[["author_id", "name", "seed"]]
+def _first_fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """First fit over rows in order of author, block and name. Names of one cluster are all compatible, so a cluster has few: words in full or by initial."""
+    key, clusters, seeds = None, [], _Seeds()
+    for batch in batches:
+        found = []
+        for author, block, name in zip(*(batch.column(c).to_pylist() for c in ("author_id", "block", "name")), strict=True):
+            if (author, block) != key:
+                key, clusters, seeds = (author, block), [], _Seeds()
+            words = name.split()
+            ends = (words[0], words[-1])
+            k = next((i for i in seeds.fitting(ends) if all(compatible(name, n) for n in clusters[i])), len(clusters))
+            if k == len(clusters):
+                clusters.append([])
+                seeds.add(ends, k)
+            clusters[k].append(name)
+            found.append({"author_id": author, "name": name, "seed": clusters[k][0]})
+        yield pa.RecordBatch.from_pylist(found, SEEDED)
 
 
 def leftover_groups(leftovers: DataFrame) -> DataFrame:
@@ -206,7 +214,8 @@ def leftover_groups(leftovers: DataFrame) -> DataFrame:
     rows = staged(leftovers.select("author_id", "work_author_id", F.trim(search_form_of("name")).alias("name")), "leftovers")
     named = rows.where("name <> ''").select("author_id", "name", name_block(F.col("name")).alias("block")).distinct()
     held = staged(named.withColumn("alone", F.count("*").over(Window.partitionBy("author_id", "block")) == 1), "names")
-    grouped = held.where("NOT alone").groupBy("author_id", "block").applyInPandas(_group, "author_id long, name string, seed string")
+    several = held.where("NOT alone").repartition("author_id", "block").sortWithinPartitions("author_id", "block", "name")
+    grouped = several.mapInArrow(_first_fit, "author_id long, name string, seed string")
     seeded = staged(grouped.unionByName(held.where("alone").select("author_id", "name", F.col("name").alias("seed"))), "seeds")
     number = (F.row_number().over(Window.partitionBy("author_id").orderBy("seed")) - 1).cast("long")
     numbers = seeded.select("author_id", "seed").distinct().withColumn("cluster", number)
