@@ -120,7 +120,8 @@ def reassigned(works: DataFrame, frozen: DataFrame, rounds: int = 3) -> DataFram
 
     works: author_id, work_author_id, orcid, name and the sets of WEIGHTS. Works of one author with the same name and the
     same scores are one profile and are given together, and an author's profiles meet only where their names' initials are the same.
-    Each round is written, and enlarges the anchors by what it assigned; a round that assigns nothing is the last.
+    Each round is written, and enlarges the anchors by what it assigned. An author to whom a round assigns nothing would get nothing
+    in the next either, so a round looks only at authors that the one before it changed; without any it is the last.
     """
     own = works.withColumn("name", search_form_of("name")).join(overmerged(works, frozen), "author_id", "left_semi")
     own = staged(own.withColumn("orcid", F.coalesce("orcid", F.lit(""))), "overmerged")
@@ -139,7 +140,8 @@ def reassigned(works: DataFrame, frozen: DataFrame, rounds: int = 3) -> DataFram
         if given.isEmpty():
             break
         new = given.select("author_id", "work_author_id", F.col("orcid").alias("_o"))
-        known = staged(known.join(new, ["author_id", "work_author_id"], "left").withColumn("orcid", F.coalesce("_o", "orcid")).drop("_o"), "enlarged")
+        changed = known.join(given.select("author_id").distinct(), "author_id", "left_semi")
+        known = staged(changed.join(new, ["author_id", "work_author_id"], "left").withColumn("orcid", F.coalesce("_o", "orcid")).drop("_o"), "enlarged")
     return done
 
 
