@@ -13,7 +13,8 @@ from biblioflow.functions.names import block_of, coauthor_keys, letter_of, merge
 from biblioflow.operators import authors
 from biblioflow.operators.citations import redirected
 from biblioflow.operators.diff import NULL_BUCKET, TOMBSTONE
-from biblioflow.operators.evidence import CROWD, SETS, best_authorships
+from biblioflow.operators.evidence import SETS
+from biblioflow.operators.nearest import PART, leading_authors
 from biblioflow.sources.stages import releasing, staged
 
 #: Coefficients of the pair score over the feature vector; the intercept comes first.
@@ -117,20 +118,6 @@ def orcid_matches(new: DataFrame, owners: DataFrame) -> DataFrame:
     return new.join(owner, new["orcid_1"] == owner["orcid_2"]).select("work_author_id_1", "author_id")
 
 
-def name_candidates(new: DataFrame, known: DataFrame) -> DataFrame:
-    """(author_id, new columns) of authors known by the very name of a new authorship; known: author_id, author."""
-    return new.join(known.select("author_id", F.col("author").alias("author_1")).distinct(), "author_1")
-
-
-def blocked_candidates(new: DataFrame, known: DataFrame) -> DataFrame:
-    """(author_id, new columns) of authors one of whose names shares a new name's block (last word, letter before it), and all of
-    whose names together, as one structure, are compatible with it.
-
-    Each different name is taken apart once; compatibility is an expression over the parts.
-    """
-    return new.join(block_matches(new.select("author_1").distinct(), known.select("author_id", "author").distinct()), "author_1")
-
-
 def taken_apart(names: DataFrame, column: str) -> DataFrame:
     """(column, slots, _block, _letter) of each different name."""
     parts = names.select(column).distinct().withColumn("_form", search_form_of(column)).withColumn("slots", slots_of("_form"))
@@ -138,7 +125,8 @@ def taken_apart(names: DataFrame, column: str) -> DataFrame:
 
 
 def block_matches(new: DataFrame, known: DataFrame) -> DataFrame:
-    """(author_1, author_id) of the names (author_1) and authors' names (author_id, author) that ``blocked_candidates`` brings together."""
+    """(author_1, author_id) of the names (author_1) and authors' names (author_id, author) of which one shares the name's block (last word,
+    letter before it), and all together, as one structure, are compatible with it. Each different name is taken apart once."""
     given = staged(taken_apart(new, "author_1"), "new_names")
     parts = known.join(taken_apart(known, "author"), "author")
     met = given.select("author_1", "_block", "_letter").join(parts.select("author_id", "_block", "_letter").distinct(), ["_block", "_letter"]).select("author_1", "author_id")
@@ -180,7 +168,7 @@ def disambiguated(works: DataFrame, current: DataFrame, last_id: int, requests:
     return cascade(works, current, last_id, requests, merges, frozen, removed, splits, **options).assignments
 
 
-def cascade(works: DataFrame, current: DataFrame, last_id: int, requests: DataFrame | None = None, merges: DataFrame | None = None, frozen: DataFrame | None = None, removed: DataFrame | None = None, splits: DataFrame | None = None, raw_names: DataFrame | None = None, bar_always: bool = False, crowd: int = CROWD) -> Cascade:
+def cascade(works: DataFrame, current: DataFrame, last_id: int, requests: DataFrame | None = None, merges: DataFrame | None = None, frozen: DataFrame | None = None, removed: DataFrame | None = None, splits: DataFrame | None = None, raw_names: DataFrame | None = None, bar_always: bool = False, crowd: int = PART) -> Cascade:
     """(work_author_id, author_id, how) of every authorship in ``works``, whether it had an author before or not, and the author table.
 
     works: work_author_id, paper_id, author, orcid and the lists institutions, coauthors, concepts, citations; current:
@@ -195,6 +183,7 @@ def cascade(works: DataFrame, current: DataFrame, last_id: int, requests: DataFr
     others, collapsed to one of each set of equal features: 4. by identifier, 5. by exact name with evidence, 6. the same
     once more, seeing what 5 has added, 7. by compatible name with evidence, 8. new ids; 9. the collapsed are expanded,
     10. names that stand for no person go to the null bucket, 11. a new cluster that equals an old one keeps its id.
+    Candidates come from blocks of names (``nearest``); ``crowd`` authorships of one meet in a task on either side, which decides nothing.
     Every round's assignments are written, and the authors' names, identifiers and members are those after the round before:
     counts of names and identifiers are kept by ``authors``, and only authors that a round touches are counted again. What the
     rounds' own passes observe is in ``rounds``.
@@ -265,12 +254,15 @@ def cascade(works: DataFrame, current: DataFrame, last_id: int, requests: DataFr
     if bar_always:
         matches = allowed(matches.join(left.select("work_author_id_1", "paper_id_1"), "work_author_id_1"))
     round_("identifier", matches)
-    for name, candidates in (("name", name_candidates), ("name again", name_candidates), ("compatible", blocked_candidates)):
-        met = allowed(candidates(left, counts.select("author_id", "author")))
-        given = ("work_author_id", "paper_id", *SETS)
-        found = best_authorships(met, left.select(*[F.col(f"{c}_1").alias(c) for c in given]), clusters, rows.select(*given), crowd)
-        found = found.join(left.select("work_author_id_1", "author_1", "orcid_1"), "work_author_id_1").join(rows.select(F.col("work_author_id").alias("work_author_id_2"), F.col("author").alias("author_2")), "work_author_id_2")
-        round_(name, assigned(likely(with_exact_match(found)).join(authors.owners(counts), "author_id")))
+    for name in ("name", "name again", "compatible"):
+        parts = staged(taken_apart(left.select("author_1"), "author_1"), "new_names")
+        known = counts.select("author_id", "author")
+        matches = block_matches(parts.select("author_1"), known.distinct()) if name == "compatible" else known.withColumnRenamed("author", "author_1").distinct()
+        blocks = parts.select("author_1", F.concat_ws(" ", "_block", "_letter").alias("group"))
+        given = ("work_author_id", "paper_id", "author", *SETS)
+        found = leading_authors(matches, blocks, left.select(*[F.col(f"{c}_1").alias(c) for c in given]), clusters, rows.select(*given), counts, CANDIDATES, removed, crowd)
+        found = found.join(left.select("work_author_id_1", "author_1", "orcid_1"), "work_author_id_1").withColumn("author_2", F.when(F.col("same"), F.col("author_1")))
+        round_(name, assigned(likely(with_exact_match(found))))
 
     made = allocated(left.select("work_author_id_1").distinct(), [paper_of(F.col("work_author_id_1")), "work_author_id_1"], last_id, "author_id")
     round_("new", made)

@@ -10,7 +10,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from biblioflow.operators import assign, authors, citations, diff, evidence, identifiers
+from biblioflow.operators import assign, authors, citations, diff, evidence, identifiers, nearest
 from biblioflow.plans import queries
 from biblioflow.sources import stages
 from tests import plain
@@ -69,6 +69,30 @@ def test_an_author_of_a_third_of_all_works_makes_few_pairs(spark, monkeypatch):
     assert sum(pairs) <= 2 * len(new)  # not 600,000
 
 
+@pytest.mark.parametrize("part", [1 << 14, 30, 1])
+def test_a_common_name_gives_leading_authors_only(spark, part):
+    """80 authors of one name and 40 new authorships, nearly all of whose pairs share something: five authors of each new one come out."""
+    works = made_up_works(160, 7)
+    new, old = works[:40], works[40:]
+    of = {w[0]: k % 80 for k, w in enumerate(old)}
+    rows = spark.createDataFrame(works, KINDS)
+    clusters = spark.createDataFrame(list(of.items()), "work_author_id string, author_id long")
+    barred = {(w[1], a) for w in new for a in range(0, 80, 3 + w[1] % 4)}
+    got = nearest.leading_authors(
+        spark.createDataFrame([("Ann Lee", a) for a in range(80) if a % 7], "author_1 string, author_id long"), spark.createDataFrame([("Ann Lee", "g"), ("Bo Ray", "g")], "author_1 string, group string"),
+        rows.where("paper_id < 40"), clusters, rows, authors.counted(clusters, rows), 5, spark.createDataFrame(list(barred), "paper_id long, author_id long"), part,
+    )
+    found = {}
+    for r in assign.likely(got, 5, -1.0, F.lit(0.0)).collect():
+        found.setdefault(r["work_author_id_1"], []).append((-r["total_per"], r["author_id"], r["work_author_id_2"], r["same"]))
+    want = {}
+    for x in new:
+        tries = [min((-total(x, y), a, y[0], True) for y in old if of[y[0]] == a) for a in range(80) if a % 7 and (x[1], a) not in barred]
+        want[x[0]] = sorted(y for y in tries if y[0] < 0)[:5]
+    assert {k: sorted(v) for k, v in found.items()} == {k: v for k, v in want.items() if v}
+    assert part != 1 << 14 or got.count() <= 5 * len(new)
+
+
 @supplied
 @pytest.mark.parametrize("crowd", [2, 64])
 def test_the_cascade_with_crowded_authors_and_its_author_table(spark, crowd, monkeypatch):
