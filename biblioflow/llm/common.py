@@ -4,25 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, MapType, StructType, VariantType
 
+from biblioflow.sources.batches import small_batches
 from biblioflow.sources.stages import new_path, release, sized
 from biblioflow.sources.stages import staged as table
 
 __all__ = ["ascii_lower", "crc_fold", "deal_key", "new_path", "release", "row_key", "sized", "small_batches", "spare", "table", "utf8"]
 
-#: Rows in an Arrow batch; texts can be long, so batches are kept far below Spark's default.
-BATCH_ROWS = 256
-
-
-def small_batches(spark: SparkSession) -> None:
-    """Bound the Arrow batches of the session by rows and by bytes."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", 16 << 20)
-
-
 def crc_fold(doc_id: Column, folds: int) -> Column:
     """crc32 of doc_id as text, modulo ``folds``; a null id counts as the empty text."""
     return F.crc32(F.encode(F.coalesce(doc_id.cast("string"), F.lit("")), "UTF-8")) % folds

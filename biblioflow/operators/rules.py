@@ -25,6 +25,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from biblioflow.sources.batches import small_batches
+
 NO_INSTITUTION = -1
 #: Arguments of each kind of predicate.
 ARGUMENTS = {"has": 1, "has_lower": 1, "any": 1, "any_lower": 1, "all": 1, "word": 1, "regex": 1, "replaced": 2, "id": 1, "ids_more_than": 1}
@@ -122,6 +124,7 @@ def matched(df: DataFrame, rules: list[Rule], text: str = "text", out: str = "id
 
     for r in rules:
         checked(r.predicate)
+    small_batches(df.sparkSession)
     return df.withColumn(out, rulebook.emitting(rules)(F.coalesce(F.col(text), F.lit(""))))
 
 
@@ -144,6 +147,7 @@ def rewritten(df: DataFrame, rewrites: list[Rewrite], text: str = "text", ids: s
 
     for r in rewrites:
         checked(r.predicate)
+    small_batches(df.sparkSession)
     done = rulebook.rewriting(rewrites)(F.coalesce(F.col(text), F.lit("")), F.coalesce(F.col(ids), F.array().cast("array<bigint>")))
     return df.withColumn(ids, without_no_institution(done))
 

@@ -474,3 +474,15 @@ def test_empty_inputs(spark):
     assert assign.allocated(none("id long"), ["id"], 0).count() == 0
     assert rules.matched(none("text string"), [rules.Rule(("has", "x"), (1,))]).count() == 0
     assert diff.upsert(none("k long"), none("k long"), ["k"]).count() == 0
+
+
+def test_rules_get_their_texts_in_small_batches(spark):
+    """However many rows a partition has: Spark's default would hand 10,000 long texts to a worker at once."""
+    rows, size = "spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.execution.arrow.maxBytesPerBatch"
+    d = spark.range(1000).select(F.concat(F.lit("a the "), F.col("id")).alias("text"))
+    for made in (lambda: rules.matched(d, [rules.Rule(("has", "the"), (1,))]), lambda: rules.rewritten(d.withColumn("ids", F.array(F.lit(1).cast("bigint"))), [rules.Rewrite(("id", 1), (1,), (2,))])):
+        for c in (rows, size):
+            spark.conf.unset(c)
+        got = made()
+        assert int(spark.conf.get(rows)) <= 1024 and int(spark.conf.get(size).removesuffix("b")) <= 64 << 20
+        assert got.count() == 1000
