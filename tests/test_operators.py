@@ -486,3 +486,20 @@ def test_rules_get_their_texts_in_small_batches(spark):
         got = made()
         assert int(spark.conf.get(rows)) <= 1024 and int(spark.conf.get(size).removesuffix("b")) <= 64 << 20
         assert got.count() == 1000
+
+
+def test_a_name_and_an_identifier_are_weighed_once(spark, monkeypatch):
+    """3,000 claims of three names and one identifier: evidence looks at three rows."""
+    seen, weigh = spark.sparkContext.accumulator(0), identifiers.evidence_of
+
+    @F.udf("string")
+    def counted(name):
+        seen.add(1)
+        return name
+
+    monkeypatch.setattr(identifiers, "evidence_of", lambda author, *rest: weigh(counted(author), *rest))
+    name = F.element_at(F.array(F.lit("Maria Silva"), F.lit("M. Silva"), F.lit("Wei Zhang")), (F.col("id") % 3 + 1).cast("int"))
+    claims = spark.range(3000).select((F.col("id") / 3).cast("long").alias("paper_id"), (F.col("id") % 3).alias("author_sequence_number"), name.alias("original_author"), F.lit("o").alias("orcid"))
+    got = identifiers.reconciled(claims, spark.createDataFrame([("o", "Maria", "Silva"), ("o", "Wei", "Li")], "orcid string, given_names string, family_name string")).collect()
+    assert len(got) == 1000 and {r["author_sequence_number"] for r in got} == {0}
+    assert seen.value <= 3 * 2 * 2
