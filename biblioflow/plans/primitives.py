@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from biblioflow.functions import columns
 from biblioflow.plans.queries import AS_OF, query, t
+from biblioflow.sources.stages import dealt
 
 
 @query("SELECT o_orderkey, CAST(CASE WHEN year(o_orderdate) < 1997 THEN 1997 WHEN year(o_orderdate) > 2000 THEN 2000 ELSE year(o_orderdate) END AS BIGINT) AS y FROM orders")
@@ -97,7 +98,8 @@ def year_grid(spark, sf_dir):
 
 @query("SELECT l_orderkey, min(l_suppkey) AS first_supplier, max(l_suppkey) AS last_supplier, count(*) AS n, count(DISTINCT l_suppkey) AS suppliers, avg(l_linenumber) AS mean FROM lineitem GROUP BY 1")
 def grouped_measures(spark, sf_dir):
-    return t(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(
+    lines = t(spark, sf_dir, "lineitem")
+    return dealt(lines.select("l_orderkey", "l_suppkey", "l_linenumber"), lines.count(), "l_orderkey").groupBy("l_orderkey").agg(
         F.min("l_suppkey").alias("first_supplier"), F.max("l_suppkey").alias("last_supplier"), F.count("*").alias("n"), F.count_distinct("l_suppkey").alias("suppliers"), F.avg("l_linenumber").alias("mean")
     )
 

@@ -7,7 +7,7 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
-from biblioflow.sources import sinks, tables
+from biblioflow.sources import sinks, stages, tables
 
 DRIVER = {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
 
@@ -84,3 +84,11 @@ def test_batched_updates(spark, tmp_path):
     sinks.batched_updates(spark.range(1000).repartition(2), apply, batch=200)
     got = [int(x) for p in tmp_path.iterdir() for x in p.read_text().split()]
     assert sorted(got) == list(range(1000))
+
+
+def test_rows_are_dealt_by_their_number(spark, monkeypatch):
+    """However few bytes they take: adaptive execution would put them into one task."""
+    monkeypatch.setattr(stages, "ROWS_A_PART", 100)
+    d = stages.dealt(spark.range(1000).select(F.lit("x").alias("same"), "id"), 1000, "id")
+    assert d.rdd.getNumPartitions() == 10 and d.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0] < 300
+    assert stages.dealt(spark.range(0), 0, "id").count() == 0
