@@ -6,6 +6,10 @@ and compared where they meet. Only what links them is kept: inside a bucket a se
 a spanning forest of the links of at most ``d`` bits, so a bucket never yields all its pairs, however many near
 copies it holds, and no link between different components is lost. Exact copies collapse into one fingerprint first.
 
+Near copies in the sense of a Jaccard similarity (``near_copies``) go the same way with a wide fingerprint, of WIDE_BLOCKS
+blocks: texts whose wide fingerprints leave a block untouched meet there, the Hamming check looks at the fingerprint's first
+128 bits, what it leaves is judged on the shingles themselves, and the links judged make the components.
+
 Defined cases: a null text and a text without words have fingerprint zero, which links like any other; a text of
 fewer words than a shingle is one shingle; rows may repeat (each gets its row in the result); a null doc_id never
 becomes a component's id while another member has one; an empty table gives an empty result.
@@ -13,7 +17,7 @@ becomes a component's id while another member has one; an empty table gives an e
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations
 from math import comb
 
@@ -34,10 +38,14 @@ BUCKET_TARGET = 16
 #: A bucket of more fingerprints is dealt again inside its task, by keys of FINE_BLOCKS blocks.
 LARGE_BUCKET, FINE_BLOCKS = 4096, 9
 
-#: MinHash bands and the minima in each.
-BANDS, BAND_ROWS = 20, 4
-#: Differing bits up to which texts that share a band are judged on their shingles (about 10 at similarity 0.8).
-WIDE_BITS = 24
+#: Words of 64 bits in a wide fingerprint, and its blocks, of 12 bits. Up to 63 of its 768 bits may differ without leaving no
+#: block untouched; at similarity 0.8, where each differs with probability 0.15, one is with probability 0.9999.
+WIDE, WIDE_BLOCKS = 12, 64
+WIDE_FACTORS = np.array([(0x9E3779B97F4A7C15 * (2 * k + 1)) % (1 << 64) for k in range(WIDE)], "u8")
+#: Differing bits of the first two words up to which texts in a block are judged on their shingles (about 19 at similarity 0.8), and of the first.
+NEAR_BITS, WIDE_BITS = 38, 24
+#: Pairs that the Hamming check of a block looks at in one step.
+CELLS = 1 << 18
 #: Shingles for a word of an odd sketch, and its fewest words.
 SKETCH_SHINGLES, SKETCH_WORDS = 24, 8
 
@@ -225,35 +233,78 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     return prints.join(of_fp, "fp").select("doc_id", "fp", "component_id")
 
 
-def minima(h: np.ndarray, bands: int = BANDS, rows: int = BAND_ROWS, seed: int = 1) -> list[int]:
-    """A signed key for each band of the least values that hash functions give the shingles; none for no shingles."""
-    if not len(h):
-        return []
-    rng = np.random.default_rng(seed)
-    mul, add = (rng.integers(0, 1 << 64, bands * rows, dtype="u8") for _ in range(2))
-    least = np.full(bands * rows, (1 << 64) - 1, "u8")
-    for at in range(0, len(h), 1 << 12):
-        np.minimum(least, ((mul | np.uint64(1))[:, None] * h[at : at + (1 << 12)] + add[:, None]).min(axis=1), out=least)
-    data = least.astype("<u8").tobytes()
-    keys = [xxhash.xxh64_intdigest(data[8 * rows * b : 8 * rows * (b + 1)], b) for b in range(bands)]
-    return [k - (1 << 64) if k >> 63 else k for k in keys]
+def wide_majority(h: np.ndarray) -> np.ndarray:
+    """The wide SimHash of shingle hashes, as WIDE words: a bit is set if most of the hashes made from them have it.
+
+    The first word is that of ``majority``.
+    """
+    ones = np.zeros(64 * WIDE, np.int64)
+    for at in range(0, len(h), 255):  # as many bits as a byte can count
+        own = h[at : at + 255, None]
+        x = own * WIDE_FACTORS
+        x ^= x >> np.uint64(29)
+        x *= np.uint64(0xBF58476D1CE4E5B9)
+        x ^= x >> np.uint64(32)
+        x[:, :1] = own
+        ones += np.add.reduce(np.unpackbits(x.astype("<u8", copy=False).view("u1"), axis=1, bitorder="little"), axis=0, dtype=np.uint8)
+    return np.packbits(2 * ones > len(h), bitorder="little").view("<u8")
+
+
+def wide_blocks(words: np.ndarray) -> np.ndarray:
+    """A key for each block of a wide fingerprint: its place and its bits."""
+    bits = np.unpackbits(words.astype("<u8").view("u1"), bitorder="little").reshape(WIDE_BLOCKS, -1)
+    width = bits.shape[1]
+    return (bits @ (1 << np.arange(width))) + (np.arange(WIDE_BLOCKS) << width)
 
 
 def sketches(docs: DataFrame, doc_id: str, text: str, words: int) -> DataFrame:
-    """(key, doc_id, node, fp, bands) for every row; node: hash of the set of shingles."""
+    """(key, doc_id, node, fp, more, blocks) for every row; node: hash of the set of shingles; fp, more: the wide fingerprint's
+    first words; blocks: its block keys, none without shingles."""
     small_batches(docs.sparkSession)
 
-    @F.pandas_udf("node long, fp long, bands array<long>")
+    @F.pandas_udf("node long, fp long, more long, blocks array<int>")
     def of(texts: pd.Series) -> pd.DataFrame:
         out = []
         for t in utf8(texts):
             h = np.unique(shingles(t, words))
             node = int(np.frombuffer(xxhash.xxh64_digest(h.tobytes()), ">i8")[0])
-            out.append((node, majority(h), minima(h)))
-        return pd.DataFrame(out, columns=["node", "fp", "bands"])
+            wide = wide_majority(h)
+            out.append((node, *wide[:2].view("<i8").tolist(), wide_blocks(wide).tolist() if len(h) else []))
+        return pd.DataFrame(out, columns=["node", "fp", "more", "blocks"])
 
     keyed = docs.select(row_key(docs).alias("key"), F.col(doc_id).alias("doc_id"), of(F.col(text)).alias("s"))
-    return keyed.select("key", "doc_id", "s.node", "s.fp", "s.bands")
+    return keyed.select("key", "doc_id", "s.node", "s.fp", "s.more", "s.blocks")
+
+
+def wide_forest(words: np.ndarray, bits: int) -> list[tuple[int, int]]:
+    """Index pairs that span every component of the links of at most ``bits`` bits; words: a row for each member.
+
+    Many members are compared with all that are left in one step; those near nobody are done with, and from the others a search
+    takes their components out, so a dense bucket costs little more than one pass over it.
+    """
+    found: list[tuple[int, int]] = []
+    left, alive = np.arange(len(words)), np.ones(len(words), bool)
+    apart = lambda u, v: np.bitwise_count(u ^ v).sum(axis=-1, dtype=np.int64)
+    while left.size > 1:
+        some = left[: max(1, CELLS // left.size)]
+        near = sum(np.bitwise_count(words[some, None, k] ^ words[None, left, k]) for k in range(words.shape[1])) <= bits
+        for seed in some[near.sum(axis=1) > 1].tolist():
+            if not alive[seed]:
+                continue
+            alive[seed] = False
+            queue, others = [seed], left[alive[left]]
+            while queue and others.size:
+                u = queue.pop()
+                close = apart(words[others], words[u]) <= bits
+                if close.any():
+                    hit = others[close].tolist()
+                    found += [(u, v) for v in hit]
+                    queue += hit
+                    alive[others[close]] = False
+                    others = others[~close]
+        alive[some] = False
+        left = left[alive[left]]
+    return found
 
 
 def odd_sketch(h: np.ndarray) -> bytes:
@@ -269,7 +320,7 @@ def odd_sketch(h: np.ndarray) -> bytes:
 
 
 class Bucket:
-    """Members that share a band: fingerprints, labels, numbers of shingles and odd sketches."""
+    """Members that share a block: fingerprints, labels, numbers of shingles and odd sketches."""
 
     def __init__(self, fps: np.ndarray, labels: np.ndarray, sizes: np.ndarray, sketches_: list[bytes], least: float):
         self.fps, self.labels, self.sizes, self.least = fps, labels, sizes, least
@@ -298,24 +349,6 @@ class Bucket:
             out.append(v[apart * (1 + self.least) <= (1 - self.least) * (self.sizes[v] + self.sizes[u]) + 1e-9])
         return np.concatenate(out) if out else others
 
-    def forest(self) -> list[tuple[int, int]]:
-        """Index pairs that span every component of the near pairs between different labels."""
-        found: list[tuple[int, int]] = []
-        left = np.arange(len(self.fps))
-        while left.size > 1:
-            same = self.labels[left] == self.labels[left[0]]
-            queue, left = list(left[same]), left[~same]
-            while queue and left.size:
-                u = queue.pop()
-                hit = self.near(u, left)
-                if hit.size:
-                    hit = hit[np.unique(self.labels[hit], return_index=True)[1]]
-                    found += [(int(u), int(v)) for v in hit]
-                    joined = np.isin(self.labels[left], self.labels[hit])
-                    queue += list(left[joined])
-                    left = left[~joined]
-        return found
-
     def pairs(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """All near index pairs between different labels; the commonest label is never searched from."""
         _, of, n = np.unique(self.labels, return_inverse=True, return_counts=True)
@@ -330,32 +363,24 @@ class Bucket:
                 yield np.full(v.size, u), v
 
 
-def candidates(members: DataFrame, least: float, forest: bool) -> DataFrame:
-    """Distinct (a, b), a < b, of nodes that share a bucket; members: (bucket, node, fp, label, size, sketch).
+def in_buckets(members: DataFrame, fields: tuple[str, ...], of_bucket: Callable[..., Iterator[tuple[np.ndarray, np.ndarray]]]) -> DataFrame:
+    """Distinct (a, b), a < b, of the pairs that ``of_bucket`` finds among the members of a bucket, given their ``fields``.
 
-    All near pairs of different labels, or a forest of them. Sketches leave little more than the pairs that are linked;
-    a bucket's members meet in one task, about a hundred bytes each.
+    members: bucket and ``fields``, longs or binaries; a bucket's members meet in one task.
     """
-    fields = ("bucket", "node", "fp", "label", "size")
-    dealt = members.repartition("bucket").sortWithinPartitions("bucket", "node").select(*fields, "sketch")
-
-    def of_bucket(node: np.ndarray, fp: np.ndarray, label: np.ndarray, size: np.ndarray, sketch: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        own = Bucket(fp, label, size, sketch, least)
-        if forest:
-            u, v = np.array(own.forest(), int).reshape(-1, 2).T
-            yield node[u], node[v]
-        else:
-            yield from ((node[u], node[v]) for u, v in own.pairs())
+    kinds = dict(members.select("bucket", *fields).dtypes)
+    dealt = members.select("bucket", *fields).repartition("bucket").sortWithinPartitions("bucket")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list = [np.empty(0, "i8"), np.empty(0, "i8"), np.empty(0, "u8"), np.empty(0, "i8"), np.empty(0, "i8"), []]
+        names = ("bucket", *fields)
+        held: list = [[] if kinds[c] == "binary" else np.empty(0, "i8") for c in names]
         parts: list[list] = []
 
         def out(n: int) -> Iterator[pa.RecordBatch]:
             starts = np.flatnonzero(np.r_[True, held[0][1:n] != held[0][: n - 1]]) if n else np.empty(0, int)
             sizes = np.diff(np.r_[starts, n])
             left, right, size = [np.empty(0, "i8")], [np.empty(0, "i8")], 0
-            for at, m in zip(starts[sizes > 1], sizes[sizes > 1], strict=True):
+            for at, m in zip(starts[sizes > 1].tolist(), sizes[sizes > 1].tolist(), strict=True):
                 for a, b in of_bucket(*(x[at : at + m] for x in held[1:])):
                     left.append(a)
                     right.append(b)
@@ -372,16 +397,13 @@ def candidates(members: DataFrame, least: float, forest: bool) -> DataFrame:
 
         def merge() -> None:
             nonlocal held, parts
-            columns = list(zip(held, *parts, strict=True))
-            held = [*(np.concatenate(x) for x in columns[:-1]), [s for x in columns[-1] for s in x]]
+            held = [[v for x in c for v in x] if kinds[name] == "binary" else np.concatenate(c) for name, c in zip(names, zip(held, *parts, strict=True), strict=True)]
             parts = []
 
         waiting = 0
         for batch in batches:
-            new = [batch.column(c).to_numpy(zero_copy_only=False) for c in fields]
-            new[2] = new[2].view("u8")
-            parts.append([*new, batch.column("sketch").to_pylist()])
-            waiting += len(new[0])
+            parts.append([batch.column(c).to_pylist() if kinds[c] == "binary" else batch.column(c).to_numpy(zero_copy_only=False) for c in names])
+            waiting += batch.num_rows
             if waiting > max(50_000, len(held[0])):
                 merge()
                 waiting = 0
@@ -394,6 +416,33 @@ def candidates(members: DataFrame, least: float, forest: bool) -> DataFrame:
     return dealt.mapInArrow(compare, "a long, b long").distinct()
 
 
+def near_links(prints: DataFrame, bits: int = NEAR_BITS) -> DataFrame:
+    """(a, b), a < b, of nodes that share a block and differ in at most ``bits`` bits of fp and more: a forest in each block.
+
+    prints: (node, fp, more, blocks). Blocks never yield all their pairs, however many near copies they hold.
+    """
+
+    def of_bucket(node: np.ndarray, fp: np.ndarray, more: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        if pairs := wide_forest(np.column_stack([fp, more]).view("u8"), bits):  # numpy counts the bits of a signed number's absolute value
+            u, v = np.array(pairs).T
+            yield node[u], node[v]
+
+    return in_buckets(prints.select("node", "fp", "more", F.explode("blocks").alias("bucket")), ("node", "fp", "more"), of_bucket)
+
+
+def candidates(members: DataFrame, least: float) -> DataFrame:
+    """(a, b), a < b, of nodes of different labels that share a block; members: (bucket, node, fp, label, size, sketch).
+
+    Sketches leave little more than the pairs that are linked.
+    """
+
+    def of_bucket(node: np.ndarray, fp: np.ndarray, label: np.ndarray, size: np.ndarray, sketch: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        if (label != label[0]).any():
+            yield from ((node[u], node[v]) for u, v in Bucket(fp.view("u8"), label, size, sketch, least).pairs())
+
+    return in_buckets(members, ("node", "fp", "label", "size", "sketch"), of_bucket)
+
+
 def verified(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     """The pairs whose sets of shingles, from ``sets`` (node, hashes), have a Jaccard similarity of ``least`` or more."""
 
@@ -413,17 +462,16 @@ def verified(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
 def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 5, least: float = 0.8) -> DataFrame:
     """(key, doc_id, label) for every row: rows linked by shingle similarities of ``least`` or more share a label.
 
-    Buckets are linked in two steps: forests of near pairs first, whose verified links make labels; then all near pairs of
-    different labels that still share a bucket are judged, so no pair goes unjudged because a forest took another one
-    for it.
+    Pairs come from the blocks and the Hamming check of wide fingerprints, in two steps: a forest of the near pairs of each block
+    first, whose verified links make labels; then, where a pair of the forest was no link, all pairs of different labels in the
+    components that it lies in are judged, so no pair goes unjudged because a forest took another one for it.
     """
     rows = table(sketches(docs, doc_id, text, words), "sketches")
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "key"))["key"].alias("key")
-    distinct = table(rows.groupBy("node").agg(F.min("fp").alias("fp"), F.min("bands").alias("bands"), first), "distinct")
-    placed = distinct.select("key", "node", "fp", F.explode("bands").alias("bucket"))
-    counts = placed.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
-    shared = table(placed.join(counts, "bucket").select("bucket", "node", "fp", "key"), "buckets")
-    needed = table(shared.select("node", "key").distinct(), "needed")
+    alike = [F.min(c).alias(c) for c in ("fp", "more", "blocks")]
+    distinct = table(rows.groupBy("node").agg(*alike, first), "distinct")
+    near = table(near_links(distinct), "near")
+    needed = table(near.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(distinct.select("node", "key"), "node"), "needed")
 
     @F.pandas_udf("size long, sketch binary, hashes binary")
     def set_of(texts: pd.Series) -> pd.DataFrame:
@@ -432,14 +480,17 @@ def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", wor
 
     keyed = docs.select(row_key(docs).alias("key"), F.col(text).alias("text")).join(sized(needed, 40), "key").dropDuplicates(["node"])
     sets = table(keyed.select("node", set_of("text").alias("s")).select("node", "s.size", "s.sketch", "s.hashes"), "sets")
-    members = table(shared.select("bucket", "node", "fp").join(sets.select("node", "size", "sketch"), "node"), "members")
-    edges = table(verified(candidates(members.withColumn("label", F.col("node")), least, forest=True), sets, least), "edges")
+    edges = table(verified(near, sets, least), "edges")
     label = components(edges)
-    now = members.join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    mixed = now.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("bucket")
-    more = table(verified(candidates(now.join(mixed, "bucket"), least, forest=False), sets, least), "edges")
-    if not more.isEmpty():
-        label = components(edges.union(more))
+    if not near.join(edges, ["a", "b"], "left_anti").isEmpty():
+        reach = components(near).withColumnRenamed("label", "reach")
+        now = table(reach.join(label, "node", "left").withColumn("label", F.coalesce("label", "node")), "now")
+        mixed = now.groupBy("reach").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("reach")
+        open_ = now.join(mixed, "reach", "left_semi").select("node", "label").join(sets.select("node", "size", "sketch"), "node")
+        members = distinct.select("node", "fp", F.explode("blocks").alias("bucket")).join(open_, "node")
+        more = table(verified(candidates(members, least), sets, least), "edges")
+        if not more.isEmpty():
+            label = components(edges.union(more))
     return rows.select("key", "doc_id", "node").join(label, "node", "left").select("key", "doc_id", F.coalesce("label", "node").alias("label"))
 
 

@@ -135,6 +135,43 @@ def test_sketches_never_rule_a_link_out():
         assert linked <= near and len(near) < 1.6 * len(linked) + 10
 
 
+def test_near_copies_meet_in_blocks_of_wide_fingerprints(spark):
+    """Links of near copies: within the bits allowed, with a block untouched, and spanning all such pairs; at similarity 0.8 nearly all have both."""
+    chance = np.random.default_rng(5)
+    some = lambda n: chance.integers(0, 1 << 64, n, dtype="u8")
+    sets = [some(n) for n in (1, 2, 40, 300)]
+    for h in sets:
+        assert simhash.wide_majority(h)[0].astype("<i8") == simhash.majority(h)
+    for n in (10, 50, 260):
+        for _ in range(40):
+            common, more = some(8 * n // 10), some(n - 8 * n // 10)
+            sets += [np.r_[common, more[::2]], np.r_[common, more[1::2]]]
+    prints = [simhash.wide_majority(h) for h in sets]
+    keys = [simhash.wide_blocks(w) for w in prints]
+    assert all(len(k) == 64 and (k >> 12 == np.arange(64)).all() for k in keys)
+    flips = np.packbits(np.arange(768) % 12 * 64 + np.arange(768) // 12 < 63, bitorder="little").view("<u8")  # one bit of each block but the last
+    assert np.bitwise_count(flips).sum() == 63 and (simhash.wide_blocks(prints[3] ^ flips) == keys[3]).tolist() == [False] * 63 + [True]
+    apart = lambda u, v: int(np.bitwise_count(prints[u][:2] ^ prints[v][:2]).sum())
+    near = {(u, v) for u in range(len(sets)) for v in range(u + 1, len(sets)) if apart(u, v) <= simhash.NEAR_BITS and (keys[u] == keys[v]).any()}
+    assert sum((u, u + 1) in near for u in range(4, len(sets), 2)) >= 119
+    words = np.array([w[:2] for w in prints])
+    found = simhash.wide_forest(words, simhash.NEAR_BITS)
+    assert all(apart(u, v) <= simhash.NEAR_BITS for u, v in found)
+    rows = [(u, *(int(x) for x in w[:2].view("<i8")), k.tolist()) for u, (w, k) in enumerate(zip(prints, keys, strict=True))]
+    got = {tuple(r) for r in simhash.near_links(spark.createDataFrame(rows, "node long, fp long, more long, blocks array<int>")).collect()}
+    assert got <= near and plain_labels(got, len(sets)) == plain_labels(near, len(sets))
+    dense = np.array([w ^ np.uint64(1 << int(chance.integers(64))) for w in [words[3]] * 2000])
+    assert len(simhash.wide_forest(dense, 4)) == 1999
+
+
+def plain_labels(pairs: set, n: int) -> list[int]:
+    label = list(range(n))
+    for _ in range(n):
+        for a, b in pairs:
+            label[a] = label[b] = min(label[a], label[b])
+    return label
+
+
 def test_deduplicate_finds_copies_from_similarity_08(spark):
     rng = random.Random(17)
     texts: dict[int, str] = {}
