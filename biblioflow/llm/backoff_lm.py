@@ -7,8 +7,9 @@ T(h) different tokens,
 
 and below the shortest history lies the base distribution (c(w) + 1/2) / (N + (V + 1) / 2). Every seen history is a state.
 A seen n-gram is an arc with the logarithm of its probability to the longest history that it ends with; where a state has no
-arc for a token, its failure arc leads to h' and costs log T(h) / (c(h) + T(h)). A text is read once, from left to right:
-the state is carried from token to token, and what arcs and failures cost is added up.
+arc for a token, its failure arc leads to h' and costs log T(h) / (c(h) + T(h)). An arc that is taken leads to a seen history,
+as the token is followed by another, so the state before a token is always the longest seen history that the text has there: all tokens
+are read at once, failure by failure, and what arcs and failures cost is added up for each text.
 
 The automaton grows with the corpus, so nobody holds all of it:
 
@@ -30,7 +31,6 @@ other columns are left aside, whatever their names.
 from __future__ import annotations
 
 import math
-from array import array
 from collections.abc import Iterator
 from functools import partial
 
@@ -87,20 +87,35 @@ def counts_of(data: bytes, n: int) -> np.ndarray:
     return np.frombuffer(raw, "<u4" if len(raw) == 4 * n else "<u8").astype(np.int64)
 
 
+def histories_of(words: np.ndarray, tokens: np.ndarray, lengths: np.ndarray, order: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """For each level the history of every token, and the places of the tokens that have one of that level."""
+    starts = np.cumsum(lengths) - lengths
+    at = np.arange(len(tokens)) - np.repeat(starts, lengths)
+    before = np.r_[BEGIN, words[tokens[:-1]]]
+    before[starts] = BEGIN
+    histories, places = [before], [np.arange(len(tokens))]
+    for k in range(1, order - 1):  # of k + 1 tokens, from the k before the last one
+        longer = np.r_[np.uint64(0), mixed(histories[-1][:-1], before[1:] + np.uint64(k))]
+        histories.append(longer)
+        places.append(np.flatnonzero(at >= k))
+    return histories, places
+
+
+def frequent(words: np.ndarray, tokens: np.ndarray, lengths: np.ndarray, order: int, least: float) -> list[tuple[int, int]]:
+    """(history, times) of the histories that occur ``least`` times or more; those of one token are counted as tokens but the last."""
+    times = np.bincount(tokens, minlength=len(words)) - np.bincount(tokens[np.cumsum(lengths) - 1], minlength=len(words))
+    found = [(np.r_[words, BEGIN], np.r_[times, len(lengths)])]
+    if order > 2:
+        found += [np.unique(h[p], return_counts=True) for h, p in list(zip(*histories_of(words, tokens, lengths, order), strict=True))[1:]]
+    return [(int(h), int(n)) for of, times in found for h, n in zip(of[times >= least].astype(np.int64), times[times >= least], strict=True)]
+
+
 class Grams:
     """A block's n-grams: for each history, in order of hash, the different tokens after it."""
 
     def __init__(self, words: np.ndarray, tokens: np.ndarray, lengths: np.ndarray, order: int):
         """words: hashes, in order; tokens: places in ``words`` of all texts' tokens; lengths: tokens of each text."""
-        starts = np.cumsum(lengths) - lengths
-        at = np.arange(len(tokens)) - np.repeat(starts, lengths)
-        before = np.r_[BEGIN, words[tokens[:-1]]]
-        before[starts] = BEGIN
-        histories, places = [before], [np.arange(len(tokens))]
-        for k in range(1, order - 1):  # of k + 1 tokens, from the k before the last one
-            longer = np.r_[np.uint64(0), mixed(histories[-1][:-1], before[1:] + np.uint64(k))]
-            histories.append(longer)
-            places.append(np.flatnonzero(at >= k))
+        histories, places = histories_of(words, tokens, lengths, order)
         self.width = len(words)
         all_ = np.concatenate([h[p] for h, p in zip(histories, places, strict=True)])
         self.histories, history = np.unique(all_, return_inverse=True)
@@ -134,22 +149,14 @@ class Grams:
 
 
 class Automaton:
-    """States (the seen histories) with arcs, failure arcs and their logarithms, for the n-grams of a block."""
+    """States (the seen histories) with arcs (the n-grams that were learned), failure arcs and their logarithms, for a block."""
 
-    def __init__(self, grams: Grams, words: np.ndarray, counts: np.ndarray, seen: np.ndarray, kinds: np.ndarray, base: np.ndarray):
+    def __init__(self, grams: Grams, counts: np.ndarray, seen: np.ndarray, kinds: np.ndarray, base: np.ndarray):
         """counts: of each n-gram; seen, kinds: c and T of each history; base: probability of each word."""
-        levels, n = grams.levels, len(grams.histories)
-        shorter = np.full(n, -1, np.int64)  # the history without its oldest token
-        longer = np.full(len(grams.keys), -1, np.int64)  # the history that an n-gram ends with
-        first = 0
-        for k, p in enumerate(grams.places):
-            if k:
-                shorter[grams.of[k][p]] = grams.of[k - 1][p]
-            inner = p[p + 1 < len(grams.of[0])]
-            nxt = grams.of[min(k + 1, len(grams.of) - 1)][inner + 1]
-            longer[grams.inverse[first : first + len(p)][: len(inner)]] = nxt
-            first += len(p)
-        self.root = n
+        levels = grams.levels
+        shorter = np.full(len(grams.histories), -1, np.int64)  # the history without its oldest token
+        for k, places in enumerate(grams.places[1:], 1):
+            shorter[grams.of[k][places]] = grams.of[k - 1][places]
         p = np.zeros(len(grams.keys))
         order = np.argsort(levels[grams.history], kind="stable")
         for k in range(len(grams.of)):  # the longer from the shorter
@@ -161,39 +168,31 @@ class Automaton:
                 below = p[at]
             total = seen[h] + kinds[h]
             p[own] = np.where(total > 0, (counts[own] + kinds[h] * below) / np.maximum(total, 1), below)
-        live = counts > 0
-        target = np.where(longer >= 0, longer, n)
-        target = np.where(np.r_[seen, 1][target] > 0, target, n)
-        self.arcs = {k: i for i, k in enumerate(grams.keys[live].tolist())}
-        self.target, self.weight = array("q", target[live].tobytes()), array("d", np.log10(p[live]).tobytes())
-        up = np.where(shorter >= 0, shorter, n)
-        self.failure = np.where(np.r_[seen, 1][up] > 0, up, n).tolist()
-        self.cost = np.log10(np.where(seen > 0, kinds, 1) / np.maximum(seen + kinds, 1)).tolist()
-        starts = np.searchsorted(grams.histories, words)
-        known = np.minimum(starts, max(0, n - 1))
-        found = (grams.histories[known] == words) & (seen[known] > 0) if n else np.zeros(len(words), bool)
-        self.from_root = np.where(found, known, n).tolist()
-        self.base = np.log10(base).tolist()
-        self.width = grams.width
-        begin = np.searchsorted(grams.histories, BEGIN)
-        self.start = int(begin) if begin < n and grams.histories[begin] == BEGIN and seen[begin] > 0 else n
-
-    def score(self, tokens: list[int]) -> float:
-        """One pass over a text's tokens that carries the state."""
-        arcs, target, weight, failure, cost, width, root, state = self.arcs, self.target, self.weight, self.failure, self.cost, self.width, self.root, self.start
-        spent = []
-        for w in tokens:
-            while state != root:
-                if (arc := arcs.get(state * width + w)) is not None:
-                    spent.append(weight[arc])
-                    state = target[arc]
-                    break
-                spent.append(cost[state])
-                state = failure[state]
-            else:
-                spent.append(self.base[w])
-                state = self.from_root[w]
-        return math.fsum(spent)
+        self.grams, self.live, self.states = grams, counts > 0, seen > 0
+        self.weight = np.log10(p)
+        self.cost = np.log10(np.where(seen > 0, kinds, 1) / np.maximum(seen + kinds, 1))
+        self.base = np.log10(base)
+
+    def spent(self, tokens: np.ndarray) -> np.ndarray:
+        """A row for each token: what its failures and then its arc, or the base, cost; zero where it needs none.
+
+        Every token starts in the state of its longest history and fails down to the first one that has an arc for it.
+        """
+        grams, end = self.grams, len(self.grams.inverse)
+        out = np.zeros((len(tokens), len(grams.places) + 1))
+        waiting = np.ones(len(tokens), bool)
+        for k in reversed(range(len(grams.places))):
+            at = grams.places[k]
+            arc = grams.inverse[end - len(at) : end]
+            end -= len(at)
+            state = grams.history[arc]
+            here = waiting[at] & self.states[state]
+            at, arc, state = at[here], arc[here], state[here]
+            found = self.live[arc]
+            out[at, k] = np.where(found, self.weight[arc], self.cost[state])
+            waiting[at[found]] = False
+        out[waiting, -1] = self.base[tokens[waiting]]
+        return out
 
 
 def coded(rows: list[tuple]) -> dict:
@@ -220,10 +219,8 @@ def blocks(docs: DataFrame, eligible: Column, doc_id: str, text: str, order: int
 
     def made(block: int, ids: list[pa.Array], held: list[tuple]) -> pa.RecordBatch:
         c = coded(held)
-        grams = Grams(c["words"], c["tokens"].astype(np.int64), c["lengths"].astype(np.int64), order)
-        times = np.bincount(np.concatenate([o[o >= 0] for o in grams.of]), minlength=len(grams.histories))
-        often = np.flatnonzero(times >= max(2, len(c["tokens"]) * HOT / 2))
-        hot = [{"history": int(grams.histories[k].astype(np.int64)), "times": int(times[k])} for k in often]
+        often = frequent(c["words"], c["tokens"].astype(np.int64), c["lengths"].astype(np.int64), order, max(2, len(c["tokens"]) * HOT / 2))
+        hot = [{"history": h, "times": n} for h, n in often]
         own = pa.concat_arrays(ids)
         return pa.RecordBatch.from_pydict({
             "block": pa.array([block], pa.int64()),
@@ -363,16 +360,16 @@ def scored(docs: DataFrame, eligible: Column, doc_id: str = "doc_id", text: str
         c[found] = seen[place[found]]
         c[words == END] = n_ends
         base = (c + 0.5) / (total + 0.5 * (different + 1))
-        automaton = Automaton(g, words, counts, seen, kinds, base)
-        logs, known, starts = np.log10(base).tolist(), c > 0, np.cumsum(lengths) - lengths
-        each = lambda f: [f(tokens[a : a + m].tolist()) for a, m in zip(starts.tolist(), lengths.tolist(), strict=True)]
+        automaton = Automaton(g, counts, seen, kinds, base)
+        known, starts = c > 0, np.cumsum(lengths) - lengths
+        each = lambda of: [math.fsum(of[a : a + m].ravel().tolist()) for a, m in zip(starts.tolist(), lengths.tolist(), strict=True)]
         return pa.table({
             "doc_id": own.column("ids").combine_chunks().flatten(),
             "n_tokens": pa.array(lengths, pa.int64()),
             "n_known": pa.array(np.add.reduceat(known[tokens].astype(np.int64), starts), pa.int64()),
             "train_tokens": pa.array([total] * len(lengths), pa.int64()),
-            "base_score": pa.array(each(lambda t: math.fsum(map(logs.__getitem__, t))), pa.float64()),
-            "score": pa.array(each(automaton.score), pa.float64()),
+            "base_score": pa.array(each(automaton.base[tokens]), pa.float64()),
+            "score": pa.array(each(automaton.spent(tokens)), pa.float64()),
         })
 
     kind = T.StructType().add("doc_id", id_type).add("n_tokens", "long").add("n_known", "long").add("train_tokens", "long").add("base_score", "double").add("score", "double")

@@ -214,3 +214,32 @@ def test_new_queries_on_the_supplied_tables(spark):
     assert sum(s for s, _ in out) > sum(b for _, b in out)  # the model says more of unseen documents than word counts do
     vectors = [(r["vec_id"], list(r["embedding"])) for r in spark.read.parquet(f"{FOLDER}/embeddings.parquet").collect()]
     whitened_as(QUERIES["op12_whitening"](spark, FOLDER).collect(), vectors)
+
+
+def test_frequent_histories_and_costs_are_found_without_reading_token_by_token():
+    """Against plain counts and a walk that carries the state from token to token."""
+    chance = np.random.default_rng(3)
+    for order in (2, 3):
+        words = np.unique(np.r_[chance.integers(1, 1 << 63, 7, dtype="u8"), backoff_lm.END])
+        end = int(np.searchsorted(words, backoff_lm.END))
+        texts = [[*(int(x) for x in chance.integers(0, len(words), n) if x != end), end] for n in (0, 1, 5, 40, 200)]
+        tokens, lengths = np.array([x for t in texts for x in t]), np.array([len(t) for t in texts])
+        g = backoff_lm.Grams(words, tokens, lengths, order)
+        times = np.bincount(np.concatenate([o[o >= 0] for o in g.of]), minlength=len(g.histories))
+        want = {(int(h.astype(np.int64)), int(n)) for h, n in zip(g.histories, times, strict=True) if n >= 9}
+        assert set(backoff_lm.frequent(words, tokens, lengths, order, 9)) == want and len(want) > 3
+        counts, seen = g.seen(np.repeat(np.array([True, True, False, True, False]), lengths))
+        kinds = np.bincount(g.history[counts > 0], minlength=len(g.histories))
+        automaton = backoff_lm.Automaton(g, counts, seen, kinds, np.linspace(0.05, 0.2, len(words)))
+        got, arcs = automaton.spent(tokens), {(int(g.history[k]), int(g.word[k])): k for k in np.flatnonzero(counts)}
+        for at, w in enumerate(tokens.tolist()):
+            spent, of = [], [int(o[at]) for o in g.of if o[at] >= 0]
+            for state in reversed(of):
+                if seen[state]:
+                    if (arc := arcs.get((state, w))) is not None:
+                        spent.append(automaton.weight[arc])
+                        break
+                    spent.append(automaton.cost[state])
+            else:
+                spent.append(automaton.base[w])
+            assert sorted(x for x in got[at] if x) == sorted(spent)
