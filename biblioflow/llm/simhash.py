@@ -8,7 +8,8 @@ copies it holds, and no link between different components is lost. Exact copies
 
 Near copies in the sense of a Jaccard similarity (``near_copies``) go the same way with a wide fingerprint, of WIDE_BLOCKS
 blocks: texts whose wide fingerprints leave a block untouched meet there, the Hamming check looks at the fingerprint's first
-128 bits, what it leaves is judged on the shingles themselves, and the links judged make the components.
+128 bits and then at 256 (of fewer, unrelated texts pass by chance, as the square of their number), what it leaves is judged on the
+shingles themselves, and the links judged make the components.
 
 Defined cases: a null text and a text without words have fingerprint zero, which links like any other; a text of
 fewer words than a shingle is one shingle; rows may repeat (each gets its row in the result); a null doc_id never
@@ -42,8 +43,11 @@ LARGE_BUCKET, FINE_BLOCKS = 4096, 9
 #: block untouched; at similarity 0.8, where each differs with probability 0.15, one is with probability 0.9999.
 WIDE, WIDE_BLOCKS = 12, 64
 WIDE_FACTORS = np.array([(0x9E3779B97F4A7C15 * (2 * k + 1)) % (1 << 64) for k in range(WIDE)], "u8")
-#: Differing bits of the first two words up to which texts in a block are judged on their shingles (about 19 at similarity 0.8), and of the first.
-NEAR_BITS, WIDE_BITS = 38, 24
+#: Words of a wide fingerprint that the Hamming check reads.
+HELD = ("fp", "more", "third", "fourth")
+#: Differing bits of the first two words and of the four of HELD up to which texts in a block are judged on their shingles (about 19 and 39 at
+#: similarity 0.8, 64 and 128 between unrelated texts), and of the first word.
+NEAR_BITS, HELD_BITS, WIDE_BITS = 42, 72, 24
 #: Pairs that the Hamming check of a block looks at in one step.
 CELLS = 1 << 18
 #: Shingles for a word of an odd sketch, and its fewest words.
@@ -202,24 +206,37 @@ def links(distinct: DataFrame, bits: int = 4, blocks: int | None = None) -> Data
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """(node, label): the smallest node that each node of ``edges`` (a, b) reaches.
+    """(node, label): a node of its component, the same one for all its nodes, for each node of ``edges`` (a, b).
 
-    Every round takes the smallest label among the neighbours and then jumps to the label's own label, so the
-    distance covered doubles; each round is a table in the shared folder and replaces the one before. The joins meet
-    many rows of one node or label with a single row of it, so adaptive execution can split them.
+    Every round takes each node into the least of its neighbours and itself, then into what that one was taken into, and goes on with the
+    links between what these have become, so only links that still join two are read again. Nodes are compared with some bits turned, other ones each round, so that no numbering
+    of them makes a long chain shrink by its end alone. Links are tables in the shared folder, each replacing the one before. The joins meet
+    many rows of one node with a single row of it, so adaptive execution can split them.
     """
-    both = table(edges.select(F.col("a").alias("node"), F.col("b").alias("other")).union(edges.select("b", "a")), "links")
-    labels = table(both.groupBy("node").agg(F.least(F.col("node"), F.min("other")).alias("label")), "labels")
+    left, rounds = table(edges.select("a", "b"), "links"), []
     while True:
-        near = both.join(labels.select(F.col("node").alias("other"), "label"), "other").groupBy("node").agg(F.min("label").alias("near"))
-        hooked = labels.join(near, "node").select("node", F.col("label").alias("was"), F.least("label", "near").alias("label"))
-        owner = labels.select(F.col("node").alias("label"), F.col("label").alias("root"))
-        after = table(hooked.join(owner, "label").select("node", F.least("label", "root").alias("label"), (F.col("was") != F.least("label", "root")).alias("moved")), "labels")
-        release(labels)
-        labels = after
-        if after.where("moved").isEmpty():
-            release(both)
-            return labels.select("node", "label")
+        turned = lambda c: F.col(c).bitwiseXOR(F.lit((0x9E3779B97F4A7C15 * (len(rounds) + 1) & (1 << 64) - 1) - (1 << 63)))  # noqa: B023, E731
+        both = left.select(turned("a").alias("node"), turned("b").alias("other")).union(left.select(turned("b"), turned("a")))
+        taken = both.groupBy("node").agg(F.least(F.col("node"), F.min("other")).alias("label"))
+        further = taken.join(taken.select(F.col("node").alias("label"), F.col("label").alias("root")), "label")
+        rounds.append(table(further.select(turned("node").alias("node"), turned("root").alias("label")), "labels"))
+        side = lambda c: rounds[-1].select(F.col("node").alias(c), F.col("label").alias(f"of_{c}"))
+        met = left.join(side("a"), "a").join(side("b"), "b").where("of_a <> of_b")
+        after = table(met.select(F.least("of_a", "of_b").alias("a"), F.greatest("of_a", "of_b").alias("b")).distinct(), "links")
+        release(left)
+        left = after
+        if left.isEmpty():
+            release(left)
+            break
+    label = rounds[-1]
+    for before in rounds[-2::-1]:
+        whole = before.join(label.select(F.col("node").alias("label"), F.col("label").alias("root")), "label", "left")
+        label = whole.select("node", F.coalesce("root", "label").alias("label"))
+    if len(rounds) > 1:
+        label = table(label, "labels")
+        for before in rounds:
+            release(before)
+    return label
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 4, seed: int = 42, bits: int = 4, blocks: int | None = None) -> DataFrame:
@@ -258,44 +275,55 @@ def wide_blocks(words: np.ndarray) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, doc_id: str, text: str, words: int) -> DataFrame:
-    """(key, doc_id, node, fp, more, blocks) for every row; node: hash of the set of shingles; fp, more: the wide fingerprint's
+    """(key, doc_id, node, HELD, blocks) for every row; node: hash of the set of shingles; HELD: the wide fingerprint's
     first words; blocks: its block keys, none without shingles."""
     small_batches(docs.sparkSession)
 
-    @F.pandas_udf("node long, fp long, more long, blocks array<int>")
+    @F.pandas_udf(f"node long, {' long, '.join(HELD)} long, blocks array<int>")
     def of(texts: pd.Series) -> pd.DataFrame:
         out = []
         for t in utf8(texts):
             h = np.unique(shingles(t, words))
             node = int(np.frombuffer(xxhash.xxh64_digest(h.tobytes()), ">i8")[0])
             wide = wide_majority(h)
-            out.append((node, *wide[:2].view("<i8").tolist(), wide_blocks(wide).tolist() if len(h) else []))
-        return pd.DataFrame(out, columns=["node", "fp", "more", "blocks"])
+            out.append((node, *wide[: len(HELD)].view("<i8").tolist(), wide_blocks(wide).tolist() if len(h) else []))
+        return pd.DataFrame(out, columns=["node", *HELD, "blocks"])
 
     keyed = docs.select(row_key(docs).alias("key"), F.col(doc_id).alias("doc_id"), of(F.col(text)).alias("s"))
-    return keyed.select("key", "doc_id", "s.node", "s.fp", "s.more", "s.blocks")
+    return keyed.select("key", "doc_id", "s.*")
 
 
-def wide_forest(words: np.ndarray, bits: int) -> list[tuple[int, int]]:
-    """Index pairs that span every component of the links of at most ``bits`` bits; words: a row for each member.
+def wide_forest(words: np.ndarray, bits: int, held_bits: int = 64 * len(HELD)) -> list[tuple[int, int]]:
+    """Index pairs that span every component of the links of at most ``bits`` bits in the first two words and ``held_bits`` in all.
+
+    words: a row for each member.
 
     Many members are compared with all that are left in one step; those near nobody are done with, and from the others a search
     takes their components out, so a dense bucket costs little more than one pass over it.
     """
     found: list[tuple[int, int]] = []
     left, alive = np.arange(len(words)), np.ones(len(words), bool)
-    apart = lambda u, v: np.bitwise_count(u ^ v).sum(axis=-1, dtype=np.int64)
+
+    def near(u: np.ndarray, v: np.ndarray) -> np.ndarray:
+        n = np.bitwise_count(u ^ v)
+        return (n[:, :2].sum(axis=1, dtype=np.int64) <= bits) & (n.sum(axis=1, dtype=np.int64) <= held_bits)
+
     while left.size > 1:
         some = left[: max(1, CELLS // left.size)]
-        near = sum(np.bitwise_count(words[some, None, k] ^ words[None, left, k]) for k in range(words.shape[1])) <= bits
-        for seed in some[near.sum(axis=1) > 1].tolist():
+        close = sum(np.bitwise_count(words[some, None, k] ^ words[None, left, k]) for k in range(2)) <= bits
+        seeds: list[int] = []
+        if np.count_nonzero(close) > some.size:  # each is near itself
+            u, v = np.nonzero(close)
+            u, v = u[u != v], v[u != v]  # some are the first of those left
+            seeds = some[np.unique(u[near(words[some[u]], words[left[v]])])].tolist()
+        for seed in seeds:
             if not alive[seed]:
                 continue
             alive[seed] = False
             queue, others = [seed], left[alive[left]]
             while queue and others.size:
                 u = queue.pop()
-                close = apart(words[others], words[u]) <= bits
+                close = near(words[others], words[u])
                 if close.any():
                     hit = others[close].tolist()
                     found += [(u, v) for v in hit]
@@ -416,18 +444,19 @@ def in_buckets(members: DataFrame, fields: tuple[str, ...], of_bucket: Callable[
     return dealt.mapInArrow(compare, "a long, b long").distinct()
 
 
-def near_links(prints: DataFrame, bits: int = NEAR_BITS) -> DataFrame:
-    """(a, b), a < b, of nodes that share a block and differ in at most ``bits`` bits of fp and more: a forest in each block.
+def near_links(prints: DataFrame, bits: int = NEAR_BITS, held_bits: int = HELD_BITS) -> DataFrame:
+    """(a, b), a < b, of nodes that share a block and differ in at most ``bits`` bits of fp and more and ``held_bits`` of HELD: a forest in each block.
 
-    prints: (node, fp, more, blocks). Blocks never yield all their pairs, however many near copies they hold.
+    prints: (node, HELD, blocks), of HELD at least the first two. Blocks never yield all their pairs, however many near copies they hold.
     """
+    held = [c for c in HELD if c in prints.columns]
 
-    def of_bucket(node: np.ndarray, fp: np.ndarray, more: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        if pairs := wide_forest(np.column_stack([fp, more]).view("u8"), bits):  # numpy counts the bits of a signed number's absolute value
+    def of_bucket(node: np.ndarray, *words: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        if pairs := wide_forest(np.column_stack(words).view("u8"), bits, held_bits):  # numpy counts the bits of a signed number's absolute value
             u, v = np.array(pairs).T
             yield node[u], node[v]
 
-    return in_buckets(prints.select("node", "fp", "more", F.explode("blocks").alias("bucket")), ("node", "fp", "more"), of_bucket)
+    return in_buckets(prints.select("node", *held, F.explode("blocks").alias("bucket")), ("node", *held), of_bucket)
 
 
 def candidates(members: DataFrame, least: float) -> DataFrame:
@@ -463,12 +492,12 @@ def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", wor
     """(key, doc_id, label) for every row: rows linked by shingle similarities of ``least`` or more share a label.
 
     Pairs come from the blocks and the Hamming check of wide fingerprints, in two steps: a forest of the near pairs of each block
-    first, whose verified links make labels; then, where a pair of the forest was no link, all pairs of different labels in the
-    components that it lies in are judged, so no pair goes unjudged because a forest took another one for it.
+    first, whose verified links make labels; then, where a pair of the forest was no link, all pairs of different labels that such pairs
+    connect and that share a block are judged, so no pair goes unjudged because a forest took another one for it.
     """
     rows = table(sketches(docs, doc_id, text, words), "sketches")
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "key"))["key"].alias("key")
-    alike = [F.min(c).alias(c) for c in ("fp", "more", "blocks")]
+    alike = [F.min(c).alias(c) for c in (*HELD, "blocks")]
     distinct = table(rows.groupBy("node").agg(*alike, first), "distinct")
     near = table(near_links(distinct), "near")
     needed = table(near.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(distinct.select("node", "key"), "node"), "needed")
@@ -482,16 +511,19 @@ def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", wor
     sets = table(keyed.select("node", set_of("text").alias("s")).select("node", "s.size", "s.sketch", "s.hashes"), "sets")
     edges = table(verified(near, sets, least), "edges")
     label = components(edges)
-    if not near.join(edges, ["a", "b"], "left_anti").isEmpty():
-        reach = components(near).withColumnRenamed("label", "reach")
-        now = table(reach.join(label, "node", "left").withColumn("label", F.coalesce("label", "node")), "now")
-        mixed = now.groupBy("reach").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("reach")
-        open_ = now.join(mixed, "reach", "left_semi").select("node", "label").join(sets.select("node", "size", "sketch"), "node")
-        members = distinct.select("node", "fp", F.explode("blocks").alias("bucket")).join(open_, "node")
-        more = table(verified(candidates(members, least), sets, least), "edges")
-        if not more.isEmpty():
-            label = components(edges.union(more))
-    return rows.select("key", "doc_id", "node").join(label, "node", "left").select("key", "doc_id", F.coalesce("label", "node").alias("label"))
+    labelled = lambda df: df.join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    found = labelled(rows.select("key", "doc_id", "node"))
+    between = lambda pairs: pairs.join(label.toDF("a", "of_a"), "a", "left").join(label.toDF("b", "of_b"), "b", "left").select(F.coalesce("of_a", "a").alias("a"), F.coalesce("of_b", "b").alias("b")).where("a <> b").distinct()
+    apart = table(between(near.join(edges, ["a", "b"], "left_anti")), "apart")
+    if not apart.isEmpty():
+        reach = table(components(apart).toDF("label", "reach"), "reach")
+        open_ = labelled(sets.select("node", "size", "sketch")).join(sized(reach, 16), "label")
+        members = open_.join(distinct.select("node", "fp", "blocks"), "node").withColumn("block", F.explode("blocks"))
+        again = table(between(verified(candidates(members.withColumn("bucket", F.xxhash64("reach", "block")), least), sets, least)), "again")
+        if not again.isEmpty():
+            joined = table(components(again).toDF("label", "now"), "joined")
+            found = found.join(sized(joined, 16), "label", "left").withColumn("label", F.coalesce("now", "label"))
+    return found.select("key", "doc_id", "label")
 
 
 def deduplicate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
