@@ -60,6 +60,44 @@ def test_overmerged_profiles_by_score(spark, seed):
     assert len(got) == len(set(got)) and set(got) == want and {a for a, _, _ in want} >= {0, 1, 2, 4}
 
 
+def varied_works(chance):
+    """Works of authors of 6 to 90 works, with nulls in and for sets, identifiers and names, and members listed twice."""
+    rows = []
+    for a in range(8):
+        names = ["Ann Lee", "A Lee", "Ann B Lee", "Lee Ann", "A. B. Lee", "Bo Lin", "", None] if a % 2 else NAMES
+        for k in range((6, 12, 30, 90)[a % 4]):
+            orcid = chance.choice("AB") if k % 5 < 2 else chance.choice(["", None])
+            drawn = [[chance.choice([*range(6), None]) for _ in range(chance.randrange(4))] for _ in range(6)]
+            texts = [None if chance.random() < 0.1 else [chance.choice(["x", "y", "z", None]) for _ in range(chance.randrange(4))] for _ in range(2)]
+            i, c, r, t, s, f = (None if chance.random() < 0.1 else d for d in drawn)
+            rows.append((a, f"{k}_{a}", orcid, chance.choice(names[:4] if orcid and a % 2 else names), i, texts[0], c, r, texts[1], t, s, f))
+    return rows
+
+
+@pytest.mark.parametrize("members", [0, 150, 4096])
+def test_rounds_in_a_stream_and_by_joins_give_the_same(spark, members):
+    rows = varied_works(random.Random(members))
+    given = spark.createDataFrame(rows, KINDS)
+    got = [tuple(r) for r in identifiers.reassigned(given, spark.createDataFrame([(6,)], "author_id long"), members=members).collect()]
+    none = [tuple([x for x in c or [] if x is not None] if k > 3 else c or "" if k > 1 else c for k, c in enumerate(r)) for r in rows]
+    want = plain.reassigned(spark.createDataFrame(none, KINDS).collect(), {6})
+    assert len(got) == len(set(got)) and set(got) == want and len({a for a, _, _ in want}) > 3
+
+
+def test_authors_of_few_works_make_no_postings(spark, monkeypatch):
+    """Their works are dealt once; before, each of three rounds exchanged every member of every set three times."""
+    def made(*_):
+        raise AssertionError("postings")
+
+    monkeypatch.setattr(identifiers, "shared_weights", made)
+    works = spark.createDataFrame(varied_works(random.Random(5)), KINDS)
+    none = spark.createDataFrame([], "author_id long")
+    assert identifiers.reassigned(works, none).count() > 0
+    with pytest.raises(AssertionError, match="postings"):
+        identifiers.reassigned(works, none, members=150)
+    assert identifiers.reassigned(works.limit(0), none).count() == 0
+
+
 def test_an_author_of_very_many_names(spark):
     """100,000 different names, half of them with the same initials."""
     word = lambda k: "".join("aeiou"[k // 5**i % 5] for i in range(8))
