@@ -14,7 +14,7 @@ from biblioflow.operators import authors
 from biblioflow.operators.citations import redirected
 from biblioflow.operators.diff import NULL_BUCKET, TOMBSTONE
 from biblioflow.operators.evidence import SETS
-from biblioflow.operators.nearest import PART, leading_authors
+from biblioflow.operators.nearest import PART, gathered, leading_among
 from biblioflow.sources.stages import releasing, staged
 
 #: Coefficients of the pair score over the feature vector; the intercept comes first.
@@ -206,8 +206,8 @@ def cascade(works: DataFrame, current: DataFrame, last_id: int, requests: DataFr
     merges = none("merge_from_id long, merge_to_id long") if merges is None else merges
     frozen = none("author_id long") if frozen is None else frozen
     splits = none("request string, work_author_id string") if splits is None else splits
-    concepts = F.array_sort(F.filter(F.coalesce("concepts", F.array().cast("array<bigint>")), lambda x: ~x.isin(*ROOT_CONCEPTS)))
-    lists = {"coauthors": coauthor_keys(F.col("coauthors")), "concepts": concepts, **{c: F.array_sort(F.coalesce(c, F.array().cast("array<bigint>"))) for c in ("institutions", "citations")}}
+    concepts = F.sort_array(F.filter(F.coalesce("concepts", F.array().cast("array<bigint>")), lambda x: ~x.isin(*ROOT_CONCEPTS)))
+    lists = {"coauthors": coauthor_keys(F.col("coauthors")), "concepts": concepts, **{c: F.sort_array(F.coalesce(c, F.array().cast("array<bigint>"))) for c in ("institutions", "citations")}}
     named = usable(F.col("author"))
     empty = [F.count_if(F.size(c) == 0).alias(f"without {c}") for c in SETS]
     rows = observed(works.withColumns(lists).withColumn("orcid", F.coalesce("orcid", F.lit(""))).withColumn("named", named), "works", "input", *empty, F.count_if(F.col("orcid") == "").alias("without orcid"))
@@ -231,12 +231,13 @@ def cascade(works: DataFrame, current: DataFrame, last_id: int, requests: DataFr
     if removed is not None:
         fresh = fresh.join(removed.select("paper_id", F.lit(True).alias("_barred")).distinct(), "paper_id", "left")
         alone = F.when(F.col("_barred"), F.col("work_author_id")).otherwise(F.lit(""))
+    fresh = staged(fresh, "fresh")
     profile = fresh.select("work_author_id", *PROFILE, alone.alias("_alone"))
     groups = staged(collapsed(profile, "work_author_id", [*PROFILE, "_alone"]).select("work_author_id", "members"), "groups")
     left = fresh.join(groups.select("work_author_id"), "work_author_id", "left_semi").drop("named", "_barred")
     left = staged(left.select(*[F.col(c).alias(f"{c}_1") for c in left.columns]), "left")
 
-    def round_(name: str, given: DataFrame) -> None:
+    def round_(name: str, given: DataFrame) -> DataFrame:
         nonlocal clusters, left, counts
         given = observed(given.select(F.col("work_author_id_1").alias("work_author_id"), "author_id"), "given", name)
         clusters = clusters.unionByName(how(given, name))
@@ -244,6 +245,7 @@ def cascade(works: DataFrame, current: DataFrame, last_id: int, requests: DataFr
             more = observed(authors.counted(given, rows), "gained", name)
             counts = staged(authors.added(counts, more), "counts")
         left = left.join(given.select(F.col("work_author_id").alias("work_author_id_1")), "work_author_id_1", "left_anti")
+        return given
 
     def allowed(met: DataFrame) -> DataFrame:
         if removed is None:
@@ -254,15 +256,21 @@ def cascade(works: DataFrame, current: DataFrame, last_id: int, requests: DataFr
     if bar_always:
         matches = allowed(matches.join(left.select("work_author_id_1", "paper_id_1"), "work_author_id_1"))
     round_("identifier", matches)
+    block = F.xxhash64("_block", "_letter").alias("group")
+    known = counts.select("author_id", "author").distinct()
+    own = staged(known.join(taken_apart(known, "author").select("author", block), "author").select("author_id", "group").distinct(), "author_groups")
+    looked_up = ("work_author_id", "paper_id", "author", *SETS)
+    # written once: the rounds by name add members whose names their authors have, so no author comes into another block
+    members = staged(gathered(clusters, rows.select(*looked_up), own), "members")
     for name in ("name", "name again", "compatible"):
         parts = staged(taken_apart(left.select("author_1"), "author_1"), "new_names")
         known = counts.select("author_id", "author")
         matches = block_matches(parts.select("author_1"), known.distinct()) if name == "compatible" else known.withColumnRenamed("author", "author_1").distinct()
-        blocks = parts.select("author_1", F.concat_ws(" ", "_block", "_letter").alias("group"))
-        given = ("work_author_id", "paper_id", "author", *SETS)
-        found = leading_authors(matches, blocks, left.select(*[F.col(f"{c}_1").alias(c) for c in given]), clusters, rows.select(*given), counts, CANDIDATES, removed, crowd)
+        asking = left.select(*[F.col(f"{c}_1").alias(c) for c in (*looked_up, "orcid")])
+        found = leading_among(matches, parts.select("author_1", block), asking, members, counts, CANDIDATES, removed, crowd, SCORER)
         found = found.join(left.select("work_author_id_1", "author_1", "orcid_1"), "work_author_id_1").withColumn("author_2", F.when(F.col("same"), F.col("author_1")))
-        round_(name, assigned(likely(with_exact_match(found))))
+        given = round_(name, assigned(likely(with_exact_match(found))))
+        members = members.unionByName(staged(gathered(given, asking, own), "members"))
 
     made = allocated(left.select("work_author_id_1").distinct(), [paper_of(F.col("work_author_id_1")), "work_author_id_1"], last_id, "author_id")
     round_("new", made)
